@@ -26,7 +26,8 @@ from smeltery.operators.aggregate import (
     row_count,
 )
 from smeltery.operators.shape import conform, keep_required, project, stamp
-from smeltery.plans import bronze, gold, pipeline, silver
+from smeltery.plans import bronze, gold, silver
+from smeltery.plans.pipeline import Pipeline
 from smeltery.session import shared_folder
 from smeltery.sources import pages, paged, tables
 from smeltery.spec import CountSpec, TableSpec
@@ -36,7 +37,7 @@ AS_OF = datetime(2024, 1, 5)
 
 DOCUMENTS = TableSpec(
     "documents",
-    "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    {"doc_id": "long", "text": "string", "lang": "string", "source": "string", "n_chars": "long"},
     key=("doc_id",),
     required=("doc_id", "lang", "source"),
     clean=("source",),
@@ -44,9 +45,15 @@ DOCUMENTS = TableSpec(
 )
 BY_LANG = replace(DOCUMENTS, clean=(), partition_by=("lang",), stamp=None)
 QUANTITY = CountSpec("documents_by_source", ("source", "lang"))
+CONVERSATIONS = TableSpec(
+    "conversations",
+    {"conv_id": "long", "turn": "long", "role": "string", "text": "string"},
+    key=("conv_id", "turn"),
+    stamp=None,
+)
 WEB_PAGES = TableSpec(
     "pages",
-    "page_id bigint, url string, html string",
+    {"page_id": "long", "url": "string", "html": "string"},
     key=("page_id",),
     required=("page_id", "url", "html"),
     clean=("url", "html"),
@@ -54,15 +61,26 @@ WEB_PAGES = TableSpec(
 )
 CUSTOMER = TableSpec(
     "customer",
-    "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    {
+        "c_custkey": "long",
+        "c_name": "string",
+        "c_nationkey": "integer",
+        "c_acctbal": "double",
+        "c_mktsegment": "string",
+    },
     key=("c_custkey",),
     required=("c_custkey", "c_mktsegment"),
     stamp=None,
 )
 ORDERS = TableSpec(
     "orders",
-    "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
-    "o_orderpriority string",
+    {
+        "o_orderkey": "long",
+        "o_custkey": "long",
+        "o_orderstatus": "string",
+        "o_totalprice": "double",
+        "o_orderpriority": "string",
+    },
     key=("o_orderkey",),
     required=("o_orderkey",),
     stamp=None,
@@ -111,8 +129,7 @@ def silver_conform(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    by_page = CountSpec("pages_by_html", ("html",))
-    return count_by(silver_conform(spark, sf_dir), by_page)
+    return count_by(conform(_table(spark, sf_dir, "documents"), DOCUMENTS, AS_OF), QUANTITY)
 
 
 def required_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -161,8 +178,7 @@ def land_again(spark: SparkSession, sf_dir: str) -> DataFrame:
 def land_raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = _records(_table(spark, sf_dir, "conversations"))
     folder = pages.land_records(records, shared_folder(spark), AS_OF)
-    schema = "conv_id bigint, turn bigint, role string, text string"
-    return pages.read_pages(spark, folder, TableSpec("conversations", schema).schema)
+    return pages.read_pages(spark, folder, CONVERSATIONS.schema)
 
 
 def read_json_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -198,11 +214,9 @@ def corrupt_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     records = df.select("role", text.alias("text")).select(cut.alias("record"))
     folder = pages.land_records(records, shared_folder(spark), AS_OF)
-    spec = TableSpec("conversations", "conv_id bigint, turn bigint, role string, text string")
-    landed = pages.read_pages(spark, folder, spec.schema, corrupt=True)
-    return quality.measured(
-        landed, [quality.not_empty(), *quality.no_corrupt_records(spec.columns)]
-    )
+    landed = pages.read_pages(spark, folder, CONVERSATIONS.schema, corrupt=True)
+    checks = [quality.not_empty(), *quality.no_corrupt_records(CONVERSATIONS.columns)]
+    return quality.measured(landed, checks)
 
 
 # Tables
@@ -308,11 +322,10 @@ def missing_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
+    nulls = quality.no_nulls(documents, DOCUMENTS.required)
     return quality.combined(
         [
-            quality.measured(
-                documents, [quality.not_empty(), quality.no_nulls(documents, documents.columns)]
-            ),
+            quality.measured(documents, [quality.not_empty(), nulls]),
             quality.keyed(_table(spark, sf_dir, "lineitem"), LINE, not_empty_too=False),
         ]
     )
@@ -329,15 +342,19 @@ def audit_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def audit_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = _table(spark, sf_dir, "documents")
-    return gold.audit(documents, count_by(documents, QUANTITY), QUANTITY)
+    documents, location = _table(spark, sf_dir, "documents"), shared_folder(spark)
+    table = _renamed(replace(QUANTITY, stamp=None).table(DOCUMENTS))
+    staged = tables.stage(
+        count_by(documents, QUANTITY), table, location, tables.new_run(AS_OF)
+    )
+    return gold.audit(documents, staged, QUANTITY)
 
 
 def pipeline_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
     table = _renamed(DOCUMENTS)
     counts = replace(QUANTITY, name=f"{QUANTITY.name}_{uuid.uuid4().hex}")
-    published = pipeline.run(documents, shared_folder(spark), table, counts, AS_OF)
+    published = Pipeline(shared_folder(spark), table, counts).run(documents, AS_OF)
     return published.drop(QUANTITY.stamp)
 
 
@@ -385,11 +402,7 @@ _CATALOGUE: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
         f"""select page_id, upper({_clean('url')}) as url, upper({_clean('html')}) as html
             from pages where url <> '' and html <> ''""",
     ),
-    "silver_count": (
-        silver_count,
-        f"""select upper({_clean('html')}) as html, count(*)::int as quantity
-            from pages where url <> '' and html <> '' group by 1""",
-    ),
+    "silver_count": (silver_count, _CONFORMED_COUNT),
     "required_filter": (
         required_filter,
         """select c_custkey, c_mktsegment as seg from customer
@@ -472,8 +485,7 @@ _CATALOGUE: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
         quality_report,
         f"""{_HAS_DOCUMENTS} union all {_UNIQUE_LINES} union all
             select 'no_nulls', count(*) = 0, count(*) from documents
-            where doc_id is null or text is null or lang is null or source is null
-               or n_chars is null""",
+            where doc_id is null or lang is null or source is null""",
     ),
     "audit_bronze": (
         audit_bronze,

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The characters that stay, and the one that replaces the rest.
 KEPT = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789 ")
@@ -30,14 +31,18 @@ class _Cleaned(dict):
         return self[code]
 
 
-@F.arrow_udf("string")
+def _clean_batch(batch: pa.Array, table: _Cleaned) -> pa.Array:
+    # One pass per distinct value of the batch: cheap for repeated names.
+    coded = batch.dictionary_encode()
+    cleaned = [text.translate(table) for text in coded.dictionary.to_pylist()]
+    return pa.array(cleaned, pa.string()).take(coded.indices)
+
+
+@F.arrow_udf(T.StringType())
 def _clean_batches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     table = _Cleaned()
     for batch in batches:
-        # One pass per distinct value of the batch: cheap for repeated names.
-        coded = batch.dictionary_encode()
-        cleaned = [text.translate(table) for text in coded.dictionary.to_pylist()]
-        yield pa.array(cleaned, pa.string()).take(coded.indices)
+        yield _clean_batch(batch, table)
 
 
 # Declared non-deterministic so that a later filter on the cleaned column reuses
@@ -54,3 +59,16 @@ def clean_text(column: Column | str) -> Column:
 def upper_clean(column: Column | str) -> Column:
     """Upper-case ASCII form of a text column."""
     return F.upper(clean_text(column))
+
+
+def clean_together(columns: Sequence[str]) -> Column:
+    """A struct of the ASCII forms of several columns, in one trip to Python."""
+    fields = [T.StructField(c, T.StringType()) for c in columns]
+
+    @F.arrow_udf(T.StructType(fields))
+    def clean_rows(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        table = _Cleaned()
+        for batch in batches:
+            yield pa.StructArray.from_arrays([_clean_batch(c, table) for c in batch], columns)
+
+    return clean_rows.asNondeterministic()(*[F.col(f"`{c}`") for c in columns])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from datetime import datetime
 from functools import reduce
 from operator import and_
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from smeltery.functions.columns import ingestion_stamp, present
-from smeltery.functions.text import clean_text
+from smeltery.functions.text import clean_text, clean_together
 from smeltery.spec import TableSpec
 
 
@@ -37,6 +37,14 @@ def stamp(df: DataFrame, column: str, as_of: datetime | None = None) -> DataFram
     return df.withColumn(column, ingestion_stamp(as_of))
 
 
+def with_cleaned(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Replace each of ``columns`` by its ASCII form."""
+    if len(columns) == 1:
+        return df.withColumn(columns[0], clean_text(f"`{columns[0]}`"))
+    cleaned = df.select("*", clean_together(columns).alias("__cleaned"))
+    return cleaned.withColumns({c: F.col("__cleaned")[c] for c in columns}).drop("__cleaned")
+
+
 def conform(df: DataFrame, spec: TableSpec, as_of: datetime | None = None) -> DataFrame:
     """Clean, filter, upper-case, project and stamp, in that order.
 
@@ -46,7 +54,7 @@ def conform(df: DataFrame, spec: TableSpec, as_of: datetime | None = None) -> Da
     """
     raw = project(keep_required(df, spec.required), spec.columns)
     if spec.clean:
-        raw = raw.withColumns({c: clean_text(f"`{c}`") for c in spec.clean})
+        raw = with_cleaned(raw, spec.clean)
         raw = keep_required(raw, [c for c in spec.required if c in spec.clean])
         raw = raw.withColumns({c: F.upper(f"`{c}`") for c in spec.clean})
     return raw if spec.stamp is None else stamp(raw, spec.stamp, as_of)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,13 +18,16 @@ def audit(
     spec: TableSpec,
     layout: str = "lines",
     landed: int | None = None,
+    names: Sequence[str] | None = None,
 ) -> DataFrame:
     """Report: rows exist, no declared column is absent, no record is unreadable.
 
-    Two scans: one finds the names in the records, one parses every declared
-    column. ``landed`` is the number of records the source had, if known.
+    One scan parses every declared column; another finds the ``names`` that occur
+    in the records, unless they are given. ``landed`` is the number of records
+    the source had, if known.
     """
-    actual = pages.inferred_columns(spark, folder, layout)
+    if names is None:
+        names = pages.inferred_columns(spark, folder, layout)
     records = pages.read_pages(spark, folder, spec.schema, layout, corrupt=True)
     checks = [quality.not_empty(), *quality.no_corrupt_records(spec.columns)]
     if landed is not None:
@@ -31,7 +35,7 @@ def audit(
     return quality.combined(
         [
             quality.measured(records, checks),
-            quality.no_missing_columns(spark, spec.columns, actual),
+            quality.no_missing_columns(spark, spec.columns, names),
         ]
     )
 
@@ -45,8 +49,12 @@ def ingest(
     landed: int | None = None,
 ) -> str:
     """Land a frame of rows, or of raw ``record`` text, and stop if the audit fails."""
-    raw = "record" in df.columns and "record" not in spec.columns
-    land = pages.land_records if raw else pages.land_rows
-    folder = land(df, base, as_of, records_per_file)
-    quality.gate(audit(df.sparkSession, folder, spec, landed=landed))
+    if df.columns in (["record"], ["page", "record"]):
+        folder = pages.land_records(df, base, as_of, records_per_file)
+        names = None
+    else:
+        # Rows are landed with every field, so the names need no scan.
+        folder = pages.land_rows(df, base, as_of, records_per_file)
+        names = df.columns
+    quality.gate(audit(df.sparkSession, folder, spec, landed=landed, names=names))
     return folder

@@ -2,33 +2,84 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
+from smeltery.functions.columns import day_folder
+from smeltery.operators import quality
 from smeltery.plans import bronze, gold, silver
-from smeltery.sources import pages
+from smeltery.sources import pages, tables
 from smeltery.spec import CountSpec, TableSpec
 
 
-def run(
-    source: DataFrame,
-    lake: str,
-    table: TableSpec,
-    counts: CountSpec,
-    as_of: datetime,
-    records_per_file: int | None = None,
-    landed: int | None = None,
-) -> DataFrame:
-    """One run over ``source``, rows or raw records, below the folder ``lake``.
+@dataclass(frozen=True)
+class Pipeline:
+    """The tables of a pipeline and where they live below ``lake``.
 
-    ``as_of`` is fixed for the run: it names the day's folder and the stamp.
+    Each stage can run in an application of its own, finding what the previous
+    one published; ``run`` chains them in one.
     """
-    spark = source.sparkSession
-    lake = lake.rstrip("/")
-    folder = bronze.ingest(
-        source, f"{lake}/bronze/{table.name}", table, as_of, records_per_file, landed
-    )
-    records = pages.read_pages(spark, folder, table.schema)
-    conformed = silver.refresh(records, table, f"{lake}/silver/{table.name}", as_of)
-    return gold.refresh(conformed, table, counts, f"{lake}/gold/{counts.name}", as_of)
+
+    lake: str
+    table: TableSpec
+    counts: CountSpec
+
+    def path(self, layer: str, name: str) -> str:
+        return f"{self.lake.rstrip('/')}/{layer}/{name}"
+
+    @property
+    def bronze_base(self) -> str:
+        return self.path("bronze", self.table.name)
+
+    @property
+    def silver_location(self) -> str:
+        return self.path("silver", self.table.name)
+
+    @property
+    def gold_location(self) -> str:
+        return self.path("gold", self.counts.name)
+
+    def ingest(
+        self,
+        source: DataFrame,
+        as_of: datetime,
+        records_per_file: int | None = None,
+        landed: int | None = None,
+    ) -> str:
+        """Land rows, or raw records, in the day's folder."""
+        return bronze.ingest(
+            source, self.bronze_base, self.table, as_of, records_per_file, landed
+        )
+
+    def conform(self, spark: SparkSession, as_of: datetime, layout: str = "lines") -> DataFrame:
+        """Publish the day's records as the silver table."""
+        folder = day_folder(self.bronze_base, as_of)
+        records = pages.read_pages(spark, folder, self.table.schema, layout)
+        return silver.refresh(records, self.table, self.silver_location, as_of)
+
+    def silver(self, spark: SparkSession) -> DataFrame:
+        return tables.attach(spark, self.table, self.silver_location)
+
+    def audit(self, spark: SparkSession) -> None:
+        """Audit the published silver table once more."""
+        quality.gate(silver.audit(self.silver(spark), self.table))
+
+    def count(self, silver_rows: DataFrame, as_of: datetime) -> DataFrame:
+        """Publish the counts of the silver table."""
+        return gold.refresh(silver_rows, self.table, self.counts, self.gold_location, as_of)
+
+    def gold(self, spark: SparkSession) -> DataFrame:
+        return tables.attach(spark, self.counts.table(self.table), self.gold_location)
+
+    def run(
+        self,
+        source: DataFrame,
+        as_of: datetime,
+        records_per_file: int | None = None,
+        landed: int | None = None,
+    ) -> DataFrame:
+        """All stages. ``as_of`` names the day's folder and stamps every row."""
+        self.ingest(source, as_of, records_per_file, landed)
+        return self.count(self.conform(source.sparkSession, as_of), as_of)

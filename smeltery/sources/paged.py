@@ -13,7 +13,6 @@ from dataclasses import dataclass
 from urllib.request import urlopen
 
 import pyarrow as pa
-import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -64,6 +63,8 @@ class FolderFetcher(PageFetcher):
     root: str
 
     def _get(self, child: str):
+        import pyarrow.fs as pafs  # only where pages are read
+
         fs, path = pafs.FileSystem.from_uri(self.root)
         found = fs.get_file_info(pafs.FileSelector(f"{path}/{child}"))
         files = [f.path for f in found if f.is_file and f.base_name[0] not in "._"]

@@ -24,6 +24,10 @@ def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def _named(spec: TableSpec) -> str:
+    return ".".join(map(_quoted, spec.name.split(".")))
+
+
 def create_table(spark: SparkSession, spec: TableSpec, location: str) -> None:
     """Create the declared table at ``location`` unless the name exists."""
     columns = ", ".join(
@@ -34,7 +38,7 @@ def create_table(spark: SparkSession, spec: TableSpec, location: str) -> None:
         partitioned = f"PARTITIONED BY ({', '.join(map(_quoted, spec.partition_by))})"
     path = location.replace("'", "\\'")
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {_quoted(spec.name)} ({columns}) "
+        f"CREATE TABLE IF NOT EXISTS {_named(spec)} ({columns}) "
         f"USING {spec.format} {partitioned} LOCATION '{path}'"
     )
 
@@ -57,7 +61,7 @@ def overwrite_table(df: DataFrame, spec: TableSpec, location: str) -> None:
     )
     if spec.partition_by:
         writer = writer.partitionBy(*spec.partition_by)
-    writer.saveAsTable(_quoted(spec.name))
+    writer.saveAsTable(_named(spec))
 
 
 def _shape(schema: T.StructType) -> list[tuple[str, str]]:
@@ -96,7 +100,7 @@ def stage(df: DataFrame, spec: TableSpec, location: str, run: str) -> DataFrame:
     """Write a version that no reader sees yet, and return it as stored."""
     staged = version(spec, run)
     overwrite_table(df, staged, version_path(location, run))
-    return df.sparkSession.table(_quoted(staged.name))
+    return df.sparkSession.table(_named(staged))
 
 
 def publish(spark: SparkSession, spec: TableSpec, location: str, run: str) -> DataFrame:
@@ -120,13 +124,13 @@ def attach(spark: SparkSession, spec: TableSpec, location: str) -> DataFrame:
     stored = version(spec, run)
     create_table(spark, stored, version_path(location, run))
     if spec.partition_by:
-        spark.catalog.recoverPartitions(_quoted(stored.name))
+        spark.catalog.recoverPartitions(_named(stored))
     return _show(spark, spec, run)
 
 
 def _show(spark: SparkSession, spec: TableSpec, run: str) -> DataFrame:
     # The view restores the declared column order; files keep partition columns last.
     columns = ", ".join(map(_quoted, spec.published_schema.names))
-    stored = _quoted(version(spec, run).name)
-    spark.sql(f"CREATE OR REPLACE VIEW {_quoted(spec.name)} AS SELECT {columns} FROM {stored}")
-    return spark.table(_quoted(spec.name))
+    stored = _named(version(spec, run))
+    spark.sql(f"CREATE OR REPLACE VIEW {_named(spec)} AS SELECT {columns} FROM {stored}")
+    return spark.table(_named(spec))

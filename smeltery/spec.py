@@ -2,14 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, replace
 
 from pyspark.sql import types as T
 
 
-def parse_schema(schema: str | T.StructType) -> T.StructType:
-    return T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+def schema_of(columns: Mapping[str, str] | T.StructType) -> T.StructType:
+    """A schema from names and types such as ``string``, ``long`` or ``double``.
+
+    Needs no session, so specs can be declared at import.
+    """
+    if isinstance(columns, T.StructType):
+        return columns
+    schema = T.StructType()
+    for name, type_name in columns.items():
+        schema.add(name, type_name)
+    return schema
 
 
 @dataclass(frozen=True)
@@ -22,7 +31,7 @@ class TableSpec:
     """
 
     name: str
-    schema: T.StructType
+    schema: Mapping[str, str] | T.StructType
     key: tuple[str, ...] = ()
     required: tuple[str, ...] = ()
     clean: tuple[str, ...] = ()
@@ -31,7 +40,7 @@ class TableSpec:
     format: str = "parquet"
 
     def __post_init__(self) -> None:
-        object.__setattr__(self, "schema", parse_schema(self.schema))
+        object.__setattr__(self, "schema", schema_of(self.schema))
         for rule in ("key", "required", "clean", "partition_by"):
             unknown = [c for c in getattr(self, rule) if c not in self.columns]
             if unknown:
@@ -69,21 +78,21 @@ class TableSpec:
 class CountSpec:
     """A published count of rows per ``keys``.
 
-    ``quantity_type`` is part of the published schema. ``int`` holds groups of
-    up to 2,147,483,647 rows and fails beyond; declare ``bigint`` for more.
+    ``quantity_type`` is part of the published schema. An integer holds groups
+    of up to 2,147,483,647 rows and fails beyond; declare a long for more.
     """
 
     name: str
     keys: tuple[str, ...]
     quantity: str = "quantity"
-    quantity_type: str = "int"
+    quantity_type: T.DataType = T.IntegerType()
     stamp: str | None = "dt_ingestion"
     format: str = "parquet"
 
     def table(self, source: TableSpec) -> TableSpec:
         """The spec of the table this count publishes from ``source``."""
         fields = [source.schema[k] for k in self.keys]
-        fields += parse_schema(f"`{self.quantity}` {self.quantity_type}").fields
+        fields.append(T.StructField(self.quantity, self.quantity_type))
         return TableSpec(
             self.name, T.StructType(fields), key=self.keys, stamp=self.stamp, format=self.format
         )

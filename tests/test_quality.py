@@ -1,0 +1,86 @@
+from __future__ import annotations
+
+import pytest
+from conftest import plan_of
+
+from smeltery.operators import quality
+
+
+@pytest.fixture
+def people(spark):
+    rows = [(1, "a", 1.0), (2, None, float("nan")), (2, "c", None)]
+    return spark.createDataFrame(rows, "id int, name string, x double")
+
+
+def as_dict(report):
+    return {r["check"]: (r["passed"], r["measure"]) for r in report.collect()}
+
+
+def test_measured(people):
+    checks = [quality.not_empty(), quality.no_nulls(people, ["name", "x"]), quality.at_least(4)]
+    report = quality.measured(people, checks)
+    assert report.dtypes == [("check", "string"), ("passed", "boolean"), ("measure", "bigint")]
+    assert as_dict(report) == {
+        "not_empty": (True, 3),
+        "no_nulls": (False, 3),
+        "all_rows_landed": (False, 3),
+    }
+
+
+def test_empty_frame(people):
+    empty = people.limit(0)
+    assert as_dict(quality.keyed(empty, ["id"])) == {
+        "not_empty": (False, 0),
+        "unique_rows": (True, 0),
+    }
+    assert as_dict(quality.measured(empty, [quality.no_nulls(empty, ["x"])])) == {
+        "no_nulls": (True, 0)
+    }
+
+
+def test_keyed(people):
+    assert as_dict(quality.keyed(people, ["id"])) == {
+        "not_empty": (True, 3),
+        "unique_rows": (False, 1),
+    }
+    assert as_dict(quality.keyed(people, ["id", "name"], not_empty_too=False)) == {
+        "unique_rows": (True, 0)
+    }
+
+
+def test_both_key_checks_share_one_scan(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(10).selectExpr("id", "id as other").write.parquet(path)
+    plan = plan_of(quality.keyed(spark.read.parquet(path), ["id"]))
+    assert plan.count("FileScan") == 1
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert "other" not in plan
+
+
+def test_missing_columns(spark, people):
+    assert quality.missing_columns(["id", "NAME", "zip"], people.columns) == ["NAME", "zip"]
+    assert quality.missing_columns(["id"], people.columns) == []
+    frame = quality.missing_columns_frame(people, ["id", "NAME", "zip"])
+    assert sorted(r[0] for r in frame.collect()) == ["NAME", "zip"]
+    report = quality.no_missing_columns(spark, ["id", "zip"], people.columns)
+    assert as_dict(report) == {"no_missing_columns": (False, 1)}
+
+
+def test_gate_reports_every_failure_at_once(people):
+    nulls = quality.measured(people, [quality.not_empty(), quality.no_nulls(people, ["x"])])
+    report = quality.combined([nulls, quality.keyed(people, ["id"], not_empty_too=False)])
+    with pytest.raises(quality.QualityError, match=r"no_nulls \(2\), unique_rows \(1\)"):
+        quality.gate(report)
+    good = quality.measured(people, [quality.not_empty()])
+    assert [r["check"] for r in quality.gate(good)] == ["not_empty"]
+
+
+def test_plain_answers(people):
+    assert quality.has_rows(people) and not quality.has_rows(people.limit(0))
+    assert quality.has_columns(["id"], people.columns)
+    assert not quality.has_columns(["zip"], people.columns)
+    assert quality.has_unique_rows(people, ["id", "name"])
+    assert not quality.has_unique_rows(people, ["id"])
+    assert quality.has_unique_rows(people.limit(0), ["id"])
+    assert quality.has_no_nulls(people, ["id"]) and not quality.has_no_nulls(people, ["id", "x"])
+    assert quality.has_no_nulls(people.limit(0), ["x"])

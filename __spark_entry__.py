@@ -34,6 +34,7 @@ from smeltery.spec import CountSpec, TableSpec
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 AS_OF = datetime(2024, 1, 5)
+PER_PAGE = 4_000
 
 DOCUMENTS = TableSpec(
     "documents",
@@ -182,10 +183,8 @@ def land_raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def read_json_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = _table(spark, sf_dir, "orders").select(*ORDERS.columns)
-    page = (F.floor(F.col("o_orderkey") / 2000) + 1).alias("page")
-    folder = shared_folder(spark)
-    pages.write_pages(orders.select(page, F.to_json(F.struct("*")).alias("record")), folder)
+    orders = project(_table(spark, sf_dir, "orders"), ORDERS.columns)
+    folder = pages.write_pages(_records(orders), shared_folder(spark), PER_PAGE)
     return pages.read_pages(spark, folder, ORDERS.schema, layout="array")
 
 
@@ -195,14 +194,10 @@ def read_json_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def src_paged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customer = _table(spark, sf_dir, "customer")
-    root = shared_folder(spark)
-    page = (F.floor(F.col("c_custkey") / paged.PAGE_ROWS) + 1).alias("page")
-    pages.write_pages(customer.select(page, F.to_json(F.struct("*")).alias("record")), root)
-    total = customer.agg(F.count("*").alias(paged.TOTAL))
-    total.coalesce(1).write.json(f"{root}/meta")
-    records = paged.read_source(spark, paged.FolderPages, {"root": root})
-    return records.select(F.from_json("record", CUSTOMER.schema).alias("r")).select("r.*")
+    orders, root = project(_table(spark, sf_dir, "orders"), ORDERS.columns), shared_folder(spark)
+    pages.write_pages(_records(orders), root, PER_PAGE)
+    records = paged.read_source(spark, paged.FolderPages, {"root": root, "perPage": PER_PAGE})
+    return records.select(F.from_json("record", ORDERS.schema).alias("r")).select("r.*")
 
 
 def corrupt_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -370,6 +365,8 @@ _CONFORMED_COUNT = f"""
     from documents where source <> '' and lang <> '' group by 1, 2"""
 _DOCUMENTS = "select doc_id, text, lang, source, n_chars from documents"
 _CUSTOMER = "select c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment from customer"
+_ORDERS = """
+    select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority from orders"""
 _COUNT = "select lang, source, count(*)::int as quantity from documents group by 1, 2"
 _LINE_SIZES = "(select count(*) as c from lineitem group by l_orderkey, l_linenumber)"
 _UNIQUE_LINES = f"""
@@ -423,16 +420,13 @@ _CATALOGUE: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
         land_raw_records,
         "select conv_id, turn, role, text from conversations",
     ),
-    "read_json_pages": (
-        read_json_pages,
-        "select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority from orders",
-    ),
+    "read_json_pages": (read_json_pages, _ORDERS),
     "read_json_inferred": (
         read_json_inferred,
         """select c_acctbal, c_custkey, c_mktsegment, c_name,
                   c_nationkey::bigint as c_nationkey from customer""",
     ),
-    "src_paged": (src_paged, _CUSTOMER),
+    "src_paged": (src_paged, _ORDERS),
     "corrupt_records": (
         corrupt_records,
         """select 'not_empty' as "check", count(*) > 0 as passed, count(*) as measure

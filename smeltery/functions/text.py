@@ -52,8 +52,11 @@ _clean_once = _clean_batches.asNondeterministic()
 
 
 def clean_text(column: Column | str) -> Column:
-    """ASCII form of a text column; null stays null."""
-    return _clean_once(F.col(column) if isinstance(column, str) else column)
+    """ASCII form of a text column; null stays null.
+
+    Bytes that are not UTF-8 count as unknown characters instead of ending the job.
+    """
+    return _clean_once(F.make_valid_utf8(column))
 
 
 def upper_clean(column: Column | str) -> Column:
@@ -71,4 +74,6 @@ def clean_together(columns: Sequence[str]) -> Column:
         for batch in batches:
             yield pa.StructArray.from_arrays([_clean_batch(c, table) for c in batch], columns)
 
-    return clean_rows.asNondeterministic()(*[F.col(f"`{c}`") for c in columns])
+    return clean_rows.asNondeterministic()(
+        *[F.make_valid_utf8(f"`{c}`") for c in columns]
+    )

@@ -16,9 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-# The page size of a request and the name of the total.
-PAGE_ROWS = 200
-TOTAL = "total"
+from smeltery.sources.pages import PAGE_ROWS, TOTAL
 
 # Above this many pages, neighbouring pages share a task.
 MAX_TASKS = 10_000
@@ -58,7 +56,7 @@ class UrlFetcher(PageFetcher):
 
 @dataclass
 class FolderFetcher(PageFetcher):
-    """Pages in a shared folder: ``meta/`` with the total, ``page=<n>/`` with an array."""
+    """Pages in a shared folder, laid out as by ``write_pages``."""
 
     root: str
 
@@ -77,7 +75,7 @@ class FolderFetcher(PageFetcher):
         return int(self._get("meta")[TOTAL])
 
     def page(self, number: int) -> list[dict]:
-        return self._get(f"page={number}")
+        return self._get(f"pages/page={number}")
 
 
 @dataclass

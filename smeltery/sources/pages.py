@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,6 +18,13 @@ from smeltery.operators.quality import CORRUPT
 
 LAYOUTS = ("lines", "array")
 
+# How many records a page has, and the name of the total.
+PAGE_ROWS = 200
+TOTAL = "total"
+
+# Spark's increasing ids hold the row's place within its task in the lower 33 bits.
+ROW_IN_TASK = (1 << 33) - 1
+
 
 def land_rows(
     df: DataFrame, base: str, as_of: datetime, records_per_file: int | None = None
@@ -46,15 +53,46 @@ def land_records(
     return folder
 
 
-def write_pages(df: DataFrame, folder: str, page: str = "page") -> None:
-    """Write one JSON array per page number, as ``<folder>/page=<n>/``.
+def write_pages(df: DataFrame, root: str, per_page: int = PAGE_ROWS) -> str:
+    """Write the ``record`` column, JSON text, as numbered arrays of ``per_page`` records.
 
-    ``df`` has a page number and a ``record`` of JSON text. A page is what a
-    single request returns, so its records fit in one row.
+    Every page but the last is full, whatever the records hold: a page is cut by
+    position, not by key. Positions are stored once, as ``<root>/records``, so a
+    recomputed task cannot number its rows anew; ``<root>/meta`` has the total.
+    Returns the folder of the pages, one subfolder ``page=<n>`` each.
     """
-    arrays = df.groupBy(page).agg(F.collect_list("record").alias("records"))
-    text = F.concat(F.lit("["), F.array_join("records", ","), F.lit("]"))
-    arrays.select(page, text.alias("value")).write.mode("overwrite").partitionBy(page).text(folder)
+    spark = df.sparkSession
+    tagged = df.select(
+        "record", F.spark_partition_id().alias("task"), F.monotonically_increasing_id().alias("at")
+    )
+    tagged.write.mode("overwrite").parquet(f"{root}/records")
+    stored = spark.read.schema("record string, task int, at bigint").parquet(f"{root}/records")
+
+    # One row per writing task: where its first record stands among all records.
+    sizes = stored.groupBy("task").agg(F.count("*").alias("size"))
+    earlier = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(
+        "task", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("start")
+    )
+    sizes.agg(F.coalesce(F.sum("size"), F.lit(0)).alias(TOTAL)).write.mode("overwrite").json(
+        f"{root}/meta"
+    )
+
+    position = F.col("start") + F.col("at").bitwiseAND(F.lit(ROW_IN_TASK))
+    page = F.floor(position / per_page) + 1
+    arrays = (
+        stored.join(starts, "task")
+        .groupBy(page.alias("page"))
+        .agg(F.array_join(F.collect_list("record"), ",").alias("records"))
+    )
+    folder = f"{root}/pages"
+    (
+        arrays.select("page", F.concat(F.lit("["), "records", F.lit("]")).alias("value"))
+        .write.mode("overwrite")
+        .partitionBy("page")
+        .text(folder)
+    )
+    return folder
 
 
 def read_pages(

@@ -51,7 +51,7 @@ def overwrite_table(df: DataFrame, spec: TableSpec, location: str) -> None:
     for one task over several.
     """
     if spec.partition_by:
-        df = df.hint("rebalance", *spec.partition_by)
+        df = df.hint("rebalance", *map(_quoted, spec.partition_by))
     writer = (
         df.write.format(spec.format)
         .mode("overwrite")

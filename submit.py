@@ -16,7 +16,7 @@ from smeltery.operators.aggregate import preview
 from smeltery.plans.pipeline import Pipeline
 from smeltery.presets import BREWERIES, BREWERIES_PER_STATE
 from smeltery.session import configured
-from smeltery.sources import paged
+from smeltery.sources import paged, pages
 
 STAGES = ("bronze", "silver", "audit", "gold", "run", "show")
 
@@ -40,7 +40,7 @@ def main(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.stage in ("bronze", "run"):
         urls = {"metaUrl": args.meta_url, "pageUrl": args.page_url}
         records = paged.read_source(spark, paged.UrlPages, urls)
-        landed = paged.UrlFetcher(args.meta_url, args.page_url, paged.PAGE_ROWS).total()
+        landed = paged.UrlFetcher(args.meta_url, args.page_url, pages.PAGE_ROWS).total()
         pipeline.ingest(records, as_of, landed=landed)
     if args.stage in ("silver", "run"):
         pipeline.conform(spark, as_of)

@@ -137,3 +137,29 @@ def test_ingest_audits_what_it_landed(spark, tmp_path, as_of):
     records = spark.createDataFrame([('{"id":"1"}',)], "record string")
     with pytest.raises(quality.QualityError, match=r"no_missing_columns \(2\)"):
         bronze.ingest(records, str(tmp_path / "d"), SPEC, as_of)
+
+
+def test_pages_are_full_whatever_they_hold(spark, tmp_path):
+    # A third of the records are alike and tasks differ in size, some are empty.
+    df = spark.range(0, 1001, 1, 7).filter("id < 300 or id > 600").select(
+        F.when(F.col("id") % 3 == 0, '{"id":"hot"}').otherwise(F.to_json(F.struct("id"))).alias("record")
+    )
+    folder = pages.write_pages(df, str(tmp_path / "r"), 64)
+    sizes = {
+        int(p.parent.name.removeprefix("page=")): len(json.loads(p.read_text()))
+        for p in files(folder)
+    }
+    assert sizes == {n: 64 for n in range(1, 11)} | {11: 700 - 640}
+    back = pages.read_pages(spark, folder, SPEC.schema, "array")
+    assert back.count() == 700
+    assert sorted(r.id for r in back.collect()) == sorted(
+        str(json.loads(r.record)["id"]) for r in df.collect()
+    )
+
+
+def test_no_records_make_no_pages(spark, tmp_path):
+    df = spark.createDataFrame([], "record string")
+    folder = pages.write_pages(df, str(tmp_path / "r"))
+    assert not files(folder)
+    (meta,) = files(str(tmp_path / "r" / "meta"))
+    assert json.loads(meta.read_text()) == {"total": 0}

@@ -49,6 +49,12 @@ def test_upper(spark):
     assert got == ["STRA_E", None]
 
 
+def test_bytes_that_are_no_text(spark):
+    df = spark.sql("select cast(unhex('41C342E282') as string) as t, 'é' as u")
+    assert df.select(clean_text("t")).first()[0] == "A_B_"
+    assert tuple(df.select(clean_together(["t", "u"])).first()[0]) == ("A_B_", "e")
+
+
 def test_several_columns_in_one_trip(spark):
     df = spark.createDataFrame([("é", "ü", 1), (None, "½", 2), ("x", None, 3)], "a string, `b c` string, i int")
     out = df.select("i", clean_together(["a", "b c"]).alias("s")).select("i", "s.*")

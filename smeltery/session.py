@@ -9,8 +9,7 @@ from pyspark.sql import SparkSession
 
 SHARED_FOLDER = "spark.checkpoint.dir"
 
-# Settings the jobs were planned with. Shuffle partitions are left to the
-# cluster: adaptive execution merges small ones and splits hot ones.
+# Settings the jobs were planned with.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -20,12 +19,30 @@ SETTINGS = {
 }
 
 
-def configured(builder: SparkSession.Builder) -> SparkSession.Builder:
+# A shuffle starts with one partition per this many bytes expected to move.
+BYTES_PER_PARTITION = 256 << 20
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+def configured(
+    builder: SparkSession.Builder, shuffle_bytes: int | None = None
+) -> SparkSession.Builder:
+    """Apply the settings; ``shuffle_bytes`` is the most that one shuffle will move.
+
+    Adaptive execution merges partitions, and splits them where rows may be split,
+    but cannot split a group: a key check over a large table needs enough to start.
+    """
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
+    if shuffle_bytes is not None:
+        builder = builder.config(INITIAL_PARTITIONS, partitions_for(shuffle_bytes))
     return builder
 
 
+def partitions_for(shuffle_bytes: int) -> int:
+    return max(200, -(-shuffle_bytes // BYTES_PER_PARTITION))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new path below the folder the cluster shares.
 

@@ -17,6 +17,9 @@ from pyspark.sql import types as T
 
 from smeltery.spec import TableSpec
 
+# Formats that keep schema and partitions themselves; others are told both.
+SELF_DESCRIBING = ("delta",)
+
 LOG_SCHEMA = "run string, published_at timestamp"
 
 
@@ -80,8 +83,10 @@ def overwrite_path(df: DataFrame, spec: TableSpec, path: str) -> None:
 
 def load(spark: SparkSession, spec: TableSpec, path: str) -> DataFrame:
     """The table at ``path`` under its declared types, columns in declared order."""
-    stored = spark.read.format(spec.format).schema(spec.published_schema).load(path)
-    return stored.select(*map(_quoted, spec.published_schema.names))
+    reader = spark.read.format(spec.format)
+    if spec.format not in SELF_DESCRIBING:
+        reader = reader.schema(spec.published_schema)
+    return reader.load(path).select(*map(_quoted, spec.published_schema.names))
 
 
 def new_run(as_of: datetime) -> str:
@@ -123,7 +128,7 @@ def attach(spark: SparkSession, spec: TableSpec, location: str) -> DataFrame:
     run = published_run(spark, location)
     stored = version(spec, run)
     create_table(spark, stored, version_path(location, run))
-    if spec.partition_by:
+    if spec.partition_by and spec.format not in SELF_DESCRIBING:
         spark.catalog.recoverPartitions(_named(stored))
     return _show(spark, spec, run)
 

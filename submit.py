@@ -26,6 +26,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("stage", choices=STAGES)
     parser.add_argument("--lake", required=True, help="folder that every executor can reach")
     parser.add_argument("--as-of", type=datetime.fromisoformat, default=None)
+    parser.add_argument("--shuffle-bytes", type=int, help="most that one shuffle will move")
     parser.add_argument("--meta-url", help="URL of the record with the total")
     parser.add_argument("--page-url", help="URL of a page, with {page} and {per_page}")
     args = parser.parse_args(argv)
@@ -54,6 +55,7 @@ def main(spark: SparkSession, args: argparse.Namespace) -> None:
 
 if __name__ == "__main__":
     arguments = parse()
-    session = configured(SparkSession.builder.appName("smeltery")).getOrCreate()
+    builder = SparkSession.builder.appName("smeltery")
+    session = configured(builder, arguments.shuffle_bytes).getOrCreate()
     main(session, arguments)
     session.stop()

@@ -200,6 +200,16 @@ def src_paged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select(F.from_json("record", ORDERS.schema).alias("r")).select("r.*")
 
 
+def ingest_paged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages are requested, landed by day unchanged, audited against the total, and read."""
+    customer, root = _table(spark, sf_dir, "customer"), shared_folder(spark)
+    pages.write_pages(_records(customer), root, PER_PAGE)
+    records = paged.read_source(spark, paged.FolderPages, {"root": root, "perPage": PER_PAGE})
+    total = paged.FolderFetcher(root).total()
+    folder = bronze.ingest(records, shared_folder(spark), CUSTOMER, AS_OF, landed=total)
+    return pages.read_pages(spark, folder, CUSTOMER.schema)
+
+
 def corrupt_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Turns of the user are landed cut short, so that their records cannot be read."""
     df = _table(spark, sf_dir, "conversations")
@@ -427,6 +437,7 @@ _CATALOGUE: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
                   c_nationkey::bigint as c_nationkey from customer""",
     ),
     "src_paged": (src_paged, _ORDERS),
+    "ingest_paged": (ingest_paged, _CUSTOMER),
     "corrupt_records": (
         corrupt_records,
         """select 'not_empty' as "check", count(*) > 0 as passed, count(*) as measure

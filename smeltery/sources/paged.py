@@ -14,6 +14,7 @@ from urllib.request import urlopen
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from smeltery.sources.pages import PAGE_ROWS, TOTAL
@@ -30,8 +31,8 @@ class PageFetcher(ABC):
         """How many records there are."""
 
     @abstractmethod
-    def page(self, number: int) -> list[dict]:
-        """The records of a page, counted from 1. Raises if it cannot be had."""
+    def page(self, number: int) -> str:
+        """A page, counted from 1: the text of a JSON array. Raises if it cannot be had."""
 
 
 @dataclass
@@ -43,14 +44,14 @@ class UrlFetcher(PageFetcher):
     per_page: int
     timeout: float = 60.0
 
-    def _get(self, url: str):
+    def _get(self, url: str) -> str:
         with urlopen(url, timeout=self.timeout) as response:
-            return json.load(response)
+            return response.read().decode("utf-8")
 
     def total(self) -> int:
-        return int(self._get(self.meta_url)[TOTAL])
+        return int(json.loads(self._get(self.meta_url))[TOTAL])
 
-    def page(self, number: int) -> list[dict]:
+    def page(self, number: int) -> str:
         return self._get(self.page_url.format(page=number, per_page=self.per_page))
 
 
@@ -60,7 +61,7 @@ class FolderFetcher(PageFetcher):
 
     root: str
 
-    def _get(self, child: str):
+    def _get(self, child: str) -> str:
         import pyarrow.fs as pafs  # only where pages are read
 
         fs, path = pafs.FileSystem.from_uri(self.root)
@@ -69,12 +70,12 @@ class FolderFetcher(PageFetcher):
         if len(files) != 1:
             raise FileNotFoundError(f"{self.root}/{child}: expected one file, found {len(files)}")
         with fs.open_input_stream(files[0]) as stream:
-            return json.loads(stream.read())
+            return stream.read().decode("utf-8")
 
     def total(self) -> int:
-        return int(self._get("meta")[TOTAL])
+        return int(json.loads(self._get("meta"))[TOTAL])
 
-    def page(self, number: int) -> list[dict]:
+    def page(self, number: int) -> str:
         return self._get(f"pages/page={number}")
 
 
@@ -99,26 +100,24 @@ class PagedReader(DataSourceReader):
 
     def read(self, partition: PageRange) -> Iterator[pa.RecordBatch]:
         for number in range(partition.first, partition.last + 1):
-            records = self.fetcher.page(number)
             due = min(self.per_page, self.total - (number - 1) * self.per_page)
-            if len(records) < due:
-                raise ValueError(f"page {number} has {len(records)} records, expected {due}")
             yield pa.RecordBatch.from_pydict(
                 {
-                    "page": pa.array([number] * len(records), pa.int64()),
-                    "record": pa.array([json.dumps(r, ensure_ascii=False) for r in records]),
+                    "page": pa.array([number], pa.int64()),
+                    "due": pa.array([due], pa.int64()),
+                    "body": pa.array([self.fetcher.page(number)], pa.string()),
                 }
             )
 
 
 class PagedSource(DataSource):
-    """Rows of ``(page, record)``, the record as JSON text.
+    """One row per page: its number, the records due on it and its text.
 
     Options: ``perPage`` and ``maxTasks``, plus what the fetcher needs.
     """
 
     def schema(self) -> str:
-        return "page bigint, record string"
+        return "page bigint, due bigint, body string"
 
     @property
     def per_page(self) -> int:
@@ -157,6 +156,21 @@ class FolderPages(PagedSource):
 def read_source(
     spark: SparkSession, source: type[PagedSource], options: Mapping[str, object]
 ) -> DataFrame:
-    """Register ``source`` in the session and read it."""
+    """Rows of ``(page, record)``, each record as its own JSON text on one line.
+
+    Tasks in Python only fetch; pages are taken apart in Spark. A page that is
+    unreadable or holds fewer records than due ends the job.
+    """
     spark.dataSource.register(source)
-    return spark.read.format(source.name()).options(**options).load()
+    fetched = spark.read.format(source.name()).options(**options).load()
+    texts = F.from_json("body", "array<string>")
+    found = F.coalesce(F.size("records"), F.lit(0))
+    complaint = F.format_string("page %d has %d records, expected %d", "page", found, "due")
+    whole = F.when(found >= F.col("due"), F.col("records")).otherwise(F.raise_error(complaint))
+    # A line break can only stand between the parts of a record, never within text.
+    on_one_line = F.replace(F.replace("record", F.lit("\n"), F.lit(" ")), F.lit("\r"), F.lit(" "))
+    return (
+        fetched.select("page", "due", texts.alias("records"))
+        .select("page", F.explode(whole).alias("record"))
+        .select("page", on_one_line.alias("record"))
+    )

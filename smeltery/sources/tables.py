@@ -110,7 +110,7 @@ def stage(df: DataFrame, spec: TableSpec, location: str, run: str) -> DataFrame:
 
 def publish(spark: SparkSession, spec: TableSpec, location: str, run: str) -> DataFrame:
     """Make a staged version the one that readers see."""
-    entry = spark.range(1).select(
+    entry = spark.range(0, 1, 1, 1).select(
         F.lit(run).alias("run"), F.current_timestamp().alias("published_at")
     )
     entry.write.mode("append").parquet(f"{location.rstrip('/')}/published")

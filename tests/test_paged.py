@@ -50,7 +50,7 @@ def test_page_ranges_cover_every_page_once():
             return self.n
 
         def page(self, number):
-            return []
+            return "[]"
 
     for total in (0, 1, 199, 200, 201, 123_457):
         for tasks in (1, 3, 10_000):
@@ -64,10 +64,30 @@ def test_page_ranges_cover_every_page_once():
 def test_fewer_records_than_announced_fail(spark, tmp_path, sizes):
     options = put_pages(tmp_path / "p", sizes, total=30)
     df = paged.read_source(spark, paged.UrlPages, {**options, "perPage": 10})
-    with pytest.raises(Exception, match="expected 10|No such file|not found|urlopen"):
+    with pytest.raises(Exception, match="records, expected 10|No such file"):
         df.count()
 
 
+@pytest.mark.parametrize("body", ["", "[{", '{"message":"busy"}', "null"])
+def test_a_page_that_is_no_array_fails(spark, tmp_path, body):
+    options = put_pages(tmp_path / "p", [2, 2])
+    (tmp_path / "p" / "2.json").write_text(body)
+    df = paged.read_source(spark, paged.UrlPages, {**options, "perPage": 2})
+    with pytest.raises(Exception, match="page 2 has|MALFORMED"):
+        df.collect()
+
+
+def test_records_keep_their_text_on_one_line(spark, tmp_path):
+    options = put_pages(tmp_path / "p", [2])
+    page = '[\n  {"id": 1,\r\n   "x": 2.50, "t": "a\\nb"},\n {"id":2, "u":"\\u00e9", "v":[1,{"w":null}]}]'
+    (tmp_path / "p" / "1.json").write_bytes(page.encode())
+    df = paged.read_source(spark, paged.UrlPages, {**options, "perPage": 2})
+    first, second = sorted(r.record for r in df.collect())
+    assert "\n" not in first and "\r" not in first
+    assert json.loads(first) == {"id": 1, "x": 2.5, "t": "a\nb"}
+    assert json.loads(second) == {"id": 2, "u": "é", "v": [1, {"w": None}]}
+
+
 def test_nothing_to_read(spark, tmp_path):
     options = put_pages(tmp_path / "p", [])
     assert paged.read_source(spark, paged.UrlPages, options).count() == 0

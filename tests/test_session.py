@@ -80,7 +80,7 @@ class Flaky(paged.PageFetcher):
         if number == 2 and not mark.exists():
             mark.touch()
             raise OSError("gone")
-        return [{{"id": str(10 * number + i)}} for i in range(10)]
+        return json.dumps([{{"id": str(10 * number + i)}} for i in range(10)])
 
 class FlakyPages(paged.PagedSource):
     @classmethod

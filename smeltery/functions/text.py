@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import codecs
 import unicodedata
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,8 +17,15 @@ KEPT = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789
 REPLACEMENT = "_"
 
 
+# What each byte of ASCII text becomes.
+_BYTES = bytes(b if chr(b) in KEPT else ord(REPLACEMENT) for b in range(256))
+
+# Name under which the rule for other characters is registered as an encoding error.
+_BEYOND_ASCII = "smeltery.beyond_ascii"
+
+
 class _Cleaned(dict):
-    """``str.translate`` table that learns each code point when first met.
+    """Clean form of a code point beyond ASCII, learned when first met.
 
     Compatibility decomposition works on single characters and reordering only
     moves combining marks, which go anyway, so a string cleans to the joined
@@ -31,18 +40,43 @@ class _Cleaned(dict):
         return self[code]
 
 
-def _clean_batch(batch: pa.Array, table: _Cleaned) -> pa.Array:
-    # One pass per distinct value of the batch: cheap for repeated names.
+def _register() -> None:
+    """Make encoding to ASCII clean what ASCII lacks."""
+    table = _Cleaned()
+
+    def clean_run(error: UnicodeEncodeError) -> tuple[str, int]:
+        start, end = error.start, error.end
+        if end - start == 1:
+            return table[ord(error.object[start])], end
+        return error.object[start:end].translate(table), end
+
+    codecs.register_error(_BEYOND_ASCII, clean_run)
+
+
+def _clean_batch(batch: pa.Array) -> pa.Array:
+    """Clean the distinct values of a batch: few rows in Python, all bytes in one call."""
     coded = batch.dictionary_encode()
-    cleaned = [text.translate(table) for text in coded.dictionary.to_pylist()]
-    return pa.array(cleaned, pa.string()).take(coded.indices)
+    texts = coded.dictionary
+    if len(texts) == 0:
+        return batch
+    beyond = pc.invert(pc.string_is_ascii(texts))
+    if pc.any(beyond).as_py():
+        rows = texts.filter(beyond).to_pylist()
+        ascii_rows = [row.encode("ascii", _BEYOND_ASCII).decode("ascii") for row in rows]
+        texts = pc.replace_with_mask(texts, beyond, pa.array(ascii_rows, texts.type))
+    _, offsets, data = texts.buffers()
+    cleaned = pa.py_buffer(data.to_pybytes().translate(_BYTES))
+    texts = pa.Array.from_buffers(
+        texts.type, len(texts), [None, offsets, cleaned], offset=texts.offset
+    )
+    return texts.take(coded.indices)
 
 
 @F.arrow_udf(T.StringType())
 def _clean_batches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    table = _Cleaned()
+    _register()
     for batch in batches:
-        yield _clean_batch(batch, table)
+        yield _clean_batch(batch)
 
 
 # Declared non-deterministic so that a later filter on the cleaned column reuses
@@ -70,9 +104,9 @@ def clean_together(columns: Sequence[str]) -> Column:
 
     @F.arrow_udf(T.StructType(fields))
     def clean_rows(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
-        table = _Cleaned()
+        _register()
         for batch in batches:
-            yield pa.StructArray.from_arrays([_clean_batch(c, table) for c in batch], columns)
+            yield pa.StructArray.from_arrays([_clean_batch(c) for c in batch], columns)
 
     return clean_rows.asNondeterministic()(
         *[F.make_valid_utf8(f"`{c}`") for c in columns]

@@ -19,8 +19,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from smeltery.sources.pages import PAGE_ROWS, TOTAL
 
-# Above this many pages, neighbouring pages share a task.
-MAX_TASKS = 10_000
+# Beyond this many tasks per core, neighbouring pages share a task.
+TASKS_PER_CORE = 2
 
 
 class PageFetcher(ABC):
@@ -113,7 +113,7 @@ class PagedReader(DataSourceReader):
 class PagedSource(DataSource):
     """One row per page: its number, the records due on it and its text.
 
-    Options: ``perPage`` and ``maxTasks``, plus what the fetcher needs.
+    Options: ``maxTasks`` and ``perPage``, plus what the fetcher needs.
     """
 
     def schema(self) -> str:
@@ -127,8 +127,7 @@ class PagedSource(DataSource):
         raise NotImplementedError
 
     def reader(self, schema) -> PagedReader:
-        max_tasks = int(self.options.get("maxTasks", MAX_TASKS))
-        return PagedReader(self.fetcher(), self.per_page, max_tasks)
+        return PagedReader(self.fetcher(), self.per_page, int(self.options["maxTasks"]))
 
 
 class UrlPages(PagedSource):
@@ -162,6 +161,8 @@ def read_source(
     unreadable or holds fewer records than due ends the job.
     """
     spark.dataSource.register(source)
+    tasks = TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    options = {"maxTasks": tasks, **options}
     fetched = spark.read.format(source.name()).options(**options).load()
     texts = F.from_json("body", "array<string>")
     found = F.coalesce(F.size("records"), F.lit(0))

@@ -3,12 +3,13 @@ from __future__ import annotations
 import re
 import unicodedata
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from smeltery.functions.text import _Cleaned, clean_text, clean_together, upper_clean
+from smeltery.functions.text import _clean_batch, _register, clean_text, clean_together, upper_clean
 
 CASES = [
     (None, None),
@@ -89,7 +90,8 @@ def test_every_code_point(spark):
 
 
 def clean(text: str) -> str:
-    return text.translate(_Cleaned())
+    _register()
+    return _clean_batch(pa.array([None, text])).to_pylist()[1]
 
 
 TEXT = st.text(st.characters(exclude_categories=["Cs"]))
@@ -114,3 +116,18 @@ def test_normal_form_of_the_input_does_not_matter(text):
 @given(TEXT, TEXT)
 def test_concatenation(left, right):
     assert clean(left + right) == clean(left) + clean(right)
+
+
+@given(st.lists(st.one_of(st.none(), TEXT)), st.integers(0, 3))
+def test_batches(texts, skipped):
+    _register()
+    batch = pa.array(texts, pa.string())[skipped:]
+    cleaned = _clean_batch(batch)
+    cleaned.validate(full=True)
+    assert cleaned.to_pylist() == [None if t is None else clean(t) for t in texts[skipped:]]
+
+
+def test_wide_offsets_are_kept():
+    _register()
+    batch = pa.array(["é-é", None, "x"], pa.large_string())
+    assert _clean_batch(batch).equals(pa.array(["e_e", None, "x"], pa.large_string()))

@@ -49,7 +49,8 @@ def ingest(
     landed: int | None = None,
 ) -> str:
     """Land a frame of rows, or of raw ``record`` text, and stop if the audit fails."""
-    if df.columns in (["record"], ["page", "record"]):
+    raw = df.columns in (["record"], ["page", "record"]) and "record" not in spec.columns
+    if raw:
         folder = pages.land_records(df, base, as_of, records_per_file)
         names = None
     else:

@@ -68,26 +68,32 @@ def write_pages(df: DataFrame, root: str, per_page: int = PAGE_ROWS) -> str:
     tagged.write.mode("overwrite").parquet(f"{root}/records")
     stored = spark.read.schema("record string, task int, at bigint").parquet(f"{root}/records")
 
-    # One row per writing task: where its first record stands among all records.
+    # One row per writing task, stored, so that the size of the join's small side
+    # is known: where the task's first record stands among all records.
     sizes = stored.groupBy("task").agg(F.count("*").alias("size"))
+    sizes.write.mode("overwrite").parquet(f"{root}/tasks")
+    sizes = spark.read.schema("task int, size bigint").parquet(f"{root}/tasks")
+    total = sizes.agg(F.coalesce(F.sum("size"), F.lit(0)).alias(TOTAL))
+    total.write.mode("overwrite").json(f"{root}/meta")
+    last = total.first()[TOTAL] - 1
     earlier = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(
-        "task", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("start")
-    )
-    sizes.agg(F.coalesce(F.sum("size"), F.lit(0)).alias(TOTAL)).write.mode("overwrite").json(
-        f"{root}/meta"
-    )
+    start = F.coalesce(F.sum("size").over(earlier), F.lit(0))
+    starts = sizes.select("task", start.alias("start"))
 
+    # A page is written record by record, so none is ever held as a whole.
     position = F.col("start") + F.col("at").bitwiseAND(F.lit(ROW_IN_TASK))
-    page = F.floor(position / per_page) + 1
-    arrays = (
-        stored.join(starts, "task")
-        .groupBy(page.alias("page"))
-        .agg(F.array_join(F.collect_list("record"), ",").alias("records"))
+    numbered = stored.join(starts, "task").select(position.alias("position"), "record")
+    place = F.col("position") % per_page
+    ends = (place == per_page - 1) | (F.col("position") == last)
+    line = F.concat(
+        F.when(place == 0, "[").otherwise(","), "record", F.when(ends, "]").otherwise("")
     )
     folder = f"{root}/pages"
     (
-        arrays.select("page", F.concat(F.lit("["), "records", F.lit("]")).alias("value"))
+        numbered.withColumns({"page": F.expr(f"position div {per_page} + 1"), "value": line})
+        .repartition("page")
+        .sortWithinPartitions("page", "position")
+        .select("page", "value")
         .write.mode("overwrite")
         .partitionBy("page")
         .text(folder)

@@ -150,6 +150,10 @@ def test_pages_are_full_whatever_they_hold(spark, tmp_path):
         for p in files(folder)
     }
     assert sizes == {n: 64 for n in range(1, 11)} | {11: 700 - 640}
+    # Records keep their order, within a page and from page to page.
+    in_order = sorted(files(folder), key=lambda p: int(p.parent.name.removeprefix("page=")))
+    texts = [r for p in in_order for r in json.loads(p.read_text())]
+    assert texts == [json.loads(r.record) for r in df.collect()]
     back = pages.read_pages(spark, folder, SPEC.schema, "array")
     assert back.count() == 700
     assert sorted(r.id for r in back.collect()) == sorted(

@@ -211,13 +211,10 @@ def ingest_paged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def corrupt_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Turns of the user are landed cut short, so that their records cannot be read."""
-    df = _table(spark, sf_dir, "conversations")
+    """Turns of the user are landed with a brace too many, so that they cannot be read."""
     text = F.to_json(F.struct("*"))
-    cut = F.when(F.col("role") == "user", F.expr("left(text, length(text) - 1)")).otherwise(
-        F.col("text")
-    )
-    records = df.select("role", text.alias("text")).select(cut.alias("record"))
+    spoiled = F.when(F.col("role") == "user", F.concat(F.lit("{"), text)).otherwise(text)
+    records = _table(spark, sf_dir, "conversations").select(spoiled.alias("record"))
     folder = pages.land_records(records, shared_folder(spark), AS_OF)
     landed = pages.read_pages(spark, folder, CONVERSATIONS.schema, corrupt=True)
     checks = [quality.not_empty(), *quality.no_corrupt_records(CONVERSATIONS.columns)]
@@ -355,7 +352,7 @@ def audit_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.audit(documents, staged, QUANTITY)
 
 
-def pipeline_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stages_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
     table = _renamed(DOCUMENTS)
     counts = replace(QUANTITY, name=f"{QUANTITY.name}_{uuid.uuid4().hex}")
@@ -509,7 +506,7 @@ _CATALOGUE: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
         f"""select 'input_not_empty' as "check", count(*) > 0 as passed, count(*) as measure
             from documents union all {_passing('unique_rows')} union all {_passing('no_nulls')}""",
     ),
-    "pipeline_run": (pipeline_run, _CONFORMED_COUNT),
+    "stages_in_order": (stages_in_order, _CONFORMED_COUNT),
 }
 
 

@@ -45,6 +45,9 @@ class TableSpec:
             unknown = [c for c in getattr(self, rule) if c not in self.columns]
             if unknown:
                 raise ValueError(f"{self.name}: {rule} names undeclared columns {unknown}")
+        other = [c for c in self.clean if not isinstance(self.schema[c].dataType, T.StringType)]
+        if other:
+            raise ValueError(f"{self.name}: only text can be cleaned, not {other}")
         loose = [c for c in self.partition_by if c not in self.required]
         if loose:
             # A file-based partition cannot tell '' from null, so neither may reach it.

@@ -1,7 +1,7 @@
 """spark-submit entry point: one stage of the brewery pipeline, or all of them.
 
-    spark-submit submit.py run --lake hdfs:///lake \\
-        --meta-url 'https://host/meta' --page-url 'https://host/list?page={page}&per_page={per_page}'
+    spark-submit submit.py run --lake hdfs:///lake --meta-url 'https://host/meta' \\
+        --page-url 'https://host/list?page={page}&per_page={per_page}'
     spark-submit submit.py show --lake hdfs:///lake
 """
 

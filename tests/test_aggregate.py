@@ -60,7 +60,8 @@ def test_count_by(spark):
 
 def test_one_shuffle_after_partial_counts(spark, tmp_path):
     path = str(tmp_path / "t")
-    spark.createDataFrame([("a", "x", 1)], "state string, kind string, other int").write.parquet(path)
+    df = spark.createDataFrame([("a", "x", 1)], "state string, kind string, other int")
+    df.write.parquet(path)
     plan = plan_of(count_by(spark.read.parquet(path), COUNTS))
     assert plan.count("Exchange") == 1
     assert "partial_count" in plan
@@ -81,7 +82,8 @@ def test_row_count(spark):
 
 
 def test_duplicates_treat_nulls_as_equal(spark):
-    df = spark.createDataFrame([(None, 1), (None, 1), ("a", None), ("a", 2), ("b", 3)], "k string, n int")
+    rows = [(None, 1), (None, 1), ("a", None), ("a", 2), ("b", 3)]
+    df = spark.createDataFrame(rows, "k string, n int")
     assert as_dict(duplicate_groups(df, ["k"])) == {(None,): 2, ("a",): 2}
     assert as_dict(duplicate_groups(df, ["k", "n"])) == {(None, 1): 2}
 

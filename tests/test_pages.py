@@ -12,7 +12,12 @@ from smeltery.plans import bronze
 from smeltery.sources import pages
 from smeltery.spec import TableSpec
 
-SPEC = TableSpec("t", dict.fromkeys(("id", "longitude", "state"), "string"), key=("id",), required=("id",))
+SPEC = TableSpec(
+    "t",
+    {"id": "string", "longitude": "string", "state": "string"},
+    key=("id",),
+    required=("id",),
+)
 
 
 def put(folder: Path, *texts: str) -> str:
@@ -82,14 +87,16 @@ def test_truncated_page_is_counted_and_stopped(spark, tmp_path):
 
 def test_unreadable_value_in_any_column(spark, tmp_path):
     typed = TableSpec("t", {"id": "string", "n": "integer", "state": "string"})
-    folder = put(tmp_path / "p", '{"id":"1","n":"many","state":"x"}\n{"id":"2","n":5,"state":"y"}\n')
+    unreadable, good = '{"id":"1","n":"many","state":"x"}', '{"id":"2","n":5,"state":"y"}'
+    folder = put(tmp_path / "p", f"{unreadable}\n{good}\n")
     rows = bronze.audit(spark, folder, typed).collect()
     got = {r["check"]: r["measure"] for r in rows}
     assert got["no_unreadable_values"] == 1 and got["no_lost_records"] == 0
 
 
 def test_reading_in_the_wrong_layout_is_noticed(spark, tmp_path):
-    lines = put(tmp_path / "lines", "".join(f'{{"id":"{i}","longitude":"0","state":"s"}}\n' for i in range(5)))
+    records = [{"id": str(i), "longitude": "0", "state": "s"} for i in range(5)]
+    lines = put(tmp_path / "lines", "\n".join(map(json.dumps, records)))
     got = report(spark, lines, "array", landed=5)
     assert got["all_rows_landed"] == (False, 1)
     arrays = put(tmp_path / "arrays", array({"id": "1", "longitude": "0", "state": "s"}))
@@ -104,7 +111,9 @@ def test_absent_and_extra_columns(spark, tmp_path):
 
 
 def test_landing_by_day(spark, tmp_path, as_of):
-    df = spark.range(0, 1500, 1, 3).select(F.col("id").cast("string").alias("id"), F.lit(None).cast("string").alias("longitude"), F.lit("é").alias("state"))
+    df = spark.range(0, 1500, 1, 3).selectExpr(
+        "cast(id as string) as id", "cast(null as string) as longitude", "'é' as state"
+    )
     folder = pages.land_rows(df, str(tmp_path), as_of, records_per_file=200)
     assert folder == f"{tmp_path}/2024/01/05"
     assert max(len(p.read_text().splitlines()) for p in files(folder)) == 200
@@ -134,6 +143,9 @@ def test_ingest_audits_what_it_landed(spark, tmp_path, as_of):
         bronze.ingest(df.drop("state"), str(tmp_path / "b"), SPEC, as_of)
     with pytest.raises(quality.QualityError, match="not_empty"):
         bronze.ingest(df.limit(0), str(tmp_path / "c"), SPEC, as_of)
+    with pytest.raises(quality.QualityError, match="not_empty.*no_missing_columns"):
+        nothing = spark.createDataFrame([], "record string")
+        bronze.ingest(nothing, str(tmp_path / "e"), SPEC, as_of)
     records = spark.createDataFrame([('{"id":"1"}',)], "record string")
     with pytest.raises(quality.QualityError, match=r"no_missing_columns \(2\)"):
         bronze.ingest(records, str(tmp_path / "d"), SPEC, as_of)
@@ -142,7 +154,9 @@ def test_ingest_audits_what_it_landed(spark, tmp_path, as_of):
 def test_pages_are_full_whatever_they_hold(spark, tmp_path):
     # A third of the records are alike and tasks differ in size, some are empty.
     df = spark.range(0, 1001, 1, 7).filter("id < 300 or id > 600").select(
-        F.when(F.col("id") % 3 == 0, '{"id":"hot"}').otherwise(F.to_json(F.struct("id"))).alias("record")
+        F.when(F.col("id") % 3 == 0, '{"id":"hot"}')
+        .otherwise(F.to_json(F.struct("id")))
+        .alias("record")
     )
     folder = pages.write_pages(df, str(tmp_path / "r"), 64)
     sizes = {

@@ -67,7 +67,8 @@ def test_text_is_cleaned_once_and_raw_rules_reach_the_scan(spark, tmp_path):
     path = str(tmp_path / "raw")
     spark.createDataFrame([("é", "1", "k", None, 1)], RAW).write.parquet(path)
     raw = spark.read.parquet(path)
-    two = TableSpec("t", SPEC.schema, required=SPEC.required, clean=("state", "note"), stamp=None)
+    both = ("state", "note")
+    two = TableSpec("t", SPEC.schema, required=SPEC.required, clean=both, stamp=None)
     for spec in (SPEC, two):
         out = conform(raw, spec).filter(F.col("state") != "X")
         plan = plan_of(out)
@@ -78,8 +79,10 @@ def test_text_is_cleaned_once_and_raw_rules_reach_the_scan(spark, tmp_path):
 
 
 def test_two_cleaned_columns(spark):
-    spec = TableSpec("t", {"a": "string", "b": "string", "n": "integer"}, required=("a",), clean=("a", "b"), stamp=None)
-    df = spark.createDataFrame([("é", None, 1), ("́", "ü", 2), ("x", "ü", 3)], "a string, b string, n int")
+    columns = {"a": "string", "b": "string", "n": "integer"}
+    spec = TableSpec("t", columns, required=("a",), clean=("a", "b"), stamp=None)
+    rows = [("é", None, 1), ("́", "ü", 2), ("x", "ü", 3)]
+    df = spark.createDataFrame(rows, "a string, b string, n int")
     assert sorted(map(tuple, conform(df, spec).collect()), key=lambda r: r[2]) == [
         ("E", None, 1),
         ("X", "U", 3),
@@ -106,6 +109,8 @@ def test_day_paths(spark):
 def test_spec_rejects_contradictions():
     with pytest.raises(ValueError, match="undeclared"):
         TableSpec("t", {"a": "string"}, key=("b",))
+    with pytest.raises(ValueError, match="only text"):
+        TableSpec("t", {"a": "long"}, clean=("a",))
     with pytest.raises(ValueError, match="must be required"):
         TableSpec("t", {"a": "string"}, partition_by=("a",))
 

@@ -16,7 +16,8 @@ from smeltery.spec import CountSpec, TableSpec
 
 def spec_of(**options):
     options = {"key": ("id",), "required": ("id", "part"), "partition_by": ("part",), **options}
-    return TableSpec(f"t_{uuid4().hex}", dict.fromkeys(("id", "part", "note"), "string"), stamp=None, **options)
+    columns = {"id": "string", "part": "string", "note": "string"}
+    return TableSpec(f"t_{uuid4().hex}", columns, stamp=None, **options)
 
 
 def frame(spark, rows):
@@ -71,7 +72,8 @@ def test_overwrite_replaces_every_partition(spark, tmp_path):
 def test_overwrite_replaces_the_schema(spark, tmp_path):
     spec, location = spec_of(), str(tmp_path / "t")
     tables.overwrite_table(frame(spark, ROWS), spec, location)
-    wider = replace(spec, schema={"id": "long", "part": "string", "note": "string", "more": "integer"})
+    columns = {"id": "long", "part": "string", "note": "string", "more": "integer"}
+    wider = replace(spec, schema=columns)
     more = frame(spark, ROWS).selectExpr("cast(id as bigint) id", "part", "note", "1 as more")
     tables.overwrite_table(more, wider, location)
     assert dict(spark.table(spec.name).dtypes)["id"] == "bigint"
@@ -113,7 +115,8 @@ def test_path_overwrite_enforces_the_schema(spark, tmp_path):
     tables.overwrite_path(good, spec, path)
     assert rows_of(tables.load(spark, spec, path)) == [("a", 1), ("b", 2)]
     with pytest.raises(ValueError, match="not the declared"):
-        tables.overwrite_path(good.withColumn("quantity", F.col("quantity").cast("bigint")), spec, path)
+        wide = good.withColumn("quantity", F.col("quantity").cast("bigint"))
+        tables.overwrite_path(wide, spec, path)
     assert tables.load(spark, spec, path).count() == 2
 
 

@@ -196,8 +196,8 @@ def read_json_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
 def src_paged(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, root = project(_table(spark, sf_dir, "orders"), ORDERS.columns), shared_folder(spark)
     pages.write_pages(_records(orders), root, PER_PAGE)
-    records = paged.read_source(spark, paged.FolderPages, {"root": root, "perPage": PER_PAGE})
-    return records.select(F.from_json("record", ORDERS.schema).alias("r")).select("r.*")
+    options = {"root": root, "perPage": PER_PAGE}
+    return paged.read_source(spark, paged.FolderPages, options, ORDERS.schema)
 
 
 def ingest_paged(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,6 +15,7 @@ from urllib.request import urlopen
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from smeltery.sources.pages import PAGE_ROWS, TOTAL
@@ -153,25 +154,29 @@ class FolderPages(PagedSource):
 
 
 def read_source(
-    spark: SparkSession, source: type[PagedSource], options: Mapping[str, object]
+    spark: SparkSession,
+    source: type[PagedSource],
+    options: Mapping[str, object],
+    schema: T.StructType | None = None,
 ) -> DataFrame:
-    """Rows of ``(page, record)``, each record as its own JSON text on one line.
+    """The records of all pages: under ``schema`` if given, else as they came.
 
-    Tasks in Python only fetch; pages are taken apart in Spark. A page that is
-    unreadable or holds fewer records than due ends the job.
+    As they came means rows of ``(page, record)``, each record as its own JSON
+    text on one line. Tasks in Python only fetch; pages are taken apart in Spark. A
+    page that is unreadable or holds fewer records than due ends the job.
     """
     spark.dataSource.register(source)
     tasks = TASKS_PER_CORE * spark.sparkContext.defaultParallelism
     options = {"maxTasks": tasks, **options}
     fetched = spark.read.format(source.name()).options(**options).load()
-    texts = F.from_json("body", "array<string>")
+    array = F.from_json("body", T.ArrayType(schema or T.StringType()))
     found = F.coalesce(F.size("records"), F.lit(0))
     complaint = F.format_string("page %d has %d records, expected %d", "page", found, "due")
     whole = F.when(found >= F.col("due"), F.col("records")).otherwise(F.raise_error(complaint))
+    parsed = fetched.select("page", "due", array.alias("records"))
+    if schema is not None:
+        return parsed.select(F.inline(whole))
     # A line break can only stand between the parts of a record, never within text.
     on_one_line = F.replace(F.replace("record", F.lit("\n"), F.lit(" ")), F.lit("\r"), F.lit(" "))
-    return (
-        fetched.select("page", "due", texts.alias("records"))
-        .select("page", F.explode(whole).alias("record"))
-        .select("page", on_one_line.alias("record"))
-    )
+    records = parsed.select("page", F.explode(whole).alias("record"))
+    return records.select("page", on_one_line.alias("record"))

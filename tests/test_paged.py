@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from smeltery.sources import paged, pages
+from smeltery.spec import schema_of
 
 
 def put_pages(folder, sizes, total=None):
@@ -61,6 +62,18 @@ def test_page_ranges_cover_every_page_once():
             assert len(ranges) <= max(tasks, 1)
 
 
+def test_typed_records(spark, tmp_path):
+    options = put_pages(tmp_path / "p", [3, 3, 1])
+    schema = schema_of({"x": "double", "id": "string", "absent": "string"})
+    df = paged.read_source(spark, paged.UrlPages, {**options, "perPage": 3}, schema)
+    assert df.columns == ["x", "id", "absent"]
+    assert sorted(map(tuple, df.collect()), key=str) == [(1.5, str(n), None) for n in range(7)]
+    short = put_pages(tmp_path / "q", [3, 2], total=6)
+    df = paged.read_source(spark, paged.UrlPages, {**short, "perPage": 3}, schema)
+    with pytest.raises(Exception, match="page 2 has 2 records, expected 3"):
+        df.collect()
+
+
 @pytest.mark.parametrize("sizes", [[10, 9, 10], [10, 10, 0], [10, 10]])
 def test_fewer_records_than_announced_fail(spark, tmp_path, sizes):
     options = put_pages(tmp_path / "p", sizes, total=30)

@@ -13,6 +13,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from smeltery.functions.columns import day_path, null_or_nan
 from smeltery.functions.text import clean_text, upper_clean
@@ -46,6 +47,7 @@ DOCUMENTS = TableSpec(
 )
 BY_LANG = replace(DOCUMENTS, clean=(), partition_by=("lang",), stamp=None)
 QUANTITY = CountSpec("documents_by_source", ("source", "lang"))
+NARROW = replace(QUANTITY, quantity_type=T.IntegerType())
 CONVERSATIONS = TableSpec(
     "conversations",
     {"conv_id": "long", "turn": "long", "role": "string", "text": "string"},
@@ -260,13 +262,13 @@ def publish_attach(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gold_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return count_by(_table(spark, sf_dir, "documents"), QUANTITY)
+    return count_by(_table(spark, sf_dir, "documents"), NARROW)
 
 
 def gold_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spec = replace(QUANTITY, stamp=None).table(DOCUMENTS)
+    spec = replace(NARROW, stamp=None).table(DOCUMENTS)
     path = shared_folder(spark)
-    counts = count_by(_table(spark, sf_dir, "documents"), QUANTITY)
+    counts = count_by(_table(spark, sf_dir, "documents"), NARROW)
     tables.overwrite_path(counts, spec, path)
     tables.overwrite_path(counts, spec, path)
     return tables.load(spark, spec, path)
@@ -369,7 +371,7 @@ def _clean(column: str) -> str:
 
 
 _CONFORMED_COUNT = f"""
-    select upper({_clean('source')}) as source, lang, count(*)::int as quantity
+    select upper({_clean('source')}) as source, lang, count(*) as quantity
     from documents where source <> '' and lang <> '' group by 1, 2"""
 _DOCUMENTS = "select doc_id, text, lang, source, n_chars from documents"
 _CUSTOMER = "select c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment from customer"
@@ -420,7 +422,7 @@ _CATALOGUE: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
     ),
     "day_folders": (
         day_folders,
-        "select strftime(ts, '%Y/%m/%d') as day, count(*)::int as quantity from events group by 1",
+        "select strftime(ts, '%Y/%m/%d') as day, count(*) as quantity from events group by 1",
     ),
     "land_json": (land_json, _CUSTOMER),
     "land_again": (land_again, f"{_CUSTOMER} where c_mktsegment = 'BUILDING'"),

@@ -81,14 +81,14 @@ class TableSpec:
 class CountSpec:
     """A published count of rows per ``keys``.
 
-    ``quantity_type`` is part of the published schema. An integer holds groups
-    of up to 2,147,483,647 rows and fails beyond; declare a long for more.
+    ``quantity_type`` is part of the published schema. A narrower type than the
+    default can be declared; an integer fails beyond 2,147,483,647 rows in a group.
     """
 
     name: str
     keys: tuple[str, ...]
     quantity: str = "quantity"
-    quantity_type: T.DataType = T.IntegerType()
+    quantity_type: T.DataType = T.LongType()
     stamp: str | None = "dt_ingestion"
     format: str = "parquet"
 

@@ -3,6 +3,7 @@ from __future__ import annotations
 import pytest
 from conftest import plan_of
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from smeltery.operators.aggregate import (
     count_by,
@@ -22,7 +23,7 @@ SPEC = TableSpec(
     required=("state", "id", "kind", "city"),
     clean=("state", "city"),
 )
-COUNTS = CountSpec("per_state", ("state", "kind"))
+COUNTS = CountSpec("per_state", ("state", "kind"), quantity_type=T.IntegerType())
 
 
 @pytest.fixture(scope="module")
@@ -56,6 +57,9 @@ def test_count_by(spark):
     out = count_by(df, COUNTS)
     assert as_dict(out) == {("a", "x"): 3, ("a", None): 2}
     assert dict(out.dtypes)["quantity"] == "int"
+    long = count_by(df, CountSpec("per_state", ("state", "kind")))
+    assert dict(long.dtypes)["quantity"] == "bigint"
+    assert as_dict(long) == as_dict(out)
 
 
 def test_one_shuffle_after_partial_counts(spark, tmp_path):

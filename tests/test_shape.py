@@ -73,6 +73,7 @@ def test_text_is_cleaned_once_and_raw_rules_reach_the_scan(spark, tmp_path):
         out = conform(raw, spec).filter(F.col("state") != "X")
         plan = plan_of(out)
         assert plan.count("ArrowEvalPython") == 1
+        assert plan_of(out.hint("rebalance", "state")).count("ArrowEvalPython") == 1
         for rule in ("IsNotNull(id)", "IsNotNull(kind)", "IsNotNull(state)"):
             assert rule in plan
         assert "extra" not in plan
@@ -116,10 +117,10 @@ def test_spec_rejects_contradictions():
 
 
 def test_count_spec_table():
-    table = CountSpec("c", ("state", "kind"), "n", T.LongType()).table(SPEC)
+    table = CountSpec("c", ("state", "kind"), "n", T.ShortType()).table(SPEC)
     assert [(f.name, f.dataType.simpleString()) for f in table.published_schema] == [
         ("state", "string"),
         ("kind", "string"),
-        ("n", "bigint"),
+        ("n", "smallint"),
         ("dt_ingestion", "timestamp"),
     ]

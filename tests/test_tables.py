@@ -7,6 +7,7 @@ from uuid import uuid4
 import pytest
 from conftest import plan_of
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from smeltery.operators import quality
 from smeltery.plans import silver
@@ -108,7 +109,8 @@ def test_hot_partition_is_split_over_tasks(spark, tmp_path):
 
 
 def test_path_overwrite_enforces_the_schema(spark, tmp_path):
-    spec = CountSpec("c", ("part",), stamp=None).table(spec_of())
+    counts = CountSpec("c", ("part",), quantity_type=T.IntegerType(), stamp=None)
+    spec = counts.table(spec_of())
     path = str(tmp_path / "c")
     good = spark.createDataFrame([("a", 1), ("b", 2)], "part string, quantity int")
     tables.overwrite_path(good, spec, path)

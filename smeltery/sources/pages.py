@@ -75,29 +75,20 @@ def write_pages(df: DataFrame, root: str, per_page: int = PAGE_ROWS) -> str:
     sizes = spark.read.schema("task int, size bigint").parquet(f"{root}/tasks")
     total = sizes.agg(F.coalesce(F.sum("size"), F.lit(0)).alias(TOTAL))
     total.write.mode("overwrite").json(f"{root}/meta")
-    last = total.first()[TOTAL] - 1
     earlier = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     start = F.coalesce(F.sum("size").over(earlier), F.lit(0))
     starts = sizes.select("task", start.alias("start"))
 
-    # A page is written record by record, so none is ever held as a whole.
+    # By its numbering a page has at most ``per_page`` records, so it fits in a row.
     position = F.col("start") + F.col("at").bitwiseAND(F.lit(ROW_IN_TASK))
     numbered = stored.join(starts, "task").select(position.alias("position"), "record")
-    place = F.col("position") % per_page
-    ends = (place == per_page - 1) | (F.col("position") == last)
-    line = F.concat(
-        F.when(place == 0, "[").otherwise(","), "record", F.when(ends, "]").otherwise("")
+    arrays = numbered.groupBy(F.expr(f"position div {per_page} + 1").alias("page")).agg(
+        F.array_sort(F.collect_list(F.struct("position", "record"))).alias("rows")
     )
+    text = F.concat(F.lit("["), F.array_join("rows.record", ","), F.lit("]"))
     folder = f"{root}/pages"
-    (
-        numbered.withColumns({"page": F.expr(f"position div {per_page} + 1"), "value": line})
-        .repartition("page")
-        .sortWithinPartitions("page", "position")
-        .select("page", "value")
-        .write.mode("overwrite")
-        .partitionBy("page")
-        .text(folder)
-    )
+    pages = arrays.select("page", text.alias("value"))
+    pages.write.mode("overwrite").partitionBy("page").text(folder)
     return folder
 
 

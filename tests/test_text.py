@@ -99,7 +99,7 @@ def clean(text: str) -> str:
 TEXT = st.text(st.characters(exclude_categories=["Cs"]))
 
 
-@settings(max_examples=500)
+@settings(max_examples=500, deadline=None)
 @given(TEXT)
 def test_only_kept_characters_and_stable(text):
     once = clean(text)
@@ -107,7 +107,7 @@ def test_only_kept_characters_and_stable(text):
     assert clean(once) == once
 
 
-@settings(max_examples=500)
+@settings(max_examples=500, deadline=None)
 @given(TEXT)
 def test_normal_form_of_the_input_does_not_matter(text):
     # Whole-string decomposition also reorders marks; the result is the same.
@@ -115,11 +115,13 @@ def test_normal_form_of_the_input_does_not_matter(text):
         assert clean(unicodedata.normalize(form, text)) == clean(text)
 
 
+@settings(deadline=None)
 @given(TEXT, TEXT)
 def test_concatenation(left, right):
     assert clean(left + right) == clean(left) + clean(right)
 
 
+@settings(deadline=None)
 @given(st.lists(st.one_of(st.none(), TEXT)), st.integers(0, 3))
 def test_batches(texts, skipped):
     _register()

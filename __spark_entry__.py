@@ -198,16 +198,15 @@ def read_json_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
 def src_paged(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, root = project(_table(spark, sf_dir, "orders"), ORDERS.columns), shared_folder(spark)
     pages.write_pages(_records(orders), root, PER_PAGE)
-    options = {"root": root, "perPage": PER_PAGE}
-    return paged.read_source(spark, paged.FolderPages, options, ORDERS.schema)
+    return paged.read_folder(spark, root, PER_PAGE, ORDERS.schema)
 
 
 def ingest_paged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages are requested, landed by day unchanged, audited against the total, and read."""
     customer, root = _table(spark, sf_dir, "customer"), shared_folder(spark)
     pages.write_pages(_records(customer), root, PER_PAGE)
-    records = paged.read_source(spark, paged.FolderPages, {"root": root, "perPage": PER_PAGE})
-    total = paged.FolderFetcher(root).total()
+    records = paged.read_folder(spark, root, PER_PAGE)
+    total = paged.folder_total(spark, root)
     folder = bronze.ingest(records, shared_folder(spark), CUSTOMER, AS_OF, landed=total)
     return pages.read_pages(spark, folder, CUSTOMER.schema)
 

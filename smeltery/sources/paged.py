@@ -10,6 +10,7 @@ import json
 from abc import ABC, abstractmethod
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
+from urllib.parse import quote
 from urllib.request import urlopen
 
 import pyarrow as pa
@@ -58,14 +59,17 @@ class UrlFetcher(PageFetcher):
 
 @dataclass
 class FolderFetcher(PageFetcher):
-    """Pages in a shared folder, laid out as by ``write_pages``."""
+    """Pages in a shared folder, laid out as by ``write_pages``.
+
+    ``root`` is a full URI, or a path if every machine mounts the folder.
+    """
 
     root: str
 
     def _get(self, child: str) -> str:
         import pyarrow.fs as pafs  # only where pages are read
 
-        fs, path = pafs.FileSystem.from_uri(self.root)
+        fs, path = pafs.FileSystem.from_uri(self.root.replace("s3a://", "s3://", 1))
         found = fs.get_file_info(pafs.FileSelector(f"{path}/{child}"))
         files = [f.path for f in found if f.is_file and f.base_name[0] not in "._"]
         if len(files) != 1:
@@ -180,3 +184,18 @@ def read_source(
     on_one_line = F.replace(F.replace("record", F.lit("\n"), F.lit(" ")), F.lit("\r"), F.lit(" "))
     records = parsed.select("page", F.explode(whole).alias("record"))
     return records.select("page", on_one_line.alias("record"))
+
+
+def read_folder(
+    spark: SparkSession, root: str, per_page: int = PAGE_ROWS, schema: T.StructType | None = None
+) -> DataFrame:
+    """The records that ``write_pages`` left below ``root``, on any file system Spark knows."""
+    # Spark resolves the path; tasks see its full URI.
+    meta = spark.read.text(f"{root}/meta").inputFiles()[0]
+    full = quote(meta[: meta.rindex("/meta/")], safe=":/%")
+    return read_source(spark, FolderPages, {"root": full, "perPage": per_page}, schema)
+
+
+def folder_total(spark: SparkSession, root: str) -> int:
+    """How many records ``write_pages`` left below ``root``."""
+    return spark.read.json(f"{root}/meta").first()[TOTAL]

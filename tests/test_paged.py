@@ -109,14 +109,15 @@ def test_nothing_to_read(spark, tmp_path):
 
 
 def test_folder_pages(spark, tmp_path):
-    root = str(tmp_path / "shared")
+    root = str(tmp_path / "shared folder é")
     rows = spark.range(0, 1050, 1, 5)
     pages.write_pages(rows.select(F.to_json(F.struct("id")).alias("record")), root)
     df = paged.read_source(spark, paged.FolderPages, {"root": root})
     assert ids(df) == list(range(1050))
     assert df.rdd.getNumPartitions() == 6
-    by_uri = paged.read_source(spark, paged.FolderPages, {"root": f"file://{root}"})
-    assert by_uri.count() == 1050
+    for named in (root, f"file:{root}", f"file://{root}"):
+        assert ids(paged.read_folder(spark, named)) == list(range(1050))
+        assert paged.folder_total(spark, named) == 1050
 
 
 def test_pages_land_and_read_back(spark, tmp_path, as_of):

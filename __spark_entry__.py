@@ -379,14 +379,14 @@ _ORDERS = """
 _COUNT = "select lang, source, count(*)::int as quantity from documents group by 1, 2"
 _LINE_SIZES = "(select count(*) as c from lineitem group by l_orderkey, l_linenumber)"
 _UNIQUE_LINES = f"""
-    select 'unique_rows' as "check", count(*) filter (c > 1) = 0 as passed,
+    select 'unique_rows' as check_name, count(*) filter (c > 1) = 0 as passed,
            count(*) filter (c > 1) as measure from {_LINE_SIZES}"""
 _HAS_DOCUMENTS = """
-    select 'not_empty' as "check", count(*) > 0 as passed, count(*) as measure from documents"""
+    select 'not_empty' as check_name, count(*) > 0 as passed, count(*) as measure from documents"""
 
 
 def _passing(name: str) -> str:
-    return f"""select '{name}' as "check", true as passed, 0::bigint as measure"""
+    return f"""select '{name}' as check_name, true as passed, 0::bigint as measure"""
 
 
 _CATALOGUE: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
@@ -439,7 +439,7 @@ _CATALOGUE: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
     "ingest_paged": (ingest_paged, _CUSTOMER),
     "corrupt_records": (
         corrupt_records,
-        """select 'not_empty' as "check", count(*) > 0 as passed, count(*) as measure
+        """select 'not_empty' as check_name, count(*) > 0 as passed, count(*) as measure
            from conversations
            union all
            select 'no_lost_records', count(*) filter (role = 'user') = 0,
@@ -461,7 +461,7 @@ _CATALOGUE: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
     ),
     "check_unique": (
         check_unique,
-        f"""select 'not_empty' as "check", count(*) > 0 as passed, count(*) as measure
+        f"""select 'not_empty' as check_name, count(*) > 0 as passed, count(*) as measure
             from lineitem union all {_UNIQUE_LINES}""",
     ),
     "null_counts": (
@@ -477,7 +477,7 @@ _CATALOGUE: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
     ),
     "check_not_empty": (
         check_not_empty,
-        """select 'not_empty' as "check", count(*) > 0 as passed, count(*) as measure
+        """select 'not_empty' as check_name, count(*) > 0 as passed, count(*) as measure
            from events where value < 0""",
     ),
     "missing_columns": (
@@ -505,7 +505,7 @@ _CATALOGUE: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
     ),
     "audit_gold": (
         audit_gold,
-        f"""select 'input_not_empty' as "check", count(*) > 0 as passed, count(*) as measure
+        f"""select 'input_not_empty' as check_name, count(*) > 0 as passed, count(*) as measure
             from documents union all {_passing('unique_rows')} union all {_passing('no_nulls')}""",
     ),
     "stages_in_order": (stages_in_order, _CONFORMED_COUNT),

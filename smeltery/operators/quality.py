@@ -1,6 +1,6 @@
 """Data-quality checks as small frames, and the gate that stops a run.
 
-A check is a row ``(check, passed, measure)``. Every check has the same polarity:
+A check is a row ``(check_name, passed, measure)``. Every check has the same polarity:
 ``passed`` is true when the data is good.
 """
 
@@ -69,7 +69,7 @@ def measured(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """The report of several checks over ``df``, in a single pass."""
     results = [
         F.struct(
-            F.lit(c.name).alias("check"),
+            F.lit(c.name).alias("check_name"),
             c.passed.alias("passed"),
             c.measure.cast("bigint").alias("measure"),
         ).alias(f"check_{i}")
@@ -114,7 +114,7 @@ def no_missing_columns(
 ) -> DataFrame:
     absent = len(missing_columns(expected, actual))
     return spark.range(0, 1, 1, 1).select(
-        F.lit(name).alias("check"),
+        F.lit(name).alias("check_name"),
         F.lit(absent == 0).alias("passed"),
         F.lit(absent).cast("bigint").alias("measure"),
     )
@@ -127,7 +127,7 @@ def combined(reports: Sequence[DataFrame]) -> DataFrame:
 def gate(report: DataFrame) -> list[Row]:
     """Evaluate every check, then raise if any failed. Collects one row per check."""
     rows = report.collect()
-    failed = [f"{r['check']} ({r['measure']})" for r in rows if not r["passed"]]
+    failed = [f"{r['check_name']} ({r['measure']})" for r in rows if not r["passed"]]
     if failed:
         raise QualityError("failed checks: " + ", ".join(failed))
     return rows

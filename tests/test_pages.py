@@ -37,7 +37,7 @@ def files(folder: str) -> list[Path]:
 
 def report(spark, folder, layout, **options):
     rows = bronze.audit(spark, folder, SPEC, layout, **options).collect()
-    return {r["check"]: (r["passed"], r["measure"]) for r in rows}
+    return {r["check_name"]: (r["passed"], r["measure"]) for r in rows}
 
 
 def test_arrays_of_several_pages(spark, tmp_path):
@@ -90,7 +90,7 @@ def test_unreadable_value_in_any_column(spark, tmp_path):
     unreadable, good = '{"id":"1","n":"many","state":"x"}', '{"id":"2","n":5,"state":"y"}'
     folder = put(tmp_path / "p", f"{unreadable}\n{good}\n")
     rows = bronze.audit(spark, folder, typed).collect()
-    got = {r["check"]: r["measure"] for r in rows}
+    got = {r["check_name"]: r["measure"] for r in rows}
     assert got["no_unreadable_values"] == 1 and got["no_lost_records"] == 0
 
 

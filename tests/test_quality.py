@@ -13,13 +13,13 @@ def people(spark):
 
 
 def as_dict(report):
-    return {r["check"]: (r["passed"], r["measure"]) for r in report.collect()}
+    return {r["check_name"]: (r["passed"], r["measure"]) for r in report.collect()}
 
 
 def test_measured(people):
     checks = [quality.not_empty(), quality.no_nulls(people, ["name", "x"]), quality.at_least(4)]
     report = quality.measured(people, checks)
-    assert report.dtypes == [("check", "string"), ("passed", "boolean"), ("measure", "bigint")]
+    assert report.dtypes == [("check_name", "string"), ("passed", "boolean"), ("measure", "bigint")]
     assert as_dict(report) == {
         "not_empty": (True, 3),
         "no_nulls": (False, 3),
@@ -72,7 +72,7 @@ def test_gate_reports_every_failure_at_once(people):
     with pytest.raises(quality.QualityError, match=r"no_nulls \(2\), unique_rows \(1\)"):
         quality.gate(report)
     good = quality.measured(people, [quality.not_empty()])
-    assert [r["check"] for r in quality.gate(good)] == ["not_empty"]
+    assert [r["check_name"] for r in quality.gate(good)] == ["not_empty"]
 
 
 def test_plain_answers(people):

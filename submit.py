@@ -42,14 +42,15 @@ def main(spark: SparkSession, args: argparse.Namespace) -> None:
         urls = {"metaUrl": args.meta_url, "pageUrl": args.page_url}
         records = paged.read_source(spark, paged.UrlPages, urls)
         landed = paged.UrlFetcher(args.meta_url, args.page_url, pages.PAGE_ROWS).total()
-        pipeline.ingest(records, as_of, landed=landed)
-    if args.stage in ("silver", "run"):
+        stage = pipeline.run if args.stage == "run" else pipeline.ingest
+        stage(records, as_of, landed=landed)
+    elif args.stage == "silver":
         pipeline.conform(spark, as_of)
-    if args.stage in ("audit", "run"):
+    elif args.stage == "audit":
         pipeline.audit(spark)
-    if args.stage in ("gold", "run"):
+    elif args.stage == "gold":
         pipeline.count(pipeline.silver(spark), as_of)
-    if args.stage == "show":
+    else:
         preview(pipeline.gold(spark), BREWERIES_PER_STATE.keys).show(30)
 
 

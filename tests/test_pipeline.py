@@ -113,6 +113,11 @@ def test_submitted_stages(spark, tmp_path, capsys):
     for stage in ("silver", "audit", "gold", "show"):
         submit.main(spark, submit.parse([stage, *where]))
     assert f"|KARNTEN|       micro|{total:>16}|" in capsys.readouterr().out
+    # All of them at once, on a later day.
+    where[-1] = "2024-01-06"
+    submit.main(spark, submit.parse(["run", *where, *urls]))
+    submit.main(spark, submit.parse(["show", *where]))
+    assert "2024-01-06 00:00:00" in capsys.readouterr().out
     with pytest.raises(SystemExit):
         submit.parse(["run", *where])
 

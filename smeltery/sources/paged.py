@@ -166,8 +166,8 @@ def read_source(
     """The records of all pages: under ``schema`` if given, else as they came.
 
     As they came means rows of ``(page, record)``, each record as its own JSON
-    text on one line. Tasks in Python only fetch; pages are taken apart in Spark. A
-    page that is unreadable or holds fewer records than due ends the job.
+    text. Tasks in Python only fetch; pages are taken apart in Spark. A page that
+    is unreadable or holds fewer records than due ends the job.
     """
     spark.dataSource.register(source)
     tasks = TASKS_PER_CORE * spark.sparkContext.defaultParallelism
@@ -180,10 +180,7 @@ def read_source(
     parsed = fetched.select("page", "due", array.alias("records"))
     if schema is not None:
         return parsed.select(F.inline(whole))
-    # A line break can only stand between the parts of a record, never within text.
-    on_one_line = F.replace(F.replace("record", F.lit("\n"), F.lit(" ")), F.lit("\r"), F.lit(" "))
-    records = parsed.select("page", F.explode(whole).alias("record"))
-    return records.select("page", on_one_line.alias("record"))
+    return parsed.select("page", F.explode(whole).alias("record"))
 
 
 def read_folder(

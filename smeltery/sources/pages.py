@@ -44,9 +44,16 @@ def land_rows(
 def land_records(
     df: DataFrame, base: str, as_of: datetime, records_per_file: int | None = None
 ) -> str:
-    """Write the ``record`` column, JSON text, unchanged to the day's folder."""
+    """Write the ``record`` column, JSON text, to the day's folder, one record per line.
+
+    Line breaks become blanks: in JSON they stand between the parts of a record,
+    never within a text, so nothing else changes.
+    """
     folder = day_folder(base, as_of)
-    writer = df.select("record").write.mode("overwrite")
+    line = F.col("record")
+    for line_break in ("\n", "\r"):
+        line = F.replace(line, F.lit(line_break), F.lit(" "))
+    writer = df.select(line.alias("record")).write.mode("overwrite")
     if records_per_file:
         writer = writer.option("maxRecordsPerFile", records_per_file)
     writer.text(folder)

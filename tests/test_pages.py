@@ -35,6 +35,10 @@ def files(folder: str) -> list[Path]:
     return [p for p in Path(folder).rglob("part-*") if p.is_file()]
 
 
+def lines(folder: str) -> list[str]:
+    return [line for p in files(folder) for line in p.read_text(encoding="utf-8").splitlines()]
+
+
 def report(spark, folder, layout, **options):
     rows = bronze.audit(spark, folder, SPEC, layout, **options).collect()
     return {r["check_name"]: (r["passed"], r["measure"]) for r in rows}
@@ -96,8 +100,8 @@ def test_unreadable_value_in_any_column(spark, tmp_path):
 
 def test_reading_in_the_wrong_layout_is_noticed(spark, tmp_path):
     records = [{"id": str(i), "longitude": "0", "state": "s"} for i in range(5)]
-    lines = put(tmp_path / "lines", "\n".join(map(json.dumps, records)))
-    got = report(spark, lines, "array", landed=5)
+    folder = put(tmp_path / "lines", "\n".join(map(json.dumps, records)))
+    got = report(spark, folder, "array", landed=5)
     assert got["all_rows_landed"] == (False, 1)
     arrays = put(tmp_path / "arrays", array({"id": "1", "longitude": "0", "state": "s"}))
     assert not report(spark, arrays, "lines")["no_lost_records"][0]
@@ -129,8 +133,14 @@ def test_raw_records_are_landed_unchanged(spark, tmp_path, as_of):
     texts = ['{"id":"1","longitude":2.50,"extra":[1,{"y":"é"}]}', '{"state":null,"id":"2"}']
     df = spark.createDataFrame([(t,) for t in texts], "record string")
     folder = pages.land_records(df, str(tmp_path), as_of)
-    landed = [line for p in files(folder) for line in p.read_text(encoding="utf-8").splitlines()]
-    assert sorted(landed) == sorted(texts)
+    assert sorted(lines(folder)) == sorted(texts)
+    pretty = json.dumps(json.loads(texts[0]), indent=4).replace("\n", "\r\n")
+    folder = pages.land_records(
+        spark.createDataFrame([(pretty,)], "record string"), str(tmp_path / "pretty"), as_of
+    )
+    (line,) = lines(folder)
+    assert json.loads(line) == json.loads(texts[0])
+    folder = pages.land_records(df, str(tmp_path), as_of)
     rows = pages.read_pages(spark, folder, SPEC.schema).collect()
     assert sorted(map(tuple, rows)) == [("1", "2.50", None), ("2", None, None)]
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,10 +13,19 @@ from smeltery.operators.shape import conform, fields_of, keep_required
 from smeltery.spec import CountSpec, TableSpec
 
 
+def narrowed(total: Column, to: T.DataType) -> Column:
+    """A count as the declared type. One that does not fit ends the job, with or without ANSI."""
+    if isinstance(to, T.LongType):
+        return total
+    value = total.cast(to)
+    excess = F.format_string(f"%d rows do not fit {to.simpleString()}", total)
+    return F.when(value.cast("bigint") == total, value).otherwise(F.raise_error(excess))
+
+
 def count_by(df: DataFrame, spec: CountSpec) -> DataFrame:
     """Rows per group. Counted before the shuffle, so a hot group moves as one row per task."""
-    counted = F.count("*").cast(spec.quantity_type)
-    return df.groupBy(*spec.keys).agg(counted.alias(spec.quantity))
+    total = narrowed(F.count("*"), spec.quantity_type)
+    return df.groupBy(*spec.keys).agg(total.alias(spec.quantity))
 
 
 def count_conformed(df: DataFrame, source: TableSpec, spec: CountSpec) -> DataFrame:
@@ -31,7 +40,7 @@ def count_conformed(df: DataFrame, source: TableSpec, spec: CountSpec) -> DataFr
     groups = (
         keep_required(df, source.required).groupBy(*raw_keys).agg(F.count("*").alias(rows.name))
     )
-    total = F.sum(rows.name).cast(spec.quantity_type)
+    total = narrowed(F.sum(rows.name), spec.quantity_type)
     return (
         conform(groups, source.narrowed(raw_keys, rows))
         .groupBy(*spec.keys)

@@ -72,13 +72,20 @@ def test_one_shuffle_after_partial_counts(spark, tmp_path):
     assert "other" not in plan
 
 
-def test_more_rows_than_the_declared_type_holds(spark):
-    rows = spark.createDataFrame([("a", "k", 2_147_483_648)], "state string, kind string, n bigint")
-    rows.createOrReplaceTempView("wide")
-    # The same narrowing cast, over a sum, stands in for two billion rows.
-    with pytest.raises(Exception, match="CAST_OVERFLOW"):
-        rows.agg(F.sum("n").cast(COUNTS.quantity_type)).collect()
-    assert rows.agg(F.sum("n").cast("bigint")).first()[0] == 2_147_483_648
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_more_rows_than_the_declared_type_holds(spark, ansi):
+    # A byte stands in for the integer, a hundred rows for two billion.
+    spec = CountSpec("c", ("k",), quantity_type=T.ByteType(), stamp=None)
+    source = TableSpec("t", {"k": "string"}, required=("k",), clean=("k",))
+    df = spark.range(0, 128, 1, 4).select(F.lit("é").alias("k"))
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        for counted in (count_by, lambda d, s: count_conformed(d, source, s)):
+            assert counted(df.limit(127), spec).first().quantity == 127
+            with pytest.raises(Exception, match="128 rows do not fit tinyint|CAST_OVERFLOW"):
+                counted(df, spec).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
 
 
 def test_row_count(spark):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from pathlib import Path
 
 import duckdb
@@ -9,7 +10,7 @@ import pytest
 
 import __spark_entry__ as entry_points
 
-DATA = Path("/root/testdata/sf0.001")
+DATA = Path(os.environ.get("SMELTERY_TEST_DATA", "/root/testdata/sf0.001"))
 pytestmark = pytest.mark.skipif(not DATA.is_dir(), reason="no test tables here")
 
 

@@ -11,7 +11,8 @@ import uuid
 from dataclasses import replace
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,7 +21,7 @@ from smeltery.spec import TableSpec
 # Formats that keep schema and partitions themselves; others are told both.
 SELF_DESCRIBING = ("delta",)
 
-LOG_SCHEMA = "run string, published_at timestamp"
+LOG_SCHEMA = "number bigint, run string, published_at timestamp"
 
 
 def _quoted(name: str) -> str:
@@ -110,17 +111,39 @@ def stage(df: DataFrame, spec: TableSpec, location: str, run: str) -> DataFrame:
 
 def publish(spark: SparkSession, spec: TableSpec, location: str, run: str) -> DataFrame:
     """Make a staged version the one that readers see."""
+    newest = _newest(spark, location)
+    # Numbered, so that the clocks of different drivers need not agree.
     entry = spark.range(0, 1, 1, 1).select(
-        F.lit(run).alias("run"), F.current_timestamp().alias("published_at")
+        F.lit(newest["number"] + 1 if newest else 1).cast("bigint").alias("number"),
+        F.lit(run).alias("run"),
+        F.current_timestamp().alias("published_at"),
     )
-    entry.write.mode("append").parquet(f"{location.rstrip('/')}/published")
+    entry.write.mode("append").parquet(_log_path(location))
     return _show(spark, spec, run)
 
 
+def _log_path(location: str) -> str:
+    return f"{location.rstrip('/')}/published"
+
+
+def _newest(spark: SparkSession, location: str) -> Row | None:
+    """The newest entry of the log, if there is a log."""
+    try:
+        log = spark.read.schema(LOG_SCHEMA).parquet(_log_path(location))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    newest = F.max(F.struct("number", "published_at", "run"))
+    return log.agg(newest.alias("entry")).first()["entry"]
+
+
 def published_run(spark: SparkSession, location: str) -> str:
-    """The run of the newest entry of the log."""
-    log = spark.read.schema(LOG_SCHEMA).parquet(f"{location.rstrip('/')}/published")
-    return log.agg(F.max_by("run", F.struct("published_at", "run"))).first()[0]
+    """The run that readers see."""
+    newest = _newest(spark, location)
+    if newest is None:
+        raise FileNotFoundError(f"nothing was published at {location}")
+    return newest["run"]
 
 
 def attach(spark: SparkSession, spec: TableSpec, location: str) -> DataFrame:

@@ -140,6 +140,27 @@ def test_publish_and_attach(spark, tmp_path, as_of):
     assert rows_of(tables.attach(spark, other, location)) == ROWS
 
 
+def test_nothing_published(spark, tmp_path):
+    with pytest.raises(FileNotFoundError, match="nothing was published"):
+        tables.attach(spark, spec_of(), str(tmp_path / "t"))
+
+
+def test_the_order_of_publishing_decides_not_the_clock(spark, tmp_path, as_of):
+    spec, location = spec_of(), str(tmp_path / "t")
+    runs = [tables.new_run(as_of) for _ in range(3)]
+    for run in runs:
+        tables.stage(frame(spark, ROWS), spec, location, run)
+    tables.publish(spark, spec, location, runs[0])
+    # An entry by a driver whose clock is a year ahead.
+    ahead = spark.sql(
+        f"select 2L as number, '{runs[1]}' as run, now() + interval 1 year as published_at"
+    )
+    ahead.write.mode("append").parquet(f"{location}/published")
+    assert tables.published_run(spark, location) == runs[1]
+    tables.publish(spark, spec, location, runs[2])
+    assert tables.published_run(spark, location) == runs[2]
+
+
 def test_unpublished_versions_stay_invisible(spark, tmp_path, as_of):
     spec, location = spec_of(), str(tmp_path / "t")
     silver.refresh(frame(spark, ROWS), spec, location, as_of)

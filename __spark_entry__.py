@@ -517,9 +517,24 @@ def entry(spark: SparkSession) -> DataFrame:
     return flagship(spark, SMOKE_DIR)
 
 
+def _of_llm() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]], dict[str, str]]:
+    """Queries and SQL of the ``llm`` subpackage and of the corpus pipeline, where present."""
+    try:
+        import corpus_pipeline
+        from smeltery.llm.queries import QUERIES, SQL
+    except ImportError as error:
+        if error.name not in ("corpus_pipeline", "smeltery.llm", "smeltery.llm.queries"):
+            raise
+        return {}, {}
+    found, sql = {**QUERIES, "pipeline": corpus_pipeline.run}, dict(SQL)
+    if corpus_pipeline.ORACLE_SQL is not None:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found, sql
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: query for name, (query, _) in _CATALOGUE.items()}
+    return {name: query for name, (query, _) in _CATALOGUE.items()} | _of_llm()[0]
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: sql for name, (_, sql) in _CATALOGUE.items()}
+    return {name: sql for name, (_, sql) in _CATALOGUE.items()} | _of_llm()[1]

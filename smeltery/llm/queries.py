@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smeltery.llm import divergence, language, toxicity
+from smeltery.llm import divergence, language, packing, toxicity
 from smeltery.llm.shared import remainder, table
 
 
@@ -25,6 +25,10 @@ def op4_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.judge(documents).drop("text", "lang")
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
     profiles = language.learn(documents.where(remainder("doc_id", 3) != 1))
@@ -35,6 +39,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op4_divergence": op4_divergence,
+    "op8_packing": op8_packing,
     "op10_language": op10_language,
 }
 SQL: dict[str, str] = {}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smeltery.llm import divergence, language, packing, toxicity
+from smeltery.llm import divergence, language, packing, toxicity, warc
 from smeltery.llm.shared import remainder, table
 
 
@@ -25,6 +25,19 @@ def op4_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.judge(documents).drop("text", "lang")
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages", "page_id", "url", "html")
+    records = warc.read(warc.write(pages), with_payload=False)
+    kind = pages.schema["page_id"].dataType
+    return records.select(
+        F.col("page_id").cast(kind).alias("page_id"),
+        F.col("n_bytes").alias("payload_bytes"),
+        F.col("digest").alias("payload_digest"),
+        "record_type",
+        F.col("refers_to").cast(kind).alias("refers_to"),
+    )
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -39,7 +52,23 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op4_divergence": op4_divergence,
+    "op6_warc": op6_warc,
     "op8_packing": op8_packing,
     "op10_language": op10_language,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op6_warc": """
+        with payload as (
+            select page_id, strlen(coalesce(html, '')) as payload_bytes,
+                   sha256(coalesce(html, '')) as payload_digest from pages),
+        first as (
+            select *, min(page_id) over (partition by payload_digest) as least,
+                   payload_bytes >= 100 and count(*) over (partition by payload_digest) > 1
+                   as shared from payload),
+        told as (
+            select *, shared and least is not null and page_id is distinct from least
+                   as again from first)
+        select page_id, payload_bytes, payload_digest,
+               case when again then 'revisit' else 'response' end as record_type,
+               case when again then least end as refers_to from told""",
+}

@@ -15,7 +15,7 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents", "doc_id", "text")
     held_out = (remainder("doc_id", 5) == 0).alias("held_out")
     labels = table(spark, sf_dir, "labels", "doc_id", "toxic").where(remainder("doc_id", 5) != 0)
-    model = toxicity.fit(documents, documents.join(labels, "doc_id"))
+    model = toxicity.fit(documents, labels)
     scored = toxicity.score(documents.select("doc_id", held_out, "text"), model)
     return scored.select("doc_id", "held_out", "score", "predicted")
 

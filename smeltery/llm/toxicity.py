@@ -42,7 +42,7 @@ ADDRESS = "du dich dir ihr tu toi vous tú usted you your u ur".split()
 class Settings:
     """``sample`` bounds the labelled rows used for mining and the rows of the classifier."""
 
-    sample: int = 10_000
+    sample: int = 6_000
     min_rows: int = 5
     precision: float = 0.9
     steps: int = 150
@@ -142,9 +142,15 @@ def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
             yield part, arrays.words(*arrays.texts(part.column("text")))
 
 
-def bounded(labelled: DataFrame, rows: int) -> DataFrame:
-    """At most ``rows`` labelled rows, those whose hashed id is smallest, with the label."""
-    return labelled.orderBy(F.xxhash64("doc_id", "text")).limit(rows)
+def bounded(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
+    """Text and label of at most ``rows`` documents, those whose hashed ids are smallest.
+
+    The labels are cut to that many before they meet the texts, so they can be broadcast.
+    """
+    known = labels.where("toxic is not null and doc_id is not null")
+    known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    return docs.join(F.broadcast(chosen), "doc_id").select("text", "toxic").limit(rows)
 
 
 def mine(sample: list[tuple[str, int]], settings: Settings) -> Model:
@@ -153,17 +159,24 @@ def mine(sample: list[tuple[str, int]], settings: Settings) -> Model:
         return Model()
     column = pa.array([t for t, _ in sample], pa.large_string())
     label = np.array([y for _, y in sample])
-    terms, toxic = [], []
-    for low, high in arrays.blocks(column):
-        w = arrays.words(*arrays.texts(column.slice(low, high - low)))
-        for kind in tokens(w):
-            known, doc = arrays.distinct_per_text(kind, w.doc)
-            terms.append(known[known != 0])
-            toxic.append(label[low:high][doc][known != 0])
-    known, which = np.unique(np.concatenate(terms), return_inverse=True)
-    held = np.bincount(which)
-    bad = np.bincount(which, np.concatenate(toxic), len(known))
-    strong = (bad >= settings.min_rows) & (bad >= settings.precision * held)
+
+    def counted(only: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+        """Terms, and how many rows have them: the toxic rows, or all but of ``only``."""
+        found = [np.empty(0, np.uint64)]
+        for low, high in arrays.blocks(column):
+            if only is None and not label[low:high].any():
+                continue
+            w = arrays.words(*arrays.texts(column.slice(low, high - low)))
+            for kind in tokens(w):
+                values, doc = arrays.distinct_per_text(kind, w.doc)
+                use = label[low:high][doc] > 0 if only is None else _is_in(values, only)
+                found.append(values[use & (values != 0)])
+        return np.unique(np.concatenate(found), return_counts=True)
+
+    known, bad = counted(None)
+    known, bad = known[bad >= settings.min_rows], bad[bad >= settings.min_rows]
+    held = counted(known)[1]
+    strong = bad >= settings.precision * held
     order = np.lexsort((known[strong], -bad[strong]))
     voter = np.empty(len(order), np.int64)
     voter[order] = np.arange(len(order)) % LEXICON_VOTERS
@@ -286,7 +299,7 @@ def train(texts: list[str], model: Model, prior: float, settings: Settings) -> n
     for low, high in arrays.blocks(column):
         w = arrays.words(*arrays.texts(column.slice(low, high - low)))
         r, c, v = features(w, model)
-        rows.append(r + low)
+        rows.append((r + low).astype(np.int32))
         columns.append(c.astype(np.int32))
         values.append(v.astype(np.float32))
         target.append(posterior(votes(w, model)[0], model, prior))
@@ -301,10 +314,12 @@ def train(texts: list[str], model: Model, prior: float, settings: Settings) -> n
     return weights
 
 
-def fit(docs: DataFrame, labelled: DataFrame, settings: Settings = Settings()) -> Model:
-    """``docs`` has text; ``labelled`` has doc_id, text and toxic, and only rows to learn from."""
-    known = labelled.where("toxic is not null").select("doc_id", "text", "toxic")
-    rows = bounded(known, settings.sample).select("text", "toxic").collect()
+def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Model:
+    """``docs`` has doc_id and text; ``labels`` has doc_id and toxic, for rows to learn from.
+
+    Of several labels of one id the toxic one holds.
+    """
+    rows = bounded(docs, labels, settings.sample).collect()
     sample = [(r.text or "", int(r.toxic)) for r in rows]
     model = mine(sample, settings)
     if not len(model.terms):

@@ -163,3 +163,38 @@ def minimizers(hashes: np.ndarray, width: int) -> np.ndarray:
 
 def strings(column: pa.Array) -> list[str]:
     return pc.fill_null(column.cast(pa.large_string()), "").to_pylist()
+
+
+def one_permutation(values: np.ndarray, doc: np.ndarray, n: int, bins: int) -> np.ndarray:
+    """MinHash signatures by one hash per value: the smallest in each bin of each text.
+
+    Empty bins are densified optimally: bin k tries the bins that a fixed random table
+    lists for it until one holds a value, so equal sets of tries borrow equal values. A
+    text without values keeps the largest number everywhere.
+    """
+    empty = np.iinfo(np.uint64).max
+    held = np.full(n * bins, empty, np.uint64)
+    mixed_values = mixed(values)
+    cell = doc * bins + (mixed_values % np.uint64(bins)).astype(np.int64)
+    np.minimum.at(held, cell, mixed_values // np.uint64(bins))
+    held = held.reshape(n, bins)
+    out = held.copy()
+    rows = np.flatnonzero((held == empty).any(axis=1) & (held != empty).any(axis=1))
+    rng = np.random.Generator(np.random.PCG64(bins))
+    while len(rows):
+        tries = rng.integers(0, bins, bins)
+        part = out[rows]
+        lent = held[rows][:, tries]
+        out[rows] = np.where(part == empty, lent, part)
+        rows = rows[(out[rows] == empty).any(axis=1)]
+    return out
+
+
+def band_keys(signatures: np.ndarray, rows: int) -> np.ndarray:
+    """A key for each run of ``rows`` bins, apart for different bands."""
+    n, bins = signatures.shape
+    bands = bins // rows
+    key = np.broadcast_to(np.arange(1, bands + 1, dtype=np.uint64), (n, bands)).copy()
+    for k in range(rows):
+        key = mixed(key * _BASE + signatures[:, k : bands * rows : rows])
+    return key.view(np.int64)

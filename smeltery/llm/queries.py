@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smeltery.llm import divergence, language, packing, toxicity, warc
+from smeltery.llm import divergence, language, near_duplicates, packing, toxicity, warc
 from smeltery.llm.shared import remainder, table
 
 
@@ -25,6 +25,10 @@ def op4_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.judge(documents).drop("text", "lang")
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.marked(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages", "page_id", "url", "html")
     records = warc.read(warc.write(pages), with_payload=False)
@@ -52,6 +56,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op4_divergence": op4_divergence,
+    "op5_near_duplicates": op5_near_duplicates,
     "op6_warc": op6_warc,
     "op8_packing": op8_packing,
     "op10_language": op10_language,

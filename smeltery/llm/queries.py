@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smeltery.llm import divergence, language, near_duplicates, packing, toxicity, warc
+from smeltery.llm import divergence, language, lines, near_duplicates, packing, toxicity, warc
 from smeltery.llm.shared import remainder, table
 
 
@@ -20,6 +20,12 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", "predicted")
 
 
+def op3_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = lines.deduplicated(table(spark, sf_dir, "documents", "doc_id", "text"))
+    digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
+    return kept.select("doc_id", "n_lines", "n_removed", digest.alias("kept_sha256"))
+
+
 def op4_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
     return divergence.judge(documents).drop("text", "lang")
@@ -55,6 +61,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op3_lines": op3_lines,
     "op4_divergence": op4_divergence,
     "op5_near_duplicates": op5_near_duplicates,
     "op6_warc": op6_warc,

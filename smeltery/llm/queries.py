@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smeltery.llm import divergence, language, lines, near_duplicates, packing, toxicity, warc
+from smeltery.llm import decontaminate, divergence, language, lines, near_duplicates, packing, toxicity, warc
 from smeltery.llm.shared import remainder, table
 
 
@@ -20,6 +20,15 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", "predicted")
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each document and benchmark item that is in it."""
+    documents = table(spark, sf_dir, "documents", "doc_id", "text")
+    found = decontaminate.marked(documents, table(spark, sf_dir, "benchmark", "item_id", "text"))
+    return found.select("doc_id", F.explode("items").alias("item")).select(
+        "doc_id", "item.item_id", "item.distance"
+    )
+
+
 def op3_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = lines.deduplicated(table(spark, sf_dir, "documents", "doc_id", "text"))
     digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
@@ -61,6 +70,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op2_decontaminate": op2_decontaminate,
     "op3_lines": op3_lines,
     "op4_divergence": op4_divergence,
     "op5_near_duplicates": op5_near_duplicates,

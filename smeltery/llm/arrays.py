@@ -198,3 +198,12 @@ def band_keys(signatures: np.ndarray, rows: int) -> np.ndarray:
     for k in range(rows):
         key = mixed(key * _BASE + signatures[:, k : bands * rows : rows])
     return key.view(np.int64)
+
+
+def raw(column: pa.Array) -> memoryview:
+    """The bytes of a binary column, one value after the other."""
+    wide = pa.types.is_large_binary(column.type)
+    _, offsets, data = column.buffers()
+    at = np.frombuffer(offsets, np.int64 if wide else np.int32)
+    low, high = at[column.offset], at[column.offset + len(column)]
+    return memoryview(data)[low:high]

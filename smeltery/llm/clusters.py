@@ -140,19 +140,19 @@ def components(edges: DataFrame) -> DataFrame:
     return current.select("a.doc", "a.at", F.col("b.doc").alias("to_doc"), F.col("b.at").alias("to_at"))
 
 
-def _centres(members: DataFrame) -> DataFrame:
+def centres(members: DataFrame) -> DataFrame:
     return members.select("key", F.col("to_doc").alias("doc"), F.col("to_at").alias("at"))
 
 
 def nodes(members: DataFrame) -> DataFrame:
     """The distinct nodes of ``buckets``."""
-    return members.select(*NODE).unionByName(_centres(members).select(*NODE)).distinct()
+    return members.select(*NODE).unionByName(centres(members).select(*NODE)).distinct()
 
 
 def _open(members: DataFrame, found: DataFrame, compared: int) -> DataFrame:
     """Members, with rank and component, of buckets with more than one component in which
     more than ``compared`` centres are needed."""
-    own = members.select("key", *NODE).unionByName(_centres(members)).distinct()
+    own = members.select("key", *NODE).unionByName(centres(members)).distinct()
     joined = own.join(found, NODE, "left").select(
         "key",
         F.struct(*NODE).alias("node"),

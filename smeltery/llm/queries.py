@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smeltery.llm import decontaminate, divergence, language, lines, near_duplicates, packing, toxicity, warc
+from smeltery.llm import (
+    decontaminate,
+    divergence,
+    language,
+    lines,
+    near_duplicates,
+    packing,
+    suffix_trees,
+    toxicity,
+    warc,
+)
 from smeltery.llm.shared import remainder, table
 
 
@@ -61,6 +71,11 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op9_suffix_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents", "doc_id", "text")
+    return suffix_trees.deduplicated(documents, with_text=False)
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
     profiles = language.learn(documents.where(remainder("doc_id", 3) != 1))
@@ -76,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_near_duplicates": op5_near_duplicates,
     "op6_warc": op6_warc,
     "op8_packing": op8_packing,
+    "op9_suffix_trees": op9_suffix_trees,
     "op10_language": op10_language,
 }
 SQL: dict[str, str] = {

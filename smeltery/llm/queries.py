@@ -14,6 +14,7 @@ from smeltery.llm import (
     lines,
     near_duplicates,
     packing,
+    suffix_array,
     suffix_trees,
     toxicity,
     warc,
@@ -67,6 +68,11 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents", "doc_id", "text")
+    return suffix_array.deduplicated(documents, with_bytes=False)
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -90,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_divergence": op4_divergence,
     "op5_near_duplicates": op5_near_duplicates,
     "op6_warc": op6_warc,
+    "op7_suffix_array": op7_suffix_array,
     "op8_packing": op8_packing,
     "op9_suffix_trees": op9_suffix_trees,
     "op10_language": op10_language,

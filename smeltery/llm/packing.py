@@ -15,9 +15,11 @@ not depend on its neighbours, so words are encoded once per task while they are
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +31,8 @@ from smeltery.llm import arrays
 
 WINDOW = 4096
 CLOSING = 2
-_REMEMBERED = 500_000
+_REMEMBERED = 800_000
+_AT_ONCE = 4_000
 
 _KIND = np.full(256, 3, np.uint8)
 _KIND[arrays.SPACE] = 0
@@ -47,6 +50,8 @@ class Encoder:
     """Ids of whole blocks of texts, for a tokenizer that parts words at white space."""
 
     def __init__(self, path: str):
+        # One thread: a task has one core, and threads would keep memory of their own.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -59,7 +64,11 @@ class Encoder:
         self.pool = np.zeros(0, np.uint32)
 
     def _learn(self, hashes: list[int], values: list[str]) -> None:
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(values, add_special_tokens=False)]
+        ids: list[list[int]] = []
+        for low in range(0, len(values), _AT_ONCE):
+            some = values[low : low + _AT_ONCE]
+            some = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
+            ids.extend(e.ids for e in some)
         count = np.fromiter(map(len, ids), np.int64, len(ids))
         self.known.update(zip(hashes, range(len(self.count), len(self.count) + len(ids))))
         begin = len(self.pool) + np.cumsum(count) - count
@@ -70,7 +79,7 @@ class Encoder:
 
     def encode(self, w: arrays.Words) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, and where those of each text begin, with the end last."""
-        starts, ends, doc = _pieces(w)
+        starts, ends = _pieces(w)
         lowered = arrays.LOWER[w.data]
         hashes = arrays.hash_spans(lowered, starts, ends)
         distinct, at, which = np.unique(hashes, return_index=True, return_inverse=True)
@@ -86,35 +95,42 @@ class Encoder:
         count = self.count[place]
         before = np.concatenate([[0], np.cumsum(count)])
         flat = np.repeat(self.begin[place] - before[:-1], count) + np.arange(before[-1])
-        first = before[np.searchsorted(doc, np.arange(len(w.offsets)), "left")]
+        first = before[np.searchsorted(starts, w.offsets)]
         return self.pool[flat], first
 
 
-def _pieces(w: arrays.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+@cache
+def encoder(path: str) -> Encoder:
+    """The encoder of this process, which later tasks use again."""
+    return Encoder(path)
+
+
+def _pieces(w: arrays.Words) -> tuple[np.ndarray, np.ndarray]:
     """Spans that are encoded apart from each other: runs of letters, digits or marks.
 
     Words with an apostrophe, or with characters beyond Latin-1 letters, stay whole.
     """
     data, n = w.data, len(w.data)
     if not n:
-        return w.starts, w.ends, w.doc
-    follows = np.zeros(n, bool)
-    follows[1:] = (data[:-1] == 0xC3) & (data[1:] != 0x97) & (data[1:] != 0xB7)
-    odd = (data == 0x27) | ((data >= 0x80) & (data != 0xC3) & ~follows)
-    sums = np.concatenate([[0], np.cumsum(odd)])
-    whole = sums[w.ends] > sums[w.starts]
+        return w.starts, w.ends
+    odd = data >= 0x80
+    if odd.any():
+        latin = data == 0xC3
+        follows = np.zeros(n, bool)
+        follows[1:] = latin[:-1] & (data[1:] != 0x97) & (data[1:] != 0xB7)
+        odd &= ~latin & ~follows
+    odd |= data == 0x27
     kind = _KIND[data]
-    inside = np.zeros(n + 1, np.int8)
-    inside[w.starts[~whole]] += 1
-    inside[w.ends[~whole]] -= 1
-    inside = np.cumsum(inside[:n]) > 0
-    cut = np.zeros(n, bool)
-    cut[1:] = (kind[1:] != kind[:-1]) & inside[1:] & inside[:-1]
-    cut[w.starts] = False
-    cuts = np.flatnonzero(cut)
-    starts = np.sort(np.concatenate([w.starts, cuts]))
-    ends = np.sort(np.concatenate([w.ends, cuts]))
-    return starts, ends, w.doc[np.searchsorted(w.starts, starts, "right") - 1]
+    cut = np.zeros(n + 1, bool)
+    cut[1:n] = (kind[1:] != kind[:-1]) & (kind[1:] > 0) & (kind[:-1] > 0)
+    for k in np.unique(np.searchsorted(w.starts, np.flatnonzero(odd), "right") - 1):
+        cut[w.starts[k] : w.ends[k]] = False
+    starts, ends = cut.copy(), cut
+    starts[w.starts] = True
+    # A word may begin where a text without white space before it ends.
+    ends[w.starts] = False
+    ends[w.ends] = True
+    return np.flatnonzero(starts), np.flatnonzero(ends)
 
 
 @dataclass
@@ -264,7 +280,7 @@ def pack(
         return pa.RecordBatch.from_arrays(held, names=names)
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(where)
+        own = encoder(where)
         packer = Packer(size, most_open, TaskContext.get().partitionId() << 40)
         done: list[Window] = []
         doc_type = None
@@ -273,7 +289,7 @@ def pack(
             for low, high in arrays.blocks(batch.column("text")):
                 part = batch.slice(low, high - low)
                 w = arrays.words(*arrays.texts(part.column("text")))
-                flat, first = encoder.encode(w)
+                flat, first = own.encode(w)
                 closing = np.array([CLOSING], np.uint32)
                 for k, doc in enumerate(part.column("doc_id").to_pylist()):
                     ids = np.concatenate([flat[first[k] : first[k + 1]], closing])

@@ -10,8 +10,8 @@ doubled until edited copies of the items are found at the target recall. Candida
 verified by exact edit distance.
 
 Only windows that can match are embedded: a window within k edits shares at least
-n - 2 - 3k of its three-word runs with the item, so windows with fewer runs that any item
-has are left out without loss.
+n - 2 - 3k of its three-word runs with the item, so windows with fewer runs of the items of
+their size are left out without loss.
 
 Items are taken to the driver and the tasks in blocks of at most ``block_words`` words,
 with one pass over the documents each. Null or wordless items and texts match nothing;
@@ -29,14 +29,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from smeltery.llm import arrays
+from smeltery.llm.anchors import ranges
 
 EDITS = 0.2
-RECALL = 0.99
+RECALL = 0.995
 SETS = 8
 SAMPLED = 4
 RUN = 3
 BLOCK_WORDS = 1 << 20
 MOST_WALKS = 64
+AT_ONCE = 1 << 12
 
 _EDGE = np.zeros(256, bool)
 _EDGE[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
@@ -122,6 +124,7 @@ class Index:
     edits: float
     walks: int
     by_size: dict[int, np.ndarray]
+    runs_of_size: dict[int, np.ndarray | None]
     keys: dict[int, tuple[np.ndarray, np.ndarray]]
 
 
@@ -131,8 +134,14 @@ def index(ids: list, column: pa.Array, edits: float = EDITS, recall: float = REC
     sizes = np.diff(first)
     by_size = {int(n): np.flatnonzero(sizes == n) for n in np.unique(sizes) if n}
     runs = [runs_of(flat[first[i] : first[i + 1]]) for i in range(len(ids))]
-    runs = np.unique(np.concatenate([*runs, np.empty(0, np.uint64)]))
-    out = Index(list(ids), flat, first, runs, edits, 1, by_size, {})
+    none = np.empty(0, np.uint64)
+    # Of items shorter than a run every window is looked at.
+    of_size = {
+        n: np.unique(np.concatenate([runs[i] for i in items])) if n >= RUN else None
+        for n, items in by_size.items()
+    }
+    runs = np.unique(np.concatenate([none, *(x for x in of_size.values() if x is not None)]))
+    out = Index(list(ids), flat, first, runs, edits, 1, by_size, of_size, {})
     while by_size and out.walks < MOST_WALKS and _found_again(out) < recall:
         out.walks *= 2
     for n, items in by_size.items():
@@ -144,29 +153,33 @@ def index(ids: list, column: pa.Array, edits: float = EDITS, recall: float = REC
     return out
 
 
-def _found_again(known: Index, copies: int = 4, most_items: int = 500) -> float:
+def _found_again(known: Index, trials: int = 2000) -> float:
     """The share of copies with the largest number of edits that share a key with their item.
 
-    A bounded number of items of each size is enough to set the number of walks.
+    About ``trials`` copies, dealt to all sizes, set the number of walks, however many or
+    few items there are.
     """
+    per_size = max(1, trials // len(known.by_size))
     rng = np.random.Generator(np.random.PCG64(7))
     hit = total = 0
     for n, items in known.by_size.items():
-        items = np.repeat(items[: max(1, most_items // len(known.by_size))], copies)
+        items = np.resize(items, per_size)
         original = known.flat[known.first[items][:, None] + np.arange(n)]
         edited = []
         for row in original:
-            left = list(row)
+            left, budget = list(row), int(known.edits * n)
             # A word put in or left out shifts the window's end: two edits of it.
-            for _ in range(int(known.edits * n) // 2):
+            while budget:
                 at, kind = int(rng.integers(0, n)), int(rng.integers(0, 3))
                 new = np.uint64(rng.integers(1, 1 << 62))
-                if kind == 0:
+                if kind == 0 and budget > 1:
                     left = [*left[:at], new, *left[at:]][:n]
-                elif kind == 1:
+                elif kind == 1 and budget > 1:
                     left = [*left[:at], *left[at + 1 :], new]
                 else:
                     left[at] = new
+                    kind = 2
+                budget -= 1 if kind == 2 else 2
             edited.append(left)
         edited = np.array(edited, np.uint64).reshape(len(items), n)
         starts = np.arange(len(items)) * n
@@ -179,41 +192,68 @@ def _found_again(known: Index, copies: int = 4, most_items: int = 500) -> float:
     return hit / max(total, 1)
 
 
-def matches(known: Index, column: pa.Array) -> list[dict]:
-    """For each text, the items in it with their smallest distance."""
+def windows(known: Index, column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each size of item, the words and the texts of the windows that can match one."""
     flat, first = symbols(column)
-    found: list[dict] = [{} for _ in range(len(column))]
     if not len(flat) or not known.by_size:
-        return found
-    doc = np.repeat(np.arange(len(column)), np.diff(first))
+        return
     runs = runs_of(flat)
-    hit = np.zeros(len(flat), np.int64)
-    if len(runs) and len(known.runs):
-        place = np.minimum(np.searchsorted(known.runs, runs), len(known.runs) - 1)
-        hit[: len(runs)] = known.runs[place] == runs
-    sums = np.concatenate([[0], np.cumsum(hit)])
-    end = first[1:][doc]
-    # A text with fewer runs than the smallest item needs has no window.
-    least = min(least_runs(n, known.edits) for n in known.by_size)
-    in_text = sums[first[1:]] - sums[first[:-1]]
-    live = np.flatnonzero((in_text >= least)[doc])
-    for n, items in known.by_size.items():
-        starts = live[live + n <= end[live]]
-        inside = sums[np.maximum(starts + n - RUN + 1, starts)] - sums[starts]
-        starts = starts[inside >= least_runs(n, known.edits)]
-        for low in range(0, len(starts), 1 << 15):
-            _search(known, flat, doc, starts[low : low + (1 << 15)], n, items, found)
+    at = np.flatnonzero(_is_in(runs, known.runs))
+    for n, own in known.runs_of_size.items():
+        if own is None:
+            starts = np.arange(len(flat))
+        else:
+            starts = _starts(at[_is_in(runs[at], own)], least_runs(n, known.edits), n)
+        doc = np.searchsorted(first, starts, "right") - 1
+        inside = (starts >= 0) & (doc >= 0) & (doc < len(column))
+        starts, doc = starts[inside], doc[inside]
+        inside = starts + n <= first[1:][doc]
+        starts, doc = starts[inside], doc[inside]
+        for low in range(0, len(starts), AT_ONCE):
+            part = starts[low : low + AT_ONCE]
+            yield n, flat[part[:, None] + np.arange(n)], doc[low : low + AT_ONCE]
+
+
+def _is_in(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    if not len(known) or not len(values):
+        return np.zeros(len(values), bool)
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
+
+
+def _starts(hits: np.ndarray, least: int, n: int) -> np.ndarray:
+    """Starts of the windows of ``n`` words with at least ``least`` of the runs at ``hits``."""
+    if len(hits) < least:
+        return np.empty(0, np.int64)
+    first, last = hits[: len(hits) - least + 1], hits[least - 1 :]
+    low = last - (n - RUN)
+    near = low <= first
+    return np.unique(ranges(low[near], first[near] - low[near] + 1)[0])
+
+
+def matches(known: Index, column: pa.Array) -> list[dict]:
+    """For each text, the items in it with their smallest distance.
+
+    Windows of all blocks are gathered by size, so that one walk serves many.
+    """
+    found: list[dict] = [{} for _ in range(len(column))]
+    held: dict[int, list] = {}
+    for low, high in arrays.blocks(column):
+        for n, words, doc in windows(known, column.slice(low, high - low)):
+            held.setdefault(n, []).append((words, doc + low))
+            if sum(len(d) for _, d in held[n]) >= AT_ONCE:
+                _search(known, n, held.pop(n), found)
+    for n, parts in held.items():
+        _search(known, n, parts, found)
     return found
 
 
-def _search(known, flat, doc, starts, n, items, found) -> None:
+def _search(known: Index, n: int, parts: list, found: list[dict]) -> None:
+    words, doc = (np.concatenate(x) for x in zip(*parts, strict=True))
     keys, owner = known.keys[n]
-    # The walk needs the windows' words only.
-    words = flat[starts[:, None] + np.arange(n)]
-    local, at = words.ravel(), np.arange(len(starts)) * n
+    flat, at = words.ravel(), np.arange(len(words)) * n
     pairs = []
     for seed in range(known.walks):
-        own = keys_of(local, at, n, seed).ravel()
+        own = keys_of(flat, at, n, seed).ravel()
         low, high = np.searchsorted(keys, own, "left"), np.searchsorted(keys, own, "right")
         count = high - low
         window = np.repeat(np.arange(len(own)) // SETS, count)
@@ -221,14 +261,14 @@ def _search(known, flat, doc, starts, n, items, found) -> None:
         pairs.append(window * len(known.ids) + owner[np.repeat(low, count) + offset])
     pairs = np.unique(np.concatenate(pairs))
     limit = int(known.edits * n)
-    for low in range(0, len(pairs), 1 << 13):
-        window, item = np.divmod(pairs[low : low + (1 << 13)], len(known.ids))
+    for low in range(0, len(pairs), AT_ONCE):
+        window, item = np.divmod(pairs[low : low + AT_ONCE], len(known.ids))
         far = known.flat[known.first[item][:, None] + np.arange(n)]
         distance = distances(words[window], far)
         near = distance <= limit
-        for w, i, d in zip(window[near].tolist(), item[near].tolist(), distance[near].tolist(), strict=True):
-            held = found[doc[starts[w]]]
-            held[i] = min(d, held.get(i, d))
+        rows = doc[window[near]].tolist()
+        for row, i, d in zip(rows, item[near].tolist(), distance[near].tolist(), strict=True):
+            found[row][i] = min(d, found[row].get(i, d))
 
 
 def marked(
@@ -253,9 +293,7 @@ def marked(
 def _marking(known: Index):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found: list[dict] = []
-            for low, high in arrays.blocks(batch.column("text")):
-                found += matches(known, batch.column("text").slice(low, high - low))
+            found = matches(known, batch.column("text"))
             place = batch.schema.get_field_index("items")
             kind = batch.schema.field("items").type
             held = [

@@ -82,6 +82,7 @@ ORDERS = TableSpec(
         "o_custkey": "long",
         "o_orderstatus": "string",
         "o_totalprice": "double",
+        "o_orderdate": "timestamp_ntz",
         "o_orderpriority": "string",
     },
     key=("o_orderkey",),
@@ -101,7 +102,7 @@ def _renamed(spec: TableSpec) -> TableSpec:
 
 def _records(df: DataFrame) -> DataFrame:
     """Each row as the JSON text of a record."""
-    return df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("record"))
+    return df.select(F.to_json(F.struct("*"), pages.JSON_WRITING).alias("record"))
 
 
 # Conforming
@@ -165,6 +166,50 @@ def day_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Landing and reading JSON
 
 
+def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All columns of ``orders``, its date as the stored clock time."""
+    orders = _table(spark, sf_dir, "orders")
+    return orders.withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp_ntz"))
+
+
+def land_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Times come back from a landing with all their digits."""
+    events = _table(spark, sf_dir, "events")
+    events = events.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    folder = pages.land_rows(events, shared_folder(spark), AS_OF)
+    return pages.read_pages(spark, folder, events.schema)
+
+
+def refused_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A landing with cut records is refused, and the day's earlier one is read."""
+    rows = _table(spark, sf_dir, "customer")
+    base = shared_folder(spark)
+    bronze.ingest(rows, base, CUSTOMER, AS_OF)
+    spoiled = _records(rows).select(F.expr("left(record, length(record) - 9)").alias("record"))
+    try:
+        bronze.ingest(spoiled, base, CUSTOMER, AS_OF, raw=True)
+    except quality.QualityError:
+        return pages.read_pages(spark, bronze.landed_folder(spark, base, AS_OF), CUSTOMER.schema)
+    raise AssertionError("spoiled records were landed")
+
+
+def pipeline_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages, landing, audit, silver, audit, gold, at the pages' usual size."""
+    documents, root = _table(spark, sf_dir, "documents"), shared_folder(spark)
+    pages.write_pages(_records(documents), root)
+    records = paged.read_folder(spark, root)
+    counts = replace(QUANTITY, name=f"{QUANTITY.name}_{uuid.uuid4().hex}")
+    whole = Pipeline(shared_folder(spark), _renamed(DOCUMENTS), counts)
+    total = paged.folder_total(spark, root)
+    return whole.run(records, AS_OF, landed=total, raw=True).drop(QUANTITY.stamp)
+
+
+def run_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The query's own time, which all its rows share."""
+    stamped = stamp(_table(spark, sf_dir, "orders"), "dt_ingestion")
+    return stamped.groupBy("dt_ingestion").agg(F.count("*").alias("n"))
+
+
 def land_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = pages.land_rows(_table(spark, sf_dir, "customer"), shared_folder(spark), AS_OF)
     return pages.read_pages(spark, folder, CUSTOMER.schema)
@@ -185,8 +230,8 @@ def land_raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def read_json_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = project(_table(spark, sf_dir, "orders"), ORDERS.columns)
-    folder = pages.write_pages(_records(orders), shared_folder(spark), PER_PAGE)
+    orders = _records(_orders(spark, sf_dir))
+    folder = pages.write_pages(orders, shared_folder(spark), PER_PAGE)
     return pages.read_pages(spark, folder, ORDERS.schema, layout="array")
 
 
@@ -196,7 +241,7 @@ def read_json_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def src_paged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders, root = project(_table(spark, sf_dir, "orders"), ORDERS.columns), shared_folder(spark)
+    orders, root = _orders(spark, sf_dir), shared_folder(spark)
     pages.write_pages(_records(orders), root, PER_PAGE)
     return paged.read_folder(spark, root, PER_PAGE, ORDERS.schema)
 
@@ -207,14 +252,21 @@ def ingest_paged(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages.write_pages(_records(customer), root, PER_PAGE)
     records = paged.read_folder(spark, root, PER_PAGE)
     total = paged.folder_total(spark, root)
-    folder = bronze.ingest(records, shared_folder(spark), CUSTOMER, AS_OF, landed=total)
+    folder = bronze.ingest(
+        records, shared_folder(spark), CUSTOMER, AS_OF, landed=total, raw=True
+    )
     return pages.read_pages(spark, folder, CUSTOMER.schema)
 
 
 def corrupt_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Turns of the user are landed with a brace too many, so that they cannot be read."""
+    """Turns of the user are landed with a brace too many, so that they cannot be read, and
+    the first turn of each conversation with a number that is none."""
     text = F.to_json(F.struct("*"))
-    spoiled = F.when(F.col("role") == "user", F.concat(F.lit("{"), text)).otherwise(text)
+    spoiled = (
+        F.when(F.col("role") == "user", F.concat(F.lit("{"), text))
+        .when(F.col("turn") <= 1, F.replace(text, F.lit('"turn":'), F.lit('"turn":"x",  "n":')))
+        .otherwise(text)
+    )
     records = _table(spark, sf_dir, "conversations").select(spoiled.alias("record"))
     folder = pages.land_records(records, shared_folder(spark), AS_OF)
     landed = pages.read_pages(spark, folder, CONVERSATIONS.schema, corrupt=True)
@@ -324,34 +376,54 @@ def missing_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.missing_columns_frame(landed, ["doc_id", "text", "url", "zzz"])
 
 
+#: Values that the checks of missing values are to miss, by column.
+SPOILED = {"lang": "en", "source": "src0"}
+
+
 def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
-    nulls = quality.no_nulls(documents, DOCUMENTS.required)
+    spoiled = documents.withColumns({c: F.nullif(c, F.lit(v)) for c, v in SPOILED.items()})
+    nulls = quality.no_nulls(spoiled, DOCUMENTS.required)
     return quality.combined(
         [
-            quality.measured(documents, [quality.not_empty(), nulls]),
+            quality.measured(spoiled, [quality.not_empty(), nulls]),
             quality.keyed(_table(spark, sf_dir, "lineitem"), LINE, not_empty_too=False),
         ]
     )
 
 
 def audit_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = _table(spark, sf_dir, "documents")
-    folder = pages.land_rows(documents, shared_folder(spark), AS_OF)
-    return bronze.audit(spark, folder, DOCUMENTS)
+    """Records of one source are cut, numbers of another are words, a column is renamed."""
+    documents = _table(spark, sf_dir, "documents").withColumnRenamed("lang", "language")
+    text = F.to_json(F.struct("*"), pages.JSON_WRITING)
+    spoiled = (
+        F.when(F.col("source") == "src1", F.concat(F.lit("{"), text))
+        .when(F.col("source") == "src0", F.replace(text, F.lit('"n_chars":'), F.lit('"n_chars":"x", "n":')))
+        .otherwise(text)
+    )
+    records = documents.select(spoiled.alias("record"))
+    folder = pages.land_records(records, shared_folder(spark), AS_OF)
+    total = documents.count() + 1
+    return bronze.audit(spark, folder, DOCUMENTS, landed=total)
 
 
 def audit_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.audit(_table(spark, sf_dir, "documents"), DOCUMENTS)
+    """A conformed table as it was stored, whose key is the source: not unique."""
+    spec = replace(_renamed(DOCUMENTS), key=("source", "lang"))
+    documents, location = _table(spark, sf_dir, "documents"), shared_folder(spark)
+    staged = tables.stage(conform(documents, spec, AS_OF), spec, location, tables.new_run(AS_OF))
+    return silver.audit(staged, spec)
 
 
 def audit_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts stored with one group twice and without the names of another."""
     documents, location = _table(spark, sf_dir, "documents"), shared_folder(spark)
     table = _renamed(replace(QUANTITY, stamp=None).table(DOCUMENTS))
-    staged = tables.stage(
-        count_by(documents, QUANTITY), table, location, tables.new_run(AS_OF)
-    )
-    return gold.audit(documents, staged, QUANTITY)
+    counts = count_by(documents, QUANTITY)
+    counts = counts.unionByName(counts.where("lang = 'de'"))
+    counts = counts.withColumn("source", F.nullif("source", F.lit("src0")))
+    staged = tables.stage(counts, table, location, tables.new_run(AS_OF))
+    return gold.audit(staged, QUANTITY)
 
 
 def stages_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -375,7 +447,8 @@ _CONFORMED_COUNT = f"""
 _DOCUMENTS = "select doc_id, text, lang, source, n_chars from documents"
 _CUSTOMER = "select c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment from customer"
 _ORDERS = """
-    select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority from orders"""
+    select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+    from orders"""
 _COUNT = "select lang, source, count(*)::int as quantity from documents group by 1, 2"
 _LINE_SIZES = "(select count(*) as c from lineitem group by l_orderkey, l_linenumber)"
 _UNIQUE_LINES = f"""
@@ -385,11 +458,15 @@ _HAS_DOCUMENTS = """
     select 'not_empty' as check_name, count(*) > 0 as passed, count(*) as measure from documents"""
 
 
-def _passing(name: str) -> str:
-    return f"""select '{name}' as check_name, true as passed, 0::bigint as measure"""
+# Missing values are counted, not rows that have any.
+_MISSING = """(count(*) filter (doc_id is null)
+               + count(*) filter (nullif(lang, 'en') is null)
+               + count(*) filter (nullif(source, 'src0') is null))"""
+_TURNED = "count(*) filter (source = 'src0')"
+_LOST = "count(*) filter (source = 'src1')"
 
 
-_CATALOGUE: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
+_CATALOGUE: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "flagship": (flagship, _CONFORMED_COUNT),
     "clean_text": (
         clean_conversations,
@@ -424,6 +501,10 @@ _CATALOGUE: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
         "select strftime(ts, '%Y/%m/%d') as day, count(*) as quantity from events group by 1",
     ),
     "land_json": (land_json, _CUSTOMER),
+    "land_events": (land_events, "select * from events"),
+    "refused_landing": (refused_landing, _CUSTOMER),
+    "pipeline_run": (pipeline_run, _CONFORMED_COUNT),
+    "run_stamp": (run_stamp, None),
     "land_again": (land_again, f"{_CUSTOMER} where c_mktsegment = 'BUILDING'"),
     "land_raw_records": (
         land_raw_records,
@@ -444,7 +525,9 @@ _CATALOGUE: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
            union all
            select 'no_lost_records', count(*) filter (role = 'user') = 0,
                   count(*) filter (role = 'user') from conversations
-           union all select 'no_unreadable_values', true, 0""",
+           union all
+           select 'no_unreadable_values', count(*) filter (role <> 'user' and turn <= 1) = 0,
+                  count(*) filter (role <> 'user' and turn <= 1) from conversations""",
     ),
     "table_create_write": (table_create_write, _DOCUMENTS),
     "overwrite_idempotent": (overwrite_idempotent, _DOCUMENTS),
@@ -488,25 +571,38 @@ _CATALOGUE: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
     "quality_report": (
         quality_report,
         f"""{_HAS_DOCUMENTS} union all {_UNIQUE_LINES} union all
-            select 'no_nulls', count(*) = 0, count(*) from documents
-            where doc_id is null or lang is null or source is null""",
+            select 'no_nulls', {_MISSING} = 0, {_MISSING} from documents""",
     ),
     "audit_bronze": (
         audit_bronze,
-        f"""{_HAS_DOCUMENTS} union all {_passing('no_lost_records')}
-            union all {_passing('no_unreadable_values')}
-            union all {_passing('no_missing_columns')}""",
+        f"""{_HAS_DOCUMENTS}
+            union all select 'no_lost_records', {_LOST} = 0, {_LOST} from documents
+            union all select 'no_unreadable_values', {_TURNED} = 0, {_TURNED} from documents
+            union all select 'all_rows_landed', count(*) > count(*), count(*) from documents
+            union all select 'no_missing_columns', count(*) = 0, count(*)
+            from (select unnest(['doc_id', 'text', 'lang', 'source', 'n_chars']) as c)
+            where c not in (select replace(column_name, 'lang', 'language')
+                            from (describe documents))""",
     ),
     "audit_silver": (
         audit_silver,
         f"""{_HAS_DOCUMENTS} union all
             select 'unique_rows', count(*) = 0, count(*)
-            from (select 1 from documents group by doc_id having count(*) > 1)""",
+            from (select 1 from documents group by upper({_clean('source')}), lang
+                  having count(*) > 1)""",
     ),
     "audit_gold": (
         audit_gold,
-        f"""select 'input_not_empty' as check_name, count(*) > 0 as passed, count(*) as measure
-            from documents union all {_passing('unique_rows')} union all {_passing('no_nulls')}""",
+        """with counts as (
+               select nullif(source, 'src0') as source, lang, count(*) as n
+               from documents group by documents.source, lang),
+           stored as (select * from counts union all select * from counts where lang = 'de')
+           select 'input_not_empty' as check_name, sum(n) > 0 as passed,
+                  sum(n)::bigint as measure from stored
+           union all select 'unique_rows', count(*) = 0, count(*)
+           from (select 1 from stored group by source, lang having count(*) > 1)
+           union all select 'no_nulls', count(*) filter (source is null) = 0,
+                  count(*) filter (source is null) from stored""",
     ),
     "stages_in_order": (stages_in_order, _CONFORMED_COUNT),
 }
@@ -537,4 +633,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: sql for name, (_, sql) in _CATALOGUE.items()} | _of_llm()[1]
+    own = {name: sql for name, (_, sql) in _CATALOGUE.items() if sql is not None}
+    return own | _of_llm()[1]

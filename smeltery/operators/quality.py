@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import add, and_
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from smeltery.functions.columns import null_or_nan
@@ -95,7 +95,8 @@ def keyed(df: DataFrame, keys: Sequence[str], not_empty_too: bool = True) -> Dat
 
 def missing_columns(expected: Sequence[str], actual: Sequence[str]) -> list[str]:
     """Expected names that are absent, by exact spelling. Extra names do not matter."""
-    return [c for c in expected if c not in set(actual)]
+    known = set(actual)
+    return [c for c in expected if c not in known]
 
 
 def missing_columns_frame(df: DataFrame, expected: Sequence[str]) -> DataFrame:
@@ -133,6 +134,24 @@ def gate(report: DataFrame) -> list[Row]:
     return rows
 
 
+class Watch:
+    """Checks that are measured while a frame is written, without a scan of their own.
+
+    Each check must count what is bad.
+    """
+
+    def __init__(self, checks: Sequence[Check]) -> None:
+        self.checks, self.seen = checks, Observation()
+
+    def over(self, df: DataFrame) -> DataFrame:
+        return df.observe(self.seen, *[c.measure.alias(c.name) for c in self.checks])
+
+    def gate(self) -> None:
+        failed = [f"{name} ({bad})" for name, bad in self.seen.get.items() if bad]
+        if failed:
+            raise QualityError("failed checks: " + ", ".join(failed))
+
+
 # Plain answers for interactive use.
 
 

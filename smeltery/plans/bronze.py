@@ -7,8 +7,9 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
+from smeltery.functions.columns import day_folder
 from smeltery.operators import quality
-from smeltery.sources import pages
+from smeltery.sources import pages, tables
 from smeltery.spec import TableSpec
 
 
@@ -47,15 +48,33 @@ def ingest(
     as_of: datetime,
     records_per_file: int | None = None,
     landed: int | None = None,
+    raw: bool = False,
 ) -> str:
-    """Land a frame of rows, or of raw ``record`` text, and stop if the audit fails."""
-    raw = df.columns in (["record"], ["page", "record"]) and "record" not in spec.columns
+    """Land rows, or with ``raw`` the text of a ``record`` column, as a run of the day.
+
+    The run is audited where no reader looks; only then the day's log names it. A refused
+    run leaves the day as it was.
+    """
+    spark, run = df.sparkSession, tables.new_run(as_of)
     if raw:
-        folder = pages.land_records(df, base, as_of, records_per_file)
+        folder = pages.land_records(df, base, as_of, records_per_file, run)
         names = None
     else:
         # Rows are landed with every field, so the names need no scan.
-        folder = pages.land_rows(df, base, as_of, records_per_file)
+        folder = pages.land_rows(df, base, as_of, records_per_file, run)
         names = df.columns
-    quality.gate(audit(df.sparkSession, folder, spec, landed=landed, names=names))
+    quality.gate(audit(spark, folder, spec, landed=landed, names=names))
+    tables.log_run(spark, _log(base, as_of), run)
     return folder
+
+
+def _log(base: str, as_of: datetime) -> str:
+    return f"{day_folder(base, as_of)}/_landed"
+
+
+def landed_folder(spark: SparkSession, base: str, as_of: datetime) -> str:
+    """The folder of the run that the day's log names last."""
+    newest = tables.newest_run(spark, _log(base, as_of))
+    if newest is None:
+        raise FileNotFoundError(f"nothing was landed at {day_folder(base, as_of)}")
+    return pages.run_folder(base, as_of, newest["run"])

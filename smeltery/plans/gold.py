@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from smeltery.operators import quality
 from smeltery.operators.aggregate import count_by
@@ -13,16 +14,27 @@ from smeltery.sources import tables
 from smeltery.spec import CountSpec, TableSpec
 
 
-def audit(silver: DataFrame, counts: DataFrame, spec: CountSpec) -> DataFrame:
-    """Report: the input has rows, groups are unique and no value is missing."""
-    return quality.combined(
+def audit(counts: DataFrame, spec: CountSpec) -> DataFrame:
+    """Report: the input has rows, groups are unique and no value is missing.
+
+    One pass over the counts, which are small; their sum is the number of input rows.
+    """
+    missing = quality.no_nulls(counts, [*spec.keys, spec.quantity])
+    groups = counts.groupBy(*spec.keys).agg(
+        F.sum(spec.quantity).alias("rows"),
+        F.count("*").alias("size"),
+        missing.measure.alias("missing"),
+    )
+    rows = F.coalesce(F.sum("rows"), F.lit(0))
+    absent = F.coalesce(F.sum("missing"), F.lit(0))
+    twice = F.count_if(F.col("size") > 1)
+    return quality.measured(
+        groups,
         [
-            quality.measured(silver, [quality.not_empty("input_not_empty")]),
-            quality.keyed(counts, spec.keys, not_empty_too=False),
-            quality.measured(
-                counts, [quality.no_nulls(counts, [*spec.keys, spec.quantity])]
-            ),
-        ]
+            quality.Check("input_not_empty", rows, rows > 0),
+            quality.Check("unique_rows", twice, twice == 0),
+            quality.Check("no_nulls", absent, absent == 0),
+        ],
     )
 
 
@@ -36,5 +48,5 @@ def refresh(
         counts = stamp(counts, table.stamp, as_of)
     run = tables.new_run(as_of)
     staged = tables.stage(counts, table, location, run)
-    quality.gate(audit(silver, staged, spec))
+    quality.gate(audit(staged, spec))
     return tables.publish(silver.sparkSession, table, location, run)

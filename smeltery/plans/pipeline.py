@@ -7,7 +7,6 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
-from smeltery.functions.columns import day_folder
 from smeltery.operators import quality
 from smeltery.plans import bronze, gold, silver
 from smeltery.sources import pages, tables
@@ -47,16 +46,27 @@ class Pipeline:
         as_of: datetime,
         records_per_file: int | None = None,
         landed: int | None = None,
+        raw: bool = False,
     ) -> str:
-        """Land rows, or raw records, in the day's folder."""
+        """Land rows, or with ``raw`` records, as the day's audited run."""
         return bronze.ingest(
-            source, self.bronze_base, self.table, as_of, records_per_file, landed
+            source, self.bronze_base, self.table, as_of, records_per_file, landed, raw
         )
 
-    def conform(self, spark: SparkSession, as_of: datetime, layout: str = "lines") -> DataFrame:
-        """Publish the day's records as the silver table."""
-        folder = day_folder(self.bronze_base, as_of)
-        records = pages.read_pages(spark, folder, self.table.schema, layout)
+    def landed(self, spark: SparkSession, as_of: datetime) -> str:
+        """The folder of the day's audited run."""
+        return bronze.landed_folder(spark, self.bronze_base, as_of)
+
+    def conform(
+        self,
+        spark: SparkSession,
+        as_of: datetime,
+        layout: str = "lines",
+        folder: str | None = None,
+    ) -> DataFrame:
+        """Publish the records of the day's run, or of ``folder``, as the silver table."""
+        folder = folder or self.landed(spark, as_of)
+        records = pages.read_pages(spark, folder, self.table.schema, layout, corrupt=True)
         return silver.refresh(records, self.table, self.silver_location, as_of)
 
     def silver(self, spark: SparkSession) -> DataFrame:
@@ -79,7 +89,8 @@ class Pipeline:
         as_of: datetime,
         records_per_file: int | None = None,
         landed: int | None = None,
+        raw: bool = False,
     ) -> DataFrame:
         """All stages. ``as_of`` names the day's folder and stamps every row."""
-        self.ingest(source, as_of, records_per_file, landed)
+        self.ingest(source, as_of, records_per_file, landed, raw)
         return self.count(self.conform(source.sparkSession, as_of), as_of)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -48,11 +49,11 @@ def partitions_for(shuffle_bytes: int) -> int:
 def shared_folder(spark: SparkSession) -> str:
     """A new path below the folder the cluster shares.
 
-    Only a local session, as in tests, may do without that setting.
+    Only a session in one process, as in tests, may do without that setting.
     """
     base = spark.conf.get(SHARED_FOLDER, None)
     if base is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise ValueError(f"set {SHARED_FOLDER} to a folder every executor can reach")
         base = tempfile.mkdtemp(prefix="smeltery-")
     return f"{base.rstrip('/')}/smeltery/{uuid.uuid4().hex}"

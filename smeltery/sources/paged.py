@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from smeltery.operators.quality import CORRUPT
 from smeltery.sources.pages import PAGE_ROWS, TOTAL
 
 # Beyond this many tasks per core, neighbouring pages share a task.
@@ -91,11 +92,13 @@ class PageRange(InputPartition):
 
 
 class PagedReader(DataSourceReader):
-    def __init__(self, fetcher: PageFetcher, per_page: int, max_tasks: int) -> None:
+    def __init__(
+        self, fetcher: PageFetcher, per_page: int, max_tasks: int, total: int | None = None
+    ) -> None:
         self.fetcher = fetcher
         self.per_page = per_page
         self.max_tasks = max_tasks
-        self.total = fetcher.total()
+        self.total = fetcher.total() if total is None else total
 
     def partitions(self) -> list[PageRange]:
         pages = -(-self.total // self.per_page)
@@ -118,7 +121,8 @@ class PagedReader(DataSourceReader):
 class PagedSource(DataSource):
     """One row per page: its number, the records due on it and its text.
 
-    Options: ``maxTasks`` and ``perPage``, plus what the fetcher needs.
+    Options: ``maxTasks`` and ``perPage``, plus what the fetcher needs. ``total`` is the
+    number of records if it was asked for already.
     """
 
     def schema(self) -> str:
@@ -132,7 +136,9 @@ class PagedSource(DataSource):
         raise NotImplementedError
 
     def reader(self, schema) -> PagedReader:
-        return PagedReader(self.fetcher(), self.per_page, int(self.options["maxTasks"]))
+        known = self.options.get("total")
+        tasks = int(self.options["maxTasks"])
+        return PagedReader(self.fetcher(), self.per_page, tasks, known and int(known))
 
 
 class UrlPages(PagedSource):
@@ -166,21 +172,68 @@ def read_source(
     """The records of all pages: under ``schema`` if given, else as they came.
 
     As they came means rows of ``(page, record)``, each record as its own JSON
-    text. Tasks in Python only fetch; pages are taken apart in Spark. A page that
-    is unreadable or holds fewer records than due ends the job.
+    text, character by character. A page that cannot be read or holds fewer records than
+    due ends the job, and so does a record that ``schema`` cannot read whole.
     """
     spark.dataSource.register(source)
     tasks = TASKS_PER_CORE * spark.sparkContext.defaultParallelism
     options = {"maxTasks": tasks, **options}
     fetched = spark.read.format(source.name()).options(**options).load()
-    array = F.from_json("body", T.ArrayType(schema or T.StringType()))
-    found = F.coalesce(F.size("records"), F.lit(0))
-    complaint = F.format_string("page %d has %d records, expected %d", "page", found, "due")
-    whole = F.when(found >= F.col("due"), F.col("records")).otherwise(F.raise_error(complaint))
-    parsed = fetched.select("page", "due", array.alias("records"))
-    if schema is not None:
-        return parsed.select(F.inline(whole))
-    return parsed.select("page", F.explode(whole).alias("record"))
+    cut = fetched.mapInArrow(_cut, "page bigint, record string")
+    if schema is None:
+        return cut
+    full = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
+    row = F.from_json("record", full, {"columnNameOfCorruptRecord": CORRUPT})
+    complaint = F.format_string("page %d has a record that cannot be read: %s", "page", "record")
+    lost = F.col("row").isNull() | F.col(f"row.{CORRUPT}").isNotNull()
+    whole = F.when(lost, F.raise_error(complaint)).otherwise(F.col("row"))
+    parsed = cut.select("page", "record", row.alias("row")).select(whole.alias("row"))
+    return parsed.select("row.*").drop(CORRUPT)
+
+
+def records_in(body: str) -> list[str]:
+    """The texts of the records of a JSON array, character by character as they came."""
+    decoder, at, out = json.JSONDecoder(), _past_space(body, 0), []
+    if body[at : at + 1] != "[":
+        raise ValueError("no JSON array")
+    at = _past_space(body, at + 1)
+    while body[at : at + 1] != "]":
+        end = decoder.raw_decode(body, at)[1]
+        out.append(body[at:end])
+        at = _past_space(body, end)
+        if body[at : at + 1] == ",":
+            at = _past_space(body, at + 1)
+            if body[at : at + 1] == "]":
+                raise ValueError("a record is missing")
+        elif body[at : at + 1] != "]":
+            raise ValueError("the array has no end")
+    return out
+
+
+def _past_space(body: str, at: int) -> int:
+    while body[at : at + 1] in (" ", "\t", "\n", "\r"):
+        at += 1
+    return at
+
+
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The records of each page; a page with fewer than are due ends the job."""
+    for batch in batches:
+        for page in batch.to_pylist():
+            try:
+                found = records_in(page["body"])
+            except ValueError as error:
+                raise ValueError(f"page {page['page']} has no whole array: {error}") from error
+            if len(found) < page["due"]:
+                raise ValueError(
+                    f"page {page['page']} has {len(found)} records, expected {page['due']}"
+                )
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "page": pa.array([page["page"]] * len(found), pa.int64()),
+                    "record": pa.array(found, pa.string()),
+                }
+            )
 
 
 def read_folder(

@@ -22,19 +22,36 @@ LAYOUTS = ("lines", "array")
 PAGE_ROWS = 200
 TOTAL = "total"
 
+# Times are written with all their digits; Spark's default keeps milliseconds.
+JSON_WRITING = {
+    "ignoreNullFields": "false",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
 # Spark's increasing ids hold the row's place within its task in the lower 33 bits.
 ROW_IN_TASK = (1 << 33) - 1
 
 
+def run_folder(base: str, as_of: datetime, run: str | None) -> str:
+    """The day's folder, or that of one run below it."""
+    day = day_folder(base, as_of)
+    return day if run is None else f"{day}/run={run}"
+
+
 def land_rows(
-    df: DataFrame, base: str, as_of: datetime, records_per_file: int | None = None
+    df: DataFrame,
+    base: str,
+    as_of: datetime,
+    records_per_file: int | None = None,
+    run: str | None = None,
 ) -> str:
-    """Write rows as JSON lines to the day's folder, replacing what it held.
+    """Write rows as JSON lines to the folder of the day or run, replacing what it held.
 
     Null fields are written out, so every column stays visible to a reader.
     """
-    folder = day_folder(base, as_of)
-    writer = df.write.mode("overwrite").option("ignoreNullFields", "false")
+    folder = run_folder(base, as_of, run)
+    writer = df.write.mode("overwrite").options(**JSON_WRITING)
     if records_per_file:
         writer = writer.option("maxRecordsPerFile", records_per_file)
     writer.json(folder)
@@ -42,14 +59,18 @@ def land_rows(
 
 
 def land_records(
-    df: DataFrame, base: str, as_of: datetime, records_per_file: int | None = None
+    df: DataFrame,
+    base: str,
+    as_of: datetime,
+    records_per_file: int | None = None,
+    run: str | None = None,
 ) -> str:
-    """Write the ``record`` column, JSON text, to the day's folder, one record per line.
+    """Write the ``record`` column, JSON text, one record per line, as ``land_rows`` does.
 
     Line breaks become blanks: in JSON they stand between the parts of a record,
     never within a text, so nothing else changes.
     """
-    folder = day_folder(base, as_of)
+    folder = run_folder(base, as_of, run)
     line = F.col("record")
     for line_break in ("\n", "\r"):
         line = F.replace(line, F.lit(line_break), F.lit(" "))
@@ -86,7 +107,8 @@ def write_pages(df: DataFrame, root: str, per_page: int = PAGE_ROWS) -> str:
     start = F.coalesce(F.sum("size").over(earlier), F.lit(0))
     starts = sizes.select("task", start.alias("start"))
 
-    # By its numbering a page has at most ``per_page`` records, so it fits in a row.
+    # A page has at most ``per_page`` records and is one row: this is for records of a
+    # service's size, as in tests, not for copying a lake.
     position = F.col("start") + F.col("at").bitwiseAND(F.lit(ROW_IN_TASK))
     numbered = stored.join(starts, "task").select(position.alias("position"), "record")
     arrays = numbered.groupBy(F.expr(f"position div {per_page} + 1").alias("page")).agg(

@@ -12,7 +12,7 @@ from dataclasses import replace
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,6 +47,16 @@ def create_table(spark: SparkSession, spec: TableSpec, location: str) -> None:
     )
 
 
+def _whole(spec: TableSpec, name: str) -> Column:
+    """The partition column, ending the job at a value that files cannot keep apart."""
+    column = F.col(_quoted(name))
+    lost = column.isNull()
+    if isinstance(spec.published_schema[name].dataType, T.StringType):
+        lost = lost | (column == "")
+    complaint = f"{spec.name}: partition column {name} is null or empty"
+    return F.when(lost, F.raise_error(F.lit(complaint))).otherwise(column)
+
+
 def overwrite_table(df: DataFrame, spec: TableSpec, location: str) -> None:
     """Replace all rows, and the schema, of the table at ``location``.
 
@@ -55,6 +65,7 @@ def overwrite_table(df: DataFrame, spec: TableSpec, location: str) -> None:
     for one task over several.
     """
     if spec.partition_by:
+        df = df.withColumns({c: _whole(spec, c) for c in spec.partition_by})
         df = df.hint("rebalance", *map(_quoted, spec.partition_by))
     writer = (
         df.write.format(spec.format)
@@ -110,37 +121,59 @@ def stage(df: DataFrame, spec: TableSpec, location: str, run: str) -> DataFrame:
 
 
 def publish(spark: SparkSession, spec: TableSpec, location: str, run: str) -> DataFrame:
-    """Make a staged version the one that readers see."""
-    newest = _newest(spark, location)
+    """Make a staged version the one that readers see.
+
+    The version must exist, and is registered, before the log names it. Two publishers
+    that take one number do not both get it.
+    """
+    _register(spark, spec, location, run)
+    log_run(spark, _log_path(location), run)
+    return _show(spark, spec, run)
+
+
+def _register(spark: SparkSession, spec: TableSpec, location: str, run: str) -> None:
+    stored = version(spec, run)
+    try:
+        load(spark, stored, version_path(location, run))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        raise FileNotFoundError(f"{spec.name}: run {run} was not staged at {location}") from error
+    create_table(spark, stored, version_path(location, run))
+    if spec.partition_by and spec.format not in SELF_DESCRIBING:
+        spark.catalog.recoverPartitions(_named(stored))
+
+
+def log_run(spark: SparkSession, log: str, run: str) -> None:
+    """Append a run under the next number; a number that is already taken is refused."""
+    newest = newest_run(spark, log)
     # Numbered, so that the clocks of different drivers need not agree.
+    number = newest["number"] + 1 if newest else 1
     entry = spark.range(0, 1, 1, 1).select(
-        F.lit(newest["number"] + 1 if newest else 1).cast("bigint").alias("number"),
-        F.lit(run).alias("run"),
-        F.current_timestamp().alias("published_at"),
+        F.lit(run).alias("run"), F.current_timestamp().alias("published_at")
     )
-    entry.write.mode("append").parquet(_log_path(location))
-    return _show(spark, spec, run)
+    entry.write.mode("errorifexists").parquet(f"{log}/number={number}")
 
 
 def _log_path(location: str) -> str:
     return f"{location.rstrip('/')}/published"
 
 
-def _newest(spark: SparkSession, location: str) -> Row | None:
-    """The newest entry of the log, if there is a log."""
+def newest_run(spark: SparkSession, log: str) -> Row | None:
+    """The newest entry of a log, if there is one."""
     try:
-        log = spark.read.schema(LOG_SCHEMA).parquet(_log_path(location))
+        entries = spark.read.schema(LOG_SCHEMA).parquet(log)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
     newest = F.max(F.struct("number", "published_at", "run"))
-    return log.agg(newest.alias("entry")).first()["entry"]
+    return entries.agg(newest.alias("entry")).first()["entry"]
 
 
 def published_run(spark: SparkSession, location: str) -> str:
     """The run that readers see."""
-    newest = _newest(spark, location)
+    newest = newest_run(spark, _log_path(location))
     if newest is None:
         raise FileNotFoundError(f"nothing was published at {location}")
     return newest["run"]
@@ -149,10 +182,7 @@ def published_run(spark: SparkSession, location: str) -> str:
 def attach(spark: SparkSession, spec: TableSpec, location: str) -> DataFrame:
     """Show a published table in a session that did not write it."""
     run = published_run(spark, location)
-    stored = version(spec, run)
-    create_table(spark, stored, version_path(location, run))
-    if spec.partition_by and spec.format not in SELF_DESCRIBING:
-        spark.catalog.recoverPartitions(_named(stored))
+    _register(spark, spec, location, run)
     return _show(spark, spec, run)
 
 

@@ -8,7 +8,7 @@
 from __future__ import annotations
 
 import argparse
-from datetime import datetime
+from datetime import UTC, datetime
 
 from pyspark.sql import SparkSession
 
@@ -32,18 +32,21 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     args = parser.parse_args(argv)
     if args.stage in ("bronze", "run") and not (args.meta_url and args.page_url):
         parser.error("--meta-url and --page-url are needed to land records")
+    if args.stage in ("silver", "gold") and args.as_of is None:
+        parser.error("--as-of is needed to go on with a run: the time that bronze was given")
     return args
 
 
 def main(spark: SparkSession, args: argparse.Namespace) -> None:
-    as_of = args.as_of or datetime.now().replace(microsecond=0)
+    # The session's zone is UTC, and so is the day that names the folder.
+    as_of = args.as_of or datetime.now(UTC).replace(microsecond=0, tzinfo=None)
     pipeline = Pipeline(args.lake, BREWERIES, BREWERIES_PER_STATE)
     if args.stage in ("bronze", "run"):
         urls = {"metaUrl": args.meta_url, "pageUrl": args.page_url}
-        records = paged.read_source(spark, paged.UrlPages, urls)
-        landed = paged.UrlFetcher(args.meta_url, args.page_url, pages.PAGE_ROWS).total()
+        total = paged.UrlFetcher(args.meta_url, args.page_url, pages.PAGE_ROWS).total()
+        records = paged.read_source(spark, paged.UrlPages, urls | {"total": total})
         stage = pipeline.run if args.stage == "run" else pipeline.ingest
-        stage(records, as_of, landed=landed)
+        stage(records, as_of, landed=total, raw=True)
     elif args.stage == "silver":
         pipeline.conform(spark, as_of)
     elif args.stage == "audit":

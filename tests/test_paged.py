@@ -1,9 +1,11 @@
 from __future__ import annotations
 
 import json
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from smeltery.sources import paged, pages
 from smeltery.spec import schema_of
@@ -128,3 +130,38 @@ def test_pages_land_and_read_back(spark, tmp_path, as_of):
         ("name", "string"),
         ("x", "double"),
     ]
+
+
+def test_records_come_character_by_character(spark, tmp_path):
+    options = put_pages(tmp_path / "p", [3])
+    records = [
+        '{"a":0.1234567890123456789,"b":1.10,"c":1e400,"c":-0.0}',
+        '{ "t":"\\u00e9 \\/ [,]{}\\"" , "t":null}',
+        "[1,  2]",
+    ]
+    body = "[ " + " ,\n".join(records) + "\t]"
+    (tmp_path / "p" / "1.json").write_text(body)
+    df = paged.read_source(spark, paged.UrlPages, {**options, "perPage": 3})
+    assert [r.record for r in df.collect()] == records
+    folder = pages.land_records(df, str(tmp_path / "lake"), datetime(2024, 1, 5))
+    assert sorted(r.value for r in spark.read.text(folder).collect()) == sorted(records)
+
+
+@pytest.mark.parametrize("bad", ['{"v":"abc","k":1}', '{"v":1.5,"k":"zz"}', "7", '{"k":1e400}'])
+def test_a_record_that_its_schema_cannot_read_ends_the_job(spark, tmp_path, bad):
+    options = put_pages(tmp_path / "p", [2, 2])
+    good = '{"v":1.5,"k":1,"more":[]}'
+    (tmp_path / "p" / "1.json").write_text(f"[{good},{good}]")
+    (tmp_path / "p" / "2.json").write_text(f"[{good},{good}]")
+    schema = T.StructType().add("v", "double").add("k", "long")
+    df = paged.read_source(spark, paged.UrlPages, {**options, "perPage": 2}, schema)
+    assert [tuple(r) for r in df.collect()] == [(1.5, 1)] * 4
+    (tmp_path / "p" / "2.json").write_text(f"[{good},{bad}]")
+    with pytest.raises(Exception, match="page 2 has a record that cannot be read"):
+        df.collect()
+
+
+def test_a_total_that_is_known_is_not_asked_for_again(spark, tmp_path):
+    options = put_pages(tmp_path / "p", [2, 2])
+    known = {**options, "perPage": 2, "total": 2, "metaUrl": "file:///nowhere"}
+    assert paged.read_source(spark, paged.UrlPages, known).count() == 2

@@ -51,7 +51,7 @@ def counts(df):
 
 def test_run(spark, tmp_path, as_of):
     pipeline = pipeline_of(tmp_path)
-    gold = pipeline.run(records(spark, BREWERY_LIST), as_of, landed=6)
+    gold = pipeline.run(records(spark, BREWERY_LIST), as_of, landed=6, raw=True)
     assert gold.dtypes == [
         ("state", "string"),
         ("brewery_type", "string"),
@@ -65,34 +65,34 @@ def test_run(spark, tmp_path, as_of):
     assert silver.count() == sum(WANT.values())
     assert {r.longitude for r in silver.collect()} == {"13.5"}
     # The same run again gives the same table.
-    again = pipeline.run(records(spark, BREWERY_LIST), as_of)
+    again = pipeline.run(records(spark, BREWERY_LIST), as_of, raw=True)
     assert sorted(again.collect()) == sorted(gold.collect())
 
 
 def test_a_failed_stage_stops_the_rest(spark, tmp_path, as_of):
     pipeline = pipeline_of(tmp_path)
-    pipeline.run(records(spark, BREWERY_LIST), as_of)
+    pipeline.run(records(spark, BREWERY_LIST), as_of, raw=True)
     later = datetime(2024, 1, 6)
     cut = records(spark, BREWERY_LIST).selectExpr(
         "if(record like '%Paulo%', left(record, 40), record) as record"
     )
     with pytest.raises(quality.QualityError, match=r"no_(lost_records|unreadable_values) \(1\)"):
-        pipeline.run(cut, later)
+        pipeline.run(cut, later, raw=True)
     with pytest.raises(quality.QualityError, match=r"unique_rows \(1\)"):
-        pipeline.run(records(spark, [*BREWERY_LIST, brewery(1)]), later)
+        pipeline.run(records(spark, [*BREWERY_LIST, brewery(1)]), later, raw=True)
     with pytest.raises(quality.QualityError, match="all_rows_landed"):
-        pipeline.run(records(spark, BREWERY_LIST), later, landed=7)
+        pipeline.run(records(spark, BREWERY_LIST), later, landed=7, raw=True)
     assert counts(pipeline.gold(spark)) == WANT
     assert {r.dt_ingestion for r in pipeline.silver(spark).collect()} == {as_of}
 
 
 def test_array_pages_conform_as_well(spark, tmp_path, as_of):
     pipeline = pipeline_of(tmp_path)
-    day = tmp_path / "bronze" / pipeline.table.name / "2024" / "01" / "05"
-    day.mkdir(parents=True)
+    day = tmp_path / "elsewhere"
+    day.mkdir()
     (day / "page_1.json").write_text(json.dumps(BREWERY_LIST[:3], indent=4))
     (day / "page_2.json").write_text(json.dumps(BREWERY_LIST[3:], indent=4))
-    silver = pipeline.conform(spark, as_of, layout="array")
+    silver = pipeline.conform(spark, as_of, layout="array", folder=str(day))
     assert counts(pipeline.count(silver, as_of)) == WANT
 
 
@@ -108,7 +108,10 @@ def test_submitted_stages(spark, tmp_path, capsys):
     urls = ["--meta-url", f"{uri}/meta.json", "--page-url", f"{uri}/{{page}}.json"]
     where = ["--lake", str(tmp_path / "lake"), "--as-of", "2024-01-05"]
     submit.main(spark, submit.parse(["bronze", *where, *urls]))
-    folder = f"{tmp_path}/lake/bronze/{BREWERIES.name}/2024/01/05"
+    folder = Pipeline(str(tmp_path / "lake"), BREWERIES, BREWERIES_PER_STATE).landed(
+        spark, datetime(2024, 1, 5)
+    )
+    assert "/2024/01/05/run=" in folder
     assert pages.read_pages(spark, folder, BREWERIES.schema).count() == total
     for stage in ("silver", "audit", "gold", "show"):
         submit.main(spark, submit.parse([stage, *where]))
@@ -125,5 +128,37 @@ def test_submitted_stages(spark, tmp_path, capsys):
 def test_gold_sums_to_silver(spark, tmp_path, as_of):
     pipeline = pipeline_of(tmp_path)
     rows = [brewery(n, state=f"s{n % 5}é", brewery_type=f"t{n % 3}") for n in range(100)]
-    gold = pipeline.run(records(spark, rows), as_of)
+    gold = pipeline.run(records(spark, rows), as_of, raw=True)
     assert sum(counts(gold).values()) == pipeline.silver(spark).count() == 100
+
+
+def test_a_refused_landing_leaves_the_day_as_it_was(spark, tmp_path, as_of):
+    pipeline = pipeline_of(tmp_path)
+    good = [brewery(n) for n in range(100)]
+    pipeline.ingest(records(spark, good), as_of, raw=True)
+    cut = records(spark, good).selectExpr("left(record, 40) as record")
+    with pytest.raises(quality.QualityError, match=r"no_lost_records|no_unreadable_values"):
+        pipeline.ingest(cut, as_of, raw=True)
+    assert pipeline.conform(spark, as_of).count() == 100
+
+
+def test_a_cut_page_stops_the_silver_stage(spark, tmp_path, as_of):
+    pipeline = pipeline_of(tmp_path)
+    day = tmp_path / "elsewhere"
+    day.mkdir()
+    (day / "page_1.json").write_text(json.dumps([brewery(n) for n in range(200)]))
+    (day / "page_2.json").write_text(json.dumps([brewery(n) for n in range(200, 400)])[:-70])
+    with pytest.raises(quality.QualityError, match="no_(lost_records|unreadable_values)"):
+        pipeline.conform(spark, as_of, layout="array", folder=str(day))
+    with pytest.raises(FileNotFoundError):
+        pipeline.silver(spark)
+
+
+def test_rows_that_look_like_records_are_landed_as_rows(spark, tmp_path, as_of):
+    from smeltery.spec import TableSpec
+
+    spec = TableSpec(f"t_{uuid4().hex}", {"page": "long", "record": "string"}, stamp=None)
+    pipeline = Pipeline(str(tmp_path), spec, BREWERIES_PER_STATE)
+    rows = spark.createDataFrame([(1, "text")], "page long, record string")
+    folder = pipeline.ingest(rows, as_of)
+    assert pages.read_pages(spark, folder, spec.schema).collect() == rows.collect()

@@ -153,9 +153,9 @@ def test_the_order_of_publishing_decides_not_the_clock(spark, tmp_path, as_of):
     tables.publish(spark, spec, location, runs[0])
     # An entry by a driver whose clock is a year ahead.
     ahead = spark.sql(
-        f"select 2L as number, '{runs[1]}' as run, now() + interval 1 year as published_at"
+        f"select '{runs[1]}' as run, now() + interval 1 year as published_at"
     )
-    ahead.write.mode("append").parquet(f"{location}/published")
+    ahead.write.parquet(f"{location}/published/number=2")
     assert tables.published_run(spark, location) == runs[1]
     tables.publish(spark, spec, location, runs[2])
     assert tables.published_run(spark, location) == runs[2]
@@ -185,3 +185,45 @@ def test_odd_names(spark, tmp_path):
     df = spark.createDataFrame([("x", "y")], "`a b` string, `c-d` string")
     tables.overwrite_table(df, spec, location)
     assert rows_of(tables.load(spark, spec, location)) == [("x", "y")]
+
+
+def test_a_run_that_was_never_staged_is_not_published(spark, tmp_path, as_of):
+    spec, location = spec_of(), str(tmp_path / "t")
+    silver.refresh(frame(spark, ROWS), spec, location, as_of)
+    before = tables.published_run(spark, location)
+    with pytest.raises(FileNotFoundError, match="was not staged"):
+        tables.publish(spark, spec, location, tables.new_run(as_of))
+    assert tables.published_run(spark, location) == before
+    assert rows_of(tables.attach(spark, spec, location)) == ROWS
+
+
+def test_a_run_staged_in_another_session_is_published(spark, tmp_path, as_of):
+    spec, location = spec_of(), str(tmp_path / "t")
+    run = tables.new_run(as_of)
+    tables.stage(frame(spark, ROWS), spec, location, run)
+    spark.sql(f"drop table {tables._named(tables.version(spec, run))}")
+    assert rows_of(tables.publish(spark, spec, location, run)) == ROWS
+
+
+def test_a_number_is_given_once(spark, tmp_path, as_of, monkeypatch):
+    spec, location = spec_of(), str(tmp_path / "t")
+    first, second = tables.new_run(as_of), tables.new_run(as_of)
+    for run in (first, second):
+        tables.stage(frame(spark, ROWS), spec, location, run)
+    tables.publish(spark, spec, location, first)
+    # A publisher that looked before the first one wrote.
+    monkeypatch.setattr(tables, "newest_run", lambda *_: None)
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        tables.publish(spark, spec, location, second)
+    monkeypatch.undo()
+    assert tables.published_run(spark, location) == first
+
+
+@pytest.mark.parametrize("value", ["", None])
+def test_a_partition_value_that_files_cannot_keep_ends_the_write(spark, tmp_path, value):
+    spec = replace(spec_of(), stamp=None)
+    rows = frame(spark, ROWS).select(*spec.columns)
+    column = spec.partition_by[0]
+    spoiled = rows.unionByName(rows.limit(1).withColumn(column, F.lit(value).cast("string")))
+    with pytest.raises(Exception, match="is null or empty"):
+        tables.overwrite_table(spoiled, spec, str(tmp_path / "t"))

@@ -209,7 +209,7 @@ def together(docs: DataFrame, model: Model) -> np.ndarray:
 
 
 def label_model(
-    sums: np.ndarray, prior: float, spread: float = 6.0, rounds: int = 60
+    sums: np.ndarray, prior: float, spread: float = 3.0, rounds: int = 60
 ) -> tuple[np.ndarray, list[tuple[int, int]]]:
     """How often each voter fires on clean and on toxic texts, and the correlated pairs.
 
@@ -227,20 +227,22 @@ def label_model(
     use = np.outer(lives, lives) & ~np.eye(n, dtype=bool)
     apart = np.zeros((n, n), bool)
     factor = np.where(lives, 0.3, 0)
-    for _ in range(2):
+    for _ in range(4 * n):
         for _ in range(rounds):
             square = use @ factor**2
             fitted = (use * correlation) @ factor / np.where(square == 0, 1, square)
             factor = np.clip((factor + np.where(square == 0, 0, fitted)) / 2, -0.99, 0.99)
         misfit = np.where(use, abs(correlation - np.outer(factor, factor)), 0)
-        scale = np.median(misfit[use]) if use.any() else 0
-        apart |= misfit > max(spread * scale, 0.05)
         # A third of a voter's pairs stay in the fit, so that its rates are still known.
-        fit = ~apart
-        for k in np.flatnonzero(apart.sum(axis=1) > 2 * n / 3):
-            nearest = np.argsort(misfit[k])[: n // 3]
-            fit[k, nearest] = fit[nearest, k] = True
-        use &= fit
+        full = use.sum(axis=1) > n / 3
+        misfit = np.where(np.outer(full, full), misfit, 0)
+        limit = max(spread * np.median(misfit[use]) if use.any() else 0, 0.05)
+        if misfit.max(initial=0) <= limit:
+            break
+        # The worst pairs bend the fit of all the others, so they go first.
+        worst = misfit >= max(limit, 0.9 * misfit.max())
+        apart |= worst
+        use &= ~worst
     difference = factor * deviation / np.sqrt(prior * (1 - prior))
     clean = np.clip(mean - prior * difference, 1e-4, 0.98)
     toxic = np.clip(mean + (1 - prior) * difference, 2e-4, 0.98)

@@ -138,6 +138,36 @@ def distinct_per_text(values: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray,
     return values[new], doc[new]
 
 
+def set_keys(values: np.ndarray, doc: np.ndarray, n: int) -> tuple[np.ndarray, np.uint64]:
+    """Sorted distinct keys of the values of ``n`` texts, and the shift that gives the text.
+
+    A key holds the text and the upper bits of a 64-bit hash: one plain sort, and no fewer
+    than 64 - log2(n) bits of the hash.
+    """
+    bits = np.uint64(max(1, int(n).bit_length()))
+    shift = np.uint64(64) - bits
+    keys = np.sort((doc.astype(np.uint64) << shift) | (values >> bits))
+    new = np.ones(len(keys), bool)
+    new[1:] = keys[1:] != keys[:-1]
+    return keys[new], shift
+
+
+def set_sizes(values: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
+    keys, shift = set_keys(values, doc, n)
+    return np.bincount((keys >> shift).astype(np.int64), minlength=n)
+
+
+def overlaps(own: tuple, far: tuple, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sizes of intersection and union of the sets (values, texts) of ``n`` pairs."""
+    a, shift = set_keys(*own, n)
+    b, _ = set_keys(*far, n)
+    both = np.sort(np.concatenate([a, b]))
+    again = both[1:][both[1:] == both[:-1]]
+    common = np.bincount((again >> shift).astype(np.int64), minlength=n)
+    sizes = np.bincount((both >> shift).astype(np.int64), minlength=n)
+    return common, sizes - common
+
+
 def total_per_text(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Sum of per-position values over each text."""
     sums = np.zeros(len(flags) + 1, np.int64)
@@ -174,20 +204,21 @@ def one_permutation(values: np.ndarray, doc: np.ndarray, n: int, bins: int) -> n
     """
     empty = np.iinfo(np.uint64).max
     held = np.full(n * bins, empty, np.uint64)
-    mixed_values = mixed(values)
-    cell = doc * bins + (mixed_values % np.uint64(bins)).astype(np.int64)
-    np.minimum.at(held, cell, mixed_values // np.uint64(bins))
-    held = held.reshape(n, bins)
-    out = held.copy()
-    rows = np.flatnonzero((held == empty).any(axis=1) & (held != empty).any(axis=1))
+    values = mixed(values)
+    place = ((values >> np.uint64(32)) * np.uint64(bins)) >> np.uint64(32)
+    np.minimum.at(held, doc * bins + place.astype(np.int64), values)
+    out = held.reshape(n, bins).copy()
+    cells = np.flatnonzero(held == empty)
+    cells = cells[(out != empty).any(axis=1)[cells // bins]]
     rng = np.random.Generator(np.random.PCG64(bins))
-    while len(rows):
+    flat = out.ravel()
+    while len(cells):
         tries = rng.integers(0, bins, bins)
-        part = out[rows]
-        lent = held[rows][:, tries]
-        out[rows] = np.where(part == empty, lent, part)
-        rows = rows[(out[rows] == empty).any(axis=1)]
-    return out
+        at = cells % bins
+        lent = held[cells - at + tries[at]]
+        flat[cells] = lent
+        cells = cells[lent == empty]
+    return flat.reshape(n, bins)
 
 
 def band_keys(signatures: np.ndarray, rows: int) -> np.ndarray:

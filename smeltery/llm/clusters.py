@@ -6,9 +6,11 @@ members. Before keys move, each batch of a task makes stars of its own and sends
 per key, so that a key that a third of all rows share costs a row per batch.
 
 A star may miss a link between two leaves of which neither is similar to the centre.
-``linked`` therefore goes on with the buckets that still hold different components, with
-8, 64, 512, ... centres, each against the members outside its component, until none is
-left: every pair that shares a bucket is compared or lies in one component.
+``linked`` therefore goes on: nodes that lie outside of their centre's component meet all
+others around it, in blocks inside tasks, by sketches of 512 bins. Pairs whose estimate is no
+more than 0.07 (four standard deviations) below a link are compared on their full sets, until
+their components are joined. So every two nodes of a bucket are compared, lie in one
+component or are told apart by their sketches.
 """
 
 from __future__ import annotations
@@ -17,14 +19,22 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from smeltery.llm import arrays
-from smeltery.llm.shared import forget, written
+from smeltery.llm.shared import forget, released, written
 
 NODE = ["doc", "at"]
 PAIR = ["doc", "at", "to_doc", "to_at"]
+#: Bytes of a sketch, how far its estimate may lie below a link, and a block's size.
+SKETCH = 512
+MARGIN = 0.07
+BLOCK = 1024
+BLOCK_BYTES = 8 << 20
+
+
+Sets = Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]
 
 
 def _first_of_run(*columns: np.ndarray) -> np.ndarray:
@@ -65,6 +75,24 @@ def stars_of_batch(doc: np.ndarray, at: np.ndarray, keys: np.ndarray) -> pa.Reco
 STARRED = "route long, key long, doc long, at long, to_doc long, to_at long"
 
 
+def whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows in order of ``key``, cut between keys; the last key waits for its end."""
+    left: pa.Table | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held = pa.Table.from_batches([batch])
+        held = held if left is None else pa.concat_tables([left, held])
+        key = held.column("key").to_numpy()
+        other = np.flatnonzero(key != key[-1])
+        cut = int(other[-1]) + 1 if len(other) else 0
+        left = held.slice(cut)
+        if cut:
+            yield held.slice(0, cut).combine_chunks()
+    if left is not None:
+        yield left.combine_chunks()
+
+
 def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Stars of buckets from rows in order of route; a bucket may run over many batches."""
     before: dict | None = None  # the last bucket's key and centre, and if that was sent
@@ -105,6 +133,20 @@ def buckets(starred: DataFrame) -> DataFrame:
     return written(arranged.mapInArrow(_stars, "key long, doc long, at long, to_doc long, to_at long"))
 
 
+def _settled(links: DataFrame) -> bool:
+    """Whether every node points to one that points nowhere."""
+    ends = links.select(
+        F.explode(
+            F.array(
+                F.struct(F.col("a").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("into")),
+                F.struct(F.col("b").alias("node"), F.lit(0).alias("out"), F.lit(1).alias("into")),
+            )
+        ).alias("x")
+    )
+    ends = ends.groupBy("x.node").agg(F.sum("x.out").alias("out"), F.max("x.into").alias("into"))
+    return not ends.where("out > 1 or (out = 1 and into = 1)").take(1)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """The smallest node that each linked node reaches, as (doc, at, to_doc, to_at).
 
@@ -115,14 +157,7 @@ def components(edges: DataFrame) -> DataFrame:
     node, to = F.struct(*NODE), F.struct(F.col("to_doc").alias("doc"), F.col("to_at").alias("at"))
     links = edges.select(F.greatest(node, to).alias("a"), F.least(node, to).alias("b"))
     current = written(links.where("a != b").distinct())
-    before = None
-    while True:
-        state = current.agg(
-            F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38, 0)"))
-        ).first()
-        if state == before or not state[0]:
-            break
-        before = state
+    while not _settled(current):
         both = current.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
             current.select(F.col("b").alias("u"), F.col("a").alias("v"))
         )
@@ -137,6 +172,7 @@ def components(edges: DataFrame) -> DataFrame:
         after = written(small.select("x.*").where("a != b").distinct())
         forget(current)
         current = after
+        released(current.sparkSession)
     return current.select("a.doc", "a.at", F.col("b.doc").alias("to_doc"), F.col("b.at").alias("to_at"))
 
 
@@ -144,55 +180,176 @@ def centres(members: DataFrame) -> DataFrame:
     return members.select("key", F.col("to_doc").alias("doc"), F.col("to_at").alias("at"))
 
 
-def nodes(members: DataFrame) -> DataFrame:
-    """The distinct nodes of ``buckets``."""
-    return members.select(*NODE).unionByName(centres(members).select(*NODE)).distinct()
+def nodes(pairs: DataFrame) -> DataFrame:
+    """The distinct nodes of ``star_pairs``."""
+    to = pairs.select(F.col("to_doc").alias("doc"), F.col("to_at").alias("at"))
+    return pairs.select(*NODE).unionByName(to).distinct()
 
 
-def _open(members: DataFrame, found: DataFrame, compared: int) -> DataFrame:
-    """Members, with rank and component, of buckets with more than one component in which
-    more than ``compared`` centres are needed."""
-    own = members.select("key", *NODE).unionByName(centres(members)).distinct()
-    joined = own.join(found, NODE, "left").select(
-        "key",
-        F.struct(*NODE).alias("node"),
-        F.when(F.col("to_doc").isNull(), F.struct(*NODE))
-        .otherwise(F.struct(F.col("to_doc").alias("doc"), F.col("to_at").alias("at")))
-        .alias("component"),
+def star_pairs(starred: DataFrame) -> DataFrame:
+    """The distinct pairs of a node and a centre that shares a bucket with it."""
+    arranged = starred.repartition("route").sortWithinPartitions("route", *NODE)
+    shape = "key long, doc long, at long, to_doc long, to_at long"
+    pairs = arranged.mapInArrow(_stars, shape).where("doc != to_doc or at != to_at")
+    return written(pairs.select(*PAIR).distinct())
+
+
+def linked(
+    pairs: DataFrame,
+    compare: Callable[[DataFrame], DataFrame],
+    texts: DataFrame,
+    sets: Sets,
+    percent: int,
+) -> DataFrame:
+    """Components of the ``star_pairs`` with ``percent`` of their union in common.
+
+    ``compare`` takes distinct pairs (doc, at, to_doc, to_at) and returns them with the
+    sizes ``common`` and ``union`` of their sets; ``texts`` has (doc, at, text) and ``sets``
+    gives the values of a column of texts and the text of each.
+    """
+    compared = written(compare(pairs))
+    links = compared.where(F.expr(f"100 * common >= {percent} * union")).select(*PAIR)
+    released(pairs.sparkSession)
+    found = components(links)
+    more = written(_missed(pairs, found, texts, sets, percent))
+    return components(links.unionByName(more)) if more.take(1) else found
+
+
+def _missed(
+    pairs: DataFrame, found: DataFrame, texts: DataFrame, sets: Sets, percent: int
+) -> DataFrame:
+    """Links between nodes around a centre of which one is outside of its component.
+
+    Around a centre are itself, what was compared with it, and what was compared with a
+    node that was. Outsiders meet the others in blocks, inside tasks, which compare what
+    looks alike on the full sets. Only links become rows, and one of two components is
+    enough in a block.
+    """
+    node, to = F.struct(*NODE), F.struct(F.col("to_doc").alias("doc"), F.col("to_at").alias("at"))
+    own = found.select(node.alias("node"), to.alias("component"))
+    of_hub = own.select(F.col("node").alias("hub"), F.col("component").alias("hub_component"))
+    star = pairs.select(to.alias("hub"), node.alias("node"))
+    further = star.alias("far").join(star.alias("mid"), F.col("far.hub") == F.col("mid.node"))
+    itself = star.select("hub", F.col("hub").alias("node"))
+    around = star.unionByName(further.select("mid.hub", "far.node")).unionByName(itself).distinct()
+    around = around.join(own, "node", "left").join(of_hub, "hub", "left")
+    around = around.select(
+        "hub",
+        "node",
+        F.coalesce("component", "node").alias("component"),
+        F.coalesce("hub_component", "hub").alias("hub_component"),
+    )
+    around = written(around.withColumn("outside", F.expr("component != hub_component")))
+    hubs = around.where("outside").select("hub").distinct()
+    around = written(around.join(hubs, "hub", "left_semi"))
+    needed = texts.join(around.select("node.*").distinct(), NODE, "left_semi")
+    looks = written(sketched(needed, sets))
+    bytes_of = looks.select(node.alias("node"), F.octet_length("text").alias("bytes"))
+    sizes = around.join(bytes_of, "node").groupBy("hub").agg(
+        F.count("*").alias("n"),
+        F.sum("bytes").alias("bytes"),
+        F.count_if("outside").alias("n_out"),
+        F.sum(F.when(F.col("outside"), F.col("bytes"))).alias("bytes_out"),
+    )
+    sizes = sizes.select("hub", _blocks("n", "bytes", "blocks"), _blocks("n_out", "bytes_out", "out_blocks"))
+    sketch = looks.select(node.alias("node"), "same", "sketch", "text")
+    held = around.join(sizes, "hub").join(sketch, "node")
+    block = F.pmod(F.xxhash64("node"), F.col("blocks"))
+    out_block = F.pmod(F.xxhash64("node"), F.col("out_blocks"))
+    every = F.sequence(F.lit(0), F.col("blocks") - 1)
+    every_out = F.sequence(F.lit(0), F.col("out_blocks") - 1)
+    columns = ["hub", "node.*", F.col("component.doc").alias("c_doc"), F.col("component.at").alias("c_at")]
+    columns += ["same", "sketch", "text"]
+    right = held.select(*columns, F.lit(False).alias("out"), block.alias("i"), F.explode(every_out).alias("j"))
+    left = held.where("outside").select(
+        *columns, F.lit(True).alias("out"), F.explode(every).alias("i"), out_block.alias("j")
     )
-    mixed = joined.groupBy("key").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")
+    dealt = left.unionByName(right).select(
+        F.xxhash64("hub", "i", "j").alias("key"), *NODE, "c_doc", "c_at", "same", "out", "sketch", "text"
     )
-    mixed = mixed.where((F.col("low") != F.col("high")) & (F.col("n") > compared + 1))
-    kept = joined.join(mixed.select("key"), "key")
-    return kept.withColumn("rank", F.row_number().over(Window.partitionBy("key").orderBy("node")))
+    dealt = dealt.repartition("key").sortWithinPartitions("key")
+    met = dealt.mapInArrow(_meeting(sets, percent), "doc long, at long, to_doc long, to_at long")
+    return met.distinct()
 
 
-def linked(members: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Components of the pairs in ``buckets`` that ``verify`` lets through.
+def _blocks(count: str, size: str, name: str) -> F.Column:
+    by_count, by_size = F.ceil(F.col(count) / BLOCK), F.ceil(F.col(size) / BLOCK_BYTES)
+    return F.greatest(by_count, by_size, F.lit(1)).alias(name)
 
-    ``verify`` takes distinct pairs (doc, at, to_doc, to_at) and returns those that are links.
-    """
-    stars = members.select(*PAIR).where("doc != to_doc or at != to_at").distinct()
-    edges = written(verify(stars))
-    found = components(edges)
-    done, centres = 1, 8
-    while True:
-        open_rows = written(_open(members, found, done))
-        if not open_rows.take(1):
-            return found
-        middle = open_rows.where(F.col("rank") <= centres).select(
-            "key", F.col("node").alias("to"), F.col("component").alias("other"), F.col("rank").alias("at_rank")
-        )
-        pairs = (
-            open_rows.join(middle, "key")
-            .where((F.col("component") != F.col("other")) & (F.col("rank") > F.col("at_rank")))
-            .where(F.col("at_rank") > (done if done > 1 else 0))
-            .select("node.doc", "node.at", F.col("to.doc").alias("to_doc"), F.col("to.at").alias("to_at"))
-            .distinct()
-        )
-        more = written(verify(pairs))
-        if more.take(1):
-            edges = edges.unionByName(more)
-            found = components(edges)
-        done, centres = centres, centres * 8
+
+def _meeting(sets: Sets, percent: int):
+    least = percent / 100 - MARGIN
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for held in whole_groups(batches):
+            names = ("key", "doc", "at", "c_doc", "c_at", "same", "out")
+            columns = [held.column(c).to_numpy() for c in names]
+            sketch = np.frombuffer(arrays.raw(held.column("sketch").chunk(0)), np.uint8)
+            # Of equal texts of one component one stands for all.
+            order = np.lexsort([columns[k] for k in (2, 1, 5, 4, 3, 6, 0)])
+            order = order[_first_of_run(*(columns[k][order] for k in (5, 4, 3, 6, 0)))]
+            key, doc, at, c_doc, c_at, _, out = (x[order] for x in columns)
+            sketch = sketch.reshape(len(columns[0]), -1)[order]
+            texts = held.column("text").combine_chunks().take(pa.array(order))
+            start = np.flatnonzero(_first_of_run(key))
+            links: list[tuple[int, int]] = []
+            for low, high in zip(start.tolist(), [*start[1:].tolist(), len(key)], strict=True):
+                links += _links(low, high, out, c_doc, c_at, sketch, texts, sets, least, percent)
+            if links:
+                x, y = np.array(links).T
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(v) for v in (doc[x], at[x], doc[y], at[y])], names=PAIR
+                )
+
+    return run
+
+
+def _links(low, high, out, c_doc, c_at, sketch, texts, sets, least, percent) -> list[tuple[int, int]]:
+    """Links of the outsiders of one group with its others, until components are joined."""
+    inside = np.arange(low, high)
+    pairs = np.stack([c_doc[inside], c_at[inside]], axis=1)
+    component = np.unique(pairs, axis=0, return_inverse=True)[1].ravel()
+    others = inside[~out[inside]]
+    known: dict[int, np.ndarray] = {}
+    links = []
+
+    def values(k: int) -> np.ndarray:
+        if k not in known:
+            known[k] = np.unique(sets(texts.slice(k, 1))[0])
+        return known[k]
+
+    for x in inside[out[inside]].tolist():
+        y = others[component[others - low] != component[x - low]]
+        alike = (sketch[y] == sketch[x]).mean(axis=1)
+        y, alike = y[alike >= least], alike[alike >= least]
+        for k in y[np.argsort(-alike, kind="stable")].tolist():
+            mine, far = component[x - low], component[k - low]
+            if mine == far:
+                continue
+            common = len(np.intersect1d(values(x), values(k), assume_unique=True))
+            if 100 * common >= percent * (len(values(x)) + len(values(k)) - common):
+                links.append((x, k))
+                component[component == far] = mine
+    return links
+
+
+def sketched(texts: DataFrame, sets: Sets) -> DataFrame:
+    """``texts`` with sketches; ``same`` is a code of the text but for its case."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts, same = [], [np.empty(0, np.uint64)]
+            for low, high in arrays.blocks(batch.column("text")):
+                part = batch.column("text").slice(low, high - low)
+                bins = arrays.one_permutation(*sets(part), high - low, SKETCH)
+                parts += [row.tobytes() for row in bins.astype(np.uint8)]
+                data, offsets = arrays.texts(part)
+                same.append(arrays.hash_spans(arrays.LOWER[data], offsets[:-1], offsets[1:]))
+            code = pa.array(np.concatenate(same).view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, code, pa.array(parts, pa.binary())],
+                names=[*NODE, "text", "same", "sketch"],
+            )
+
+    shape = "doc long, at long, text string, same long, sketch binary"
+    return texts.select(*NODE, "text").mapInArrow(run, shape)

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from smeltery.llm import arrays, clusters
-from smeltery.llm.near_duplicates import enough
+from smeltery.llm.near_duplicates import COMPARED, with_overlap
 from smeltery.llm.shared import parted, written
 
 CHARS = 8
@@ -49,23 +49,20 @@ def shingles_of(
     data: np.ndarray, starts: np.ndarray, ends: np.ndarray, size: int = CHARS
 ) -> tuple[np.ndarray, np.ndarray]:
     """Hash and line of each run of ``size`` characters; a shorter line is one run."""
-    lowered = arrays.LOWER[data]
-    sums = arrays.prefix(lowered)
-    lead = (data & 0xC0) != 0x80
+    sums = arrays.prefix(arrays.LOWER[data])
     inside = np.zeros(len(data) + 1, np.int8)
     inside[starts] += 1
     inside[ends] -= 1
-    at = np.flatnonzero(lead & (np.cumsum(inside[:-1]) > 0))
-    line = np.searchsorted(starts, at, "right") - 1
-    far = np.minimum(np.arange(len(at)) + size, len(at))
-    whole = (far - np.arange(len(at)) == size) & (line[far - 1] == line) if len(at) else at > 0
-    end = np.append(at, len(data))[far]
-    end = np.minimum(end, ends[line])
-    count = np.bincount(line, minlength=len(starts))
-    short = (at == starts[line]) & (count[line] < size)
-    use = whole | short
-    end = np.where(short, ends[line], end)
-    return arrays.between(sums, at[use], end[use]), line[use]
+    at = np.flatnonzero(((data & 0xC0) != 0x80) & (np.cumsum(inside[:-1], dtype=np.int8) > 0))
+    # Characters come line by line: what counts is how many are left in the line.
+    first = np.searchsorted(at, starts)
+    count = np.diff(np.append(first, len(at)))
+    line = np.repeat(np.arange(len(starts)), count)
+    left = (first + count)[line] - np.arange(len(at))
+    use = np.flatnonzero((left >= size) | ((left == count[line]) & (count[line] < size)))
+    end = np.append(at, len(data))[np.minimum(use + size, len(at))]
+    end = np.where(left[use] > size, end, ends[line[use]])
+    return arrays.between(sums, at[use], end), line[use]
 
 
 def _starred(size: int, bins: int, rows: int):
@@ -117,22 +114,18 @@ def _picked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _similar(size: int, percent: int):
-    def sets(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        data, offsets = arrays.texts(column)
-        starts, ends, doc, _ = lines_of(data, offsets)
-        values, line = shingles_of(data, starts, ends, size)
-        return arrays.distinct_per_text(values, doc[line])
+def _sets(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of characters of a column of single lines, and the line of each."""
+    data, offsets = arrays.texts(column)
+    starts, ends, doc, _ = lines_of(data, offsets)
+    values, line = shingles_of(data, starts, ends, size)
+    return values, doc[line]
 
+
+def _overlaps(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            text, other = batch.column("text"), batch.column("to_text")
-            keep = np.zeros(batch.num_rows, bool)
-            for low, high in arrays.blocks(text):
-                for a, b in arrays.blocks(other.slice(low, high - low)):
-                    own, far = sets(text.slice(low + a, b - a)), sets(other.slice(low + a, b - a))
-                    keep[low + a : low + b] = enough(own, far, b - a, percent)
-            yield batch.select(clusters.PAIR).filter(pa.array(keep))
+            yield with_overlap(batch, lambda column: _sets(column, size))
 
     return run
 
@@ -142,21 +135,20 @@ def repeated(
 ) -> DataFrame:
     """(doc_id, at, first_doc, first_at) of each line that goes and the line that stays."""
     own = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), "text")
-    members = clusters.buckets(own.mapInArrow(_starred(size, bins, rows), clusters.STARRED))
-    wanted = clusters.nodes(members).groupBy(F.col("doc").alias("doc_id"))
+    pairs = clusters.star_pairs(own.mapInArrow(_starred(size, bins, rows), clusters.STARRED))
+    wanted = clusters.nodes(pairs).groupBy(F.col("doc").alias("doc_id"))
     wanted = written(wanted.agg(F.collect_list("at").alias("at_lines")))
     texts = parted(own, wanted)[0].join(wanted, "doc_id").select("doc_id", "text", "at_lines")
     texts = written(texts.mapInArrow(_picked, "doc long, at long, text string"))
 
-    def verify(pairs: DataFrame) -> DataFrame:
+    def compare(pairs: DataFrame) -> DataFrame:
         far = texts.select(
             F.col("doc").alias("to_doc"), F.col("at").alias("to_at"), F.col("text").alias("to_text")
         )
         both = pairs.join(texts, clusters.NODE).join(far, ["to_doc", "to_at"])
-        both = both.select(*clusters.PAIR, "text", "to_text")
-        return both.mapInArrow(_similar(size, percent), "doc long, at long, to_doc long, to_at long")
+        return both.select(*clusters.PAIR, "text", "to_text").mapInArrow(_overlaps(size), COMPARED)
 
-    found = clusters.linked(members, verify)
+    found = clusters.linked(pairs, compare, texts, lambda c: _sets(c, size), percent)
     return found.toDF("doc_id", "at", "first_doc", "first_at")
 
 

@@ -29,10 +29,10 @@ PERCENT = 80
 
 
 def shingles_of(column: pa.Array, size: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingles of each text and the text of each, in order."""
+    """The shingles of each text, repeated ones too, and the text of each."""
     w = arrays.words(*arrays.texts(column))
     hashes = arrays.hash_spans(arrays.LOWER[w.data], w.starts, w.ends)
-    return arrays.distinct_per_text(*arrays.shingles(hashes, w.first, size))
+    return arrays.shingles(hashes, w.first, size)
 
 
 def _starred(size: int, bins: int, rows: int):
@@ -53,31 +53,23 @@ def _starred(size: int, bins: int, rows: int):
     return run
 
 
-def similar_texts(size: int, percent: int):
-    """A task's function that keeps the pairs whose ``text`` and ``to_text`` are similar."""
+COMPARED = "doc long, at long, to_doc long, to_at long, common long, union long"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            text, other = batch.column("text"), batch.column("to_text")
-            keep = np.zeros(batch.num_rows, bool)
-            for low, high in arrays.blocks(text):
-                for a, b in arrays.blocks(other.slice(low, high - low)):
-                    own = shingles_of(text.slice(low + a, b - a), size)
-                    far = shingles_of(other.slice(low + a, b - a), size)
-                    keep[low + a : low + b] = enough(own, far, b - a, percent)
-            yield batch.select(clusters.PAIR).filter(pa.array(keep))
 
-    return run
+def with_overlap(batch: pa.RecordBatch, sets) -> pa.RecordBatch:
+    """The pairs of a batch with the sizes of intersection and union of their texts' sets.
 
-
-def enough(own, far, n: int, percent: int) -> np.ndarray:
-    """Whether the n pairs of sets have an intersection of ``percent`` of their union."""
-    sizes = np.bincount(own[1], minlength=n) + np.bincount(far[1], minlength=n)
-    _, both = arrays.distinct_per_text(
-        np.concatenate([own[0], far[0]]), np.concatenate([own[1], far[1]])
-    )
-    union = np.bincount(both, minlength=n)
-    return (100 * (sizes - union) >= percent * union) & (union > 0)
+    ``sets`` gives values and their texts for a column of texts.
+    """
+    text, other = batch.column("text"), batch.column("to_text")
+    common, union = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int64)
+    for low, high in arrays.blocks(text):
+        for a, b in arrays.blocks(other.slice(low, high - low)):
+            n, at = b - a, slice(low + a, low + b)
+            own, far = sets(text.slice(low + a, n)), sets(other.slice(low + a, n))
+            common[at], union[at] = arrays.overlaps(own, far, n)
+    columns = [batch.column(c) for c in clusters.PAIR] + [pa.array(common), pa.array(union)]
+    return pa.RecordBatch.from_arrays(columns, names=[*clusters.PAIR, "common", "union"])
 
 
 def grouped(
@@ -85,17 +77,22 @@ def grouped(
 ) -> DataFrame:
     """(doc_id, component_id) of the documents that are linked with a smaller one."""
     own = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), "text")
-    members = clusters.buckets(own.mapInArrow(_starred(size, bins, rows), clusters.STARRED))
-    nodes = clusters.nodes(members).select(F.col("doc").alias("doc_id"))
-    texts = written(parted(own, nodes)[0].join(nodes, "doc_id"))
+    pairs = clusters.star_pairs(own.mapInArrow(_starred(size, bins, rows), clusters.STARRED))
+    wanted = clusters.nodes(pairs).select(F.col("doc").alias("doc_id"))
+    texts = written(parted(own, wanted)[0].join(wanted, "doc_id"))
+
+    def overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield with_overlap(batch, lambda column: shingles_of(column, size))
 
-    def verify(pairs: DataFrame) -> DataFrame:
+    def compare(pairs: DataFrame) -> DataFrame:
         far = texts.select(F.col("doc_id").alias("to_doc"), F.col("text").alias("to_text"))
         near = texts.withColumnRenamed("doc_id", "doc")
         both = pairs.join(near, "doc").join(far, "to_doc").select(*clusters.PAIR, "text", "to_text")
-        return both.mapInArrow(similar_texts(size, percent), "doc long, at long, to_doc long, to_at long")
+        return both.mapInArrow(overlaps, COMPARED)
 
-    found = clusters.linked(members, verify)
+    nodes = texts.select(F.col("doc_id").alias("doc"), F.lit(0).cast("long").alias("at"), "text")
+    found = clusters.linked(pairs, compare, nodes, lambda c: shingles_of(c, size), percent)
     return found.select(F.col("doc").alias("doc_id"), F.col("to_doc").alias("component_id"))
 
 
@@ -106,8 +103,8 @@ def sizes(docs: DataFrame, size: int = WORDS) -> DataFrame:
         for batch in batches:
             counts = [np.empty(0, np.int64)]
             for low, high in arrays.blocks(batch.column("text")):
-                _, doc = shingles_of(batch.column("text").slice(low, high - low), size)
-                counts.append(np.bincount(doc, minlength=high - low))
+                found = shingles_of(batch.column("text").slice(low, high - low), size)
+                counts.append(arrays.set_sizes(*found, high - low))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(np.concatenate(counts))], ["doc_id", "n_shingles"]
             )

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from smeltery.session import shared_folder
 
 
-def written(df: DataFrame, partitioned_by: str | None = None) -> DataFrame:
+def written(df: DataFrame) -> DataFrame:
     """``df`` as a table in the shared folder; what is lost with an executor is read again."""
     spark = df.sparkSession
     path = shared_folder(spark)
@@ -16,6 +18,16 @@ def written(df: DataFrame, partitioned_by: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def released(spark: SparkSession) -> None:
+    """Let Spark delete shuffles that no plan refers to any more.
+
+    It does so when the driver collects its garbage, which in a long chain of small jobs
+    comes late: until then their files stay, and so do their plans.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def forget(df: DataFrame) -> None:
     """Delete the files of a table of ``written`` that nothing reads any more."""
     spark = df.sparkSession

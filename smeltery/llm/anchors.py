@@ -19,9 +19,6 @@ from pyspark.sql import functions as F
 from smeltery.llm import arrays, clusters
 from smeltery.llm.shared import parted, written
 
-#: Anchors that occur more often are heavy: their windows are not gathered into groups.
-GROUP = 4096
-
 
 @dataclass
 class Anchors:
@@ -73,10 +70,11 @@ def _sent(units: Units, window: int, gram: int):
     return run
 
 
-def with_repeated(docs: DataFrame, units: Units, window: int, gram: int, group: int = GROUP) -> DataFrame:
+def with_repeated(docs: DataFrame, units: Units, window: int, gram: int, group: int) -> DataFrame:
     """(doc_id, text, anchors) of the documents with grams that occur twice: a table.
 
-    ``anchors`` lists the place of each such anchor and whether it is heavy.
+    ``anchors`` lists the place of each such anchor and whether it is heavy: one that occurs
+    more than ``group`` times, whose windows are not gathered into a group.
     """
     own = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), "text")
     members = clusters.buckets(own.mapInArrow(_sent(units, window, gram), clusters.STARRED))

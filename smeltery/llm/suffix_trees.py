@@ -27,11 +27,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from smeltery.llm import anchors, arrays
+from smeltery.llm import anchors, arrays, clusters
 from smeltery.llm.shared import parted, written
 
 WINDOW = 20
 GRAM = 5
+GROUP = 16_384
+BITS = 62
 
 
 def word_codes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -64,20 +66,43 @@ def _light(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _heavy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per window of a heavy anchor a code of all its words: (key, doc, low)."""
+    """Per window of a heavy anchor a code of all its words: (key, doc, low, mask).
+
+    Only the first window of a code in each batch goes on under its key; the others stand
+    later than it, so they need not meet any other and go as masks without a key.
+    """
     for batch in batches:
+        held: list[tuple] = []
         for values, first, ids, found in anchors.chosen(batch, word_codes, WINDOW, GRAM, True):
             start, owner = anchors.ranges(found.low, found.count)
             key = arrays.between(arrays.prefix(values), start, start + WINDOW)
             doc = found.doc[owner]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(key.view(np.int64)),
-                    pa.array(ids[doc].astype(np.int64)),
-                    pa.array(start - first[doc]),
-                ],
-                names=["key", "doc", "low"],
-            )
+            held.append((key.view(np.int64), ids[doc].astype(np.int64), start - first[doc]))
+        if held:
+            key, doc, low = (np.concatenate(x) for x in zip(*held, strict=True))
+            order = np.lexsort((low, doc, key))
+            key, doc, low = key[order], doc[order], low[order]
+            new = np.ones(len(key), bool)
+            new[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1]) | (low[1:] != low[:-1])
+            key, doc, low = key[new], doc[new], low[new]
+            later = np.zeros(len(key), bool)
+            later[1:] = key[1:] == key[:-1]
+            ones = np.ones(int((~later).sum()), np.int64)
+            yield _rows(key[~later], doc[~later], low[~later], ones)
+            doc, low = doc[later], low[later]
+            order = np.lexsort((low, doc))
+            doc, run, bit = doc[order], low[order] // BITS, low[order] % BITS
+            head = np.ones(len(doc), bool)
+            head[1:] = (doc[1:] != doc[:-1]) | (run[1:] != run[:-1])
+            if len(doc):
+                mask = np.bitwise_or.reduceat(np.int64(1) << bit, np.flatnonzero(head))
+                yield _rows(None, doc[head], run[head] * BITS, mask)
+
+
+def _rows(key, doc, low, mask) -> pa.RecordBatch:
+    keys = pa.nulls(len(doc), pa.int64()) if key is None else pa.array(key)
+    columns = [keys, pa.array(doc), pa.array(low), pa.array(mask)]
+    return pa.RecordBatch.from_arrays(columns, names=["key", "doc", "low", "mask"])
 
 
 def subtree(key, doc, low, count, codes) -> np.ndarray:
@@ -105,25 +130,12 @@ def subtree(key, doc, low, count, codes) -> np.ndarray:
 
 
 def _trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc, low, mask) from rows in order of key; the last group waits for its end."""
-    left: pa.Table | None = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        held = pa.Table.from_batches([batch])
-        held = held if left is None else pa.concat_tables([left, held])
-        key = held.column("key").to_numpy()
-        cut = int(np.flatnonzero(key != key[-1])[-1]) + 1 if (key != key[-1]).any() else 0
-        left = held.slice(cut)
-        yield from _grown(held.slice(0, cut))
-    if left is not None:
-        yield from _grown(left)
+    """(doc, low, mask) from rows in order of key."""
+    for held in clusters.whole_groups(batches):
+        yield from _grown(held)
 
 
 def _grown(held: pa.Table) -> Iterator[pa.RecordBatch]:
-    if not held.num_rows:
-        return
-    held = held.combine_chunks()
     key, doc, low, count = (held.column(c).to_numpy() for c in ("key", "doc", "low", "count"))
     chunk = held.column("codes").chunk(0)
     codes = np.frombuffer(arrays.raw(chunk), np.uint32)
@@ -133,22 +145,24 @@ def _grown(held: pa.Table) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({"doc": doc[use], "low": low[use], "mask": mask[use]})
 
 
-def repeated(docs: DataFrame, group: int = anchors.GROUP) -> DataFrame:
+def repeated(docs: DataFrame, group: int = GROUP) -> DataFrame:
     """(doc_id, gone) of the documents that lose windows: first start and mask of each run."""
     near = anchors.with_repeated(docs, word_codes, WINDOW, GRAM, group)
     light = near.mapInArrow(_light, "key long, doc long, low long, count int, codes binary")
     arranged = light.repartition("key").sortWithinPartitions("key")
     trees = arranged.mapInArrow(_trees, "doc long, low long, mask long")
     some_heavy = near.where(F.exists("anchors", lambda a: a["heavy"]))
-    windows = some_heavy.mapInArrow(_heavy, "key long, doc long, low long")
-    first = windows.groupBy("key").agg(F.min(F.struct("doc", "low")).alias("first"))
-    later = windows.join(first, "key").where(F.struct("doc", "low") != F.col("first"))
-    later = later.select("doc", "low", F.lit(1).cast("long").alias("mask"))
+    shape = "key long, doc long, low long, mask long"
+    windows = written(some_heavy.mapInArrow(_heavy, shape))
+    known = windows.where("key is not null")
+    first = known.groupBy("key").agg(F.min(F.struct("doc", "low")).alias("first"))
+    later = known.join(first, "key").where(F.struct("doc", "low") != F.col("first")).drop("first")
+    later = later.unionByName(windows.where("key is null")).drop("key")
     gone = trees.unionByName(later).groupBy(F.col("doc").alias("doc_id"))
     return written(gone.agg(F.collect_list(F.struct("low", "mask")).alias("gone")))
 
 
-def deduplicated(docs: DataFrame, with_text: bool = True, group: int = anchors.GROUP) -> DataFrame:
+def deduplicated(docs: DataFrame, with_text: bool = True, group: int = GROUP) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 and, with ``with_text``, the kept words."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     own = docs.select("doc_id", "text")

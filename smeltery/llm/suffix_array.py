@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from smeltery.llm import anchors, arrays
+from smeltery.llm import anchors, arrays, clusters
 from smeltery.llm.shared import parted, written
 
 WINDOW = 200
@@ -173,47 +173,55 @@ def _light(window: int, gram: int):
 
 def _heavy(window: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Per string of a heavy anchor a code: (key, doc, low)."""
+        """Per string of a heavy anchor a code: (key, doc, low, high, known).
+
+        One string of a code goes on from each batch under its key. Where a batch has it
+        at several places all are known to repeat, and the others go as ranges without key.
+        """
         for batch in batches:
+            held: list[tuple] = []
             for values, first, ids, found in anchors.chosen(batch, arrays.texts, window, gram, True):
                 start, owner = anchors.ranges(found.low, found.count)
                 key = arrays.between(arrays.prefix(values), start, start + window)
                 doc = found.doc[owner]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(key.view(np.int64)),
-                        pa.array(ids[doc].astype(np.int64)),
-                        pa.array(start - first[doc]),
-                    ],
-                    names=["key", "doc", "low"],
-                )
+                held.append((key.view(np.int64), ids[doc].astype(np.int64), start - first[doc]))
+            if held:
+                key, doc, low = (np.concatenate(x) for x in zip(*held, strict=True))
+                order = np.lexsort((low, doc, key))
+                key, doc, low = key[order], doc[order], low[order]
+                new = np.ones(len(key), bool)
+                new[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1]) | (low[1:] != low[:-1])
+                key, doc, low = key[new], doc[new], low[new]
+                again = np.zeros(len(key) + 1, bool)
+                again[1:-1] = key[1:] == key[:-1]
+                known, sent = again[:-1] | again[1:], ~again[:-1]
+                yield rows(key[sent], doc[sent], low[sent], low[sent] + window, known[sent])
+                doc, low = doc[~sent], low[~sent]
+                order = np.lexsort((low, doc))
+                doc, low = doc[order], low[order]
+                head = np.ones(len(doc), bool)
+                head[1:] = (doc[1:] != doc[:-1]) | (low[1:] > low[:-1] + 1)
+                last = np.append(head[1:], True) if len(doc) else head
+                yield rows(None, doc[head], low[head], low[last] + window, np.ones(int(head.sum()), bool))
+
+    def rows(key, doc, low, high, known) -> pa.RecordBatch:
+        keys = pa.nulls(len(doc), pa.int64()) if key is None else pa.array(key)
+        columns = [keys, *(pa.array(x) for x in (doc, low, high, known))]
+        return pa.RecordBatch.from_arrays(columns, names=["key", "doc", "low", "high", "known"])
 
     return run
 
 
 def _group_spans(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(doc, low, high) that go, from rows in order of key; the last group waits."""
-        left: pa.Table | None = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            held = pa.Table.from_batches([batch])
-            held = held if left is None else pa.concat_tables([left, held])
-            key = held.column("key").to_numpy()
-            cut = int(np.flatnonzero(key != key[-1])[-1]) + 1 if (key != key[-1]).any() else 0
-            left = held.slice(cut)
-            yield from _spans_of(held.slice(0, cut), window)
-        if left is not None:
-            yield from _spans_of(left, window)
+        """(doc, low, high) that go, from rows in order of key."""
+        for held in clusters.whole_groups(batches):
+            yield from _spans_of(held, window)
 
     return run
 
 
 def _spans_of(held: pa.Table, window: int) -> Iterator[pa.RecordBatch]:
-    if not held.num_rows:
-        return
-    held = held.combine_chunks()
     key, doc, low, count = (
         held.column(c).to_numpy().astype(np.int64) for c in ("key", "doc", "low", "count")
     )
@@ -288,9 +296,18 @@ def repeated(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, group: int
     arranged = light.repartition("key").sortWithinPartitions("key")
     spans = arranged.mapInArrow(_group_spans(window), "doc long, low long, high long")
     some_heavy = near.where(F.exists("anchors", lambda a: a["heavy"]))
-    strings = some_heavy.mapInArrow(_heavy(window, gram), "key long, doc long, low long").distinct()
-    often = strings.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    more = strings.join(often, "key").select("doc", "low", (F.col("low") + window).alias("high"))
+    strings = written(
+        some_heavy.mapInArrow(
+            _heavy(window, gram), "key long, doc long, low long, high long, known boolean"
+        )
+    )
+    sent = strings.where("key is not null")
+    # One place may be sent by several rows of one document.
+    often = sent.groupBy("key").agg(
+        (F.max("known") | (F.min(F.struct("doc", "low")) != F.max(F.struct("doc", "low")))).alias("often")
+    )
+    more = sent.where("not known").join(often.where("often"), "key").select("doc", "low", "high")
+    more = more.unionByName(strings.where("known").select("doc", "low", "high"))
     gone = spans.unionByName(more).groupBy(F.col("doc").alias("doc_id"))
     return written(gone.agg(F.collect_list(F.struct("low", "high")).alias("gone")))
 

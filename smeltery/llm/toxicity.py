@@ -208,15 +208,29 @@ def together(docs: DataFrame, model: Model) -> np.ndarray:
     return out.reshape(wide, wide)
 
 
+def _of_threes(correlation: np.ndarray, use: np.ndarray, k: int) -> float:
+    """The factor of voter ``k``: the median over the pairs of voters that it meets."""
+    others = np.flatnonzero(use[k])
+    i, j = np.triu_indices(len(others), 1)
+    i, j = others[i], others[j]
+    known = use[i, j] & (abs(correlation[i, j]) > 1e-6)
+    i, j = i[known], j[known]
+    if not len(i):
+        return 0.0
+    square = np.median(correlation[k, i] * correlation[k, j] / correlation[i, j])
+    sign = -1 if np.median(correlation[k, others]) < 0 else 1
+    return float(sign * np.sqrt(np.clip(square, 0, 0.98)))
+
+
 def label_model(
     sums: np.ndarray, prior: float, spread: float = 3.0, rounds: int = 60
 ) -> tuple[np.ndarray, list[tuple[int, int]]]:
     """How often each voter fires on clean and on toxic texts, and the correlated pairs.
 
     Given the class, voters that are independent have covariance p (1 - p) d_i d_j, where
-    d is the difference of their rates. Alternating least squares fits d to the pairs of
-    the correlation table, the pairs of the largest misfit are set apart, and d is fitted
-    again to the others.
+    d is the difference of their rates. Each three voters give d of one of them; the median
+    over all threes is not bent by the correlated pairs. Pairs that it does not explain are
+    set apart, and alternating least squares fits d to the others.
     """
     n = len(sums) - 1
     mean = sums[:n, n] / max(sums[n, n], 1)
@@ -225,24 +239,19 @@ def label_model(
     correlation = covariance / np.outer(deviation, deviation)
     lives = mean > 0
     use = np.outer(lives, lives) & ~np.eye(n, dtype=bool)
-    apart = np.zeros((n, n), bool)
-    factor = np.where(lives, 0.3, 0)
-    for _ in range(4 * n):
-        for _ in range(rounds):
-            square = use @ factor**2
-            fitted = (use * correlation) @ factor / np.where(square == 0, 1, square)
-            factor = np.clip((factor + np.where(square == 0, 0, fitted)) / 2, -0.99, 0.99)
-        misfit = np.where(use, abs(correlation - np.outer(factor, factor)), 0)
-        # A third of a voter's pairs stay in the fit, so that its rates are still known.
-        full = use.sum(axis=1) > n / 3
-        misfit = np.where(np.outer(full, full), misfit, 0)
-        limit = max(spread * np.median(misfit[use]) if use.any() else 0, 0.05)
-        if misfit.max(initial=0) <= limit:
-            break
-        # The worst pairs bend the fit of all the others, so they go first.
-        worst = misfit >= max(limit, 0.9 * misfit.max())
-        apart |= worst
-        use &= ~worst
+    factor = np.array([_of_threes(correlation, use, k) for k in range(n)])
+    misfit = np.where(use, abs(correlation - np.outer(factor, factor)), 0)
+    limit = max(spread * np.median(misfit[use]) if use.any() else 0, 0.05)
+    apart = misfit > limit
+    # A third of a voter's pairs stay in the fit, so that its rates are still known.
+    fit = use & ~apart
+    for k in np.flatnonzero(apart.sum(axis=1) > 2 * n / 3):
+        nearest = np.argsort(misfit[k])[: n // 3]
+        fit[k, nearest] = fit[nearest, k] = use[k, nearest]
+    for _ in range(rounds):
+        square = fit @ factor**2
+        fitted = (fit * correlation) @ factor / np.where(square == 0, 1, square)
+        factor = np.clip((factor + np.where(square == 0, 0, fitted)) / 2, -0.99, 0.99)
     difference = factor * deviation / np.sqrt(prior * (1 - prior))
     clean = np.clip(mean - prior * difference, 1e-4, 0.98)
     toxic = np.clip(mean + (1 - prior) * difference, 2e-4, 0.98)

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from smeltery.llm import arrays
+from smeltery.llm.shared import and_fields
 
 # Frequent function words by language, as any stop-word list has them.
 COMMON_WORDS = {
@@ -241,5 +242,5 @@ def judge(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=[*others, *added])
 
     kept = docs.select(*(F.col(f"`{c}`") for c in others))
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema]
-    return kept.mapInArrow(verdict, ", ".join(fields + [f"{k} {v}" for k, v in added.items()]))
+    more = ", ".join(f"{k} {v}" for k, v in added.items())
+    return kept.mapInArrow(verdict, and_fields(kept.schema.fields, more))

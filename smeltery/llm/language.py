@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from smeltery.llm import arrays
+from smeltery.llm.shared import and_fields
 
 UNKNOWN = "und"
 DIMENSIONS = 1024
@@ -163,7 +164,7 @@ def predict(docs: DataFrame, profiles: dict[str, np.ndarray]) -> DataFrame:
     dimensions = len(profiles[names[0]]) if names else DIMENSIONS
     table = np.array([profiles[n] / (np.linalg.norm(profiles[n]) or 1) for n in names])
     table = table.reshape(len(names), dimensions).astype(np.float32)
-    others = [c for c in docs.columns if c != "text"]
+    others = [c for c in docs.columns if c not in ("text", "lang_pred", "score")]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vectors = Vectors(dimensions)
@@ -187,6 +188,6 @@ def predict(docs: DataFrame, profiles: dict[str, np.ndarray]) -> DataFrame:
                 names=[*others, "lang_pred", "score"],
             )
 
-    kept = docs.select(*others, "text")
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema[:-1])
-    return kept.mapInArrow(score, f"{fields}, lang_pred string, score double")
+    kept = docs.select(*(F.col(f"`{c}`") for c in others), "text")
+    shape = and_fields(kept.schema.fields[:-1], "lang_pred string, score double")
+    return kept.mapInArrow(score, shape)

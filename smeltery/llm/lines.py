@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from smeltery.llm import arrays, clusters
 from smeltery.llm.near_duplicates import COMPARED, with_overlap
-from smeltery.llm.shared import parted, written
+from smeltery.llm.shared import and_fields, parted, written
 
 CHARS = 8
 BINS = 56
@@ -160,9 +160,10 @@ def deduplicated(docs: DataFrame, **settings: int) -> DataFrame:
     gone = repeated(docs, **settings).groupBy("doc_id").agg(F.collect_list("at").alias("gone"))
     gone = written(gone)
     others = [c for c in docs.columns if c not in ("text", "n_lines", "n_removed")]
-    kept = docs.select(*(F.col(f"`{c}`") for c in others), "text")
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema]
-    shape = ", ".join([*fields, "n_lines long", "n_removed long"])
+    # The other columns travel as one, so that their names meet no others.
+    held = F.struct(*(F.col(f"`{c}`") for c in others)).alias("row")
+    kept = docs.select("doc_id", "text", held)
+    shape = and_fields([kept.schema["row"]], "text string, n_lines long, n_removed long")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -177,15 +178,16 @@ def deduplicated(docs: DataFrame, **settings: int) -> DataFrame:
                 n_removed.append(len(removed))
             yield pa.RecordBatch.from_arrays(
                 [
-                    *(batch.column(c) for c in others),
+                    batch.column("row"),
                     pa.array(texts, batch.column("text").type),
                     pa.array(n_lines, pa.int64()),
                     pa.array(n_removed, pa.int64()),
                 ],
-                names=[*others, "text", "n_lines", "n_removed"],
+                names=["row", "text", "n_lines", "n_removed"],
             )
 
     near, rest = parted(kept, gone)
-    near = near.join(gone, "doc_id", "left").select(*(f"`{c}`" for c in kept.columns), "gone")
-    rest = rest.select("*", F.lit(None).cast("array<bigint>").alias("gone"))
-    return near.unionByName(rest).mapInArrow(cut, shape)
+    near = near.join(gone, "doc_id", "left").select("row", "text", "gone")
+    rest = rest.select("row", "text", F.lit(None).cast("array<bigint>").alias("gone"))
+    done = near.unionByName(rest).mapInArrow(cut, shape)
+    return done.select("row.*", "text", "n_lines", "n_removed")

@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -57,15 +58,18 @@ COMPARED = "doc long, at long, to_doc long, to_at long, common long, union long"
 
 
 def with_overlap(batch: pa.RecordBatch, sets) -> pa.RecordBatch:
-    """The pairs of a batch with the sizes of intersection and union of their texts' sets.
-
-    ``sets`` gives values and their texts for a column of texts.
+    """The pairs of a batch with the sizes of intersection and union of their texts' sets,
+    or 1 and 1 for equal texts. ``sets`` gives values and their texts for a column of texts.
     """
     text, other = batch.column("text"), batch.column("to_text")
-    common, union = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int64)
+    # Equal texts have equal sets, which are not empty: a node has shared a bucket.
+    equal = pc.fill_null(pc.equal(text, other), False).to_numpy(zero_copy_only=False)
+    common, union = equal.astype(np.int64), equal.astype(np.int64)
+    rest = np.flatnonzero(~equal)
+    text, other = text.take(pa.array(rest)), other.take(pa.array(rest))
     for low, high in arrays.blocks(text):
         for a, b in arrays.blocks(other.slice(low, high - low)):
-            n, at = b - a, slice(low + a, low + b)
+            n, at = b - a, rest[low + a : low + b]
             own, far = sets(text.slice(low + a, n)), sets(other.slice(low + a, n))
             common[at], union[at] = arrays.overlaps(own, far, n)
     columns = [batch.column(c) for c in clusters.PAIR] + [pa.array(common), pa.array(union)]

@@ -102,6 +102,31 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_language": op10_language,
 }
 SQL: dict[str, str] = {
+    "op5_near_duplicates": r"""
+        with recursive cut as (
+            select doc_id, regexp_extract_all(translate(coalesce(text, ''),
+                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x20\x09-\x0D]+') as w from documents),
+        sets as (
+            select distinct doc_id, unnest(case when len(w) < 4
+                then [array_to_string(w, ' ')]
+                else list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))
+                end) as g from cut where len(w) > 0),
+        sizes as (select doc_id, count(*) as n from sets group by 1),
+        common as (
+            select a.doc_id as x, b.doc_id as y, count(*) as c
+            from sets a join sets b on a.g = b.g and a.doc_id < b.doc_id group by 1, 2),
+        links as (
+            select x, y from common join sizes p on p.doc_id = x join sizes q on q.doc_id = y
+            where 100 * c >= 80 * (p.n + q.n - c)),
+        both_ways as (select x, y from links union all select y, x from links),
+        reach as (
+            select doc_id, doc_id as r from documents
+            union select reach.doc_id, y from reach join both_ways on r = x),
+        component as (select doc_id, min(r) as component_id from reach group by 1)
+        select d.doc_id, coalesce(n, 0) as n_shingles, component_id,
+               d.doc_id = component_id as kept
+        from documents d join component using (doc_id) left join sizes using (doc_id)""",
     "op6_warc": """
         with payload as (
             select page_id, strlen(coalesce(html, '')) as payload_bytes,
@@ -116,4 +141,22 @@ SQL: dict[str, str] = {
         select page_id, payload_bytes, payload_digest,
                case when again then 'revisit' else 'response' end as record_type,
                case when again then least end as refers_to from told""",
+    "op9_suffix_trees": r"""
+        with cut as (
+            select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w
+            from documents),
+        windows as (
+            select doc_id, unnest(range(1, len(w) - 18)) as i, w from cut where len(w) >= 20),
+        named as (select doc_id, i, array_to_string(w[i:i + 19], ' ') as g from windows),
+        ranked as (
+            select doc_id, i, row_number() over (partition by g order by doc_id, i) as k from named),
+        gone as (
+            select distinct doc_id, i + j as i from ranked, range(0, 20) t(j) where k > 1),
+        word as (select doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as i from cut),
+        kept as (
+            select doc_id, string_agg(word, ' ' order by i) as t, count(*) as n
+            from word anti join gone using (doc_id, i) group by 1)
+        select c.doc_id, len(w)::bigint as n_words, len(w) - coalesce(n, 0) as n_removed,
+               sha256(coalesce(t, '')) as kept_sha256
+        from cut c left join kept using (doc_id)""",
 }

@@ -6,6 +6,7 @@ import gc
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from smeltery.session import shared_folder
 
@@ -41,6 +42,11 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
+def and_fields(fields: list[T.StructField], more: str) -> T.StructType:
+    """A schema of ``fields`` and those of the DDL ``more``; names may be any."""
+    return T.StructType([*fields, *T.StructType.fromDDL(more).fields])
+
+
 def remainder(column: str, by: int) -> F.Column:
     """crc32 of a column as text, modulo ``by``; a null counts as the empty text."""
     text = F.coalesce(F.col(column).cast("string"), F.lit(""))

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from smeltery.llm import arrays
+from smeltery.llm.shared import and_fields
 
 PREFIXES = (4, 5)
 LEXICON_VOTERS = 24
@@ -357,5 +358,5 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=[*others, "score", "predicted"])
 
     kept = docs.select(*(F.col(f"`{c}`") for c in others), "text")
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema[:-1]]
-    return kept.mapInArrow(scored, ", ".join([*fields, "score double", "predicted int"]))
+    shape = and_fields(kept.schema.fields[:-1], "score double, predicted int")
+    return kept.mapInArrow(scored, shape)

@@ -38,4 +38,4 @@ def test_odd_rows(documents):
     odd = odd.withColumnRenamed("n_chars", "n_lines")
     got = sorted((r.doc_id or 0, r.text, r.n_removed) for r in lines.deduplicated(odd).collect())
     assert got == [(0, same, 0), (4, same, 0), (4, same, 0), (5, "x\n\n", 1)]
-    assert "slot" in lines.deduplicated(odd).columns
+    assert lines.deduplicated(odd).columns == ["doc_id", "gone", "slot", "text", "n_lines", "n_removed"]

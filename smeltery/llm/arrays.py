@@ -6,8 +6,10 @@ Work goes block by block, so that memory follows a block and the longest text.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +18,6 @@ import pyarrow.compute as pc
 BLOCK_BYTES = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
-_powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 SPACE = np.zeros(256, bool)
 SPACE[[32, *range(9, 14)]] = True
@@ -25,7 +26,11 @@ LOWER[65:91] += 32
 
 
 def blocks(column: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int]]:
-    """Row ranges whose texts hold ``limit`` bytes together, or one longer text."""
+    """Row ranges whose texts hold ``limit`` bytes together, or one longer text.
+
+    Behind the last one, memory that the process has freed goes back to the system: Python
+    workers live on between tasks, beside each other.
+    """
     total = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False))
     low = 0
     while low < len(total):
@@ -33,6 +38,20 @@ def blocks(column: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, in
         high = max(low + 1, int(np.searchsorted(total, before + limit, "right")))
         yield low, high
         low = high
+    give_back()
+
+
+@cache
+def _trim():
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (OSError, AttributeError):  # another C library
+        return lambda _: 0
+
+
+def give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    _trim()(0)
 
 
 def texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -82,14 +101,21 @@ def words(data: np.ndarray, offsets: np.ndarray) -> Words:
     return Words(data, offsets, starts, ends, doc, first)
 
 
-def _power(n: int) -> list[np.ndarray]:
-    if len(_powers[0]) < n:
-        size = max(n, BLOCK_BYTES + 1)
-        for k, base in enumerate((_BASE, _INVERSE)):
-            steps = np.full(size, base, np.uint64)
-            steps[0] = 1
-            _powers[k] = np.multiply.accumulate(steps)
-    return _powers
+@lru_cache(maxsize=1)
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    out = []
+    for base in (_BASE, _INVERSE):
+        steps = np.full(size, base, np.uint64)
+        steps[0] = 1
+        out.append(np.multiply.accumulate(steps))
+    return out[0], out[1]
+
+
+def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers up to the ``n``-th at least. They stay in the process: functions travel to the
+    tasks with the values of a module, but not with those of a cache."""
+    usual = BLOCK_BYTES + (1 << 17)
+    return _powers(usual if n <= usual else 1 << n.bit_length())
 
 
 def prefix(values: np.ndarray) -> np.ndarray:

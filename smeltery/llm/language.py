@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -77,15 +78,11 @@ class Vectors:
         return self.rows[self.places[np.searchsorted(self.keys, keys)]].astype(np.float32)
 
 
-_letter_codes: list[np.ndarray] = []
-
-
+@cache
 def _is_letter() -> np.ndarray:
-    if not _letter_codes:
-        known = np.zeros(sys.maxunicode + 1, bool)
-        known[[c for c in range(sys.maxunicode + 1) if chr(c).isalpha()]] = True
-        _letter_codes.append(known)
-    return _letter_codes[0]
+    known = np.zeros(sys.maxunicode + 1, bool)
+    known[[c for c in range(sys.maxunicode + 1) if chr(c).isalpha()]] = True
+    return known
 
 
 def grams(values: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -31,7 +31,7 @@ from smeltery.llm import arrays
 
 WINDOW = 4096
 CLOSING = 2
-_REMEMBERED = 800_000
+_REMEMBERED = 300_000
 _AT_ONCE = 4_000
 
 _KIND = np.full(256, 3, np.uint8)

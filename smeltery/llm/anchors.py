@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from smeltery.llm import arrays, clusters
-from smeltery.llm.shared import parted, written
+from smeltery.llm.shared import parted, small_batches, written
 
 
 @dataclass
@@ -76,6 +76,7 @@ def with_repeated(docs: DataFrame, units: Units, window: int, gram: int, group:
     ``anchors`` lists the place of each such anchor and whether it is heavy: one that occurs
     more than ``group`` times, whose windows are not gathered into a group.
     """
+    small_batches(docs.sparkSession)
     own = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), "text")
     members = clusters.buckets(own.mapInArrow(_sent(units, window, gram), clusters.STARRED))
     places = members.select("key", *clusters.NODE).unionByName(clusters.centres(members)).distinct()

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from smeltery.llm import arrays
 from smeltery.llm.anchors import ranges
+from smeltery.llm.shared import small_batches
 
 EDITS = 0.2
 RECALL = 0.995
@@ -275,6 +276,7 @@ def marked(
     docs: DataFrame, benchmark: DataFrame, edits: float = EDITS, recall: float = RECALL, block_words: int = BLOCK_WORDS
 ) -> DataFrame:
     """``docs`` with ``items``: the (item_id, distance) of ``benchmark`` found in each text."""
+    small_batches(docs.sparkSession)
     blank = F.size(F.split(F.coalesce("text", F.lit("")), r"\s+"))
     total = benchmark.agg(F.sum(blank.cast("long"))).first()[0] or 0
     parts = max(1, -(-total // block_words))

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from smeltery.llm import arrays
-from smeltery.llm.shared import and_fields
+from smeltery.llm.shared import and_fields, small_batches
 
 # Frequent function words by language, as any stop-word list has them.
 COMMON_WORDS = {
@@ -209,6 +209,7 @@ def judge(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
 
     Columns of these names in ``docs`` are replaced. ``docs`` needs text and lang.
     """
+    small_batches(docs.sparkSession)
     known = references(docs)
     added = BASE | {"chars_distance": "double", "words_distance": "double", "kept": "boolean"}
     others = [c for c in docs.columns if c not in added]

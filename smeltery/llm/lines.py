@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from smeltery.llm import arrays, clusters
 from smeltery.llm.near_duplicates import COMPARED, with_overlap
-from smeltery.llm.shared import and_fields, parted, written
+from smeltery.llm.shared import and_fields, parted, small_batches, written
 
 CHARS = 8
 BINS = 56
@@ -134,6 +134,7 @@ def repeated(
     docs: DataFrame, size: int = CHARS, bins: int = BINS, rows: int = BAND_ROWS, percent: int = PERCENT
 ) -> DataFrame:
     """(doc_id, at, first_doc, first_at) of each line that goes and the line that stays."""
+    small_batches(docs.sparkSession)
     own = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), "text")
     pairs = clusters.star_pairs(own.mapInArrow(_starred(size, bins, rows), clusters.STARRED))
     wanted = clusters.nodes(pairs).groupBy(F.col("doc").alias("doc_id"))

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from smeltery.llm import arrays, clusters
-from smeltery.llm.shared import parted, written
+from smeltery.llm.shared import parted, small_batches, written
 
 WORDS = 4
 BINS = 192
@@ -80,6 +80,7 @@ def grouped(
     docs: DataFrame, size: int = WORDS, bins: int = BINS, rows: int = BAND_ROWS, percent: int = PERCENT
 ) -> DataFrame:
     """(doc_id, component_id) of the documents that are linked with a smaller one."""
+    small_batches(docs.sparkSession)
     own = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), "text")
     pairs = clusters.star_pairs(own.mapInArrow(_starred(size, bins, rows), clusters.STARRED))
     wanted = clusters.nodes(pairs).select(F.col("doc").alias("doc_id"))

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from smeltery.llm import arrays
+from smeltery.llm.shared import small_batches
 
 WINDOW = 4096
 CLOSING = 2
@@ -254,6 +255,7 @@ def pack(
 ) -> DataFrame:
     """A row per piece of a document of ``docs`` (doc_id, text): its place in the document
     and in its window, and with ``with_ids`` its ids."""
+    small_batches(docs.sparkSession)
     where = path or tokenizer_path()
     kind = docs.schema["doc_id"].dataType
     schema = pa.schema(

@@ -211,17 +211,24 @@ def linked(
     links = compared.where(F.expr(f"100 * common >= {percent} * union")).select(*PAIR)
     released(pairs.sparkSession)
     found = components(links)
-    more = written(_missed(pairs, found, texts, sets, percent))
+    # A node with the set of its centre is in all of that node's buckets: one is enough.
+    copies = compared.where("common = union").select(F.struct(*NODE).alias("node")).distinct()
+    more = written(_missed(pairs, copies, found, texts, sets, percent))
     return components(links.unionByName(more)) if more.take(1) else found
 
 
 def _missed(
-    pairs: DataFrame, found: DataFrame, texts: DataFrame, sets: Sets, percent: int
+    pairs: DataFrame,
+    copies: DataFrame,
+    found: DataFrame,
+    texts: DataFrame,
+    sets: Sets,
+    percent: int,
 ) -> DataFrame:
     """Links between nodes around a centre of which one is outside of its component.
 
     Around a centre are itself, what was compared with it, and what was compared with a
-    node that was. Outsiders meet the others in blocks, inside tasks, which compare what
+    node that was, but for ``copies``. Outsiders meet the others in blocks, inside tasks, which compare what
     looks alike on the full sets. Only links become rows, and one of two components is
     enough in a block.
     """
@@ -232,6 +239,7 @@ def _missed(
     further = star.alias("far").join(star.alias("mid"), F.col("far.hub") == F.col("mid.node"))
     itself = star.select("hub", F.col("hub").alias("node"))
     around = star.unionByName(further.select("mid.hub", "far.node")).unionByName(itself).distinct()
+    around = around.join(copies, "node", "left_anti")
     around = around.join(own, "node", "left").join(of_hub, "hub", "left")
     around = around.select(
         "hub",

@@ -5,9 +5,11 @@ skipped. An item of n words is in a document if some window of n words of it is
 ``edits`` * n word edits (Levenshtein, rounded down). A random walk embeds window and item
 in strings of 3n symbols whose Hamming distance follows the edit distance: step t writes
 the symbol it stands at and moves on if a random bit of that step and symbol is set. Several
-walks, each sampled at several sets of steps, give the LSH keys; the number of walks is
-doubled until edited copies of the items are found at the target recall. Candidates are
-verified by exact edit distance.
+walks, each sampled at several sets of steps, give the LSH keys. Each item size has as many
+walks as find, at the target recall, copies of its items with all the edits of the limit,
+be they replaced words or words put in and left out. Where the most walks are too few, or
+the recall is 1, the candidates are instead all items that share as many grams with a window
+as a match must: none is lost. Candidates are verified by exact edit distance.
 
 Only windows that can match are embedded: a window within k edits shares at least
 n - 2 - 3k of its three-word runs with the item, so windows with fewer runs of the items of
@@ -40,6 +42,7 @@ RUN = 3
 BLOCK_WORDS = 1 << 20
 MOST_WALKS = 64
 AT_ONCE = 1 << 12
+PAIR_WORDS = 1 << 18
 
 _EDGE = np.zeros(256, bool)
 _EDGE[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
@@ -123,7 +126,7 @@ class Index:
     first: np.ndarray
     runs: np.ndarray
     edits: float
-    walks: int
+    walks: dict[int, int]
     by_size: dict[int, np.ndarray]
     runs_of_size: dict[int, np.ndarray | None]
     keys: dict[int, tuple[np.ndarray, np.ndarray]]
@@ -142,55 +145,85 @@ def index(ids: list, column: pa.Array, edits: float = EDITS, recall: float = REC
         for n, items in by_size.items()
     }
     runs = np.unique(np.concatenate([none, *(x for x in of_size.values() if x is not None)]))
-    out = Index(list(ids), flat, first, runs, edits, 1, by_size, of_size, {})
-    while by_size and out.walks < MOST_WALKS and _found_again(out) < recall:
-        out.walks *= 2
+    walks = {n: _walks(flat, first[items], n, edits, recall) for n, items in by_size.items()}
+    out = Index(list(ids), flat, first, runs, edits, walks, by_size, of_size, {})
     for n, items in by_size.items():
-        keys = [keys_of(flat, first[items], n, seed) for seed in range(out.walks)]
-        keys = np.concatenate(keys, axis=1)
-        item = np.repeat(items, keys.shape[1])
-        order = np.argsort(keys.ravel(), kind="stable")
-        out.keys[n] = keys.ravel()[order], item[order]
+        if walks[n]:
+            keys = [keys_of(flat, first[items], n, seed) for seed in range(walks[n])]
+            keys = np.concatenate(keys, axis=1)
+            item = np.repeat(items, keys.shape[1])
+            order = np.argsort(keys.ravel(), kind="stable")
+            out.keys[n] = keys.ravel()[order], item[order]
+        else:
+            grams = grams_of(flat[first[items][:, None] + np.arange(n)], _gram(n, edits)[0])
+            held = np.empty(grams.size, [("gram", np.uint64), ("item", np.int64)])
+            held["gram"], held["item"] = grams.ravel(), np.repeat(items, grams.shape[1])
+            held = np.unique(held)
+            out.keys[n] = held["gram"].copy(), held["item"].copy()
     return out
 
 
-def _found_again(known: Index, trials: int = 2000) -> float:
-    """The share of copies with the largest number of edits that share a key with their item.
+def _gram(n: int, edits: float) -> tuple[int, int]:
+    """The size of grams to look for, and how many of them a window within the limit shares."""
+    by_run = n - RUN + 1 - RUN * int(edits * n)
+    return (RUN, by_run) if by_run >= 1 else (1, max(1, n - int(edits * n)))
+
+
+def grams_of(words: np.ndarray, size: int) -> np.ndarray:
+    """A hash per gram of each row of ``words``, [m, n]."""
+    m, n = words.shape
+    at = (np.arange(m)[:, None] * n + np.arange(n - size + 1)).ravel()
+    return arrays.between(arrays.prefix(words.ravel()), at, at + size).reshape(m, -1)
+
+
+def _walks(flat: np.ndarray, starts: np.ndarray, n: int, edits: float, recall: float) -> int:
+    """The walks that find copies of the items of ``n`` words at the recall, by one standard
+    error more, for each kind of edits; 0 if MOST_WALKS are too few."""
+    limit = int(edits * n)
+    if not limit:
+        return 1
+    if recall >= 1:
+        return 0
+    many = min(2000, max(500, 100_000 // n))
+    rng = np.random.Generator(np.random.PCG64([7, n]))
+    original = flat[np.resize(starts, many)[:, None] + np.arange(n)]
+    copies = [_replaced(original, limit, rng), _shifted(original, limit, rng)]
+    missed = np.ones((len(copies), many), bool)
+    least = 1 - recall - np.sqrt(recall * (1 - recall) / many)
+    at = np.arange(many) * n
+    for walks in range(1, MOST_WALKS + 1):
+        own = keys_of(original.ravel(), at, n, walks - 1)
+        for miss, copy in zip(missed, copies, strict=True):
+            miss &= (own != keys_of(copy.ravel(), at, n, walks - 1)).all(axis=1)
+        if walks % 4 and walks > 2:
+            continue
+        left = missed.mean(axis=1).max()
+        if left <= least:
+            return walks
+        # Copies that one walk misses are missed by others rather more often than that.
+        if left ** (MOST_WALKS / walks) > 1 - recall:
+            return 0
+    return 0
+
+
+def _replaced(words: np.ndarray, count: int, rng: np.random.Generator) -> np.ndarray:
+    out = words.copy()
+    at = rng.random(words.shape).argsort(axis=1)[:, :count]
+    np.put_along_axis(out, at, rng.integers(1, 1 << 62, at.shape).astype(np.uint64), axis=1)
+    return out
+
 
-    About ``trials`` copies, dealt to all sizes, set the number of walks, however many or
-    few items there are.
-    """
-    per_size = max(1, trials // len(known.by_size))
-    rng = np.random.Generator(np.random.PCG64(7))
-    hit = total = 0
-    for n, items in known.by_size.items():
-        items = np.resize(items, per_size)
-        original = known.flat[known.first[items][:, None] + np.arange(n)]
-        edited = []
-        for row in original:
-            left, budget = list(row), int(known.edits * n)
-            # A word put in or left out shifts the window's end: two edits of it.
-            while budget:
-                at, kind = int(rng.integers(0, n)), int(rng.integers(0, 3))
-                new = np.uint64(rng.integers(1, 1 << 62))
-                if kind == 0 and budget > 1:
-                    left = [*left[:at], new, *left[at:]][:n]
-                elif kind == 1 and budget > 1:
-                    left = [*left[:at], *left[at + 1 :], new]
-                else:
-                    left[at] = new
-                    kind = 2
-                budget -= 1 if kind == 2 else 2
-            edited.append(left)
-        edited = np.array(edited, np.uint64).reshape(len(items), n)
-        starts = np.arange(len(items)) * n
-        shared = np.zeros(len(items), bool)
-        for seed in range(known.walks):
-            own = keys_of(original.ravel(), starts, n, seed)
-            far = keys_of(edited.ravel(), starts, n, seed)
-            shared |= (own == far).any(axis=1)
-        hit, total = hit + int(shared.sum()), total + len(items)
-    return hit / max(total, 1)
+def _shifted(words: np.ndarray, count: int, rng: np.random.Generator) -> np.ndarray:
+    """Words put in or left out; that shifts the window's end: two edits of ``count``."""
+    m, n = words.shape
+    out, place = _replaced(words, count % 2, rng), np.arange(n)
+    for _ in range(count // 2):
+        at, more = rng.integers(0, n, (m, 1)), rng.integers(0, 2, (m, 1)) > 0
+        source = place + np.where(more, -(place > at).astype(np.int64), place >= at)
+        out = np.take_along_axis(out, np.minimum(source, n - 1), axis=1)
+        new = rng.integers(1, 1 << 62, (m, 1)).astype(np.uint64)
+        np.put_along_axis(out, np.where(more, at, n - 1), new, axis=1)
+    return out
 
 
 def windows(known: Index, column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -250,20 +283,11 @@ def matches(known: Index, column: pa.Array) -> list[dict]:
 
 def _search(known: Index, n: int, parts: list, found: list[dict]) -> None:
     words, doc = (np.concatenate(x) for x in zip(*parts, strict=True))
-    keys, owner = known.keys[n]
-    flat, at = words.ravel(), np.arange(len(words)) * n
-    pairs = []
-    for seed in range(known.walks):
-        own = keys_of(flat, at, n, seed).ravel()
-        low, high = np.searchsorted(keys, own, "left"), np.searchsorted(keys, own, "right")
-        count = high - low
-        window = np.repeat(np.arange(len(own)) // SETS, count)
-        offset = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-        pairs.append(window * len(known.ids) + owner[np.repeat(low, count) + offset])
-    pairs = np.unique(np.concatenate(pairs))
+    pairs = _sharing(known, n, words) if not known.walks[n] else _meeting(known, n, words)
     limit = int(known.edits * n)
-    for low in range(0, len(pairs), AT_ONCE):
-        window, item = np.divmod(pairs[low : low + AT_ONCE], len(known.ids))
+    step = min(AT_ONCE, max(1, PAIR_WORDS // n))
+    for low in range(0, len(pairs), step):
+        window, item = np.divmod(pairs[low : low + step], len(known.ids))
         far = known.flat[known.first[item][:, None] + np.arange(n)]
         distance = distances(words[window], far)
         near = distance <= limit
@@ -272,6 +296,41 @@ def _search(known: Index, n: int, parts: list, found: list[dict]) -> None:
             found[row][i] = min(d, found[row].get(i, d))
 
 
+def _meeting(known: Index, n: int, words: np.ndarray) -> np.ndarray:
+    """Pairs of window and item with an LSH key in common, as window * items + item."""
+    flat, at = words.ravel(), np.arange(len(words)) * n
+    pairs = []
+    for seed in range(known.walks[n]):
+        own = keys_of(flat, at, n, seed).ravel()
+        window, item = _held(known.keys[n], own)
+        pairs.append(window // SETS * len(known.ids) + item)
+    return np.unique(np.concatenate(pairs))
+
+
+def _sharing(known: Index, n: int, words: np.ndarray) -> np.ndarray:
+    """All pairs with as many grams in common as a match has at least."""
+    size, least = _gram(n, known.edits)
+    # A window meets each item at most once per gram.
+    step = max(1, AT_ONCE * 512 // (n * len(known.by_size[n])))
+    pairs = []
+    for low in range(0, len(words), step):
+        grams = grams_of(words[low : low + step], size)
+        window, item = _held(known.keys[n], grams.ravel())
+        window = window // grams.shape[1] + low
+        pair, count = np.unique(window * len(known.ids) + item, return_counts=True)
+        pairs.append(pair[count >= least])
+    return np.concatenate(pairs)
+
+
+def _held(keys: tuple[np.ndarray, np.ndarray], own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places in ``own`` of keys that items have, and these items."""
+    known, owner = keys
+    low, high = np.searchsorted(known, own, "left"), np.searchsorted(known, own, "right")
+    count = high - low
+    offset = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    return np.repeat(np.arange(len(own)), count), owner[np.repeat(low, count) + offset]
+
+
 def marked(
     docs: DataFrame, benchmark: DataFrame, edits: float = EDITS, recall: float = RECALL, block_words: int = BLOCK_WORDS
 ) -> DataFrame:

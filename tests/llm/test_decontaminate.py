@@ -1,6 +1,7 @@
 import random
 import string
 
+import pyarrow as pa
 from brute import prose
 
 from smeltery.llm import decontaminate
@@ -78,3 +79,42 @@ def test_nothing_to_find(spark, documents):
     rows = decontaminate.marked(documents([(None, "x a b c", "en"), (2, "x a b c", "en")]), bench).collect()
     assert [len(r["items"]) for r in rows] == [2, 2]
     assert decontaminate.marked(documents([]), bench).collect() == []
+
+
+def copies(rng, words, count):
+    """Copies of ``words`` with as many words replaced as the limit allows."""
+    for _ in range(count):
+        parts = list(words)
+        for at in rng.sample(range(len(parts)), len(parts) // 5):
+            parts[at] = f"edit{rng.randrange(10**9)}"
+        yield " ".join(parts)
+
+
+def test_each_size_of_item_is_found_at_the_recall():
+    rng = random.Random(5)
+    sizes = [*range(8, 26, 2), 40, 59, 400]
+    items = [[f"w{n}x{k}" for k in range(n)] for n in sizes]
+    known = decontaminate.index(sizes, pa.array([" ".join(x) for x in items], pa.large_string()))
+    for n, many in ((20, 1000), (40, 1000), (59, 1000), (400, 20)):
+        k = sizes.index(n)
+        texts = list(copies(rng, items[k], many))
+        found = decontaminate.matches(known, pa.array(texts, pa.large_string()))
+        hits = [f[k] for f in found if k in f]
+        assert all(d <= n // 5 for d in hits)
+        assert len(hits) >= 0.99 * many if n < 400 else len(hits) == many
+
+
+def test_without_walks_nothing_is_missed():
+    for seed in (2, 3):
+        texts, items = case(seed)
+        # Limits from 0.3 on leave no run of three words that must be shared.
+        for edits in (0.2, 0.3):
+            column = pa.array([x for _, x in items], pa.large_string())
+            known = decontaminate.index([i for i, _ in items], column, edits, recall=1)
+            found = decontaminate.matches(known, pa.array(texts, pa.large_string()))
+            got = {(doc, known.ids[i]): d for doc, f in enumerate(found) for i, d in f.items()}
+            want = {k: d for k, d in brute(texts, items, edits).items()}
+            short = {i for i, x in items if decontaminate.least_runs(len(plain(x)), edits) == 1}
+            assert {k: d for k, d in got.items() if k[1] not in short} == {
+                k: d for k, d in want.items() if k[1] not in short
+            }

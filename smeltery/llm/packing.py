@@ -11,6 +11,7 @@ two, which need no padding.
 A null text is an empty one: its document has the closing id only. Rows with a null or a
 repeated id are documents of their own. An empty table gives no rows. Tokens of a word do
 not depend on its neighbours, so words are encoded once per task while they are remembered.
+Added tokens of the tokenizer are matched in the raw text, so texts that hold one go whole.
 """
 
 from __future__ import annotations
@@ -56,6 +57,10 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        added = list(self.tokenizer.get_added_tokens_decoder().values())
+        self.added = [arrays.LOWER[np.frombuffer(t.content.encode(), np.uint8)].tobytes() for t in added if t.content]
+        # Where tokens are matched after normalization, bytes do not tell which texts hold one.
+        self.all_whole = any(t.normalized for t in added)
         self._forget()
 
     def _forget(self) -> None:
@@ -80,8 +85,12 @@ class Encoder:
 
     def encode(self, w: arrays.Words) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, and where those of each text begin, with the end last."""
-        starts, ends = _pieces(w)
         lowered = arrays.LOWER[w.data]
+        whole = self._whole(w, lowered)
+        starts, ends = _pieces(w)
+        if len(whole):
+            cut = ~np.isin(np.searchsorted(w.offsets, starts, "right") - 1, whole)
+            starts, ends = starts[cut], ends[cut]
         hashes = arrays.hash_spans(lowered, starts, ends)
         distinct, at, which = np.unique(hashes, return_index=True, return_inverse=True)
         if len(self.known) + len(distinct) > _REMEMBERED:
@@ -97,7 +106,36 @@ class Encoder:
         before = np.concatenate([[0], np.cumsum(count)])
         flat = np.repeat(self.begin[place] - before[:-1], count) + np.arange(before[-1])
         first = before[np.searchsorted(starts, w.offsets)]
-        return self.pool[flat], first
+        return self._with_whole(w, whole, self.pool[flat], first)
+
+    def _whole(self, w: arrays.Words, lowered: np.ndarray) -> np.ndarray:
+        """The texts that hold an added token, in any case of its letters: pieces are lower-cased."""
+        if self.all_whole:
+            return np.arange(len(w.offsets) - 1)
+        raw, found = lowered.tobytes(), set()
+        for content in self.added:
+            at = raw.find(content)
+            while at >= 0:
+                k = int(np.searchsorted(w.offsets, at, "right")) - 1
+                # What begins in one text and ends in the next is no token.
+                if at + len(content) <= w.offsets[k + 1]:
+                    found.add(k)
+                    at = int(w.offsets[k + 1]) - 1
+                at = raw.find(content, at + 1)
+        return np.array(sorted(found), np.int64)
+
+    def _with_whole(
+        self, w: arrays.Words, whole: np.ndarray, flat: np.ndarray, first: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Put the ids of the texts that were left out between the others."""
+        if not len(whole):
+            return flat, first
+        texts = [w.data[w.offsets[k] : w.offsets[k + 1]].tobytes().decode("utf-8", "replace") for k in whole]
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        count = np.zeros(len(first), np.int64)
+        count[whole + 1] = [len(x) for x in ids]
+        own = np.fromiter((i for x in ids for i in x), np.uint32, int(count.sum()))
+        return np.insert(flat, np.repeat(first[whole], count[whole + 1]), own), first + np.cumsum(count)
 
 
 @cache

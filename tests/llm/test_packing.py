@@ -72,6 +72,42 @@ def test_words_are_encoded_as_in_their_text():
         assert flat[first[k] : first[k + 1]].tolist() == direct(text)[:-1]
 
 
+ADDED = [
+    "a <|endoftext|> b",
+    "Plain words",
+    "<|startoftext|>Hello<|ENDOFTEXT|> don't<|EndOfText|>'s",
+    "don't<|endoftext|>'S 'T<|STARTOFTEXT|>",
+    "e<|endoftext|>\u0301  <|endoftext|>",
+    "<|endof",
+    "text|> <|endoftext |>",
+    "",
+    None,
+    "日<|ENDOFTEXT|>本 <|endoftext|><|endoftext|>",
+    "\"it's<|ENDOFTEXT|>\"",
+    "word " * 300 + "<|endoftext|>",
+]
+
+
+@pytest.mark.parametrize("size", [8, 4096])
+def test_added_tokens_are_matched_in_the_raw_text(documents, size):
+    check(packing.pack(documents(ADDED * 2), size=size).collect(), ADDED * 2, size)
+
+
+def test_added_tokens_that_match_normalized_text(tmp_path):
+    import pyarrow as pa
+    from tokenizers import AddedToken
+
+    tokenizer = Tokenizer.from_file(packing.tokenizer_path())
+    tokenizer.add_tokens([AddedToken("two words", normalized=True)])
+    tokenizer.save(f"{tmp_path}/t.json")
+    texts = ["Two\t WORDS", None, "two", "words"]
+    encoder = packing.Encoder(f"{tmp_path}/t.json")
+    flat, first = encoder.encode(arrays.words(*arrays.texts(pa.array(texts, pa.string()))))
+    for k, text in enumerate(texts):
+        want = tokenizer.encode(text or "", add_special_tokens=False).ids
+        assert flat[first[k] : first[k + 1]].tolist() == want
+
+
 def test_the_level_that_lowers_the_sum_of_squares_is_chosen():
     rng = np.random.default_rng(3)
     packer = packing.Packer(50, 10_000, 0)

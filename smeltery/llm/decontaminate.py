@@ -13,7 +13,7 @@ as a match must: none is lost. Candidates are verified by exact edit distance.
 
 Only windows that can match are embedded: a window within k edits shares at least
 n - 2 - 3k of its three-word runs with the item, so windows with fewer runs of the items of
-their size are left out without loss.
+their size are left out without loss. Where that is less than one run, none is left out.
 
 Items are taken to the driver and the tasks in blocks of at most ``block_words`` words,
 with one pass over the documents each. Null or wordless items and texts match nothing;
@@ -71,7 +71,7 @@ def runs_of(hashes: np.ndarray) -> np.ndarray:
 
 
 def least_runs(n: int, edits: float) -> int:
-    return max(1, n - RUN + 1 - RUN * int(edits * n)) if n >= RUN else 0
+    return max(0, n - RUN + 1 - RUN * int(edits * n))
 
 
 def walk(flat: np.ndarray, starts: np.ndarray, n: int, seed: int, steps: np.ndarray) -> np.ndarray:
@@ -139,9 +139,9 @@ def index(ids: list, column: pa.Array, edits: float = EDITS, recall: float = REC
     by_size = {int(n): np.flatnonzero(sizes == n) for n in np.unique(sizes) if n}
     runs = [runs_of(flat[first[i] : first[i + 1]]) for i in range(len(ids))]
     none = np.empty(0, np.uint64)
-    # Of items shorter than a run every window is looked at.
+    # Where no run must be shared, as with items shorter than one, every window is looked at.
     of_size = {
-        n: np.unique(np.concatenate([runs[i] for i in items])) if n >= RUN else None
+        n: np.unique(np.concatenate([runs[i] for i in items])) if least_runs(n, edits) else None
         for n, items in by_size.items()
     }
     runs = np.unique(np.concatenate([none, *(x for x in of_size.values() if x is not None)]))
@@ -165,8 +165,8 @@ def index(ids: list, column: pa.Array, edits: float = EDITS, recall: float = REC
 
 def _gram(n: int, edits: float) -> tuple[int, int]:
     """The size of grams to look for, and how many of them a window within the limit shares."""
-    by_run = n - RUN + 1 - RUN * int(edits * n)
-    return (RUN, by_run) if by_run >= 1 else (1, max(1, n - int(edits * n)))
+    by_run = least_runs(n, edits)
+    return (RUN, by_run) if by_run else (1, max(1, n - int(edits * n)))
 
 
 def grams_of(words: np.ndarray, size: int) -> np.ndarray:

@@ -1,15 +1,17 @@
 """Quality rules: how far a document's histograms lie from those of its language.
 
 The references are, for each language, the shares of character classes and of common
-words, summed over all documents that pass the base rules. A document is kept if some
-language is near in both by Jensen-Shannon distance (base 2, so 0 to 1). The histogram of
+words, summed over all documents that pass the base rules. A language is a reference from
+``min_reference_docs`` such documents with ``min_reference_words`` words on; documents of
+others, of no language, or of a code that names none (``NO_LANGUAGE``) are judged by the
+references there are. A document is kept if some language is near in both by Jensen-Shannon distance (base 2, so 0 to 1). The histogram of
 common words is judged from ``min_word_sample`` words on and that of characters from
 ``min_char_sample`` word characters on; shorter documents are not judged by it.
 
 The base rules reject documents of fewer than 50 words and those in which more than half
 of the words lie in a three-word run that occurs twice. A null or empty text has no words
 and fails. Rows are kept as they are, repeated ones or those with a null id too. Without
-a reference (empty table, no language) the method rejects nothing.
+a reference (empty table, no language that is large enough) the method rejects nothing.
 """
 
 from __future__ import annotations
@@ -33,6 +35,8 @@ COMMON_WORDS = {
     "fr": "avec dans de des du en est et la le les pas pour que qui sur un une",
 }
 WORD_LIST = sorted({w for words in COMMON_WORDS.values() for w in words.split()})
+# Codes of ISO 639 for texts of no, of several, of other and of unknown languages.
+NO_LANGUAGE = ("", "und", "zxx", "mul", "mis")
 SYMBOLS = b"#*$%&|<>"
 CLASSES = 9
 
@@ -66,7 +70,9 @@ class Limits:
     """Largest distances, and the sizes from which a histogram is judged.
 
     A histogram of n words strays from its language's by about 1 / sqrt(n), so a limit is
-    its base plus its noise over the root of the number of words.
+    its base plus its noise over the root of the number of words. References of
+    ``min_reference_words`` stray by a tenth of a limit; ``min_reference_docs`` keeps a
+    document, or a few, from being their own reference.
     """
 
     chars: float = 0.21
@@ -75,6 +81,8 @@ class Limits:
     words_noise: float = 0.9
     min_char_sample: int = 200
     min_word_sample: int = 50
+    min_reference_docs: int = 10
+    min_reference_words: int = 2_000
 
 
 BASE = {
@@ -170,14 +178,17 @@ def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
             yield part, arrays.words(*arrays.texts(part.column("text")))
 
 
-def references(docs: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray]]:
-    """Histograms of each language, over all documents that pass the base rules."""
+def references(docs: DataFrame, limits: Limits = Limits()) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """Histograms of each language that is large enough, over all documents that pass the
+    base rules."""
+    last = CLASSES + len(WORD_LIST) + 1
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
         for part, w in _words(batches):
             passed = ~base_counts(w)["base_failed"]
-            both = np.concatenate(histograms(w), axis=1)
+            # The last bin counts documents.
+            both = np.concatenate([*histograms(w), np.ones((part.num_rows, 1), np.int64)], axis=1)
             langs = part.column("lang").to_pylist()
             for lang in set(langs):
                 own = passed & np.array([x == lang for x in langs])
@@ -188,19 +199,24 @@ def references(docs: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray]]:
             )
 
     bins = (
-        docs.where(F.col("lang").isNotNull())
+        docs.where(~F.lower(F.trim("lang")).isin(*NO_LANGUAGE))
         .select("text", "lang")
         .mapInArrow(partial, "lang string, bin long, n long")
         .groupBy("lang", "bin")
         .agg(F.sum("n").alias("n"))
         .groupBy("lang")
-        .agg(F.sort_array(F.collect_list(F.struct("bin", "n"))).alias("bins"))
+        .agg(
+            F.sort_array(F.collect_list(F.struct("bin", "n"))).alias("bins"),
+            F.sum(F.when(F.col("bin") == last, F.col("n"))).alias("docs"),
+            F.sum(F.when(F.col("bin").between(CLASSES, last - 1), F.col("n"))).alias("words"),
+        )
+        .where((F.col("docs") >= limits.min_reference_docs) & (F.col("words") >= limits.min_reference_words))
     )
     out = {}
     for row in bins.collect():
         counts = np.array([x.n for x in row.bins])
         if counts.sum():
-            out[row.lang] = counts[:CLASSES], counts[CLASSES:]
+            out[row.lang] = counts[:CLASSES], counts[CLASSES:last]
     return out
 
 
@@ -210,7 +226,7 @@ def judge(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     Columns of these names in ``docs`` are replaced. ``docs`` needs text and lang.
     """
     small_batches(docs.sparkSession)
-    known = references(docs)
+    known = references(docs, limits)
     added = BASE | {"chars_distance": "double", "words_distance": "double", "kept": "boolean"}
     others = [c for c in docs.columns if c not in added]
 

@@ -108,6 +108,28 @@ def test_documents_far_from_their_language_go(documents):
     assert all(kept[k] for k in range(80)) and not kept[80] and not kept[81]
 
 
+def test_small_groups_are_no_references(documents):
+    rng = random.Random(6)
+    common = divergence.COMMON_WORDS["en"].split()
+
+    def english(n):
+        return " ".join(rng.choice(common) if rng.random() < 0.4 else f"wo{rng.choice('abcde')}rd{rng.choice('ilmno')}t" for _ in range(n)) + "."
+
+    def junk(n):
+        return " ".join(f"x{rng.randrange(10**6)}***" for _ in range(n))
+
+    rows = [(k, english(rng.randrange(60, 300)), "en") for k in range(80)]
+    # A language with one document, with one long one, with few documents, with few words; codes of none.
+    rows += [(80, junk(100), "xa"), (81, junk(5000), "xb")]
+    rows += [(82 + k, junk(600), "xc") for k in range(9)]
+    rows += [(100 + k, junk(60), "xd") for k in range(20)]
+    rows += [(200 + k, junk(300), lang) for k, lang in enumerate(["und", "", " ", "UND", None] * 20)]
+    rows += [(400, junk(100), "en"), (401, english(200), "xe"), (402, english(200), "und")]
+    kept = {r.doc_id for r in divergence.judge(documents(rows)).collect() if r.kept}
+    assert kept == {*range(80), 401, 402}
+    assert sorted(divergence.references(documents(rows))) == ["en"]
+
+
 def test_odd_rows_of_quality(documents):
     assert divergence.judge(documents([])).collect() == []
     text = " ".join(f"w{k}" for k in range(60))

@@ -1,6 +1,6 @@
 """Toxicity by weak supervision.
 
-1. Terms are mined from labelled rows: words and word beginnings that hardly occur outside
+1. Terms are mined from all labelled rows: words and word beginnings that hardly occur outside
    toxic rows. They are dealt to many lexicon voters; pattern voters (share of capitals,
    of exclamation marks, direct address) join them. A voter fires on a text or is silent.
 2. A generative label model sees votes only. One pass over all documents sums how often
@@ -22,16 +22,18 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from smeltery.llm import arrays
-from smeltery.llm.shared import and_fields
+from smeltery.llm.shared import and_fields, parted
 
 PREFIXES = (4, 5)
 LEXICON_VOTERS = 24
 VOTERS = LEXICON_VOTERS + 4
 BUCKETS = 1 << 15
+HELD_TERMS = 1 << 20
+SENT_ROWS = 1 << 16
 _EDGE = np.zeros(256, bool)
 _EDGE[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
 
@@ -41,9 +43,10 @@ ADDRESS = "du dich dir ihr tu toi vous tú usted you your u ur".split()
 
 @dataclass(frozen=True)
 class Settings:
-    """``sample`` bounds the labelled rows used for mining and the rows of the classifier."""
+    """``sample`` and ``sample_bytes`` bound the texts that the classifier is trained on."""
 
     sample: int = 6_000
+    sample_bytes: int = 1 << 25
     min_rows: int = 5
     precision: float = 0.9
     steps: int = 150
@@ -143,45 +146,86 @@ def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
             yield part, arrays.words(*arrays.texts(part.column("text")))
 
 
-def bounded(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
-    """Text and label of at most ``rows`` documents, those whose hashed ids are smallest.
+def learned(labels: DataFrame) -> DataFrame:
+    """One row per labelled id."""
+    known = labels.where("toxic is not null and doc_id is not null")
+    return known.groupBy("doc_id").agg((F.max("toxic") > 0).alias("toxic"))
+
 
-    The labels are cut to that many before they meet the texts, so they can be broadcast.
+def bounded(docs: DataFrame, known: DataFrame, toxic: int, clean: int, settings: Settings) -> DataFrame:
+    """Text and label of at most ``sample`` documents, of each class those whose hashed ids
+    are smallest: half of them toxic, or what there is of the smaller class.
+
+    The texts of a class hold half of ``sample_bytes`` and one more text at most. The ids
+    are cut to that many before they meet the texts, so they can be broadcast.
     """
-    known = labels.where("toxic is not null and doc_id is not null")
-    known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    return docs.join(F.broadcast(chosen), "doc_id").select("text", "toxic").limit(rows)
-
-
-def mine(sample: list[tuple[str, int]], settings: Settings) -> Model:
-    """Terms that hold for toxic rows, dealt to the lexicon voters in turn."""
-    if not any(y for _, y in sample) or all(y for _, y in sample):
-        return Model()
-    column = pa.array([t for t, _ in sample], pa.large_string())
-    label = np.array([y for _, y in sample])
-
-    def counted(only: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-        """Terms, and how many rows have them: the toxic rows, or all but of ``only``."""
-        found = [np.empty(0, np.uint64)]
-        for low, high in arrays.blocks(column):
-            if only is None and not label[low:high].any():
-                continue
-            w = arrays.words(*arrays.texts(column.slice(low, high - low)))
-            for kind in tokens(w):
-                values, doc = arrays.distinct_per_text(kind, w.doc)
-                use = label[low:high][doc] > 0 if only is None else _is_in(values, only)
-                found.append(values[use & (values != 0)])
-        return np.unique(np.concatenate(found), return_counts=True)
-
-    known, bad = counted(None)
-    known, bad = known[bad >= settings.min_rows], bad[bad >= settings.min_rows]
-    held = counted(known)[1]
-    strong = bad >= settings.precision * held
-    order = np.lexsort((known[strong], -bad[strong]))
+    half = settings.sample // 2
+    most = min(toxic, max(half, settings.sample - clean))
+    known = known.join(docs.select("doc_id"), "doc_id", "left_semi")
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    bad = known.where("toxic").orderBy(*order).limit(most)
+    good = known.where("not toxic").orderBy(*order).limit(settings.sample - most)
+    earlier = Window.partitionBy("toxic").orderBy(*order, F.xxhash64("text"))
+    earlier = earlier.rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum(F.octet_length("text")).over(earlier), F.lit(0))
+    rows = docs.join(F.broadcast(bad.unionByName(good)), "doc_id").select("doc_id", "text", "toxic")
+    rows = rows.withColumn("before", before).where(F.col("before") < settings.sample_bytes // 2)
+    return rows.select("text", "toxic").limit(settings.sample)
+
+
+def _summed(parts: list[np.ndarray]) -> np.ndarray:
+    """Rows of (term, toxic, rows) summed by term."""
+    rows = np.concatenate(parts, axis=1)
+    terms, at = np.unique(rows[0], return_inverse=True)
+    sums = [np.bincount(at, x, len(terms)).astype(np.int64) for x in rows[1:]]
+    return np.stack([terms, *sums])
+
+
+def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many rows, and toxic rows, have each term; term 0 stands for all rows."""
+    parts: list[np.ndarray] = []
+
+    def sent(sums: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for low in range(0, sums.shape[1], SENT_ROWS):
+            columns = [pa.array(x[low : low + SENT_ROWS]) for x in sums]
+            yield pa.RecordBatch.from_arrays(columns, names=["term", "bad", "held"])
+
+    for part, w in _words(batches):
+        label = part.column("toxic").to_numpy(zero_copy_only=False).astype(np.int64)
+        terms, bad = [np.zeros(len(label), np.uint64)], [label]
+        for kind in tokens(w):
+            values, doc = arrays.distinct_per_text(kind, w.doc)
+            terms.append(values[values != 0])
+            bad.append(label[doc[values != 0]])
+        term = np.concatenate(terms).view(np.int64)
+        parts.append(_summed([np.stack([term, np.concatenate(bad), np.ones(len(term), np.int64)])]))
+        if sum(x.shape[1] for x in parts) > HELD_TERMS:
+            parts = [_summed(parts)]
+            if parts[0].shape[1] > HELD_TERMS // 2:
+                yield from sent(parts.pop())
+    if parts:
+        yield from sent(_summed(parts))
+
+
+def mine(docs: DataFrame, known: DataFrame, settings: Settings) -> tuple[Model, int, int]:
+    """Terms that hold for toxic rows, dealt to the lexicon voters in turn, and how many
+    labelled rows are toxic and clean. All labelled rows are counted."""
+    rows = parted(docs, known)[0].join(known, "doc_id").select("text", "toxic")
+    counts = rows.mapInArrow(_term_counts, "term long, bad long, held long").groupBy("term")
+    counts = counts.agg(F.sum("bad").alias("bad"), F.sum("held").alias("held"))
+    strong = (F.col("bad") >= settings.min_rows) & (F.col("bad") >= settings.precision * F.col("held"))
+    found = counts.where(strong | (F.col("term") == 0)).toArrow()
+    term, bad, held = (found.column(c).to_numpy() for c in ("term", "bad", "held"))
+    toxic, total = int(bad[term == 0].sum()), int(held[term == 0].sum())
+    if not toxic or toxic == total:
+        return Model(), toxic, total - toxic
+    terms, bad = term[term != 0].view(np.uint64), bad[term != 0]
+    by_term = np.argsort(terms)
+    terms, bad = terms[by_term], bad[by_term]
+    order = np.lexsort((terms, -bad))
     voter = np.empty(len(order), np.int64)
     voter[order] = np.arange(len(order)) % LEXICON_VOTERS
-    return Model(known[strong], voter)
+    return Model(terms, voter), toxic, total - toxic
 
 
 def together(docs: DataFrame, model: Model) -> np.ndarray:
@@ -331,14 +375,14 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
 
     Of several labels of one id the toxic one holds.
     """
-    rows = bounded(docs, labels, settings.sample).collect()
-    sample = [(r.text or "", int(r.toxic)) for r in rows]
-    model = mine(sample, settings)
+    known = learned(labels)
+    model, toxic, clean = mine(docs, known, settings)
     if not len(model.terms):
         return model
-    prior = float(np.clip(np.mean([y for _, y in sample]), 0.01, 0.5))
+    prior = float(np.clip(toxic / (toxic + clean), 1e-4, 0.5))
     model.fires, model.correlated = label_model(together(docs, model), prior)
-    model.weights = train([t for t, _ in sample], model, prior, settings)
+    texts = [r.text or "" for r in bounded(docs, known, toxic, clean, settings).collect()]
+    model.weights = train(texts, model, prior, settings)
     return model
 
 

@@ -164,6 +164,32 @@ def test_toxic_texts_score_higher(spark, documents):
     assert np.mean(right) > 0.97
 
 
+def test_rare_toxic_texts_are_learned_from_all_labels(spark, documents):
+    rows = [(k, t, y) for k, (_, t, y) in enumerate(r for r in toxic_rows(4000) if not r[2] or r[0] % 100 == 0)]
+    docs = documents([(k, t, "en") for k, t, _ in rows])
+    labels = spark.createDataFrame([(k, y) for k, _, y in rows], "doc_id long, toxic int")
+    settings = toxicity.Settings(sample=200)
+    model = toxicity.fit(docs, labels, settings)
+    got = {r.doc_id: r.predicted for r in toxicity.score(docs, model).collect()}
+    toxic = {k for k, _, y in rows if y}
+    assert len(toxic) == 40 and sum(got[k] for k in toxic) >= 38
+    assert sum(got.values()) <= 42
+
+
+def test_the_sample_is_bounded_in_rows_and_bytes_for_each_class(spark, documents):
+    rows = [(k, "word " * 20, int(k % 10 == 0)) for k in range(200)]
+    docs = documents([(k, t, "en") for k, t, _ in rows])
+    known = toxicity.learned(spark.createDataFrame([(k, y) for k, _, y in rows], "doc_id long, toxic int"))
+
+    def drawn(**settings):
+        got = toxicity.bounded(docs, known, 20, 180, toxicity.Settings(**settings)).collect()
+        return [sum(r.toxic == y for r in got) for y in (True, False)]
+
+    assert drawn(sample=100) == [20, 80]
+    assert drawn(sample=20) == [10, 10]
+    assert drawn(sample=100, sample_bytes=1000) == [5, 5]
+
+
 def test_label_model_finds_rates_and_correlated_voters():
     rng = np.random.default_rng(5)
     n, prior = 40_000, 0.2

@@ -33,7 +33,3 @@ def spark(tmp_path_factory):
 @pytest.fixture
 def as_of():
     return datetime(2024, 1, 5)
-
-
-def plan_of(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()

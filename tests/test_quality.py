@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import plan_of
+from plans_of import plan_of
 
 from smeltery.operators import quality
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,8 +13,10 @@ from smeltery.llm import (
     divergence,
     language,
     lines,
+    merkle,
     near_duplicates,
     packing,
+    sql,
     suffix_array,
     suffix_trees,
     toxicity,
@@ -89,6 +92,16 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(documents.select("doc_id", held_out, "text"), profiles)
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest of ``documents``, checked against rows of which a third lost their capitals."""
+    documents = table(spark, sf_dir, "documents", *merkle.FIELDS)
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    tampered = merkle.leaf_of(*(lowered if c == "text" else F.col(c) for c in merkle.FIELDS))
+    drawn = F.col("doc_id").isNotNull() & (remainder("doc_id", 3) == 0)
+    found = F.when(drawn, tampered).otherwise(merkle.leaf_of(*map(F.col, merkle.FIELDS)))
+    return merkle.manifest(documents, found=found, with_proof=False)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_decontaminate": op2_decontaminate,
@@ -100,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_suffix_trees": op9_suffix_trees,
     "op10_language": op10_language,
+    "op13_merkle": op13_merkle,
 }
 SQL: dict[str, str] = {
     "op5_near_duplicates": r"""
@@ -159,4 +173,5 @@ SQL: dict[str, str] = {
         select c.doc_id, len(w)::bigint as n_words, len(w) - coalesce(n, 0) as n_removed,
                sha256(coalesce(t, '')) as kept_sha256
         from cut c left join kept using (doc_id)""",
+    "op13_merkle": sql.merkle(),
 }

@@ -151,26 +151,26 @@ def components(edges: DataFrame) -> DataFrame:
     """The smallest node that each linked node reaches, as (doc, at, to_doc, to_at).
 
     Large and small stars in turn, each round a table in the shared folder; the smallest
-    node of a component has no row. Hot nodes are grouped before they move and their joins
-    may be split.
+    node of a component has no row. What is smallest is found by an aggregate, one row per
+    task and node, and stored: the joins with it are plain joins of two tables, of which Spark
+    splits a hot node's rows over tasks.
     """
     node, to = F.struct(*NODE), F.struct(F.col("to_doc").alias("doc"), F.col("to_at").alias("at"))
     links = edges.select(F.greatest(node, to).alias("a"), F.least(node, to).alias("b"))
     current = written(links.where("a != b").distinct())
     while not _settled(current):
-        both = current.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
-            current.select(F.col("b").alias("u"), F.col("a").alias("v"))
-        )
-        least = both.groupBy("u").agg(F.min("v").alias("m"))
-        least = least.select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
-        large = large.where("a != b").distinct()
-        down = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(down, "a").select(
+        # The large star: what is above b goes to the smallest below it.
+        below = written(current.groupBy("a").agg(F.min("b").alias("m")))
+        large = current.join(below.withColumnRenamed("a", "b"), "b", "left")
+        large = written(large.select("a", F.coalesce("m", "b").alias("b")).distinct())
+        # The small star: a and what is below it go to the smallest of those.
+        least = written(large.groupBy("a").agg(F.min("b").alias("m")))
+        small = large.join(least, "a").select(
             F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("x")
         )
         after = written(small.select("x.*").where("a != b").distinct())
-        forget(current)
+        for table in (current, below, large, least):
+            forget(table)
         current = after
         released(current.sparkSession)
     return current.select("a.doc", "a.at", F.col("b.doc").alias("to_doc"), F.col("b.at").alias("to_at"))

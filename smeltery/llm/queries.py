@@ -16,6 +16,7 @@ from smeltery.llm import (
     merkle,
     near_duplicates,
     packing,
+    simhash,
     sql,
     suffix_array,
     suffix_trees,
@@ -92,6 +93,10 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(documents.select("doc_id", held_out, "text"), profiles)
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.marked(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The manifest of ``documents``, checked against rows of which a third lost their capitals."""
     documents = table(spark, sf_dir, "documents", *merkle.FIELDS)
@@ -113,6 +118,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_suffix_trees": op9_suffix_trees,
     "op10_language": op10_language,
+    "op11_simhash": op11_simhash,
     "op13_merkle": op13_merkle,
 }
 SQL: dict[str, str] = {

@@ -17,6 +17,7 @@ from smeltery.llm import (
     near_duplicates,
     packing,
     simhash,
+    spelling,
     sql,
     suffix_array,
     suffix_trees,
@@ -97,6 +98,10 @@ def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.marked(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.grouped(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The manifest of ``documents``, checked against rows of which a third lost their capitals."""
     documents = table(spark, sf_dir, "documents", *merkle.FIELDS)
@@ -119,6 +124,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_suffix_trees": op9_suffix_trees,
     "op10_language": op10_language,
     "op11_simhash": op11_simhash,
+    "op12_spelling": op12_spelling,
     "op13_merkle": op13_merkle,
 }
 SQL: dict[str, str] = {
@@ -179,5 +185,6 @@ SQL: dict[str, str] = {
         select c.doc_id, len(w)::bigint as n_words, len(w) - coalesce(n, 0) as n_removed,
                sha256(coalesce(t, '')) as kept_sha256
         from cut c left join kept using (doc_id)""",
+    "op12_spelling": sql.SPELLING,
     "op13_merkle": sql.merkle(),
 }

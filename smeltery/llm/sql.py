@@ -4,8 +4,8 @@ from __future__ import annotations
 
 #: crc32 of the UTF-8 text ``{text}``, bit by bit.
 _CRC32 = """xor(4294967295::ubigint, list_reduce(list_prepend(4294967295::ubigint,
-    list_transform(range(0, octet_length({text}::blob)::bigint),
-        lambda k: ('0x' || substr(hex({text}::blob), 2 * k + 1, 2))::ubigint)),
+    list_transform(range(0, strlen({text})::bigint),
+        lambda k: ('0x' || substr(hex(encode({text})), 2 * k + 1, 2))::ubigint)),
     lambda c, b: list_reduce(list_prepend(xor(c, b), [0::ubigint, 0, 0, 0, 0, 0, 0, 0]),
         lambda x, y: xor(x >> 1, 3988292384::ubigint * (x & 1)))))"""
 
@@ -82,3 +82,40 @@ def merkle(levels: int = 7, levels_of_groups: int = 3) -> str:
                w.f as folded_root, w.f = r.h as verified
         from spot x join way{levels_of_groups} w using (rid) join tops t on x.g = t.name
         cross join top{levels_of_groups} r"""
+
+
+#: Words, forms and roots of ``documents``: near words share what is around a hole.
+SPELLING = rf"""
+    with recursive run as (
+        select doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{{00C0}}-\x{{00FF}}]+')) as r
+        from documents),
+    low as (
+        select coalesce(doc_id::varchar, '') as id, translate(r, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz') as r, count(*) as c
+        from run where length(r) >= 7 group by 1, 2),
+    hashed as (select r, c, {crc32("(id || ':' || r)")} as h from low),
+    changed as (
+        select case when h % 31 = 0
+            then substr(r, 1, (h % length(r))::bigint) || substr(r, (h % length(r))::bigint + 2)
+            else r end as word, c from hashed),
+    words as (
+        select word, sum(c)::bigint as n from changed where length(word) >= 7
+        group by word having sum(c) >= 2),
+    holes as (
+        select word, n, i, substr(word, 1, i - 1) as a, substr(word, i + 1) as b
+        from (select word, n, unnest(range(1, length(word) + 1)) as i from words)),
+    pairs as (
+        select x.word, y.word as other, y.n from holes x join holes y using (i, a, b) where x.word != y.word
+        union select x.word, y.word, y.n from holes x join words y on x.a || x.b = y.word
+        union select y.word, x.word, x.n from holes x join words y on x.a || x.b = y.word),
+    ranked as (
+        select word, other, n, count(*) over (partition by word) as n_near,
+            row_number() over (partition by word order by n desc, other) as k from pairs),
+    told as (
+        select w.word, w.n, coalesce(n_near, 0) as n_near,
+            case when p.n >= 10 * w.n then other end as form, case when p.n >= 10 * w.n then p.n end as form_n
+        from words w left join ranked p on p.word = w.word and k = 1),
+    way as (
+        select word, word as root from told where form is null
+        union all select told.word, way.root from told join way on told.form = way.word)
+    select word, form, root, n, n_near, form_n from told join way using (word)"""

@@ -19,7 +19,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from smeltery.llm import arrays
@@ -186,12 +186,81 @@ def nodes(pairs: DataFrame) -> DataFrame:
     return pairs.select(*NODE).unionByName(to).distinct()
 
 
-def star_pairs(starred: DataFrame) -> DataFrame:
-    """The distinct pairs of a node and a centre that shares a bucket with it."""
-    arranged = starred.repartition("route").sortWithinPartitions("route", *NODE)
-    shape = "key long, doc long, at long, to_doc long, to_at long"
-    pairs = arranged.mapInArrow(_stars, shape).where("doc != to_doc or at != to_at")
-    return written(pairs.select(*PAIR).distinct())
+#: A member of a bucket, and a pair, as they are packed into the bytes of a row.
+MEMBER = np.dtype([("key", "<i8"), ("doc", "<i8"), ("at", "<i8")])
+PACKED = "key int, members binary, pairs binary"
+
+
+def slots_of(spark: SparkSession) -> int:
+    """Into how many slots keys are dealt: a few for each partition of a shuffle."""
+    return 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def packed_stars(doc: np.ndarray, at: np.ndarray, keys: np.ndarray, slots: int) -> pa.RecordBatch:
+    """What ``stars_of_batch`` sends, as a row for each slot of keys and one for the pairs.
+
+    Most keys are alone in the world: as rows of their own they would cost far more than the
+    bytes that they hold.
+    """
+    n, bands = keys.shape
+    key, owner = keys.ravel(), np.repeat(np.arange(n), bands)
+    by_place = np.lexsort((at, doc))
+    rank = np.empty(n, np.int64)
+    rank[by_place] = np.arange(n)
+    order = np.lexsort((rank[owner], key))
+    key, owner = key[order], owner[order]
+    first = _first_of_run(key)
+    centre = owner[np.flatnonzero(first)[np.cumsum(first) - 1]]
+    # The others of a key go to its first, once each and not to themselves.
+    leaf = np.flatnonzero((doc[owner] != doc[centre]) | (at[owner] != at[centre]))
+    both = np.unique(owner[leaf] * n + centre[leaf])
+    pairs = np.stack([doc[both // n], at[both // n], doc[both % n], at[both % n]], axis=1)
+    members = np.empty(int(first.sum()), MEMBER)
+    members["key"], members["doc"], members["at"] = key[first], doc[owner[first]], at[owner[first]]
+    slot = (members["key"].view(np.uint64) >> np.uint64(20)) % np.uint64(slots)
+    by_slot = np.argsort(slot, kind="stable")
+    members, slot = members[by_slot], slot[by_slot]
+    start = np.flatnonzero(_first_of_run(slot)) if len(slot) else np.empty(0, np.int64)
+    count = len(start) + 1
+    ends = np.append(start, [len(members)] * 2) * MEMBER.itemsize
+    held = pa.Array.from_buffers(
+        pa.binary(), count, [None, pa.py_buffer(ends.astype(np.int32).tobytes()), pa.py_buffer(members.tobytes())]
+    )
+    routes = np.append(slot[start].astype(np.int64), int(doc[0]) % slots if n else 0)
+    sent = pa.array([None] * (count - 1) + [pairs.astype("<i8").tobytes()], pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(routes, pa.int32()), held, sent], ["key", "members", "pairs"])
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs of a node and the centre of a bucket, slot by slot."""
+    for held in whole_groups(batches):
+        pairs = [np.frombuffer(arrays.raw(held.column("pairs").chunk(0)), "<i8").reshape(-1, 4)]
+        members = np.frombuffer(arrays.raw(held.column("members").chunk(0)), MEMBER)
+        order = np.argsort(members["key"], kind="stable")
+        key = members["key"][order]
+        again = np.append(key[1:] == key[:-1], False) if len(key) else np.empty(0, bool)
+        again[1:] |= again[:-1].copy()
+        members = members[order[again]]
+        members = members[np.lexsort((members["at"], members["doc"], members["key"]))]
+        if len(members):
+            first = _first_of_run(members["key"])
+            centre = members[np.flatnonzero(first)[np.cumsum(first) - 1]]
+            found = np.stack([members["doc"], members["at"], centre["doc"], centre["at"]], axis=1)
+            pairs.append(found[(found[:, 0] != found[:, 2]) | (found[:, 1] != found[:, 3])])
+        together = np.concatenate(pairs)
+        if len(together):
+            together = together[np.lexsort(together.T)]
+            together = together[_first_of_run(*together.T)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in together.T.copy()], names=PAIR)
+
+
+def star_pairs(packed: DataFrame) -> DataFrame:
+    """The distinct pairs of a node and a centre that shares a bucket with it.
+
+    ``packed`` has the rows of ``packed_stars``; a task holds the members of one slot.
+    """
+    arranged = packed.repartition("key").sortWithinPartitions("key")
+    return written(arranged.mapInArrow(_unpacked, "doc long, at long, to_doc long, to_at long").distinct())
 
 
 def linked(
@@ -235,11 +304,17 @@ def _missed(
     node, to = F.struct(*NODE), F.struct(F.col("to_doc").alias("doc"), F.col("to_at").alias("at"))
     own = found.select(node.alias("node"), to.alias("component"))
     of_hub = own.select(F.col("node").alias("hub"), F.col("component").alias("hub_component"))
-    star = pairs.select(to.alias("hub"), node.alias("node"))
-    further = star.alias("far").join(star.alias("mid"), F.col("far.hub") == F.col("mid.node"))
+    star = pairs.select(to.alias("hub"), node.alias("node")).join(copies, "node", "left_anti")
+    told = star.join(own, "node", "left").join(of_hub, "hub", "left")
+    differ = F.coalesce("component", "node") != F.coalesce("hub_component", "hub")
+    # Only where a pair lies in two components, at one step or two, may a link be missed.
+    open_hubs = written(told.where(differ).select("hub").distinct())
+    outer = star.join(open_hubs.withColumnRenamed("hub", "node"), "node", "left_semi").select("hub")
+    open_hubs = written(open_hubs.unionByName(outer).distinct())
+    every, star = star, written(star.join(open_hubs, "hub", "left_semi"))
+    further = every.alias("far").join(star.alias("mid"), F.col("far.hub") == F.col("mid.node"))
     itself = star.select("hub", F.col("hub").alias("node"))
     around = star.unionByName(further.select("mid.hub", "far.node")).unionByName(itself).distinct()
-    around = around.join(copies, "node", "left_anti")
     around = around.join(own, "node", "left").join(of_hub, "hub", "left")
     around = around.select(
         "hub",

@@ -65,7 +65,7 @@ def shingles_of(
     return arrays.between(sums, at[use], end), line[use]
 
 
-def _starred(size: int, bins: int, rows: int):
+def _starred(size: int, bins: int, rows: int, slots: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             held: list[tuple] = []
@@ -81,7 +81,7 @@ def _starred(size: int, bins: int, rows: int):
                         keys = arrays.band_keys(signatures, rows)
                         held.append((ids[low + a + doc].astype(np.int64), line, keys))
                 if held:
-                    yield clusters.stars_of_batch(*map(np.concatenate, zip(*held, strict=True)))
+                    yield clusters.packed_stars(*map(np.concatenate, zip(*held, strict=True)), slots)
                     held = []
 
     return run
@@ -136,7 +136,8 @@ def repeated(
     """(doc_id, at, first_doc, first_at) of each line that goes and the line that stays."""
     small_batches(docs.sparkSession)
     own = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), "text")
-    pairs = clusters.star_pairs(own.mapInArrow(_starred(size, bins, rows), clusters.STARRED))
+    slots = clusters.slots_of(docs.sparkSession)
+    pairs = clusters.star_pairs(own.mapInArrow(_starred(size, bins, rows, slots), clusters.PACKED))
     wanted = clusters.nodes(pairs).groupBy(F.col("doc").alias("doc_id"))
     wanted = written(wanted.agg(F.collect_list("at").alias("at_lines")))
     texts = parted(own, wanted)[0].join(wanted, "doc_id").select("doc_id", "text", "at_lines")

@@ -36,7 +36,7 @@ def shingles_of(column: pa.Array, size: int = WORDS) -> tuple[np.ndarray, np.nda
     return arrays.shingles(hashes, w.first, size)
 
 
-def _starred(size: int, bins: int, rows: int):
+def _starred(size: int, bins: int, rows: int, slots: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             docs, keys = [], []
@@ -49,7 +49,7 @@ def _starred(size: int, bins: int, rows: int):
                 docs.append(ids.to_numpy(zero_copy_only=False)[found].astype(np.int64))
             if docs:
                 doc = np.concatenate(docs)
-                yield clusters.stars_of_batch(doc, np.zeros_like(doc), np.concatenate(keys))
+                yield clusters.packed_stars(doc, np.zeros_like(doc), np.concatenate(keys), slots)
 
     return run
 
@@ -82,7 +82,8 @@ def grouped(
     """(doc_id, component_id) of the documents that are linked with a smaller one."""
     small_batches(docs.sparkSession)
     own = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), "text")
-    pairs = clusters.star_pairs(own.mapInArrow(_starred(size, bins, rows), clusters.STARRED))
+    slots = clusters.slots_of(docs.sparkSession)
+    pairs = clusters.star_pairs(own.mapInArrow(_starred(size, bins, rows, slots), clusters.PACKED))
     wanted = clusters.nodes(pairs).select(F.col("doc").alias("doc_id"))
     texts = written(parted(own, wanted)[0].join(wanted, "doc_id"))
 

@@ -10,7 +10,8 @@ A word's vector holds its counts of eight groups of letters, then those of singl
 trie arranges words by successive counts. Near words differ by a surplus of one and a deficit
 of one at most, so a depth-first search spends a budget of one each, over the groups and again
 over the letters, and compares the words it ends at. The top of the trie is parted by Spark:
-a word goes as a member to its own path of some levels, and as a query to all paths in reach.
+a word goes as a member to its own path of some levels, and as a query to the paths in reach
+where it finds a surplus first, so that of two words one asks for the other.
 Paths with more than ``LIMIT`` members are made longer by a level, until they hold fewer, and
 queries of a path are dealt over tasks, each with its members. Below, a task searches for all
 queries at once. A path that has no more levels holds words of the same letters, which are cut
@@ -49,7 +50,7 @@ MORE = 15
 #: Words of a task that are counted before they are sent on.
 HELD = 1 << 18
 #: Pairs of members and queries that are compared without going deeper.
-CUT = 1024
+CUT = 1 << 15
 #: Words up to this length are compared many at once.
 SHORT = 32
 
@@ -155,9 +156,13 @@ def _routes(path: np.ndarray, member: bool, batch: pa.RecordBatch, own: np.ndarr
 
 
 def _first_routes(depth: int):
-    """Members at their path of ``depth`` levels, and queries at all that lie in reach."""
-    steps = [(None, None), *((u, None) for u in range(depth)), *((None, d) for d in range(depth))]
-    steps += [(u, d) for u in range(depth) for d in range(depth) if u != d]
+    """Members at their path of ``depth`` levels, and queries at those in reach.
+
+    Of two words on different paths one asks for the other: the one that finds a surplus where
+    the paths first differ.
+    """
+    steps = [(None, None), *((u, None) for u in range(depth))]
+    steps += [(u, d) for u in range(depth) for d in range(u + 1, depth)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -186,7 +191,9 @@ def _longer(levels: int):
         member = batch.column("member").to_numpy(zero_copy_only=False)
         step = path[:, 0 if depth < GROUPS else GROUPS :] - own[:, 0 if depth < GROUPS else GROUPS : depth]
         rises, falls = (step > 0).any(axis=1), (step < 0).any(axis=1)
-        for more, free in ((0, np.ones(len(own), bool)), (1, ~rises & ~member), (-1, ~falls & ~member)):
+        differs = rises | (path[:, :GROUPS] != own[:, :depth][:, :GROUPS]).any(axis=1)
+        every = np.ones(len(own), bool)
+        for more, free in ((0, every), (1, ~rises & ~member), (-1, ~falls & differs & ~member)):
             last = own[:, depth] + more
             use = free & (last >= 0) & (last <= 255)
             longer = np.concatenate([path, last[:, None]], axis=1)
@@ -205,42 +212,49 @@ def _longer(levels: int):
     return run
 
 
-def searched(members: np.ndarray, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of members and queries that differ by a surplus and a deficit of one at most.
+def ends_of(found: list[bytes], size: int) -> np.ndarray:
+    """The first and the last ``size`` code points of each word, three at most, as numbers."""
+    heads = np.array([w[:size] for w in found], "S4").view(np.int32)
+    return np.stack([heads, np.array([w[len(w) - size :] for w in found], "S4").view(np.int32)])
+
+
+def searched(
+    members: np.ndarray, queries: np.ndarray, m_ends: np.ndarray, q_ends: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of members and queries that may be near: all that are, and some others.
 
     Both are vectors; members are in their order, which makes a trie of them: a node is a range
-    and a level. The search goes down with all queries that still have a way.
+    and a level. The search goes down with all queries that still have a way. Where few pairs
+    are left, those go on that begin or end alike: one edit leaves one of both as it is.
     """
-    found = []
+    found = [np.empty((2, 0), np.int64)]
     none = np.zeros(len(queries), bool)
     stack = [(0, len(members), 0, np.arange(len(queries)), none, none)]
+    columns = np.ascontiguousarray(queries.T.astype(np.int16))
     while stack:
         low, high, level, own, up, down = stack.pop()
         if level == GROUPS:
             up, down = np.zeros(len(own), bool), np.zeros(len(own), bool)
         if (high - low) * len(own) <= CUT or level == LEVELS:
-            most = max(1, 8 * CUT // (high - low))
+            most = max(1, CUT // (high - low))
             for a in range(0, len(own), most):
                 part = own[a : a + most]
-                step = members[low:high, None].astype(np.int16) - queries[part]
-                rest = step[:, :, GROUPS:]
-                near = (rest.clip(min=0).sum(axis=2) <= 1) & (rest.clip(max=0).sum(axis=2) >= -1)
-                # Words of equal letters are not near, unless there are more than can be told.
-                x, y = np.nonzero(near & (step.any(axis=2) | (queries[part] == 255).any(axis=1)))
-                found.append((x + low, part[y]))
+                alike = m_ends[0, low:high, None] == q_ends[0, part]
+                alike |= m_ends[1, low:high, None] == q_ends[1, part]
+                x, y = np.nonzero(alike)
+                found.append(np.stack([x + low, part[y]]))
             continue
         values = members[low:high, level]
         cuts = np.flatnonzero(np.diff(values)) + 1
-        asked = queries[own, level].astype(np.int16)
+        asked = columns[level, own]
         for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), high - low], strict=True):
             step = int(values[a]) - asked
-            use = (step == 0) | ((step == 1) & ~up) | ((step == -1) & ~down)
-            if use.any():
+            use = np.flatnonzero((step == 0) | ((step == 1) & ~up) | ((step == -1) & ~down))
+            if len(use):
                 step = step[use]
                 stack.append((low + a, low + b, level + 1, own[use], up[use] | (step == 1), down[use] | (step == -1)))
-    if not found:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    return np.concatenate([x for x, _ in found]), np.concatenate([y for _, y in found])
+    x, y = np.concatenate(found, axis=1)
+    return x, y
 
 
 def one_edit(a: bytes, b: bytes) -> bool:
@@ -289,7 +303,7 @@ PARTIAL = "word string, n_near long, best_n long, best string"
 
 
 def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For the queries of each path: how many members are near, and the most frequent."""
+    """For the words of each path: how many are near, and the most frequent of them."""
     for held in clusters.whole_groups(batches):
         # Should two keys be equal, paths and blocks still tell.
         group = held.group_by(["path", "salt", "block"], use_threads=False).aggregate([])
@@ -306,28 +320,36 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own, asked = found[member], found[~member]
             if not len(own) or not len(asked):
                 continue
-            known = vectors(own.tolist())
+            known, sought = vectors(own.tolist()), vectors(asked.tolist())
             order = np.lexsort(known.T[::-1])
-            own, known, n = own[order], known[order], count[member][order]
-            x, y = searched(known, vectors(asked.tolist()))
+            own, known, n = own[order], known[order], (count[member][order], count[~member])
+            size = min(3, min(map(len, found)) // 2)
+            x, y = searched(known, sought, ends_of(own.tolist(), size), ends_of(asked.tolist(), size))
+            # Words on this path ask for each other: once is enough.
+            here = (sought[:, : len(path)] == np.frombuffer(path, np.uint8)).all(axis=1)
+            once = ~here[y] | (asked[y] < own[x])
+            x, y = x[once], y[once]
             keep = near(own.tolist(), asked.tolist(), x, y)
             x, y = x[keep], y[keep]
-            rank = np.empty(len(own), np.int64)
-            rank[sorted(range(len(own)), key=own.__getitem__)] = np.arange(len(own))
-            order = np.lexsort((rank[x], -n[x], y))
-            x, y = x[order], y[order]
-            first = np.flatnonzero(np.diff(y, prepend=-1))
-            if len(first):
-                sums = np.diff(np.append(first, len(y)))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([w.decode("latin-1") for w in asked[y[first]]]),
-                        pa.array(sums),
-                        pa.array(n[x[first]]),
-                        pa.array([w.decode("latin-1") for w in own[x[first]]]),
-                    ],
-                    ["word", "n_near", "best_n", "best"],
-                )
+            if len(x):
+                yield _partial(asked, y, own, x, n[0])
+                yield _partial(own, x, asked, y, n[1])
+
+
+def _partial(words: np.ndarray, a: np.ndarray, others: np.ndarray, b: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    """For each of words[a]: how many others[b] there are, and the one of largest ``n``."""
+    rank = np.empty(len(others), np.int64)
+    rank[sorted(range(len(others)), key=others.__getitem__)] = np.arange(len(others))
+    order = np.lexsort((rank[b], -n[b], a))
+    a, b = a[order], b[order]
+    first = np.flatnonzero(np.diff(a, prepend=-1))
+    columns = [
+        pa.array([w.decode("latin-1") for w in words[a[first]]]),
+        pa.array(np.diff(np.append(first, len(a)))),
+        pa.array(n[b[first]]),
+        pa.array([w.decode("latin-1") for w in others[b[first]]]),
+    ]
+    return pa.RecordBatch.from_arrays(columns, ["word", "n_near", "best_n", "best"])
 
 
 def neighbours(known: DataFrame, limit: int = LIMIT, queries: int = QUERIES, depth: int | None = None) -> DataFrame:

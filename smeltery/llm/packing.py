@@ -33,7 +33,7 @@ from smeltery.llm.shared import small_batches
 
 WINDOW = 4096
 CLOSING = 2
-_REMEMBERED = 300_000
+_REMEMBERED = 600_000
 _AT_ONCE = 4_000
 
 _KIND = np.full(256, 3, np.uint8)
@@ -61,6 +61,12 @@ class Encoder:
         self.added = [arrays.LOWER[np.frombuffer(t.content.encode(), np.uint8)].tobytes() for t in added if t.content]
         # Where tokens are matched after normalization, bytes do not tell which texts hold one.
         self.all_whole = any(t.normalized for t in added)
+        # A word of plain letters may go straight to the model, if that gives the same ids.
+        letters = "abcdefghijklmnopqrstuvwxyz"
+        probes = [*letters, *(a + b for a in letters for b in letters), "internationalization", letters * 3]
+        whole = self.tokenizer.encode_batch_fast(probes, add_special_tokens=False)
+        tokenize = self.tokenizer.model.tokenize
+        self.direct = all(e.ids == [t.id for t in tokenize(p)] for e, p in zip(whole, probes, strict=True))
         self._forget()
 
     def _forget(self) -> None:
@@ -70,11 +76,18 @@ class Encoder:
         self.pool = np.zeros(0, np.uint32)
 
     def _learn(self, hashes: list[int], values: list[str]) -> None:
-        ids: list[list[int]] = []
-        for low in range(0, len(values), _AT_ONCE):
-            some = values[low : low + _AT_ONCE]
-            some = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
-            ids.extend(e.ids for e in some)
+        ids: list[list[int]] = [[]] * len(values)
+        tokenize, rest = self.tokenizer.model.tokenize, []
+        for k, value in enumerate(values):
+            if self.direct and value.isascii() and value.isalpha():
+                ids[k] = [t.id for t in tokenize(value)]
+            else:
+                rest.append(k)
+        for low in range(0, len(rest), _AT_ONCE):
+            some = rest[low : low + _AT_ONCE]
+            found = self.tokenizer.encode_batch_fast([values[k] for k in some], add_special_tokens=False)
+            for k, e in zip(some, found, strict=True):
+                ids[k] = e.ids
         count = np.fromiter(map(len, ids), np.int64, len(ids))
         self.known.update(zip(hashes, range(len(self.count), len(self.count) + len(ids))))
         begin = len(self.pool) + np.cumsum(count) - count
@@ -101,7 +114,7 @@ class Encoder:
             raw, spans = lowered.tobytes(), zip(starts[at[new]].tolist(), ends[at[new]].tolist())
             values = [raw[a:b].decode("utf-8", "replace") for a, b in spans]
             self._learn([keys[k] for k in new], values)
-        place = np.fromiter((self.known[h] for h in keys), np.int64, len(keys))[which]
+        place = np.array(list(map(self.known.__getitem__, keys)), np.int64)[which]
         count = self.count[place]
         before = np.concatenate([[0], np.cumsum(count)])
         flat = np.repeat(self.begin[place] - before[:-1], count) + np.arange(before[-1])

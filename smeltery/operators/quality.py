@@ -65,6 +65,16 @@ def no_corrupt_records(columns: Sequence[str]) -> list[Check]:
     ]
 
 
+def all_named(columns: Sequence[str], names: str, name: str = "no_missing_columns") -> Check:
+    """Each of ``columns`` is in the array ``names`` of at least one row, by exact spelling.
+
+    One flag per column is merged, whatever names and how many rows there are.
+    """
+    seen = [F.coalesce(F.bool_or(F.array_contains(names, c)), F.lit(False)) for c in columns]
+    absent = reduce(add, [F.when(s, 0).otherwise(1) for s in seen])
+    return Check(name, absent, absent == 0)
+
+
 def measured(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """The report of several checks over ``df``, in a single pass."""
     results = [

@@ -23,16 +23,17 @@ def audit(
 ) -> DataFrame:
     """Report: rows exist, no declared column is absent, no record is unreadable.
 
-    One scan parses every declared column; another finds the ``names`` that occur
-    in the records, unless they are given. ``landed`` is the number of records
-    the source had, if known.
+    One scan parses every declared column and, unless the ``names`` that occur in the
+    records are given, tells which of the declared ones do. ``landed`` is the number of
+    records the source had, if known.
     """
-    if names is None:
-        names = pages.inferred_columns(spark, folder, layout)
-    records = pages.read_pages(spark, folder, spec.schema, layout, corrupt=True)
     checks = [quality.not_empty(), *quality.no_corrupt_records(spec.columns)]
     if landed is not None:
         checks.append(quality.at_least(landed))
+    if names is None:
+        records = pages.read_with_names(spark, folder, spec.schema, layout)
+        return quality.measured(records, [*checks, quality.all_named(spec.columns, pages.NAMES)])
+    records = pages.read_pages(spark, folder, spec.schema, layout, corrupt=True)
     return quality.combined(
         [
             quality.measured(records, checks),

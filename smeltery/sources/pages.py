@@ -146,6 +146,33 @@ def read_pages(
     return reader.json(folder, multiLine=layout == "array")
 
 
+#: The column of ``read_with_names`` that holds a record's names.
+NAMES = "_names"
+
+
+def read_with_names(
+    spark: SparkSession, folder: str, schema: T.StructType, layout: str = "lines"
+) -> DataFrame:
+    """The records of ``read_pages`` with ``corrupt``, and the names that each has, in one scan.
+
+    A record that is no JSON object has null names.
+    """
+    if layout not in LAYOUTS:
+        raise ValueError(f"layout must be one of {LAYOUTS}, not {layout!r}")
+    whole = layout == "array"
+    text = spark.read.text(folder, wholetext=whole, recursiveFileLookup=True)
+    if whole:
+        # A page that cannot be read goes on as it is, and is found to be corrupt.
+        records = F.coalesce(F.from_json("value", "array<string>"), F.array("value"))
+        text = text.select(F.explode(records).alias("value"))
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    parsed = text.where(F.col("value").rlike(r"\S")).select(
+        F.from_json("value", full, options).alias("record"), F.json_object_keys("value").alias(NAMES)
+    )
+    return parsed.select("record.*", NAMES)
+
+
 def inferred_columns(spark: SparkSession, folder: str, layout: str = "lines") -> list[str]:
     """The names that occur in at least one record, found by a scan of all of them."""
     return [c for c in read_pages(spark, folder, None, layout).columns if c != CORRUPT]

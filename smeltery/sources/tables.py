@@ -1,16 +1,24 @@
 """Tables in the catalog and at a path, and write, audit, publish.
 
 A published table lives at one location as ``versions/run=<run>``, one folder per
-run, and ``published``, a log to which a run adds a row once its audit passed.
-Readers see the run of the newest row, so a failed or lost run changes nothing.
+run, and ``published``, a log to which a run adds an entry once its audit passed.
+Readers see the run of the newest entry, so a failed or lost run changes nothing.
+
+An entry is a file named by its number, and its creation is the commit: the file system lets
+one publisher create it and refuses all others. So of those that go on from one state of the
+log one is published. This asks for a file system whose create is exclusive, as that of HDFS
+and of local disks is; stores without it need a committer that has it.
 """
 
 from __future__ import annotations
 
+import json
+import re
 import uuid
 from dataclasses import replace
-from datetime import datetime
+from datetime import UTC, datetime
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -123,8 +131,9 @@ def stage(df: DataFrame, spec: TableSpec, location: str, run: str) -> DataFrame:
 def publish(spark: SparkSession, spec: TableSpec, location: str, run: str) -> DataFrame:
     """Make a staged version the one that readers see.
 
-    The version must exist, and is registered, before the log names it. Two publishers
-    that take one number do not both get it.
+    The version must exist, and is registered, before the log names it. Of publishers that
+    go on from the same state of the log one succeeds; the others get a FileExistsError, and
+    readers see nothing of theirs.
     """
     _register(spark, spec, location, run)
     log_run(spark, _log_path(location), run)
@@ -144,15 +153,57 @@ def _register(spark: SparkSession, spec: TableSpec, location: str, run: str) ->
         spark.catalog.recoverPartitions(_named(stored))
 
 
-def log_run(spark: SparkSession, log: str, run: str) -> None:
-    """Append a run under the next number; a number that is already taken is refused."""
-    newest = newest_run(spark, log)
+def log_run(spark: SparkSession, log: str, run: str) -> int:
+    """Add a run to a log under the next number, which is returned.
+
+    A number that another publisher takes first is refused with a FileExistsError. One that
+    dies between taking a number and naming its run leaves an empty file: readers pass over
+    it, and its number is not given again.
+    """
     # Numbered, so that the clocks of different drivers need not agree.
-    number = newest["number"] + 1 if newest else 1
-    entry = spark.range(0, 1, 1, 1).select(
-        F.lit(run).alias("run"), F.current_timestamp().alias("published_at")
-    )
-    entry.write.mode("errorifexists").parquet(f"{log}/number={number}")
+    number = max(_numbers(spark, log), default=0) + 1
+    entry = {"number": number, "run": run, "published_at": datetime.now(UTC).isoformat()}
+    _create(spark, f"{log}/entry-{number:020d}.json", json.dumps(entry))
+    return number
+
+
+def _files(spark: SparkSession, path: str):
+    """The Hadoop path of ``path`` and its file system."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    held = jvm.org.apache.hadoop.fs.Path(path)
+    return held, held.getFileSystem(conf)
+
+
+def _numbers(spark: SparkSession, log: str) -> list[int]:
+    """All numbers that were taken, whether or not an entry came of them."""
+    path, files = _files(spark, log)
+    if not files.exists(path):
+        return []
+    names = (status.getPath().getName() for status in files.listStatus(path))
+    return [int(m[1]) for name in names if (m := re.fullmatch(r"entry-(\d+)\.json", name))]
+
+
+def _create(spark: SparkSession, path: str, text: str) -> None:
+    """Write a file that must not exist yet; of several writers one succeeds."""
+    path, files = _files(spark, path)
+    files.mkdirs(path.getParent())
+    try:
+        if files.getUri().getScheme() == "file":
+            # Hadoop looks before it creates on a local disk; the system does both at once.
+            taken = not spark.sparkContext._jvm.java.io.File(path.toUri().getPath()).createNewFile()
+            stream = None if taken else files.create(path, True)
+        else:
+            stream = files.create(path, False)
+    except Py4JJavaError as error:
+        if "AlreadyExists" not in error.java_exception.getClass().getName():
+            raise
+        stream = None
+    if stream is None:
+        raise FileExistsError(f"{path}: another publisher came first")
+    try:
+        stream.write(text.encode())
+    finally:
+        stream.close()
 
 
 def _log_path(location: str) -> str:
@@ -162,7 +213,7 @@ def _log_path(location: str) -> str:
 def newest_run(spark: SparkSession, log: str) -> Row | None:
     """The newest entry of a log, if there is one."""
     try:
-        entries = spark.read.schema(LOG_SCHEMA).parquet(log)
+        entries = spark.read.schema(LOG_SCHEMA).json(log)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise

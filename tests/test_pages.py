@@ -4,6 +4,7 @@ import json
 from pathlib import Path
 
 import pytest
+from plans_of import plan_of
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
@@ -114,6 +115,27 @@ def test_absent_and_extra_columns(spark, tmp_path):
     assert all(passed for passed, _ in report(spark, folder, "array").values())
 
 
+@pytest.mark.parametrize("layout", ["lines", "array"])
+def test_the_audit_is_one_scan(spark, tmp_path, layout):
+    text = '{"id":"1","state":"s"}'
+    folder = put(tmp_path / "p", text if layout == "lines" else f"[{text}]")
+    plan = plan_of(bronze.audit(spark, folder, SPEC, layout))
+    assert plan.count("Scan") == 1
+    assert plan.count("Exchange") == 1
+
+
+def test_names_and_corruption_are_told_in_one_scan_as_in_two(spark, tmp_path):
+    rows = ['{"id":"1","longitude":"0","state":"s"}', "", "  ", '{"id":', '{"ID":"2"}', "null", "7", '["x"]']
+    rows += ['{"id":"3","extra":{"a":1}} ', '{"longitude":2.5,"longitude":3}', '{"n":"\\u00e9"}']
+    folder = put(tmp_path / "p", "\n".join(rows))
+    two = pages.read_pages(spark, folder, SPEC.schema, corrupt=True)
+    one = pages.read_with_names(spark, folder, SPEC.schema)
+    key = lambda r: str(r)
+    assert sorted(one.drop(pages.NAMES).collect(), key=key) == sorted(two.collect(), key=key)
+    names = {n for r in one.collect() for n in r[pages.NAMES] or ()}
+    assert names == {"id", "longitude", "state", "ID", "extra", "n"}
+
+
 def test_landing_by_day(spark, tmp_path, as_of):
     df = spark.range(0, 1500, 1, 3).selectExpr(
         "cast(id as string) as id", "cast(null as string) as longitude", "'é' as state"

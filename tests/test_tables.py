@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
+from threading import Barrier
 from pathlib import Path
 from uuid import uuid4
 
@@ -205,20 +207,56 @@ def test_a_run_staged_in_another_session_is_published(spark, tmp_path, as_of):
     assert rows_of(tables.publish(spark, spec, location, run)) == ROWS
 
 
-def test_a_number_is_given_once(spark, tmp_path, as_of, monkeypatch):
+def test_a_publisher_that_looked_before_another_wrote_is_refused(spark, tmp_path, as_of, monkeypatch):
     spec, location = spec_of(), str(tmp_path / "t")
     first, second = tables.new_run(as_of), tables.new_run(as_of)
     for run in (first, second):
         tables.stage(frame(spark, ROWS), spec, location, run)
     tables.publish(spark, spec, location, first)
-    # A publisher that looked before the first one wrote.
-    monkeypatch.setattr(tables, "newest_run", lambda *_: None)
-    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+    monkeypatch.setattr(tables, "_numbers", lambda *_: [])
+    with pytest.raises(FileExistsError):
         tables.publish(spark, spec, location, second)
     monkeypatch.undo()
     assert tables.published_run(spark, location) == first
 
 
+def test_one_of_two_publishers_at_a_time_succeeds(spark, tmp_path, monkeypatch):
+    together = Barrier(2)
+    numbers = tables._numbers
+
+    def at_once(*args):
+        found = numbers(*args)
+        together.wait(30)  # both have looked, none has written
+        return found
+
+    monkeypatch.setattr(tables, "_numbers", at_once)
+
+    def publish(run):
+        try:
+            return tables.log_run(spark, log, run)
+        except FileExistsError:
+            return None
+
+    log = str(tmp_path / "log")
+    with ThreadPoolExecutor(2) as pool:
+        for k in range(100):
+            got = list(pool.map(publish, [f"{k}a", f"{k}b"]))
+            assert sorted(got, key=str) == [k + 1, None]
+            won = f"{k}{'ab'[got.index(k + 1)]}"
+            if k % 20 == 0:
+                assert tables.newest_run(spark, log)["run"] == won
+    assert spark.read.schema(tables.LOG_SCHEMA).json(log).count() == 100
+
+
+def test_a_number_whose_publisher_died_is_passed_over(spark, tmp_path):
+    log = tmp_path / "log"
+    assert tables.log_run(spark, str(log), "a") == 1
+    (log / "entry-00000000000000000002.json").touch()
+    assert tables.newest_run(spark, str(log))["run"] == "a"
+    assert tables.log_run(spark, str(log), "b") == 3
+    assert tables.newest_run(spark, str(log))["run"] == "b"
+
+
 @pytest.mark.parametrize("value", ["", None])
 def test_a_partition_value_that_files_cannot_keep_ends_the_write(spark, tmp_path, value):
     spec = replace(spec_of(), stamp=None)

@@ -1,8 +1,12 @@
 """Toxicity by weak supervision.
 
-1. Terms are mined from all labelled rows: words and word beginnings that hardly occur outside
-   toxic rows. They are dealt to many lexicon voters; pattern voters (share of capitals,
-   of exclamation marks, direct address) join them. A voter fires on a text or is silent.
+1. Terms are mined from up to ``mined`` labelled rows of each class: words and word beginnings
+   whose log odds between the classes, smoothed, lie beyond ``odds`` by ``spread`` deviations.
+   That bears wrong labels: a term needs not be without rows of the other class. Terms of toxic
+   rows are dealt to many lexicon voters, terms of clean rows to some that vote against; pattern
+   voters (share of capitals, of exclamation marks, direct address) join them. A voter fires
+   on a text or abstains. Only ids of labelled rows move, no texts: they are few enough to be
+   broadcast by that bound. How many rows of each class there are comes from all labels.
 2. A generative label model sees votes only. One pass over all documents sums how often
    every pair of voters fires together (a table as large as the voters squared). With a
    known share of toxic rows, the rank-one part of the covariance tells how often each
@@ -22,14 +26,15 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from smeltery.llm import arrays
-from smeltery.llm.shared import and_fields, parted
+from smeltery.llm.shared import and_fields, written
 
 PREFIXES = (4, 5)
-LEXICON_VOTERS = 24
+TOXIC_VOTERS = 24
+LEXICON_VOTERS = TOXIC_VOTERS + 4
 VOTERS = LEXICON_VOTERS + 4
 BUCKETS = 1 << 15
 HELD_TERMS = 1 << 20
@@ -43,12 +48,17 @@ ADDRESS = "du dich dir ihr tu toi vous tú usted you your u ur".split()
 
 @dataclass(frozen=True)
 class Settings:
-    """``sample`` and ``sample_bytes`` bound the texts that the classifier is trained on."""
+    """``sample`` and ``sample_bytes`` bound the texts that the classifier is trained on,
+    ``mined`` the labelled rows of each class that terms are taken from, and ``lexicon`` the
+    terms of each sign. Terms against toxic are in ``common`` of the rows at most."""
 
     sample: int = 6_000
     sample_bytes: int = 1 << 25
-    min_rows: int = 5
-    precision: float = 0.9
+    mined: int = 200_000
+    lexicon: int = 4_096
+    odds: float = 3.0
+    spread: float = 2.0
+    common: float = 0.2
     steps: int = 150
     rate: float = 0.5
     decay: float = 1e-4
@@ -134,7 +144,7 @@ def votes(
         2 * capital > np.maximum(letters, 1),
         4 * loud > n_words,
         20 * address > n_words,
-        100 * hits.sum(axis=1) > n_words,
+        100 * hits[:, :TOXIC_VOTERS].sum(axis=1) > n_words,
     ]
     return np.concatenate([hits > 0, np.stack(patterns, axis=1)], axis=1), hits
 
@@ -152,6 +162,12 @@ def learned(labels: DataFrame) -> DataFrame:
     return known.groupBy("doc_id").agg((F.max("toxic") > 0).alias("toxic"))
 
 
+def _drawn(toxic: float, clean: float) -> Column:
+    """Whether a row's id is among these shares of its class, by its hash."""
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 31)) / float(1 << 31)
+    return place < F.when(F.col("toxic"), toxic).otherwise(clean)
+
+
 def bounded(docs: DataFrame, known: DataFrame, toxic: int, clean: int, settings: Settings) -> DataFrame:
     """Text and label of at most ``sample`` documents, of each class those whose hashed ids
     are smallest: half of them toxic, or what there is of the smaller class.
@@ -207,25 +223,31 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from sent(_summed(parts))
 
 
-def mine(docs: DataFrame, known: DataFrame, settings: Settings) -> tuple[Model, int, int]:
-    """Terms that hold for toxic rows, dealt to the lexicon voters in turn, and how many
-    labelled rows are toxic and clean. All labelled rows are counted."""
-    rows = parted(docs, known)[0].join(known, "doc_id").select("text", "toxic")
-    counts = rows.mapInArrow(_term_counts, "term long, bad long, held long").groupBy("term")
-    counts = counts.agg(F.sum("bad").alias("bad"), F.sum("held").alias("held"))
-    strong = (F.col("bad") >= settings.min_rows) & (F.col("bad") >= settings.precision * F.col("held"))
-    found = counts.where(strong | (F.col("term") == 0)).toArrow()
-    term, bad, held = (found.column(c).to_numpy() for c in ("term", "bad", "held"))
-    toxic, total = int(bad[term == 0].sum()), int(held[term == 0].sum())
-    if not toxic or toxic == total:
-        return Model(), toxic, total - toxic
-    terms, bad = term[term != 0].view(np.uint64), bad[term != 0]
-    by_term = np.argsort(terms)
-    terms, bad = terms[by_term], bad[by_term]
-    order = np.lexsort((terms, -bad))
-    voter = np.empty(len(order), np.int64)
-    voter[order] = np.arange(len(order)) % LEXICON_VOTERS
-    return Model(terms, voter), toxic, total - toxic
+def mine(rows: DataFrame, settings: Settings) -> tuple[Model, int, int]:
+    """Terms that tell the classes apart, dealt to the lexicon voters in turn, and how many
+    of ``rows`` (text, toxic) are toxic and clean."""
+    counts = rows.select("text", "toxic").mapInArrow(_term_counts, "term long, bad long, held long")
+    counts = counts.groupBy("term").agg(F.sum("bad").alias("bad"), F.sum("held").alias("held"))
+    counts = written(counts)
+    whole = counts.where("term = 0").first()
+    toxic, clean = (whole["bad"], whole["held"] - whole["bad"]) if whole else (0, 0)
+    if not toxic or not clean:
+        return Model(), toxic, clean
+    a, b = F.col("bad") + 0.5, F.col("held") - F.col("bad") + 0.5
+    c, d = toxic - F.col("bad") + 0.5, clean - F.col("held") + F.col("bad") + 0.5
+    odds, deviation = F.log(a / c) - F.log(b / d), F.sqrt(1 / a + 1 / b + 1 / c + 1 / d)
+    least, margin = float(np.log(settings.odds)), settings.spread * deviation
+    told = counts.where("term != 0").withColumns({"up": odds - margin, "down": -odds - margin})
+    rare = F.col("held") <= settings.common * (toxic + clean)
+    terms, voter = [], []
+    for sign, more, first, last in (("up", F.lit(True), 0, TOXIC_VOTERS), ("down", rare, TOXIC_VOTERS, LEXICON_VOTERS)):
+        best = told.where((F.col(sign) > least) & more).orderBy(F.desc(sign), "term").limit(settings.lexicon)
+        found = best.select("term").toArrow().column("term").to_numpy().view(np.uint64)
+        terms.append(found)
+        voter.append(first + np.arange(len(found)) % (last - first))
+    terms, voter = np.concatenate(terms), np.concatenate(voter)
+    order = np.argsort(terms)
+    return Model(terms[order], voter[order]), toxic, clean
 
 
 def together(docs: DataFrame, model: Model) -> np.ndarray:
@@ -333,7 +355,7 @@ def features(w: arrays.Words, model: Model) -> tuple[np.ndarray, np.ndarray, np.
     dense = np.concatenate(
         [
             np.minimum(hits, 3) / 3,
-            np.minimum(hits.sum(axis=1, keepdims=True), 2),
+            np.minimum(hits[:, :TOXIC_VOTERS].sum(axis=1, keepdims=True), 2),
             np.ones((n, 1)),
         ],
         axis=1,
@@ -376,10 +398,16 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
     Of several labels of one id the toxic one holds.
     """
     known = learned(labels)
-    model, toxic, clean = mine(docs, known, settings)
+    sizes = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
+    if len(sizes) < 2:
+        return Model()
+    shares = {k: min(1.0, settings.mined / n) for k, n in sizes.items()}
+    ids = F.broadcast(known.where(_drawn(shares[True], shares[False])))
+    rows = docs.select("doc_id", "text").join(ids, "doc_id")
+    model, toxic, clean = mine(rows, settings)
     if not len(model.terms):
         return model
-    prior = float(np.clip(toxic / (toxic + clean), 1e-4, 0.5))
+    prior = float(np.clip(sizes[True] / (sizes[True] + sizes[False]), 1e-4, 0.5))
     model.fires, model.correlated = label_model(together(docs, model), prior)
     texts = [r.text or "" for r in bounded(docs, known, toxic, clean, settings).collect()]
     model.weights = train(texts, model, prior, settings)

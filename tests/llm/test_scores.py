@@ -190,6 +190,50 @@ def test_the_sample_is_bounded_in_rows_and_bytes_for_each_class(spark, documents
     assert drawn(sample=100, sample_bytes=1000) == [5, 5]
 
 
+def test_wrong_labels_are_borne(spark, documents):
+    rng = random.Random(9)
+    rows = toxic_rows(400)
+    docs = documents([(k, t, "en") for k, t, _ in rows])
+    caught = []
+    for share in (0.0, 0.1, 0.2):
+        wrong = {k for k, _, _ in rows if rng.random() < share}
+        labels = [(k, 1 - y if k in wrong else y) for k, _, y in rows]
+        model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+        got = {r.doc_id: r.predicted for r in toxicity.score(docs, model).collect()}
+        caught.append(sum(got[k] for k, _, y in rows if y))
+        assert sum(got[k] for k, _, y in rows if not y) <= 0.02 * len(rows)
+    assert caught[1] >= 0.9 * caught[0] and caught[2] >= 0.9 * caught[0]
+
+
+def test_votes_and_features_are_those_of_plain_counting():
+    import pyarrow as pa
+
+    texts = ["bad WORDS, bad!", None, "", "you YOU you", "good thing good nice", "words !!!!", "badly worded"]
+    known = {"bad": 0, "words": 1, "nice": toxicity.TOXIC_VOTERS}
+    terms = toxicity._hash(list(known))
+    order = np.argsort(terms)
+    model = toxicity.Model(terms[order], np.array(list(known.values()))[order])
+    w = arrays.words(*arrays.texts(pa.array(texts)))
+    cast, hits = toxicity.votes(w, model)
+    rows, columns, values = toxicity.features(w, model)
+    for k, text in enumerate(texts):
+        found = (text or "").lower().split()
+        bare = [x.strip("!,") or x for x in found]
+        want = [sum(x == term for x in bare) for term in known]
+        assert [hits[k, v] for v in known.values()] == want and hits[k].sum() == sum(want)
+        letters = [c for c in text or "" if c.isalpha()]
+        capital = sum(c.isupper() for c in letters)
+        loud, address = (text or "").count("!"), sum(x in toxicity.ADDRESS for x in bare)
+        n = max(len(found), 1)
+        pattern = [2 * capital > max(len(letters), 1), 4 * loud > n, 20 * address > n, 100 * sum(want[:2]) > n]
+        assert cast[k, -4:].tolist() == pattern
+        # Words and their longer beginnings, each the square root of its share.
+        own = values[(rows == k) & (columns < 2 * toxicity.BUCKETS)]
+        begun = [x[:5] for x in bare if len(x) > 5]
+        share = [bare.count(x) / n for x in set(bare)] + [begun.count(x) / n for x in set(begun)]
+        assert sorted(own**2) == pytest.approx(sorted(share))
+
+
 def test_label_model_finds_rates_and_correlated_voters():
     rng = np.random.default_rng(5)
     n, prior = 40_000, 0.2

@@ -53,7 +53,9 @@ def op3_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
-    return divergence.judge(documents).drop("text", "lang")
+    judged = divergence.judge(documents)
+    first = ["doc_id", *divergence.BASE, "kept"]
+    return judged.select(*first, *(c for c in judged.columns if c not in (*first, "text", "lang")))
 
 
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

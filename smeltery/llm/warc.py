@@ -2,8 +2,10 @@
 
 Every record is a gzip member of its own. ``read`` cuts archives into byte ranges; a task
 looks for the gzip magic from the start of its range, takes a place for a member only if
-its beginning decodes to a WARC header, and owns all records that start inside its range,
-reading past the end of it for the last one. From record to record it follows the members.
+its beginning decodes to a WARC header and records follow it without a gap, and owns all
+records that start inside its range, reading past the end of it for the last one. From
+record to record it follows the members. An archive inside a payload is so not read as one,
+unless it holds ``LINKS`` records, unpacked, and a range begins inside it.
 
 A null html is an empty payload; a null url is left out. Payloads of under 100 bytes are
 all responses. Of larger equal ones those with the smallest page_id are (several rows may
@@ -130,19 +132,46 @@ def write(pages: DataFrame, folder: str | None = None) -> DataFrame:
     return written(with_referents(pages).mapInArrow(archive, "path string, size long"))
 
 
+#: Records that must follow each other where a task begins to read.
+LINKS = 8
+
+
 def members(file, size: int, start: int, end: int) -> Iterator[tuple[int, bytes]]:
-    """Offset and content of the records that start in [start, end)."""
-    at = start
+    """Offset and content of the records that start in [start, end).
+
+    Where a record does not follow another one, a payload may hold bytes that look like one:
+    it is taken for one only if ``LINKS`` records, or all up to the end of the file, follow
+    each other from there.
+    """
+    at, follows = start, start == 0
     while at < end:
         found = _next_magic(file, size, at, end)
         if found is None:
             return
+        if not (follows and found == at) and not _chained(file, size, found):
+            at, follows = found + 1, False
+            continue
         content, after = _decoded(file, size, found)
         if content is None:
-            at = found + 1
+            at, follows = found + 1, False
         else:
             yield found, content
-            at = after
+            at, follows = after, True
+
+
+def _chained(file, size: int, at: int) -> bool:
+    """Whether a record begins at ``at`` and is followed by others without a gap."""
+    for _ in range(LINKS):
+        if at == size:
+            return True
+        try:
+            content, after = _decoded(file, size, at)
+        except ValueError:
+            return True  # it begins as a record does: its reader tells of the damage
+        if content is None:
+            return False
+        at = after
+    return True
 
 
 def _next_magic(file, size: int, at: int, end: int) -> int | None:

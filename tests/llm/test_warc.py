@@ -1,6 +1,7 @@
 import gzip
 import hashlib
 import io
+import random
 from pathlib import Path
 
 import pytest
@@ -78,6 +79,29 @@ def test_magic_inside_a_record_begins_none():
         assert [warc.parsed(c)[0]["x-page-id"] for _, c in found] == [str(k) for k in range(9)]
 
 
+def test_an_archive_inside_a_payload_is_not_read():
+    rng = random.Random(4)
+    inner = warc.record(99, "u", rng.randbytes(900), "0" * 64)
+    payloads = [b"a" * 50, rng.randbytes(60_000) + inner + rng.randbytes(60_000), rng.randbytes(300), inner, b""]
+    raw = b"".join(warc.record(k, "u", p, "0" * 64) for k, p in enumerate(payloads))
+    assert inner[:200] in raw  # what cannot be packed is stored as it is
+    store = io.BytesIO(raw)
+    for step in (61, 500, 3001, 100_000):
+        found = []
+        for low in range(0, len(raw), step):
+            found += warc.members(store, len(raw), low, min(low + step, len(raw)))
+        assert [warc.parsed(c)[0]["x-page-id"] for _, c in found] == [str(k) for k in range(5)]
+
+
+def test_damage_behind_the_start_of_a_range_is_told():
+    whole = [warc.record(k, "u", random.Random(k).randbytes(2000), "0" * 64) for k in range(4)]
+    bad = whole[2][:1500] + b"\x00" * 400 + whole[2][1900:]
+    raw = b"".join([whole[0], whole[1], bad, whole[3]])
+    low = len(whole[0]) - 10
+    with pytest.raises(ValueError, match="damaged"):
+        list(warc.members(io.BytesIO(raw), len(raw), low, len(raw)))
+
+
 def test_damage_is_told(spark):
     raw = warc.record(1, "u", b"abc" * 50_000, "0" * 64)
     with pytest.raises(ValueError, match="damaged"):

@@ -28,6 +28,8 @@ UNKNOWN = "und"
 DIMENSIONS = 1024
 GRAM = 3
 BLOCK_BYTES = 128 << 10
+#: Texts of a block: it has a row of counts for each, over all grams of the block.
+BLOCK_TEXTS = 256
 _MOST_GRAMS = 1 << 16
 _GAP = 32
 
@@ -111,8 +113,9 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
     for batch in batches:
         column = batch.column("text")
         for low, high in arrays.blocks(column, BLOCK_BYTES):
-            part = batch.slice(low, high - low)
-            yield part, arrays.strings(part.column("text"))
+            for at in range(low, high, BLOCK_TEXTS):
+                part = batch.slice(at, min(BLOCK_TEXTS, high - at))
+                yield part, arrays.strings(part.column("text"))
 
 
 def learn(docs: DataFrame, dimensions: int = DIMENSIONS) -> dict[str, np.ndarray]:

@@ -49,6 +49,22 @@ def test_languages_of_odd_rows(documents):
     assert {r.lang_pred for r in language.predict(docs, {}).collect()} == {"und"}
 
 
+def test_many_short_texts_take_little_memory():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = random.Random(2)
+    texts = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyzäöü") for _ in range(4)) for _ in range(10_000)]
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(texts)})
+    tracemalloc.start()
+    for part, values in language._blocks(iter([batch])):
+        doc, key, _ = language.grams(values)
+        assert len(values) * len(np.unique(key)) * 4 < 1 << 20
+    assert tracemalloc.get_traced_memory()[1] < 50 << 20
+    tracemalloc.stop()
+
+
 TEXTS = [
     "one two three one two three four",
     "a a a a a",

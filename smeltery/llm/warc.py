@@ -194,12 +194,12 @@ def _decoded(file, size: int, at: int) -> tuple[bytes | None, int]:
     while not inflate.eof:
         block = file.read(min(step, size - position))
         position += len(block)
+        if not parts and not _begins(block):
+            return None, at
         try:
             content = inflate.decompress(block)
         except zlib.error:
             content = None
-        if not parts and not (content or b"").startswith(b"WARC/1."):
-            return None, at
         if content is None or (not block and not inflate.eof):
             raise ValueError(f"the record at byte {at} is damaged")
         parts.append(content)
@@ -207,6 +207,15 @@ def _decoded(file, size: int, at: int) -> tuple[bytes | None, int]:
     return b"".join(parts), position - len(inflate.unused_data)
 
 
+def _begins(block: bytes) -> bool:
+    """Whether a block's first bytes are those of a record, whatever comes behind them."""
+    start = b"WARC/1."
+    try:
+        return zlib.decompressobj(31).decompress(block, len(start)) == start
+    except zlib.error:
+        return False
+
+
 def parsed(content: bytes) -> tuple[dict[str, str], bytes]:
     """Header fields in lower case, and the payload."""
     head, _, rest = content.partition(b"\r\n\r\n")

@@ -306,7 +306,9 @@ def repeated(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, group: int
     often = sent.groupBy("key").agg(
         (F.max("known") | (F.min(F.struct("doc", "low")) != F.max(F.struct("doc", "low")))).alias("often")
     )
-    more = sent.where("not known").join(often.where("often"), "key").select("doc", "low", "high")
+    # Stored, so that the join is one of two tables, of which Spark splits a hot key's rows.
+    often = written(often.where("often").select("key"))
+    more = sent.where("not known").join(often, "key").select("doc", "low", "high")
     more = more.unionByName(strings.where("known").select("doc", "low", "high"))
     gone = spans.unionByName(more).groupBy(F.col("doc").alias("doc_id"))
     return written(gone.agg(F.collect_list(F.struct("low", "high")).alias("gone")))

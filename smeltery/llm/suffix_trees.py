@@ -155,7 +155,10 @@ def repeated(docs: DataFrame, group: int = GROUP) -> DataFrame:
     shape = "key long, doc long, low long, mask long"
     windows = written(some_heavy.mapInArrow(_heavy, shape))
     known = windows.where("key is not null")
-    first = known.groupBy("key").agg(F.min(F.struct("doc", "low")).alias("first"))
+    place = F.struct("doc", "low")
+    first = known.groupBy("key").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+    # Stored, so that the join is one of two tables, of which Spark splits a hot key's rows.
+    first = written(first.where("first != last").drop("last"))
     later = known.join(first, "key").where(F.struct("doc", "low") != F.col("first")).drop("first")
     later = later.unionByName(windows.where("key is null")).drop("key")
     gone = trees.unionByName(later).groupBy(F.col("doc").alias("doc_id"))

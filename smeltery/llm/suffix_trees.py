@@ -1,15 +1,16 @@
-"""Substring dedup by prefix-partitioned suffix trees over words.
+"""Substring dedup over words by groups of suffixes that share an anchor.
 
 A window of 20 words goes if its words also stand earlier: in a document of a smaller id or
 earlier in its own. Only suffixes that start at a window whose anchor gram occurs twice can
 repeat (``anchors``); the others are left out without loss.
 
-Suffixes are parted by the words they share: by the 5-word gram of their anchor, or, where
-that has more suffixes than a group may hold, by all 20 words. A short-prefix group is
-bounded, so a task sorts its suffixes with their common prefixes, which is the group's
-suffix tree; a node 20 words deep with several suffixes is a repeat, whose first suffix in
-document order stays. A group of the longest prefix is one such node; its first suffix is
-an aggregate that is taken before rows move, however many suffixes it has.
+This is not a forest of suffix trees parted by prefixes of variable length, and it tells no
+maximal repeats: suffixes are parted by the 5-word gram of their anchor, which may lie
+anywhere in the window, or, where that has more suffixes than a group may hold, by a code of
+all 20 words. A group of a gram is bounded; a task sorts the first 20 words of its suffixes
+and compares neighbours, and of equal ones the first in document order stays. Of the equal
+ones of a code the first is an aggregate that is taken before rows move, however many there
+are. See the README for why.
 
 Words are compared by 32-bit codes, 20 at a time, in groups of equal 64-bit grams; the
 longest prefixes by 64-bit codes. Documents with a null id lose and cause nothing; rows that

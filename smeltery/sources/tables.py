@@ -4,19 +4,18 @@ A published table lives at one location as ``versions/run=<run>``, one folder pe
 run, and ``published``, a log to which a run adds an entry once its audit passed.
 Readers see the run of the newest entry, so a failed or lost run changes nothing.
 
-An entry is a file named by its number, and its creation is the commit: the file system lets
-one publisher create it and refuses all others. So of those that go on from one state of the
-log one is published. This asks for a file system whose create is exclusive, as that of HDFS
-and of local disks is; stores without it need a committer that has it.
+Before an entry is added, its number is claimed by creating a file below ``_claims``, which
+the file system lets one publisher do and refuses all others. So of those that go on from one
+state of the log one is published. This asks for a file system whose create is exclusive, as
+that of HDFS and of local disks is; stores without it need a committer that has it.
 """
 
 from __future__ import annotations
 
-import json
 import re
 import uuid
 from dataclasses import replace
-from datetime import UTC, datetime
+from datetime import datetime
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
@@ -29,6 +28,8 @@ from smeltery.spec import TableSpec
 # Formats that keep schema and partitions themselves; others are told both.
 SELF_DESCRIBING = ("delta",)
 
+# The folder of claimed numbers below a log; readers pass over it by its name.
+CLAIMS = "_claims"
 LOG_SCHEMA = "number bigint, run string, published_at timestamp"
 
 
@@ -156,14 +157,16 @@ def _register(spark: SparkSession, spec: TableSpec, location: str, run: str) ->
 def log_run(spark: SparkSession, log: str, run: str) -> int:
     """Add a run to a log under the next number, which is returned.
 
-    A number that another publisher takes first is refused with a FileExistsError. One that
-    dies between taking a number and naming its run leaves an empty file: readers pass over
-    it, and its number is not given again.
+    A number that another publisher claims first is refused with a FileExistsError. One that
+    dies between its claim and its entry leaves a number that is not given again.
     """
     # Numbered, so that the clocks of different drivers need not agree.
     number = max(_numbers(spark, log), default=0) + 1
-    entry = {"number": number, "run": run, "published_at": datetime.now(UTC).isoformat()}
-    _create(spark, f"{log}/entry-{number:020d}.json", json.dumps(entry))
+    _claim(spark, f"{log}/{CLAIMS}/{number:020d}")
+    entry = spark.range(0, 1, 1, 1).select(
+        F.lit(run).alias("run"), F.current_timestamp().alias("published_at")
+    )
+    entry.write.mode("errorifexists").parquet(f"{log}/number={number}")
     return number
 
 
@@ -175,35 +178,32 @@ def _files(spark: SparkSession, path: str):
 
 
 def _numbers(spark: SparkSession, log: str) -> list[int]:
-    """All numbers that were taken, whether or not an entry came of them."""
-    path, files = _files(spark, log)
-    if not files.exists(path):
-        return []
-    names = (status.getPath().getName() for status in files.listStatus(path))
-    return [int(m[1]) for name in names if (m := re.fullmatch(r"entry-(\d+)\.json", name))]
+    """All numbers that were claimed or have an entry."""
+    names = []
+    for folder in (log, f"{log}/{CLAIMS}"):
+        path, files = _files(spark, folder)
+        if files.exists(path):
+            names += [status.getPath().getName() for status in files.listStatus(path)]
+    return [int(m[1]) for name in names if (m := re.fullmatch(r"(?:number=)?(\d+)", name))]
 
 
-def _create(spark: SparkSession, path: str, text: str) -> None:
-    """Write a file that must not exist yet; of several writers one succeeds."""
+def _claim(spark: SparkSession, path: str) -> None:
+    """Create a file that must not exist yet; of several that try one succeeds."""
     path, files = _files(spark, path)
     files.mkdirs(path.getParent())
-    try:
-        if files.getUri().getScheme() == "file":
-            # Hadoop looks before it creates on a local disk; the system does both at once.
-            taken = not spark.sparkContext._jvm.java.io.File(path.toUri().getPath()).createNewFile()
-            stream = None if taken else files.create(path, True)
-        else:
-            stream = files.create(path, False)
-    except Py4JJavaError as error:
-        if "AlreadyExists" not in error.java_exception.getClass().getName():
-            raise
-        stream = None
-    if stream is None:
+    if files.getUri().getScheme() == "file":
+        # Hadoop looks before it creates on a local disk; the system does both at once.
+        taken = not spark.sparkContext._jvm.java.io.File(path.toUri().getPath()).createNewFile()
+    else:
+        try:
+            files.create(path, False).close()
+            taken = False
+        except Py4JJavaError as error:
+            if "AlreadyExists" not in error.java_exception.getClass().getName():
+                raise
+            taken = True
+    if taken:
         raise FileExistsError(f"{path}: another publisher came first")
-    try:
-        stream.write(text.encode())
-    finally:
-        stream.close()
 
 
 def _log_path(location: str) -> str:
@@ -213,7 +213,7 @@ def _log_path(location: str) -> str:
 def newest_run(spark: SparkSession, log: str) -> Row | None:
     """The newest entry of a log, if there is one."""
     try:
-        entries = spark.read.schema(LOG_SCHEMA).json(log)
+        entries = spark.read.schema(LOG_SCHEMA).parquet(log)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise

@@ -245,13 +245,13 @@ def test_one_of_two_publishers_at_a_time_succeeds(spark, tmp_path, monkeypatch):
             won = f"{k}{'ab'[got.index(k + 1)]}"
             if k % 20 == 0:
                 assert tables.newest_run(spark, log)["run"] == won
-    assert spark.read.schema(tables.LOG_SCHEMA).json(log).count() == 100
+    assert spark.read.schema(tables.LOG_SCHEMA).parquet(log).count() == 100
 
 
 def test_a_number_whose_publisher_died_is_passed_over(spark, tmp_path):
     log = tmp_path / "log"
     assert tables.log_run(spark, str(log), "a") == 1
-    (log / "entry-00000000000000000002.json").touch()
+    (log / tables.CLAIMS / "00000000000000000002").touch()
     assert tables.newest_run(spark, str(log))["run"] == "a"
     assert tables.log_run(spark, str(log), "b") == 3
     assert tables.newest_run(spark, str(log))["run"] == "b"

@@ -30,6 +30,9 @@ PAIR = ["doc", "at", "to_doc", "to_at"]
 #: Bytes of a sketch, how far its estimate may lie below a link, and a block's size.
 SKETCH = 512
 MARGIN = 0.07
+#: Bins that are looked at first; a link is not seen there with a probability of 1e-5.
+QUICK = 128
+DEVIATIONS = 4.5
 BLOCK = 1024
 BLOCK_BYTES = 8 << 20
 
@@ -393,6 +396,8 @@ def _links(low, high, out, c_doc, c_at, sketch, texts, sets, least, percent) ->
     pairs = np.stack([c_doc[inside], c_at[inside]], axis=1)
     component = np.unique(pairs, axis=0, return_inverse=True)[1].ravel()
     others = inside[~out[inside]]
+    quick, share = np.ascontiguousarray(sketch[others, :QUICK]), percent / 100
+    enough = QUICK * share - DEVIATIONS * np.sqrt(QUICK * share * (1 - share))
     known: dict[int, np.ndarray] = {}
     links = []
 
@@ -402,7 +407,10 @@ def _links(low, high, out, c_doc, c_at, sketch, texts, sets, least, percent) ->
         return known[k]
 
     for x in inside[out[inside]].tolist():
-        y = others[component[others - low] != component[x - low]]
+        near = np.count_nonzero(quick == sketch[x, :QUICK], axis=1) >= enough
+        y = others[near & (component[others - low] != component[x - low])]
+        if not len(y):
+            continue
         alike = (sketch[y] == sketch[x]).mean(axis=1)
         y, alike = y[alike >= least], alike[alike >= least]
         for k in y[np.argsort(-alike, kind="stable")].tolist():

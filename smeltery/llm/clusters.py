@@ -286,6 +286,9 @@ def linked(
     # A node with the set of its centre is in all of that node's buckets: one is enough.
     copies = compared.where("common = union").select(F.struct(*NODE).alias("node")).distinct()
     more = written(_missed(pairs, copies, found, texts, sets, percent))
+    for table in (pairs, texts, *([] if more.take(1) else [compared])):
+        forget(table)
+    released(more.sparkSession)
     return components(links.unionByName(more)) if more.take(1) else found
 
 
@@ -327,9 +330,13 @@ def _missed(
     )
     around = written(around.withColumn("outside", F.expr("component != hub_component")))
     hubs = around.where("outside").select("hub").distinct()
-    around = written(around.join(hubs, "hub", "left_semi"))
+    before, around = around, written(around.join(hubs, "hub", "left_semi"))
+    for table in (before, star, open_hubs):
+        forget(table)
+    released(around.sparkSession)
     needed = texts.join(around.select("node.*").distinct(), NODE, "left_semi")
     looks = written(sketched(needed, sets))
+    released(looks.sparkSession)
     bytes_of = looks.select(node.alias("node"), F.octet_length("text").alias("bytes"))
     sizes = around.join(bytes_of, "node").groupBy("hub").agg(
         F.count("*").alias("n"),

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from smeltery.llm import arrays, clusters
 from smeltery.llm.near_duplicates import COMPARED, with_overlap
-from smeltery.llm.shared import and_fields, parted, small_batches, written
+from smeltery.llm.shared import and_fields, forget, parted, released, small_batches, written
 
 CHARS = 8
 BINS = 56
@@ -138,10 +138,14 @@ def repeated(
     own = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), "text")
     slots = clusters.slots_of(docs.sparkSession)
     pairs = clusters.star_pairs(own.mapInArrow(_starred(size, bins, rows, slots), clusters.PACKED))
+    # What has been shuffled is gone before more is.
+    released(docs.sparkSession)
     wanted = clusters.nodes(pairs).groupBy(F.col("doc").alias("doc_id"))
     wanted = written(wanted.agg(F.collect_list("at").alias("at_lines")))
     texts = parted(own, wanted)[0].join(wanted, "doc_id").select("doc_id", "text", "at_lines")
     texts = written(texts.mapInArrow(_picked, "doc long, at long, text string"))
+    forget(wanted)
+    released(docs.sparkSession)
 
     def compare(pairs: DataFrame) -> DataFrame:
         far = texts.select(

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from smeltery.llm import arrays, clusters
-from smeltery.llm.shared import parted, small_batches, written
+from smeltery.llm.shared import parted, released, small_batches, written
 
 WORDS = 4
 BINS = 192
@@ -84,8 +84,11 @@ def grouped(
     own = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), "text")
     slots = clusters.slots_of(docs.sparkSession)
     pairs = clusters.star_pairs(own.mapInArrow(_starred(size, bins, rows, slots), clusters.PACKED))
+    # What has been shuffled is gone before more is.
+    released(docs.sparkSession)
     wanted = clusters.nodes(pairs).select(F.col("doc").alias("doc_id"))
     texts = written(parted(own, wanted)[0].join(wanted, "doc_id"))
+    released(docs.sparkSession)
 
     def overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -8,19 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from smeltery.session import shared_folder
-
-
-BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
-BATCH_BYTES = 4 << 20
-
-
-def small_batches(spark: SparkSession) -> None:
-    """Let Arrow batches of the session hold no more than a few megabytes of texts.
-
-    A batch is held by Spark and by Python at once, for every task of an executor.
-    """
-    spark.conf.set(BATCH, str(BATCH_BYTES))
+from smeltery.session import shared_folder, small_batches as small_batches
 
 
 def written(df: DataFrame) -> DataFrame:

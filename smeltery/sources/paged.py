@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from smeltery.operators.quality import CORRUPT
+from smeltery.session import small_batches
 from smeltery.sources.pages import PAGE_ROWS, TOTAL
 
 # Beyond this many tasks per core, neighbouring pages share a task.
@@ -176,6 +177,8 @@ def read_source(
     due ends the job, and so does a record that ``schema`` cannot read whole.
     """
     spark.dataSource.register(source)
+    # However many pages a task has, few are in memory at once.
+    small_batches(spark)
     tasks = TASKS_PER_CORE * spark.sparkContext.defaultParallelism
     options = {"maxTasks": tasks, **options}
     fetched = spark.read.format(source.name()).options(**options).load()
@@ -219,7 +222,8 @@ def _past_space(body: str, at: int) -> int:
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The records of each page; a page with fewer than are due ends the job."""
     for batch in batches:
-        for page in batch.to_pylist():
+        for k in range(batch.num_rows):
+            page = batch.slice(k, 1).to_pylist()[0]
             try:
                 found = records_in(page["body"])
             except ValueError as error:

@@ -3,6 +3,7 @@ from __future__ import annotations
 import json
 from datetime import datetime
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -165,3 +166,19 @@ def test_a_total_that_is_known_is_not_asked_for_again(spark, tmp_path):
     options = put_pages(tmp_path / "p", [2, 2])
     known = {**options, "perPage": 2, "total": 2, "metaUrl": "file:///nowhere"}
     assert paged.read_source(spark, paged.UrlPages, known).count() == 2
+
+
+def test_few_pages_are_in_memory_at_once(spark, tmp_path, monkeypatch):
+    options = put_pages(tmp_path / "p", [1] * 24)
+    for k in range(1, 25):
+        (tmp_path / "p" / f"{k}.json").write_text(json.dumps([{"t": "x" * (1 << 20)}]))
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"page": [batch.num_rows], "record": [str(batch.nbytes)]})
+
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    monkeypatch.setattr(paged, "_cut", sizes)
+    found = paged.read_source(spark, paged.UrlPages, {**options, "perPage": 1, "maxTasks": 1}).collect()
+    assert sum(r.page for r in found) == 24
+    assert max(int(r.record) for r in found) <= 6 << 20

@@ -6,8 +6,8 @@ members. Before keys move, each batch of a task makes stars of its own and sends
 per key, so that a key that a third of all rows share costs a row per batch.
 
 A star may miss a link between two leaves of which neither is similar to the centre.
-``linked`` therefore goes on: nodes that lie outside of their centre's component meet all
-others around it, in blocks inside tasks, by sketches of 512 bins. Pairs whose estimate is no
+``linked`` therefore goes on: in each bucket of more than one component, the nodes outside of
+its largest meet all others of it, in blocks inside tasks, by sketches of 512 bins. Pairs whose estimate is no
 more than 0.07 (four standard deviations) below a link are compared on their full sets, until
 their components are joined. So every two nodes of a bucket are compared, lie in one
 component or are told apart by their sketches.
@@ -136,8 +136,8 @@ def buckets(starred: DataFrame) -> DataFrame:
     return written(arranged.mapInArrow(_stars, "key long, doc long, at long, to_doc long, to_at long"))
 
 
-def _settled(links: DataFrame) -> bool:
-    """Whether every node points to one that points nowhere."""
+def _unsettled(links: DataFrame) -> DataFrame:
+    """The nodes that point to more than one, or to one although others point to them."""
     ends = links.select(
         F.explode(
             F.array(
@@ -147,7 +147,7 @@ def _settled(links: DataFrame) -> bool:
         ).alias("x")
     )
     ends = ends.groupBy("x.node").agg(F.sum("x.out").alias("out"), F.max("x.into").alias("into"))
-    return not ends.where("out > 1 or (out = 1 and into = 1)").take(1)
+    return ends.where("out > 1 or (out = 1 and into = 1)").select("node")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -156,15 +156,21 @@ def components(edges: DataFrame) -> DataFrame:
     Large and small stars in turn, each round a table in the shared folder; the smallest
     node of a component has no row. What is smallest is found by an aggregate, one row per
     task and node, and stored: the joins with it are plain joins of two tables, of which Spark
-    splits a hot node's rows over tasks.
+    splits a hot node's rows over tasks. Components that are one star leave the rounds.
     """
     node, to = F.struct(*NODE), F.struct(F.col("to_doc").alias("doc"), F.col("to_at").alias("at"))
     links = edges.select(F.greatest(node, to).alias("a"), F.least(node, to).alias("b"))
     current = written(links.where("a != b").distinct())
-    while not _settled(current):
+    stars = []
+    while (unsettled := written(_unsettled(current))).take(1):
+        # A star that no unsettled node belongs to is a whole component.
+        roots = current.join(unsettled.withColumnRenamed("node", "a"), "a", "left_semi").select("b")
+        roots = written(roots.unionByName(unsettled.withColumnRenamed("node", "b")).distinct())
+        stars.append(written(current.join(roots, "b", "left_anti").select("a", "b")))
+        left = written(current.join(roots, "b", "left_semi").select("a", "b"))
         # The large star: what is above b goes to the smallest below it.
-        below = written(current.groupBy("a").agg(F.min("b").alias("m")))
-        large = current.join(below.withColumnRenamed("a", "b"), "b", "left")
+        below = written(left.groupBy("a").agg(F.min("b").alias("m")))
+        large = left.join(below.withColumnRenamed("a", "b"), "b", "left")
         large = written(large.select("a", F.coalesce("m", "b").alias("b")).distinct())
         # The small star: a and what is below it go to the smallest of those.
         least = written(large.groupBy("a").agg(F.min("b").alias("m")))
@@ -172,10 +178,12 @@ def components(edges: DataFrame) -> DataFrame:
             F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("x")
         )
         after = written(small.select("x.*").where("a != b").distinct())
-        for table in (current, below, large, least):
+        for table in (current, unsettled, roots, left, below, large, least):
             forget(table)
         current = after
         released(current.sparkSession)
+    for star in stars:
+        current = current.unionByName(star)
     return current.select("a.doc", "a.at", F.col("b.doc").alias("to_doc"), F.col("b.at").alias("to_at"))
 
 
@@ -268,28 +276,62 @@ def star_pairs(packed: DataFrame) -> DataFrame:
 
 def linked(
     pairs: DataFrame,
-    compare: Callable[[DataFrame], DataFrame],
+    compare: Callable[[DataFrame, DataFrame], DataFrame],
     texts: DataFrame,
     sets: Sets,
     percent: int,
+    bins: int,
+    rows: int,
 ) -> DataFrame:
     """Components of the ``star_pairs`` with ``percent`` of their union in common.
 
-    ``compare`` takes distinct pairs (doc, at, to_doc, to_at) and returns them with the
-    sizes ``common`` and ``union`` of their sets; ``texts`` has (doc, at, text) and ``sets``
-    gives the values of a column of texts and the text of each.
+    ``compare`` takes distinct pairs (doc, at, to_doc, to_at) and the texts of their nodes
+    and returns the pairs with the sizes ``common`` and ``union`` of their sets; ``texts`` has
+    (doc, at, text) and ``sets`` gives the values of a column of texts and the text of each.
+    Pairs are of nodes that share a band of ``rows`` of ``bins``.
     """
-    compared = written(compare(pairs))
+    # Most pairs are of equal texts, told by a code: only the texts of the others move on.
+    code = texts.where("text is not null").select(*NODE, F.xxhash64("text").alias("code"))
+    told = pairs.join(code, NODE).join(code.toDF("to_doc", "to_at", "to_code"), ["to_doc", "to_at"])
+    told = written(told.select(*PAIR, F.expr("code = to_code").alias("equal")))
+    one = F.lit(1).cast("long")
+    equal = told.where("equal").select(*PAIR, one.alias("common"), one.alias("union"))
+    others = told.where("not equal").select(*PAIR)
+    released(pairs.sparkSession)
+    needed = written(texts.join(nodes(others), NODE, "left_semi"))
+    released(pairs.sparkSession)
+    compared = written(compare(others.distinct(), needed).unionByName(equal))
+    for table in (told, needed):
+        forget(table)
     links = compared.where(F.expr(f"100 * common >= {percent} * union")).select(*PAIR)
     released(pairs.sparkSession)
-    found = components(links)
+    found = written(components(links))
     # A node with the set of its centre is in all of that node's buckets: one is enough.
     copies = compared.where("common = union").select(F.struct(*NODE).alias("node")).distinct()
-    more = written(_missed(pairs, copies, found, texts, sets, percent))
-    for table in (pairs, texts, *([] if more.take(1) else [compared])):
+    more = written(_missed(pairs, copies, found, texts, sets, percent, bins, rows))
+    for table in (pairs, compared):
         forget(table)
     released(more.sparkSession)
-    return components(links.unionByName(more)) if more.take(1) else found
+    return _joined(found, more) if more.take(1) else found
+
+
+def _joined(found: DataFrame, more: DataFrame) -> DataFrame:
+    """The components ``found``, of which links ``more`` join some.
+
+    Only the smallest nodes of components are linked anew.
+    """
+    node, to = F.struct(*NODE).alias("node"), F.struct("to_doc", "to_at")
+    own = found.select(node, to.cast("struct<doc:bigint,at:bigint>").alias("root"))
+    ends = more.select(node, to.cast("struct<doc:bigint,at:bigint>").alias("far"))
+    ends = ends.join(own, "node", "left").select(F.coalesce("root", "node").alias("a"), "far")
+    ends = ends.join(own.toDF("far", "root"), "far", "left").select("a", F.coalesce("root", "far").alias("b"))
+    edges = ends.select("a.doc", "a.at", F.col("b.doc").alias("to_doc"), F.col("b.at").alias("to_at"))
+    moved = written(components(edges))
+    again = moved.toDF("to_doc", "to_at", "new_doc", "new_at")
+    after = found.join(again, ["to_doc", "to_at"], "left").select(
+        *NODE, F.coalesce("new_doc", "to_doc").alias("to_doc"), F.coalesce("new_at", "to_at").alias("to_at")
+    )
+    return after.unionByName(moved)
 
 
 def _missed(
@@ -299,66 +341,72 @@ def _missed(
     texts: DataFrame,
     sets: Sets,
     percent: int,
+    bins: int,
+    rows: int,
 ) -> DataFrame:
-    """Links between nodes around a centre of which one is outside of its component.
+    """Links between nodes of buckets that hold more than one component.
 
-    Around a centre are itself, what was compared with it, and what was compared with a
-    node that was, but for ``copies``. Outsiders meet the others in blocks, inside tasks, which compare what
-    looks alike on the full sets. Only links become rows, and one of two components is
-    enough in a block.
+    The buckets of the nodes around centres, but for ``copies``, are taken from their texts
+    once more. Those outside of a bucket's largest component meet the others in blocks, inside
+    tasks, which compare what looks alike on the full sets. Only links become rows, and one
+    of two components is enough in a block. A node is in no more buckets than there are bands.
     """
     node, to = F.struct(*NODE), F.struct(F.col("to_doc").alias("doc"), F.col("to_at").alias("at"))
     own = found.select(node.alias("node"), to.alias("component"))
     of_hub = own.select(F.col("node").alias("hub"), F.col("component").alias("hub_component"))
-    star = pairs.select(to.alias("hub"), node.alias("node")).join(copies, "node", "left_anti")
-    told = star.join(own, "node", "left").join(of_hub, "hub", "left")
+    every = pairs.select(to.alias("hub"), node.alias("node"))
+    told = every.join(copies, "node", "left_anti").join(own, "node", "left").join(of_hub, "hub", "left")
     differ = F.coalesce("component", "node") != F.coalesce("hub_component", "hub")
     # Only where a pair lies in two components, at one step or two, may a link be missed.
     open_hubs = written(told.where(differ).select("hub").distinct())
-    outer = star.join(open_hubs.withColumnRenamed("hub", "node"), "node", "left_semi").select("hub")
-    open_hubs = written(open_hubs.unionByName(outer).distinct())
-    every, star = star, written(star.join(open_hubs, "hub", "left_semi"))
-    further = every.alias("far").join(star.alias("mid"), F.col("far.hub") == F.col("mid.node"))
-    itself = star.select("hub", F.col("hub").alias("node"))
-    around = star.unionByName(further.select("mid.hub", "far.node")).unionByName(itself).distinct()
-    around = around.join(own, "node", "left").join(of_hub, "hub", "left")
-    around = around.select(
-        "hub",
-        "node",
-        F.coalesce("component", "node").alias("component"),
-        F.coalesce("hub_component", "hub").alias("hub_component"),
-    )
-    around = written(around.withColumn("outside", F.expr("component != hub_component")))
-    hubs = around.where("outside").select("hub").distinct()
-    before, around = around, written(around.join(hubs, "hub", "left_semi"))
-    for table in (before, star, open_hubs):
+    outer = every.join(open_hubs.withColumnRenamed("hub", "node"), "node", "left_semi").select("hub")
+    hubs = written(open_hubs.unionByName(outer).distinct())
+    near = every.join(hubs, "hub", "left_semi").select("node")
+    near = written(near.unionByName(hubs.withColumnRenamed("hub", "node")).distinct())
+    far = every.join(near.withColumnRenamed("node", "hub"), "hub", "left_semi").select("node")
+    wanted = near.unionByName(far).distinct().join(copies, "node", "left_anti")
+    wanted = written(wanted.join(own, "node", "left").select("node.*", F.coalesce("component", "node").alias("component")))
+    for table in (open_hubs, hubs, near):
+        forget(table)
+    released(pairs.sparkSession)
+    looks = written(sketched(texts.join(wanted, NODE), sets, bins, rows))
+    for table in (wanted, texts):
         forget(table)
-    released(around.sparkSession)
-    needed = texts.join(around.select("node.*").distinct(), NODE, "left_semi")
-    looks = written(sketched(needed, sets))
     released(looks.sparkSession)
-    bytes_of = looks.select(node.alias("node"), F.octet_length("text").alias("bytes"))
-    sizes = around.join(bytes_of, "node").groupBy("hub").agg(
-        F.count("*").alias("n"),
+    member = looks.select(F.explode("keys").alias("key"), node.alias("node"), "component", F.octet_length("text").alias("bytes"))
+    parts = member.groupBy("key", "component").agg(
+        F.count("*").alias("n"), F.sum("bytes").alias("bytes"), F.bit_xor(F.xxhash64("node")).alias("who")
+    )
+    sizes = parts.groupBy("key").agg(
+        F.max_by("component", F.struct("n", "component")).alias("inner"),
+        F.max(F.struct("n", "component", "bytes")).alias("most"),
+        F.sum("n").alias("n"),
         F.sum("bytes").alias("bytes"),
-        F.count_if("outside").alias("n_out"),
-        F.sum(F.when(F.col("outside"), F.col("bytes"))).alias("bytes_out"),
+        F.bit_xor("who").alias("who"),
     )
-    sizes = sizes.select("hub", _blocks("n", "bytes", "blocks"), _blocks("n_out", "bytes_out", "out_blocks"))
+    sizes = sizes.withColumns({"n_out": F.col("n") - F.col("most.n"), "bytes_out": F.col("bytes") - F.col("most.bytes")})
+    # Buckets of the same members meet once.
+    sizes = sizes.where("n_out > 0").groupBy("who", "n").agg(F.min_by(F.struct("*"), "key").alias("x")).select("x.*")
+    sizes = written(sizes.select("key", "inner", _blocks("n", "bytes", "blocks"), _blocks("n_out", "bytes_out", "out_blocks")))
     sketch = looks.select(node.alias("node"), "same", "sketch", "text")
-    held = around.join(sizes, "hub").join(sketch, "node")
+    held = member.drop("bytes").join(sizes, "key").withColumn("outside", F.expr("component != inner"))
+    held = written(held.select("key", "node", "component", "outside", "blocks", "out_blocks"))
+    released(looks.sparkSession)
+    held = held.join(sketch, "node")
     block = F.pmod(F.xxhash64("node"), F.col("blocks"))
     out_block = F.pmod(F.xxhash64("node"), F.col("out_blocks"))
-    every = F.sequence(F.lit(0), F.col("blocks") - 1)
-    every_out = F.sequence(F.lit(0), F.col("out_blocks") - 1)
-    columns = ["hub", "node.*", F.col("component.doc").alias("c_doc"), F.col("component.at").alias("c_at")]
+    all_in = F.sequence(F.lit(0), F.col("blocks") - 1)
+    all_out = F.sequence(F.lit(0), F.col("out_blocks") - 1)
+    columns = ["key", "node.*", F.col("component.doc").alias("c_doc"), F.col("component.at").alias("c_at")]
     columns += ["same", "sketch", "text"]
-    right = held.select(*columns, F.lit(False).alias("out"), block.alias("i"), F.explode(every_out).alias("j"))
-    left = held.where("outside").select(
-        *columns, F.lit(True).alias("out"), F.explode(every).alias("i"), out_block.alias("j")
-    )
-    dealt = left.unionByName(right).select(
-        F.xxhash64("hub", "i", "j").alias("key"), *NODE, "c_doc", "c_at", "same", "out", "sketch", "text"
+    # In a bucket of one block a node is sent once: outsiders meet each other as well.
+    right = F.when(F.expr("not outside or blocks > 1 or out_blocks > 1"), F.transform(all_out, lambda j: F.struct(F.lit(False).alias("out"), block.alias("i"), j.alias("j"))))
+    left = F.when(F.col("outside"), F.transform(all_in, lambda i: F.struct(F.lit(True).alias("out"), i.alias("i"), out_block.alias("j"))))
+    empty = F.array().cast("array<struct<out:boolean,i:bigint,j:bigint>>")
+    kind = "array<struct<out:boolean,i:bigint,j:bigint>>"
+    places = F.concat(F.coalesce(right.cast(kind), empty), F.coalesce(left.cast(kind), empty))
+    dealt = held.select(*columns, F.explode(places).alias("p")).select(
+        F.xxhash64("key", "p.i", "p.j").alias("key"), *NODE, "c_doc", "c_at", "same", "p.out", "sketch", "text"
     )
     dealt = dealt.repartition("key").sortWithinPartitions("key")
     met = dealt.mapInArrow(_meeting(sets, percent), "doc long, at long, to_doc long, to_at long")
@@ -398,11 +446,11 @@ def _meeting(sets: Sets, percent: int):
 
 
 def _links(low, high, out, c_doc, c_at, sketch, texts, sets, least, percent) -> list[tuple[int, int]]:
-    """Links of the outsiders of one group with its others, until components are joined."""
+    """Links of the outsiders of one group with all of it, until components are joined."""
     inside = np.arange(low, high)
     pairs = np.stack([c_doc[inside], c_at[inside]], axis=1)
     component = np.unique(pairs, axis=0, return_inverse=True)[1].ravel()
-    others = inside[~out[inside]]
+    others = inside
     quick, share = np.ascontiguousarray(sketch[others, :QUICK]), percent / 100
     enough = QUICK * share - DEVIATIONS * np.sqrt(QUICK * share * (1 - share))
     known: dict[int, np.ndarray] = {}
@@ -431,23 +479,30 @@ def _links(low, high, out, c_doc, c_at, sketch, texts, sets, least, percent) ->
     return links
 
 
-def sketched(texts: DataFrame, sets: Sets) -> DataFrame:
-    """``texts`` with sketches; ``same`` is a code of the text but for its case."""
+def sketched(texts: DataFrame, sets: Sets, bins: int, rows: int) -> DataFrame:
+    """``texts`` with band keys and sketches; ``same`` is a code of the text but for its case."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts, same = [], [np.empty(0, np.uint64)]
+            keys = [np.empty((0, bins // rows), np.int64)]
             for low, high in arrays.blocks(batch.column("text")):
                 part = batch.column("text").slice(low, high - low)
-                bins = arrays.one_permutation(*sets(part), high - low, SKETCH)
-                parts += [row.tobytes() for row in bins.astype(np.uint8)]
+                found = sets(part)
+                looks = arrays.one_permutation(*found, high - low, SKETCH)
+                parts += [row.tobytes() for row in looks.astype(np.uint8)]
+                keys.append(arrays.band_keys(arrays.one_permutation(*found, high - low, bins), rows))
                 data, offsets = arrays.texts(part)
                 same.append(arrays.hash_spans(arrays.LOWER[data], offsets[:-1], offsets[1:]))
             code = pa.array(np.concatenate(same).view(np.int64))
+            key = np.concatenate(keys)
+            ends = pa.array(np.arange(len(key) + 1, dtype=np.int32) * (bins // rows))
+            held = pa.ListArray.from_arrays(ends, pa.array(key.ravel()))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, code, pa.array(parts, pa.binary())],
-                names=[*NODE, "text", "same", "sketch"],
+                [*batch.columns, code, pa.array(parts, pa.binary()), held],
+                names=[*NODE, "text", "component", "same", "sketch", "keys"],
             )
 
-    shape = "doc long, at long, text string, same long, sketch binary"
-    return texts.select(*NODE, "text").mapInArrow(run, shape)
+    shape = "doc long, at long, text string, component struct<doc:bigint,at:bigint>, "
+    shape += "same long, sketch binary, keys array<bigint>"
+    return texts.select(*NODE, "text", "component").mapInArrow(run, shape)

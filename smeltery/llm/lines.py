@@ -147,14 +147,14 @@ def repeated(
     forget(wanted)
     released(docs.sparkSession)
 
-    def compare(pairs: DataFrame) -> DataFrame:
+    def compare(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         far = texts.select(
             F.col("doc").alias("to_doc"), F.col("at").alias("to_at"), F.col("text").alias("to_text")
         )
         both = pairs.join(texts, clusters.NODE).join(far, ["to_doc", "to_at"])
         return both.select(*clusters.PAIR, "text", "to_text").mapInArrow(_overlaps(size), COMPARED)
 
-    found = clusters.linked(pairs, compare, texts, lambda c: _sets(c, size), percent)
+    found = clusters.linked(pairs, compare, texts, lambda c: _sets(c, size), percent, bins, rows)
     return found.toDF("doc_id", "at", "first_doc", "first_at")
 
 

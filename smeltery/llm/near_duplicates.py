@@ -94,14 +94,13 @@ def grouped(
         for batch in batches:
             yield with_overlap(batch, lambda column: shingles_of(column, size))
 
-    def compare(pairs: DataFrame) -> DataFrame:
-        far = texts.select(F.col("doc_id").alias("to_doc"), F.col("text").alias("to_text"))
-        near = texts.withColumnRenamed("doc_id", "doc")
-        both = pairs.join(near, "doc").join(far, "to_doc").select(*clusters.PAIR, "text", "to_text")
+    def compare(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+        far = texts.select(F.col("doc").alias("to_doc"), F.col("text").alias("to_text"))
+        both = pairs.join(texts.drop("at"), "doc").join(far, "to_doc").select(*clusters.PAIR, "text", "to_text")
         return both.mapInArrow(overlaps, COMPARED)
 
     nodes = texts.select(F.col("doc_id").alias("doc"), F.lit(0).cast("long").alias("at"), "text")
-    found = clusters.linked(pairs, compare, nodes, lambda c: shingles_of(c, size), percent)
+    found = clusters.linked(pairs, compare, nodes, lambda c: shingles_of(c, size), percent, bins, rows)
     return found.select(F.col("doc").alias("doc_id"), F.col("to_doc").alias("component_id"))
 
 

@@ -3,7 +3,7 @@ import random
 import pytest
 from brute import components, corpus, edited, prose, similar, words, LOWER
 
-from smeltery.llm import near_duplicates
+from smeltery.llm import clusters, near_duplicates
 
 
 def shingles(text, size=4):
@@ -56,3 +56,21 @@ def test_odd_rows(spark, documents):
         (False, 9, 0, 9, True),
         (True, None, 3, None, True),
     ]
+
+
+def test_equal_texts_are_not_fetched_to_be_compared(documents, monkeypatch):
+    rng = random.Random(3)
+    base = prose(rng, 60)
+    texts = [base] * 30 + [edited(rng, base, 1)] * 2
+    compared, linked = [], clusters.linked
+
+    def counted(pairs, compare, *more):
+        def fewer(pairs, *texts):
+            compared.append(pairs.count())
+            return compare(pairs, *texts)
+
+        return linked(pairs, fewer, *more)
+
+    monkeypatch.setattr(clusters, "linked", counted)
+    check(near_duplicates.marked(documents(texts).repartition(5)).collect(), texts)
+    assert sum(compared) <= 10

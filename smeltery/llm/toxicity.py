@@ -30,14 +30,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from smeltery.llm import arrays
-from smeltery.llm.shared import and_fields, written
+from smeltery.llm.shared import and_fields, small_batches, written
 
 PREFIXES = (4, 5)
 TOXIC_VOTERS = 24
 LEXICON_VOTERS = TOXIC_VOTERS + 4
 VOTERS = LEXICON_VOTERS + 4
 BUCKETS = 1 << 15
-HELD_TERMS = 1 << 20
+HELD_TERMS = 1 << 19
 SENT_ROWS = 1 << 16
 _EDGE = np.zeros(256, bool)
 _EDGE[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
@@ -397,6 +397,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
 
     Of several labels of one id the toxic one holds.
     """
+    small_batches(docs.sparkSession)
     known = learned(labels)
     sizes = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     if len(sizes) < 2:
@@ -416,6 +417,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """The columns of ``docs`` but its text, with score (0 to 1) and predicted (0 or 1)."""
+    small_batches(docs.sparkSession)
     others = [c for c in docs.columns if c not in ("text", "score", "predicted")]
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -5,6 +5,7 @@ import pytest
 from brute import words
 
 from smeltery.llm import arrays, divergence, language, toxicity
+from smeltery.session import BATCH, BATCH_BYTES
 
 ALPHABETS = {"xa": "abcdefgh", "xb": "ghijklmnö", "xc": "opqrstuvwé"}
 
@@ -192,6 +193,16 @@ def test_rare_toxic_texts_are_learned_from_all_labels(spark, documents):
     assert sum(got.values()) <= 42
 
 
+def test_batches_of_toxicity_are_bounded_in_bytes(spark, documents):
+    spark.conf.set(BATCH, "64m")
+    docs = documents(["fine words"] * 3)
+    toxicity.score(docs, toxicity.Model())
+    assert spark.conf.get(BATCH) == str(BATCH_BYTES)
+    spark.conf.set(BATCH, "64m")
+    toxicity.fit(docs, spark.createDataFrame([(1, 1)], "doc_id long, toxic int"))
+    assert spark.conf.get(BATCH) == str(BATCH_BYTES)
+
+
 def test_the_sample_is_bounded_in_rows_and_bytes_for_each_class(spark, documents):
     rows = [(k, "word " * 20, int(k % 10 == 0)) for k in range(200)]
     docs = documents([(k, t, "en") for k, t, _ in rows])

@@ -7,8 +7,8 @@ per key, so that a key that a third of all rows share costs a row per batch.
 
 A star may miss a link between two leaves of which neither is similar to the centre.
 ``linked`` therefore goes on: in each bucket of more than one component, the nodes outside of
-its largest meet all others of it, in blocks inside tasks, by sketches of 512 bins. Pairs whose estimate is no
-more than 0.07 (four standard deviations) below a link are compared on their full sets, until
+its largest meet all others of it, in blocks inside tasks, by sketches of 256 bins. Pairs whose estimate is no
+more than 0.1 (four standard deviations) below a link are compared on their full sets, until
 their components are joined. So every two nodes of a bucket are compared, lie in one
 component or are told apart by their sketches.
 """
@@ -23,13 +23,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from smeltery.llm import arrays
-from smeltery.llm.shared import forget, released, written
+from smeltery.llm.shared import forget, parted, released, written
 
 NODE = ["doc", "at"]
 PAIR = ["doc", "at", "to_doc", "to_at"]
 #: Bytes of a sketch, how far its estimate may lie below a link, and a block's size.
-SKETCH = 512
-MARGIN = 0.07
+SKETCH = 256
+MARGIN = 0.1
 #: Bins that are looked at first; a link is not seen there with a probability of 1e-5.
 QUICK = 128
 DEVIATIONS = 4.5
@@ -192,6 +192,8 @@ def nodes(pairs: DataFrame) -> DataFrame:
 #: A member of a bucket, and a pair, as they are packed into the bytes of a row.
 MEMBER = np.dtype([("key", "<i8"), ("doc", "<i8"), ("at", "<i8")])
 PACKED = "key int, members binary, pairs binary"
+#: Of a key that is dealt to a slot so much is sent; what meets by chance is compared in full.
+KEY_BITS = (1 << 48) - 1
 
 
 def slots_of(spark: SparkSession) -> int:
@@ -199,6 +201,20 @@ def slots_of(spark: SparkSession) -> int:
     return 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def _by_byte(members: np.ndarray, width: int) -> bytes:
+    """The first bytes of all members, then the second ones: those of ids that lie near each
+    other are runs, which the compression of a shuffle takes out."""
+    return members.view(np.uint8).reshape(-1, width).T.tobytes()
+
+
+def _members(column: pa.Array) -> np.ndarray:
+    parts = [np.empty(0, MEMBER)]
+    for value in column:
+        if value.is_valid and (held := np.frombuffer(value.as_buffer(), np.uint8)).size:
+            parts.append(np.ascontiguousarray(held.reshape(MEMBER.itemsize, -1).T).view(MEMBER).ravel())
+    return np.concatenate(parts)
+
+
 def packed_stars(doc: np.ndarray, at: np.ndarray, keys: np.ndarray, slots: int) -> pa.RecordBatch:
     """What ``stars_of_batch`` sends, as a row for each slot of keys and one for the pairs.
 
@@ -221,13 +237,15 @@ def packed_stars(doc: np.ndarray, at: np.ndarray, keys: np.ndarray, slots: int)
     members = np.empty(int(first.sum()), MEMBER)
     members["key"], members["doc"], members["at"] = key[first], doc[owner[first]], at[owner[first]]
     slot = (members["key"].view(np.uint64) >> np.uint64(20)) % np.uint64(slots)
-    by_slot = np.argsort(slot, kind="stable")
+    members["key"] &= KEY_BITS
+    by_slot = np.lexsort((owner[first], slot))
     members, slot = members[by_slot], slot[by_slot]
     start = np.flatnonzero(_first_of_run(slot)) if len(slot) else np.empty(0, np.int64)
     count = len(start) + 1
     ends = np.append(start, [len(members)] * 2) * MEMBER.itemsize
+    held = b"".join(_by_byte(part, MEMBER.itemsize) for part in np.split(members, start[1:]))
     held = pa.Array.from_buffers(
-        pa.binary(), count, [None, pa.py_buffer(ends.astype(np.int32).tobytes()), pa.py_buffer(members.tobytes())]
+        pa.binary(), count, [None, pa.py_buffer(ends.astype(np.int32).tobytes()), pa.py_buffer(held)]
     )
     routes = np.append(slot[start].astype(np.int64), int(doc[0]) % slots if n else 0)
     sent = pa.array([None] * (count - 1) + [pairs.astype("<i8").tobytes()], pa.binary())
@@ -238,7 +256,7 @@ def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The pairs of a node and the centre of a bucket, slot by slot."""
     for held in whole_groups(batches):
         pairs = [np.frombuffer(arrays.raw(held.column("pairs").chunk(0)), "<i8").reshape(-1, 4)]
-        members = np.frombuffer(arrays.raw(held.column("members").chunk(0)), MEMBER)
+        members = _members(held.column("members").chunk(0))
         order = np.argsort(members["key"], kind="stable")
         key = members["key"][order]
         again = np.append(key[1:] == key[:-1], False) if len(key) else np.empty(0, bool)
@@ -274,37 +292,77 @@ def linked(
     percent: int,
     bins: int,
     rows: int,
+    owned: bool = False,
 ) -> DataFrame:
     """Components of the ``star_pairs`` with ``percent`` of their union in common.
 
     ``compare`` takes distinct pairs (doc, at, to_doc, to_at) and the texts of their nodes
     and returns the pairs with the sizes ``common`` and ``union`` of their sets; ``texts`` has
     (doc, at, text) and ``sets`` gives the values of a column of texts and the text of each.
-    Pairs are of nodes that share a band of ``rows`` of ``bins``.
+    Pairs are of nodes that share a band of ``rows`` of ``bins``. ``owned`` texts are a table
+    of the nodes of the pairs alone, which is deleted here.
+
+    Nodes of equal texts, told by a code, are in the same buckets: the smallest stands for
+    all, so only its text moves and only it takes part in what follows.
     """
-    # Most pairs are of equal texts, told by a code: only the texts of the others move on.
-    code = texts.where("text is not null").select(*NODE, F.xxhash64("text").alias("code"))
-    told = pairs.join(code, NODE).join(code.toDF("to_doc", "to_at", "to_code"), ["to_doc", "to_at"])
-    told = written(told.select(*PAIR, F.expr("code = to_code").alias("equal")))
-    one = F.lit(1).cast("long")
-    equal = told.where("equal").select(*PAIR, one.alias("common"), one.alias("union"))
-    others = told.where("not equal").select(*PAIR)
-    released(pairs.sparkSession)
-    needed = written(texts.join(nodes(others), NODE, "left_semi"))
-    released(pairs.sparkSession)
-    compared = written(compare(others.distinct(), needed).unionByName(equal))
-    for table in (told, needed):
+    spark = pairs.sparkSession
+    copies = _copies(texts, None if owned else nodes(pairs))
+    released(spark)
+    own = written(_folded(pairs, copies))
+    forget(pairs)
+    released(spark)
+    own_nodes = written(nodes(own))
+    needed = written(parted(texts, own_nodes, *NODE)[0].join(own_nodes, NODE, "left_semi"))
+    for table in (own_nodes, texts) if owned else (own_nodes,):
         forget(table)
+    released(spark)
+    compared = written(compare(own, needed))
+    released(spark)
     links = compared.where(F.expr(f"100 * common >= {percent} * union")).select(*PAIR)
-    released(pairs.sparkSession)
     found = written(components(links))
-    # A node with the set of its centre is in all of that node's buckets: one is enough.
-    copies = compared.where("common = union").select(F.struct(*NODE).alias("node")).distinct()
-    more = written(_missed(pairs, copies, found, texts, sets, percent, bins, rows))
-    for table in (pairs, compared):
+    # A node with the set of a smaller centre is in all of that node's buckets: one is enough.
+    node, to = F.struct(*NODE), F.struct(F.col("to_doc").alias("doc"), F.col("to_at").alias("at"))
+    same = compared.where(F.col("common") == F.col("union")).where(node > to).select(node.alias("node")).distinct()
+    more = written(_missed(own, same, found, needed, sets, percent, bins, rows))
+    for table in (own, compared):
         forget(table)
-    released(more.sparkSession)
-    return _joined(found, more) if more.take(1) else found
+    released(spark)
+    if more.take(1):
+        found = _joined(found, more)
+    root = found.toDF("to_doc", "to_at", "new_doc", "new_at")
+    others = copies.join(root, ["to_doc", "to_at"], "left").select(
+        *NODE, F.coalesce("new_doc", "to_doc").alias("to_doc"), F.coalesce("new_at", "to_at").alias("to_at")
+    )
+    return found.unionByName(others)
+
+
+def _copies(texts: DataFrame, wanted: DataFrame | None) -> DataFrame:
+    """(doc, at, to_doc, to_at) of the ``wanted`` nodes with a text that a smaller one has as
+    well, and the smallest of those. A node of several texts has no copies and is none."""
+    code = texts.where("text is not null").select(
+        *NODE, F.xxhash64("text").alias("a"), F.xxhash64(F.lit(1), "text").alias("b")
+    )
+    if wanted is not None:
+        code = code.join(wanted, NODE, "left_semi")
+    ends = [f(c).alias(f"{f.__name__}_{c}") for c in "ab" for f in (F.min, F.max)]
+    code = code.groupBy(*NODE).agg(*ends).where("min_a = max_a and min_b = max_b")
+    code = written(code.select(*NODE, F.col("min_a").alias("a"), F.col("min_b").alias("b")))
+    first = code.groupBy("a", "b").agg(F.min(F.struct(*NODE)).alias("to"), F.count("*").alias("n"))
+    first = written(first.where("n > 1").select("a", "b", F.col("to.doc").alias("to_doc"), F.col("to.at").alias("to_at")))
+    both = code.join(first, ["a", "b"]).where("doc != to_doc or at != to_at")
+    copies = written(both.select(*PAIR))
+    for table in (code, first):
+        forget(table)
+    return copies
+
+
+def _folded(pairs: DataFrame, copies: DataFrame) -> DataFrame:
+    """The distinct ``pairs`` of the nodes that stand for theirs."""
+    near = copies.toDF(*NODE, "new_doc", "new_at")
+    far = copies.toDF("to_doc", "to_at", "new_to_doc", "new_to_at")
+    both = pairs.join(near, NODE, "left").join(far, ["to_doc", "to_at"], "left")
+    both = both.select(*(F.coalesce(f"new_{c}", c).alias(c) for c in PAIR))
+    return both.where("doc != to_doc or at != to_at").distinct()
 
 
 def _joined(found: DataFrame, more: DataFrame) -> DataFrame:
@@ -328,7 +386,7 @@ def _joined(found: DataFrame, more: DataFrame) -> DataFrame:
 
 def _missed(
     pairs: DataFrame,
-    copies: DataFrame,
+    same: DataFrame,
     found: DataFrame,
     texts: DataFrame,
     sets: Sets,
@@ -338,7 +396,7 @@ def _missed(
 ) -> DataFrame:
     """Links between nodes of buckets that hold more than one component.
 
-    The buckets of the nodes around centres, but for ``copies``, are taken from their texts
+    The buckets of the nodes around centres, but for ``same``, are taken from their texts
     once more. Those outside of a bucket's largest component meet the others in blocks, inside
     tasks, which compare what looks alike on the full sets. Only links become rows, and one
     of two components is enough in a block. A node is in no more buckets than there are bands.
@@ -347,7 +405,7 @@ def _missed(
     own = found.select(node.alias("node"), to.alias("component"))
     of_hub = own.select(F.col("node").alias("hub"), F.col("component").alias("hub_component"))
     every = pairs.select(to.alias("hub"), node.alias("node"))
-    told = every.join(copies, "node", "left_anti").join(own, "node", "left").join(of_hub, "hub", "left")
+    told = every.join(same, "node", "left_anti").join(own, "node", "left").join(of_hub, "hub", "left")
     differ = F.coalesce("component", "node") != F.coalesce("hub_component", "hub")
     # Only where a pair lies in two components, at one step or two, may a link be missed.
     open_hubs = written(told.where(differ).select("hub").distinct())
@@ -356,12 +414,13 @@ def _missed(
     near = every.join(hubs, "hub", "left_semi").select("node")
     near = written(near.unionByName(hubs.withColumnRenamed("hub", "node")).distinct())
     far = every.join(near.withColumnRenamed("node", "hub"), "hub", "left_semi").select("node")
-    wanted = near.unionByName(far).distinct().join(copies, "node", "left_anti")
+    wanted = near.unionByName(far).distinct().join(same, "node", "left_anti")
     wanted = written(wanted.join(own, "node", "left").select("node.*", F.coalesce("component", "node").alias("component")))
+    held = parted(texts, wanted, *NODE)[0].join(wanted, NODE)
     for table in (open_hubs, hubs, near):
         forget(table)
     released(pairs.sparkSession)
-    looks = written(sketched(texts.join(wanted, NODE), sets, bins, rows))
+    looks = written(sketched(held, sets, bins, rows))
     for table in (wanted, texts):
         forget(table)
     released(looks.sparkSession)
@@ -370,12 +429,12 @@ def _missed(
         F.count("*").alias("n"), F.sum("bytes").alias("bytes"), F.bit_xor(F.xxhash64("node")).alias("who")
     )
     sizes = parts.groupBy("key").agg(
-        F.max_by("component", F.struct("n", "component")).alias("inner"),
         F.max(F.struct("n", "component", "bytes")).alias("most"),
         F.sum("n").alias("n"),
         F.sum("bytes").alias("bytes"),
         F.bit_xor("who").alias("who"),
     )
+    sizes = sizes.withColumn("inner", F.col("most.component"))
     sizes = sizes.withColumns({"n_out": F.col("n") - F.col("most.n"), "bytes_out": F.col("bytes") - F.col("most.bytes")})
     # Buckets of the same members meet once.
     sizes = sizes.where("n_out > 0").groupBy("who", "n").agg(F.min_by(F.struct("*"), "key").alias("x")).select("x.*")

@@ -154,7 +154,7 @@ def repeated(
         both = pairs.join(texts, clusters.NODE).join(far, ["to_doc", "to_at"])
         return both.select(*clusters.PAIR, "text", "to_text").mapInArrow(_overlaps(size), COMPARED)
 
-    found = clusters.linked(pairs, compare, texts, lambda c: _sets(c, size), percent, bins, rows)
+    found = clusters.linked(pairs, compare, texts, lambda c: _sets(c, size), percent, bins, rows, True)
     return found.toDF("doc_id", "at", "first_doc", "first_at")
 
 
@@ -165,6 +165,7 @@ def deduplicated(docs: DataFrame, **settings: int) -> DataFrame:
     """
     gone = repeated(docs, **settings).groupBy("doc_id").agg(F.collect_list("at").alias("gone"))
     gone = written(gone)
+    released(docs.sparkSession)
     others = [c for c in docs.columns if c not in ("text", "n_lines", "n_removed")]
     # The other columns travel as one, so that their names meet no others.
     held = F.struct(*(F.col(f"`{c}`") for c in others)).alias("row")

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from smeltery.llm import arrays, clusters
-from smeltery.llm.shared import parted, released, small_batches, written
+from smeltery.llm.shared import released, small_batches
 
 WORDS = 4
 BINS = 192
@@ -86,9 +86,6 @@ def grouped(
     pairs = clusters.star_pairs(own.mapInArrow(_starred(size, bins, rows, slots), clusters.PACKED))
     # What has been shuffled is gone before more is.
     released(docs.sparkSession)
-    wanted = clusters.nodes(pairs).select(F.col("doc").alias("doc_id"))
-    texts = written(parted(own, wanted)[0].join(wanted, "doc_id"))
-    released(docs.sparkSession)
 
     def overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -99,7 +96,7 @@ def grouped(
         both = pairs.join(texts.drop("at"), "doc").join(far, "to_doc").select(*clusters.PAIR, "text", "to_text")
         return both.mapInArrow(overlaps, COMPARED)
 
-    nodes = texts.select(F.col("doc_id").alias("doc"), F.lit(0).cast("long").alias("at"), "text")
+    nodes = own.select(F.col("doc_id").alias("doc"), F.lit(0).cast("long").alias("at"), "text")
     found = clusters.linked(pairs, compare, nodes, lambda c: shingles_of(c, size), percent, bins, rows)
     return found.select(F.col("doc").alias("doc_id"), F.col("to_doc").alias("component_id"))
 

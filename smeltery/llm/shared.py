@@ -53,19 +53,21 @@ def remainder(column: str, by: int) -> F.Column:
     return F.crc32(F.encode(text, "UTF-8")) % by
 
 
-SLOTS = 1 << 18
+SLOTS = 1 << 20
 
 
 def _slot(*ids: str) -> F.Column:
     return F.pmod(F.xxhash64(*ids), F.lit(SLOTS)).alias("slot")
 
 
-def parted(docs: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+def parted(docs: DataFrame, ids: DataFrame, *names: str) -> tuple[DataFrame, DataFrame]:
     """``docs`` whose doc_id may be among ``ids`` (doc_id), and those whose is surely not.
 
-    Ids are hashed to a fixed number of slots, so what is broadcast is bounded whatever the
-    tables hold; the join that follows then moves fewer texts.
+    Other ``names`` of columns may stand for doc_id. Ids are hashed to a fixed number of slots,
+    so what is broadcast is bounded whatever the tables hold; the join that follows then moves
+    fewer texts.
     """
-    slots = F.broadcast(ids.select(_slot("doc_id")).distinct().hint("coalesce", 1))
-    own = docs.withColumn("slot", _slot("doc_id"))
+    slot = _slot(*(names or ("doc_id",)))
+    slots = F.broadcast(ids.select(slot).distinct().hint("coalesce", 1))
+    own = docs.withColumn("slot", slot)
     return own.join(slots, "slot", "left_semi").drop("slot"), own.join(slots, "slot", "left_anti").drop("slot")

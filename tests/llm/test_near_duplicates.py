@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from brute import components, corpus, edited, prose, similar, words, LOWER
 
@@ -74,3 +75,36 @@ def test_equal_texts_are_not_fetched_to_be_compared(documents, monkeypatch):
     monkeypatch.setattr(clusters, "linked", counted)
     check(near_duplicates.marked(documents(texts).repartition(5)).collect(), texts)
     assert sum(compared) <= 10
+
+
+def test_copies_of_a_text_take_no_part_in_linking(documents, monkeypatch):
+    rng = random.Random(4)
+    base = prose(rng, 60)
+    texts = [base] * 30 + [edited(rng, base, 1)] * 20 + [base.upper()] * 10
+    seen, missed = [], clusters._missed
+
+    def counted(pairs, *more):
+        seen.append(clusters.nodes(pairs).count())
+        return missed(pairs, *more)
+
+    monkeypatch.setattr(clusters, "_missed", counted)
+    check(near_duplicates.marked(documents(texts).repartition(5)).collect(), texts)
+    assert seen == [3]
+
+
+def test_an_id_of_several_texts_links_through_each(documents):
+    rng = random.Random(6)
+    a, b = prose(rng, 60), prose(rng, 60)
+    rows = [(k, t, "en") for k, t in ((1, a), (2, a), (2, b), (3, b), (4, a), (5, b), (6, prose(rng, 60)))]
+    got = near_duplicates.marked(documents(rows).repartition(3)).select("doc_id", "component_id").distinct()
+    assert sorted(got.collect()) == [(1, 1), (2, 1), (3, 1), (4, 1), (5, 1), (6, 6)]
+
+
+def test_members_travel_byte_by_byte(spark):
+    doc, at = np.array([7, 9, 1 << 40]), np.array([0, 3, 70_000])
+    keys = np.array([[5, 1 << 62], [5, -8], [-1, 1 << 62]])
+    packed = spark.createDataFrame(clusters.packed_stars(doc, at, keys, 4).to_pandas(), clusters.PACKED)
+    other = clusters.packed_stars(np.array([8]), np.array([2]), np.array([[-1, -8]]), 4).to_pandas()
+    both = packed.unionByName(spark.createDataFrame(other, clusters.PACKED))
+    found = sorted(tuple(r) for r in clusters.star_pairs(both).collect())
+    assert found == [(9, 3, 7, 0), (9, 3, 8, 2), (1 << 40, 70_000, 7, 0), (1 << 40, 70_000, 8, 2)]

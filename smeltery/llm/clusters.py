@@ -19,6 +19,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,6 +36,8 @@ QUICK = 128
 DEVIATIONS = 4.5
 BLOCK = 1024
 BLOCK_BYTES = 8 << 20
+#: Texts whose sets are made at once.
+SET_BYTES = 1 << 18
 
 
 Sets = Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]
@@ -189,6 +192,51 @@ def nodes(pairs: DataFrame) -> DataFrame:
     return pairs.select(*NODE).unionByName(to).distinct()
 
 
+#: Bits in which the nodes of pairs are marked, and those of one row of them.
+MARKS = 1 << 27
+MARKS_OF_ROW = 1 << 15
+
+
+def _mark(doc: np.ndarray, at: np.ndarray) -> np.ndarray:
+    code = arrays.mixed(arrays.mixed(doc.astype(np.uint64)) + at.astype(np.uint64))
+    return (code % np.uint64(MARKS)).astype(np.int64)
+
+
+def _node_marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        columns = [batch.column(c).to_numpy() for c in PAIR if c in batch.schema.names]
+        marks = np.unique(np.concatenate([_mark(*columns[k : k + 2]) for k in range(0, len(columns), 2)]))
+        yield pa.RecordBatch.from_arrays([pa.array(marks)], names=["mark"])
+
+
+def marked_nodes(pairs: DataFrame) -> Broadcast:
+    """Bits in which every node of pairs, or of a table of nodes, is marked, for ``is_marked``.
+
+    They are as many whatever the tables hold. What is marked may be no node, but few are.
+    """
+    marks = pairs.select(*(c for c in PAIR if c in pairs.columns)).mapInArrow(_node_marks, "mark long")
+    row = F.shiftright("mark", 15).alias("row")
+    marks = marks.select(row, F.col("mark").bitwiseAND(MARKS_OF_ROW - 1).alias("bit")).repartition("row")
+    rows = marks.groupBy("row").agg(F.bitmap_construct_agg("bit").alias("bits")).collect()
+    held = bytearray(MARKS // 8)
+    for row, bits in rows:
+        held[row * len(bits) : (row + 1) * len(bits)] = bits
+    return pairs.sparkSession.sparkContext.broadcast(bytes(held))
+
+
+def is_marked(marked: Broadcast, doc: np.ndarray, at: np.ndarray) -> np.ndarray:
+    mark = _mark(doc, at)
+    return (np.frombuffer(marked.value, np.uint8)[mark >> 3] >> (mark & 7).astype(np.uint8)) & 1 == 1
+
+
+def _where_marked(marked: Broadcast):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(is_marked(marked, *(batch.column(c).to_numpy() for c in NODE))))
+
+    return run
+
+
 #: A member of a bucket, and a pair, as they are packed into the bytes of a row.
 MEMBER = np.dtype([("key", "<i8"), ("doc", "<i8"), ("at", "<i8")])
 PACKED = "key int, members binary, pairs binary"
@@ -222,23 +270,23 @@ def packed_stars(doc: np.ndarray, at: np.ndarray, keys: np.ndarray, slots: int)
     bytes that they hold.
     """
     n, bands = keys.shape
-    key, owner = keys.ravel(), np.repeat(np.arange(n), bands)
     by_place = np.lexsort((at, doc))
-    rank = np.empty(n, np.int64)
-    rank[by_place] = np.arange(n)
-    order = np.lexsort((rank[owner], key))
+    doc, at = doc[by_place], at[by_place]
+    key, owner = keys[by_place].ravel(), np.repeat(np.arange(n), bands)
+    order = np.argsort(key)
     key, owner = key[order], owner[order]
-    first = _first_of_run(key)
-    centre = owner[np.flatnonzero(first)[np.cumsum(first) - 1]]
+    start = np.flatnonzero(_first_of_run(key))
+    least = np.minimum.reduceat(owner, start) if n else owner
+    centre = np.repeat(least, np.diff(np.append(start, len(key))))
     # The others of a key go to its first, once each and not to themselves.
     leaf = np.flatnonzero((doc[owner] != doc[centre]) | (at[owner] != at[centre]))
     both = np.unique(owner[leaf] * n + centre[leaf])
     pairs = np.stack([doc[both // n], at[both // n], doc[both % n], at[both % n]], axis=1)
-    members = np.empty(int(first.sum()), MEMBER)
-    members["key"], members["doc"], members["at"] = key[first], doc[owner[first]], at[owner[first]]
+    members = np.empty(len(start), MEMBER)
+    members["key"], members["doc"], members["at"] = key[start], doc[least], at[least]
     slot = (members["key"].view(np.uint64) >> np.uint64(20)) % np.uint64(slots)
     members["key"] &= KEY_BITS
-    by_slot = np.lexsort((owner[first], slot))
+    by_slot = np.argsort(slot.astype(np.int64) * n + least)
     members, slot = members[by_slot], slot[by_slot]
     start = np.flatnonzero(_first_of_run(slot)) if len(slot) else np.empty(0, np.int64)
     count = len(start) + 1
@@ -288,6 +336,7 @@ def linked(
     pairs: DataFrame,
     compare: Callable[[DataFrame, DataFrame], DataFrame],
     texts: DataFrame,
+    copies: DataFrame,
     sets: Sets,
     percent: int,
     bins: int,
@@ -299,22 +348,23 @@ def linked(
     ``compare`` takes distinct pairs (doc, at, to_doc, to_at) and the texts of their nodes
     and returns the pairs with the sizes ``common`` and ``union`` of their sets; ``texts`` has
     (doc, at, text) and ``sets`` gives the values of a column of texts and the text of each.
-    Pairs are of nodes that share a band of ``rows`` of ``bins``. ``owned`` texts are a table
-    of the nodes of the pairs alone, which is deleted here.
+    Pairs are of nodes that share a band of ``rows`` of ``bins``. ``owned`` texts are
+    a table of the nodes of the pairs and few others, which is deleted here.
 
-    Nodes of equal texts, told by a code, are in the same buckets: the smallest stands for
-    all, so only its text moves and only it takes part in what follows.
+    Nodes of equal texts are in the same buckets: the smallest stands for its ``copies``, so
+    only its text moves and only it takes part in what follows. ``with_copies`` adds them to
+    what is returned.
     """
     spark = pairs.sparkSession
-    copies = _copies(texts, None if owned else nodes(pairs))
-    released(spark)
     own = written(_folded(pairs, copies))
     forget(pairs)
     released(spark)
-    own_nodes = written(nodes(own))
-    needed = written(parted(texts, own_nodes, *NODE)[0].join(own_nodes, NODE, "left_semi"))
-    for table in (own_nodes, texts) if owned else (own_nodes,):
-        forget(table)
+    near = texts if owned else parted(texts, nodes(own), *NODE)[0]
+    marked = marked_nodes(own)
+    needed = written(near.mapInArrow(_where_marked(marked), near.schema))
+    marked.destroy()
+    if owned:
+        forget(texts)
     released(spark)
     compared = written(compare(own, needed))
     released(spark)
@@ -329,6 +379,11 @@ def linked(
     released(spark)
     if more.take(1):
         found = _joined(found, more)
+    return found
+
+
+def with_copies(found: DataFrame, copies: DataFrame) -> DataFrame:
+    """``found`` and the same for the ``copies`` of its nodes and of others."""
     root = found.toDF("to_doc", "to_at", "new_doc", "new_at")
     others = copies.join(root, ["to_doc", "to_at"], "left").select(
         *NODE, F.coalesce("new_doc", "to_doc").alias("to_doc"), F.coalesce("new_at", "to_at").alias("to_at")
@@ -336,16 +391,17 @@ def linked(
     return found.unionByName(others)
 
 
-def _copies(texts: DataFrame, wanted: DataFrame | None) -> DataFrame:
+def copies_of(texts: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
     """(doc, at, to_doc, to_at) of the ``wanted`` nodes with a text that a smaller one has as
     well, and the smallest of those. A node of several texts has no copies and is none."""
     code = texts.where("text is not null").select(
-        *NODE, F.xxhash64("text").alias("a"), F.xxhash64(F.lit(1), "text").alias("b")
+        *NODE, F.xxhash64("text").alias("a"), F.xxhash64(F.lit(1), "text").alias("b"), F.octet_length("text").alias("size")
     )
     if wanted is not None:
         code = code.join(wanted, NODE, "left_semi")
     ends = [f(c).alias(f"{f.__name__}_{c}") for c in "ab" for f in (F.min, F.max)]
-    code = code.groupBy(*NODE).agg(*ends).where("min_a = max_a and min_b = max_b")
+    code = code.groupBy(*NODE).agg(*ends, F.max(F.col("size") == 0).alias("blank"))
+    code = code.where("min_a = max_a and min_b = max_b and not blank")
     code = written(code.select(*NODE, F.col("min_a").alias("a"), F.col("min_b").alias("b")))
     first = code.groupBy("a", "b").agg(F.min(F.struct(*NODE)).alias("to"), F.count("*").alias("n"))
     first = written(first.where("n > 1").select("a", "b", F.col("to.doc").alias("to_doc"), F.col("to.at").alias("to_at")))
@@ -416,15 +472,20 @@ def _missed(
     far = every.join(near.withColumnRenamed("node", "hub"), "hub", "left_semi").select("node")
     wanted = near.unionByName(far).distinct().join(same, "node", "left_anti")
     wanted = written(wanted.join(own, "node", "left").select("node.*", F.coalesce("component", "node").alias("component")))
-    held = parted(texts, wanted, *NODE)[0].join(wanted, NODE)
+    marked = marked_nodes(wanted)
+    held = texts.mapInArrow(_where_marked(marked), texts.schema)
     for table in (open_hubs, hubs, near):
         forget(table)
     released(pairs.sparkSession)
     looks = written(sketched(held, sets, bins, rows))
-    for table in (wanted, texts):
-        forget(table)
+    marked.destroy()
+    forget(texts)
+    # Components join the keys alone, without the texts.
+    placed = looks.select(*NODE, "keys", F.octet_length("text").alias("bytes")).join(wanted, NODE)
+    placed = written(placed.select(node.alias("node"), "component", "keys", "bytes"))
+    forget(wanted)
     released(looks.sparkSession)
-    member = looks.select(F.explode("keys").alias("key"), node.alias("node"), "component", F.octet_length("text").alias("bytes"))
+    member = placed.select(F.explode("keys").alias("key"), "node", "component", "bytes")
     parts = member.groupBy("key", "component").agg(
         F.count("*").alias("n"), F.sum("bytes").alias("bytes"), F.bit_xor(F.xxhash64("node")).alias("who")
     )
@@ -484,9 +545,11 @@ def _meeting(sets: Sets, percent: int):
             sketch = sketch.reshape(len(columns[0]), -1)[order]
             texts = held.column("text").combine_chunks().take(pa.array(order))
             start = np.flatnonzero(_first_of_run(key))
+            component = _numbered(c_doc, c_at)
+            values = _values(texts, sets)
             links: list[tuple[int, int]] = []
             for low, high in zip(start.tolist(), [*start[1:].tolist(), len(key)], strict=True):
-                links += _links(low, high, out, c_doc, c_at, sketch, texts, sets, least, percent)
+                links += _links(low, high, out, component, sketch, values, least, percent)
             if links:
                 x, y = np.array(links).T
                 yield pa.RecordBatch.from_arrays(
@@ -496,22 +559,49 @@ def _meeting(sets: Sets, percent: int):
     return run
 
 
-def _links(low, high, out, c_doc, c_at, sketch, texts, sets, least, percent) -> list[tuple[int, int]]:
+def _numbered(*columns: np.ndarray) -> np.ndarray:
+    """A number for each distinct row of ``columns``."""
+    order = np.lexsort(columns)
+    out = np.empty(len(order), np.int64)
+    out[order] = np.cumsum(_first_of_run(*(c[order] for c in columns)))
+    return out
+
+
+def _values(texts: pa.Array, sets: Sets) -> Callable[[int, int], np.ndarray]:
+    """The set of text ``k`` for a group that begins at text ``low``.
+
+    Sets are made for a block of texts at once, the first time one of them is asked for, and
+    go when a later group needs a new block.
+    """
+    cuts = list(arrays.blocks(texts, SET_BYTES))
+    ends = np.array([high for _, high in cuts])
+    held: dict[int, tuple[np.ndarray, np.ndarray, dict[int, np.ndarray]]] = {}
+
+    def values(k: int, low: int) -> np.ndarray:
+        block = int(np.searchsorted(ends, k, "right"))
+        first, last = cuts[block]
+        if block not in held:
+            for old in [x for x in held if ends[x] <= low]:
+                del held[old]
+            found, text = sets(texts.slice(first, last - first))
+            held[block] = found, np.searchsorted(text, np.arange(last - first + 1)), {}
+        found, at, known = held[block]
+        if k not in known:
+            known[k] = np.unique(found[at[k - first] : at[k - first + 1]])
+        return known[k]
+
+    return values
+
+
+def _links(low, high, out, component, sketch, values, least, percent) -> list[tuple[int, int]]:
     """Links of the outsiders of one group with all of it, until components are joined."""
     inside = np.arange(low, high)
-    pairs = np.stack([c_doc[inside], c_at[inside]], axis=1)
-    component = np.unique(pairs, axis=0, return_inverse=True)[1].ravel()
+    component = component[low:high].copy()
     others = inside
     quick, share = np.ascontiguousarray(sketch[others, :QUICK]), percent / 100
     enough = QUICK * share - DEVIATIONS * np.sqrt(QUICK * share * (1 - share))
-    known: dict[int, np.ndarray] = {}
     links = []
 
-    def values(k: int) -> np.ndarray:
-        if k not in known:
-            known[k] = np.unique(sets(texts.slice(k, 1))[0])
-        return known[k]
-
     for x in inside[out[inside]].tolist():
         near = np.count_nonzero(quick == sketch[x, :QUICK], axis=1) >= enough
         y = others[near & (component[others - low] != component[x - low])]
@@ -523,8 +613,9 @@ def _links(low, high, out, c_doc, c_at, sketch, texts, sets, least, percent) ->
             mine, far = component[x - low], component[k - low]
             if mine == far:
                 continue
-            common = len(np.intersect1d(values(x), values(k), assume_unique=True))
-            if 100 * common >= percent * (len(values(x)) + len(values(k)) - common):
+            own, other = values(x, low), values(k, low)
+            common = len(np.intersect1d(own, other, assume_unique=True))
+            if 100 * common >= percent * (len(own) + len(other) - common):
                 links.append((x, k))
                 component[component == far] = mine
     return links
@@ -551,9 +642,8 @@ def sketched(texts: DataFrame, sets: Sets, bins: int, rows: int) -> DataFrame:
             held = pa.ListArray.from_arrays(ends, pa.array(key.ravel()))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, code, pa.array(parts, pa.binary()), held],
-                names=[*NODE, "text", "component", "same", "sketch", "keys"],
+                names=[*NODE, "text", "same", "sketch", "keys"],
             )
 
-    shape = "doc long, at long, text string, component struct<doc:bigint,at:bigint>, "
-    shape += "same long, sketch binary, keys array<bigint>"
-    return texts.select(*NODE, "text", "component").mapInArrow(run, shape)
+    shape = "doc long, at long, text string, same long, sketch binary, keys array<bigint>"
+    return texts.select(*NODE, "text").mapInArrow(run, shape)

@@ -14,21 +14,27 @@ null text has no lines and stays null.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from smeltery.llm import arrays, clusters
 from smeltery.llm.near_duplicates import COMPARED, with_overlap
-from smeltery.llm.shared import and_fields, forget, parted, released, small_batches, written
+from smeltery.llm.shared import and_fields, parted, released, small_batches, written
 
 CHARS = 8
 BINS = 56
 BAND_ROWS = 4
 PERCENT = 80
+#: Texts whose hashes are held at once: they stay in a core's cache.
+CUT_BYTES = 1 << 18
+#: The lines with the most copies; these are taken out of a text without moving it.
+COMMON = 1 << 15
 
 
 def lines_of(
@@ -45,6 +51,23 @@ def lines_of(
     return w.starts[first], w.ends[last], w.doc[first], line[first]
 
 
+def every_line(
+    data: np.ndarray, offsets: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """What ``lines_of`` gives, and empty spans for the lines without a word."""
+    breaks = np.flatnonzero(data == 10)
+    before = np.searchsorted(breaks, offsets)
+    count = np.diff(before) + 1
+    doc = np.repeat(np.arange(len(count)), count)
+    first = np.cumsum(count) - count
+    line = np.arange(len(doc)) - first[doc]
+    starts, ends = np.zeros((2, len(doc)), np.int64)
+    own = lines_of(data, offsets)
+    at = first[own[2]] + own[3]
+    starts[at], ends[at] = own[:2]
+    return starts, ends, doc, line
+
+
 def shingles_of(
     data: np.ndarray, starts: np.ndarray, ends: np.ndarray, size: int = CHARS
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -54,15 +77,19 @@ def shingles_of(
     inside[starts] += 1
     inside[ends] -= 1
     at = np.flatnonzero(((data & 0xC0) != 0x80) & (np.cumsum(inside[:-1], dtype=np.int8) > 0))
-    # Characters come line by line: what counts is how many are left in the line.
+    # Characters come line by line; the last of a line begin no run of their own.
     first = np.searchsorted(at, starts)
     count = np.diff(np.append(first, len(at)))
-    line = np.repeat(np.arange(len(starts)), count)
-    left = (first + count)[line] - np.arange(len(at))
-    use = np.flatnonzero((left >= size) | ((left == count[line]) & (count[line] < size)))
-    end = np.append(at, len(data))[np.minimum(use + size, len(at))]
-    end = np.where(left[use] > size, end, ends[line[use]])
-    return arrays.between(sums, at[use], end), line[use]
+    opens = np.ones(len(at), bool)
+    for k in range(1, size):
+        opens[(first + count - k)[count > k]] = False
+    end = np.empty(len(at), np.int64)
+    end[: max(0, len(at) - size)] = at[size:]
+    filled = count > 0
+    end[(first + np.maximum(count - size, 0))[filled]] = ends[filled]
+    runs = np.maximum(count - size, -1) + 1
+    runs[filled & (runs == 0)] = 1
+    return arrays.between(sums, at[opens], end[opens]), np.repeat(np.arange(len(starts)), runs)
 
 
 def _starred(size: int, bins: int, rows: int, slots: int):
@@ -90,28 +117,29 @@ def _starred(size: int, bins: int, rows: int, slots: int):
 def _cut(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
     low = 0
     while low < len(offsets) - 1:
-        top = offsets[low] + arrays.BLOCK_BYTES
+        top = offsets[low] + CUT_BYTES
         high = max(low + 1, int(np.searchsorted(offsets, top, "right")) - 1)
         yield low, high
         low = high
 
 
-def _picked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The lines of each text at the places ``at_lines``."""
-    for batch in batches:
-        ids = batch.column("doc_id").to_pylist()
-        texts = arrays.strings(batch.column("text"))
-        places = batch.column("at_lines").to_pylist()
-        rows = []
-        for doc, text, wanted in zip(ids, texts, places, strict=True):
-            parts = text.split("\n")
-            rows += [(doc, k, parts[k]) for k in wanted if k < len(parts)]
-        if rows:
-            doc, at, text = zip(*rows, strict=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(doc, pa.int64()), pa.array(at, pa.int64()), pa.array(text, pa.string())],
-                names=["doc", "at", "text"],
-            )
+def _picked(marked: Broadcast):
+    """The lines that are ``marked``, trimmed; those without a word are empty."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
+            for low, high in arrays.blocks(batch.column("text")):
+                data, offsets = arrays.texts(batch.column("text").slice(low, high - low))
+                starts, ends, doc, line = every_line(data, offsets)
+                doc = ids[low + doc].astype(np.int64)
+                use = np.flatnonzero(clusters.is_marked(marked, doc, line))
+                held = data.tobytes()
+                text = [held[a:b] for a, b in zip(starts[use].tolist(), ends[use].tolist(), strict=True)]
+                columns = [pa.array(doc[use]), pa.array(line[use]), pa.array(text, pa.binary()).cast(pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc", "at", "text"])
+
+    return run
 
 
 def _sets(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -130,21 +158,18 @@ def _overlaps(size: int):
     return run
 
 
-def repeated(
-    docs: DataFrame, size: int = CHARS, bins: int = BINS, rows: int = BAND_ROWS, percent: int = PERCENT
-) -> DataFrame:
-    """(doc_id, at, first_doc, first_at) of each line that goes and the line that stays."""
+def _repeats(docs: DataFrame, size: int, bins: int, rows: int, percent: int) -> tuple[DataFrame, ...]:
+    """What ``clusters.linked`` finds among the lines, the copies of its nodes, and ``_common``."""
     small_batches(docs.sparkSession)
     own = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), "text")
     slots = clusters.slots_of(docs.sparkSession)
     pairs = clusters.star_pairs(own.mapInArrow(_starred(size, bins, rows, slots), clusters.PACKED))
     # What has been shuffled is gone before more is.
     released(docs.sparkSession)
-    wanted = clusters.nodes(pairs).groupBy(F.col("doc").alias("doc_id"))
-    wanted = written(wanted.agg(F.collect_list("at").alias("at_lines")))
-    texts = parted(own, wanted)[0].join(wanted, "doc_id").select("doc_id", "text", "at_lines")
-    texts = written(texts.mapInArrow(_picked, "doc long, at long, text string"))
-    forget(wanted)
+    # Lines are picked where their texts lie: no whole text moves.
+    marked = clusters.marked_nodes(pairs)
+    texts = written(own.mapInArrow(_picked(marked), "doc long, at long, text string"))
+    marked.destroy()
     released(docs.sparkSession)
 
     def compare(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -154,31 +179,108 @@ def repeated(
         both = pairs.join(texts, clusters.NODE).join(far, ["to_doc", "to_at"])
         return both.select(*clusters.PAIR, "text", "to_text").mapInArrow(_overlaps(size), COMPARED)
 
-    found = clusters.linked(pairs, compare, texts, lambda c: _sets(c, size), percent, bins, rows, True)
-    return found.toDF("doc_id", "at", "first_doc", "first_at")
+    copies = clusters.copies_of(texts)
+    common = _common(copies, texts)
+    released(docs.sparkSession)
+    found = clusters.linked(
+        pairs, compare, texts, copies, lambda c: _sets(c, size), percent, bins, rows, True
+    )
+    return found, copies, common
+
+
+def repeated(
+    docs: DataFrame, size: int = CHARS, bins: int = BINS, rows: int = BAND_ROWS, percent: int = PERCENT
+) -> DataFrame:
+    """(doc_id, at, first_doc, first_at) of each line that goes and the line that stays."""
+    found, copies, _ = _repeats(docs, size, bins, rows, percent)
+    return clusters.with_copies(found, copies).toDF("doc_id", "at", "first_doc", "first_at")
+
 
+def _common(copies: DataFrame, texts: DataFrame) -> DataFrame:
+    """(doc, at, code, digest) of the nodes with the most copies, with a hash and a digest of
+    their texts. There are ``COMMON`` at most, so they can go to every task, which takes such
+    lines out of a text where that lies."""
+    to = ["to_doc", "to_at"]
+    most = copies.groupBy(*to).count().orderBy(F.desc("count"), *to).limit(COMMON).select(*to)
 
-def deduplicated(docs: DataFrame, **settings: int) -> DataFrame:
+    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = arrays.texts(batch.column("text"))
+            codes = arrays.hash_spans(data, offsets[:-1], offsets[1:]).view(np.int64)
+            held = [_digest(text.encode()) for text in arrays.strings(batch.column("text"))]
+            columns = [batch.column("doc"), batch.column("at"), pa.array(codes), pa.array(held, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc", "at", "code", "digest"])
+
+    own = texts.join(F.broadcast(most.toDF(*clusters.NODE)), clusters.NODE)
+    return written(own.mapInArrow(digests, "doc long, at long, code long, digest binary").hint("coalesce", 1))
+
+
+def _stays(found: DataFrame, common: DataFrame) -> dict[bytes, tuple[int, int, int]]:
+    """By digest, the hash of a ``common`` text and which of the nodes that have it, or are
+    like it, stays."""
+    root = found.join(F.broadcast(common.select(*clusters.NODE).distinct()), clusters.NODE)
+    to = {(r.doc, r.at): (r.to_doc, r.to_at) for r in root.collect()}
+    return {
+        bytes(r.digest): (r.code, *to.get((r.doc, r.at), (r.doc, r.at))) for r in common.collect()
+    }
+
+
+def _digest(text: bytes) -> bytes:
+    return hashlib.blake2b(text, digest_size=16).digest()
+
+
+def _taken(known: dict):
+    """Lines of a column of texts with a ``known`` text, but for that which stays, as places
+    by text. ``ids`` are those of the texts; a text without one keeps its lines."""
+    codes = np.sort(np.array([code for code, _, _ in known.values()], np.int64))
+
+    def places(column: pa.Array, ids: list[int | None]) -> dict[int, set[int]]:
+        out: dict[int, set[int]] = {}
+        for low, high in arrays.blocks(column, CUT_BYTES) if len(codes) else ():
+            data, offsets = arrays.texts(column.slice(low, high - low))
+            starts, ends, doc, line = lines_of(data, offsets)
+            code = arrays.hash_spans(data, starts, ends).view(np.int64)
+            near = codes[np.minimum(np.searchsorted(codes, code), len(codes) - 1)] == code
+            held = memoryview(data)
+            for k in np.flatnonzero(near).tolist():
+                text, at = low + int(doc[k]), int(line[k])
+                stays = known.get(_digest(held[starts[k] : ends[k]]))
+                if ids[text] is not None and stays and stays[1:] != (ids[text], at):
+                    out.setdefault(text, set()).add(at)
+        return out
+
+    return places
+
+
+def deduplicated(
+    docs: DataFrame, size: int = CHARS, bins: int = BINS, rows: int = BAND_ROWS, percent: int = PERCENT
+) -> DataFrame:
     """``docs`` with its text without the lines that go, n_lines and n_removed.
 
     Lines that stay keep their order and are joined by line feeds.
     """
-    gone = repeated(docs, **settings).groupBy("doc_id").agg(F.collect_list("at").alias("gone"))
-    gone = written(gone)
+    found, copies, common = _repeats(docs, size, bins, rows, percent)
+    known = _stays(found, common)
+    most = common.select(F.col("doc").alias("to_doc"), F.col("at").alias("to_at"))
+    copies = copies.join(F.broadcast(most), most.columns, "left_anti")
+    gone = clusters.with_copies(found, copies).select(F.col("doc").alias("doc_id"), "at")
+    gone = written(gone.groupBy("doc_id").agg(F.collect_list("at").alias("gone")))
     released(docs.sparkSession)
+    taken = _taken(known)
     others = [c for c in docs.columns if c not in ("text", "n_lines", "n_removed")]
     # The other columns travel as one, so that their names meet no others.
     held = F.struct(*(F.col(f"`{c}`") for c in others)).alias("row")
-    kept = docs.select("doc_id", "text", held)
+    kept = docs.select("doc_id", "text", held, F.col("doc_id").cast("long").alias("own"))
     shape = and_fields([kept.schema["row"]], "text string, n_lines long, n_removed long")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, n_lines, n_removed = [], [], []
             places = batch.column("gone").to_pylist()
-            for text, gone in zip(batch.column("text").to_pylist(), places, strict=True):
+            common = taken(batch.column("text"), batch.column("own").to_pylist())
+            for row, (text, gone) in enumerate(zip(batch.column("text").to_pylist(), places, strict=True)):
                 parts = [] if text is None else text.split("\n")
-                removed = {k for k in gone or () if k < len(parts)}
+                removed = {k for k in gone or () if k < len(parts)} | common.get(row, set())
                 left = [x for k, x in enumerate(parts) if k not in removed]
                 texts.append(None if text is None else "\n".join(left))
                 n_lines.append(len(parts))
@@ -194,7 +296,7 @@ def deduplicated(docs: DataFrame, **settings: int) -> DataFrame:
             )
 
     near, rest = parted(kept, gone)
-    near = near.join(gone, "doc_id", "left").select("row", "text", "gone")
-    rest = rest.select("row", "text", F.lit(None).cast("array<bigint>").alias("gone"))
+    near = near.join(gone, "doc_id", "left").select("row", "text", "own", "gone")
+    rest = rest.select("row", "text", "own", F.lit(None).cast("array<bigint>").alias("gone"))
     done = near.unionByName(rest).mapInArrow(cut, shape)
     return done.select("row.*", "text", "n_lines", "n_removed")

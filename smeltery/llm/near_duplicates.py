@@ -97,7 +97,10 @@ def grouped(
         return both.mapInArrow(overlaps, COMPARED)
 
     nodes = own.select(F.col("doc_id").alias("doc"), F.lit(0).cast("long").alias("at"), "text")
-    found = clusters.linked(pairs, compare, nodes, lambda c: shingles_of(c, size), percent, bins, rows)
+    copies = clusters.copies_of(nodes, clusters.nodes(pairs))
+    released(docs.sparkSession)
+    found = clusters.linked(pairs, compare, nodes, copies, lambda c: shingles_of(c, size), percent, bins, rows)
+    found = clusters.with_copies(found, copies)
     return found.select(F.col("doc").alias("doc_id"), F.col("to_doc").alias("component_id"))
 
 

@@ -1,7 +1,8 @@
+import numpy as np
 import pytest
 from brute import LOWER, components, corpus, similar
 
-from smeltery.llm import lines
+from smeltery.llm import clusters, lines
 
 
 def sets_of(texts, size=8):
@@ -39,3 +40,49 @@ def test_odd_rows(documents):
     got = sorted((r.doc_id or 0, r.text, r.n_removed) for r in lines.deduplicated(odd).collect())
     assert got == [(0, same, 0), (4, same, 0), (4, same, 0), (5, "x\n\n", 1)]
     assert lines.deduplicated(odd).columns == ["doc_id", "gone", "slot", "text", "n_lines", "n_removed"]
+
+
+def test_common_lines_go_where_their_texts_lie(documents, monkeypatch):
+    moved, parted = [], lines.parted
+
+    def counted(docs, ids, *names):
+        moved.append(ids.count())
+        return parted(docs, ids, *names)
+
+    monkeypatch.setattr(lines, "parted", counted)
+    same, near = "a line that several documents have in common", "A line that several documents have in common."
+    texts = [f"{same} \n\nline {k} of its own, {'xyz'[k % 3] * 30}" for k in range(12)]
+    texts[3] += f"\n{same}\n{near}"
+    got = {r.doc_id: (r.text, r.n_removed) for r in lines.deduplicated(documents(texts).repartition(4)).collect()}
+    assert got[0] == (texts[0], 0)
+    assert all(same not in got[k][0] and near not in got[k][0] for k in range(1, 12))
+    # Of texts, only those with lines that are alike, not equal, meet a table of what goes.
+    assert sum(moved) < 11 and got[3][1] >= 3
+
+
+def test_a_place_with_several_texts_goes_from_each_row(documents):
+    same = "a line that several documents have in common"
+    rows = [(k, f"{same}\nrest", "en") for k in range(3)] + [(7, f"{same}\nx", "en"), (7, "\ny", "en"), (7, "other\nz", "en")]
+    got = sorted((r.doc_id, r.text) for r in lines.deduplicated(documents(rows).repartition(3)).collect())
+    assert got[:3] == [(0, f"{same}\nrest"), (1, ""), (2, "")]
+    assert got[3:] == [(7, "x"), (7, "y"), (7, "z")]
+
+
+def test_whole_texts_are_not_joined_to_pick_lines(documents, monkeypatch):
+    def refused(*args):
+        raise AssertionError("texts are dealt out to pick lines")
+
+    monkeypatch.setattr(lines, "parted", refused)
+    same = "a line that several documents have in common"
+    found = lines.repeated(documents([f"x{k}\n{same}" for k in range(4)]).repartition(2)).collect()
+    assert sorted(map(tuple, found)) == [(k, 1, 0, 1) for k in (1, 2, 3)]
+
+
+def test_every_node_is_marked_and_few_others(spark):
+    pairs = spark.createDataFrame([(k, 1, k + 5000, 2) for k in range(1000)], "doc long, at long, to_doc long, to_at long")
+    marked = clusters.marked_nodes(pairs)
+    doc = np.arange(1000)
+    assert clusters.is_marked(marked, doc, np.full(1000, 1)).all()
+    assert clusters.is_marked(marked, doc + 5000, np.full(1000, 2)).all()
+    assert clusters.is_marked(marked, doc, np.full(1000, 3)).sum() < 10
+    assert len(marked.value) == clusters.MARKS // 8

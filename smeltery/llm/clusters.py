@@ -305,7 +305,7 @@ def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for held in whole_groups(batches):
         pairs = [np.frombuffer(arrays.raw(held.column("pairs").chunk(0)), "<i8").reshape(-1, 4)]
         members = _members(held.column("members").chunk(0))
-        order = np.argsort(members["key"], kind="stable")
+        order = np.argsort(members["key"])
         key = members["key"][order]
         again = np.append(key[1:] == key[:-1], False) if len(key) else np.empty(0, bool)
         again[1:] |= again[:-1].copy()
@@ -473,11 +473,10 @@ def _missed(
     wanted = near.unionByName(far).distinct().join(same, "node", "left_anti")
     wanted = written(wanted.join(own, "node", "left").select("node.*", F.coalesce("component", "node").alias("component")))
     marked = marked_nodes(wanted)
-    held = texts.mapInArrow(_where_marked(marked), texts.schema)
     for table in (open_hubs, hubs, near):
         forget(table)
     released(pairs.sparkSession)
-    looks = written(sketched(held, sets, bins, rows))
+    looks = written(sketched(texts, sets, bins, rows, marked))
     marked.destroy()
     forget(texts)
     # Components join the keys alone, without the texts.
@@ -621,11 +620,12 @@ def _links(low, high, out, component, sketch, values, least, percent) -> list[tu
     return links
 
 
-def sketched(texts: DataFrame, sets: Sets, bins: int, rows: int) -> DataFrame:
-    """``texts`` with band keys and sketches; ``same`` is a code of the text but for its case."""
+def sketched(texts: DataFrame, sets: Sets, bins: int, rows: int, marked: Broadcast) -> DataFrame:
+    """The ``marked`` of ``texts`` with band keys and sketches; ``same`` is a code of the text but
+    for its case."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _where_marked(marked)(batches):
             parts, same = [], [np.empty(0, np.uint64)]
             keys = [np.empty((0, bins // rows), np.int64)]
             for low, high in arrays.blocks(batch.column("text")):

@@ -276,15 +276,20 @@ def deduplicated(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, n_lines, n_removed = [], [], []
-            places = batch.column("gone").to_pylist()
+            of_rows = batch.column("gone").to_pylist()
             common = taken(batch.column("text"), batch.column("own").to_pylist())
-            for row, (text, gone) in enumerate(zip(batch.column("text").to_pylist(), places, strict=True)):
-                parts = [] if text is None else text.split("\n")
-                removed = {k for k in gone or () if k < len(parts)} | common.get(row, set())
-                left = [x for k, x in enumerate(parts) if k not in removed]
-                texts.append(None if text is None else "\n".join(left))
+            for row, (text, gone) in enumerate(zip(batch.column("text").to_pylist(), of_rows, strict=True)):
+                places = {*(gone or ()), *common.get(row, ())}
+                if text is None or not places:
+                    texts.append(text)
+                    n_lines.append(0 if text is None else text.count("\n") + 1)
+                    n_removed.append(0)
+                    continue
+                parts = text.split("\n")
+                left = [x for k, x in enumerate(parts) if k not in places]
+                texts.append("\n".join(left))
                 n_lines.append(len(parts))
-                n_removed.append(len(removed))
+                n_removed.append(len(parts) - len(left))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("row"),

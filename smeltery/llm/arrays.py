@@ -133,9 +133,12 @@ def between(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarra
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
+    h = h ^ (h >> np.uint64(30))
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    h ^= h >> np.uint64(27)
+    h *= np.uint64(0x94D049BB133111EB)
+    h ^= h >> np.uint64(31)
+    return h
 
 
 def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -231,8 +234,12 @@ def one_permutation(values: np.ndarray, doc: np.ndarray, n: int, bins: int) -> n
     empty = np.iinfo(np.uint64).max
     held = np.full(n * bins, empty, np.uint64)
     values = mixed(values)
-    place = ((values >> np.uint64(32)) * np.uint64(bins)) >> np.uint64(32)
-    np.minimum.at(held, doc * bins + place.astype(np.int64), values)
+    place = values >> np.uint64(32)
+    place *= np.uint64(bins)
+    place >>= np.uint64(32)
+    place = place.view(np.int64)
+    place += doc * bins
+    np.minimum.at(held, place, values)
     out = held.reshape(n, bins).copy()
     cells = np.flatnonzero(held == empty)
     cells = cells[(out != empty).any(axis=1)[cells // bins]]

@@ -19,6 +19,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +39,12 @@ BLOCK = 1024
 BLOCK_BYTES = 8 << 20
 #: Texts whose sets are made at once.
 SET_BYTES = 1 << 18
+#: Pairs that are met at once, and those whose sketches are looked at together.
+MET = 1 << 16
+LOOKED = 1 << 12
+#: Bits of the outline of a set, and texts whose outlines are made at once.
+OUTLINE = 1 << 14
+OUTLINED = 64
 
 
 Sets = Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]
@@ -165,10 +172,10 @@ def components(edges: DataFrame) -> DataFrame:
     links = edges.select(F.greatest(node, to).alias("a"), F.least(node, to).alias("b"))
     current = written(links.where("a != b").distinct())
     while not _settled(current):
-        # The large star: what is above b goes to the smallest below it.
+        # The large star: what is above b goes to the smallest below it, a row for each row.
         below = written(current.groupBy("a").agg(F.min("b").alias("m")))
         large = current.join(below.withColumnRenamed("a", "b"), "b", "left")
-        large = written(large.select("a", F.coalesce("m", "b").alias("b")).distinct())
+        large = written(large.select("a", F.coalesce("m", "b").alias("b")))
         # The small star: a and what is below it go to the smallest of those.
         least = written(large.groupBy("a").agg(F.min("b").alias("m")))
         small = large.join(least, "a").select(
@@ -530,8 +537,6 @@ def _blocks(count: str, size: str, name: str) -> F.Column:
 
 
 def _meeting(sets: Sets, percent: int):
-    least = percent / 100 - MARGIN
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for held in whole_groups(batches):
             names = ("key", "doc", "at", "c_doc", "c_at", "same", "out")
@@ -543,14 +548,9 @@ def _meeting(sets: Sets, percent: int):
             key, doc, at, c_doc, c_at, _, out = (x[order] for x in columns)
             sketch = sketch.reshape(len(columns[0]), -1)[order]
             texts = held.column("text").combine_chunks().take(pa.array(order))
-            start = np.flatnonzero(_first_of_run(key))
-            component = _numbered(c_doc, c_at)
-            values = _values(texts, sets)
-            links: list[tuple[int, int]] = []
-            for low, high in zip(start.tolist(), [*start[1:].tolist(), len(key)], strict=True):
-                links += _links(low, high, out, component, sketch, values, least, percent)
-            if links:
-                x, y = np.array(links).T
+            component = _numbered(c_doc, c_at) - 1
+            x, y = _links(key, out, component, sketch, texts, sets, percent)
+            if len(x):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(v) for v in (doc[x], at[x], doc[y], at[y])], names=PAIR
                 )
@@ -566,58 +566,141 @@ def _numbered(*columns: np.ndarray) -> np.ndarray:
     return out
 
 
-def _values(texts: pa.Array, sets: Sets) -> Callable[[int, int], np.ndarray]:
-    """The set of text ``k`` for a group that begins at text ``low``.
+def _met(key: np.ndarray, out: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of an outsider and another member of its group, each once, some at a time."""
+    first = _first_of_run(key)
+    start = np.flatnonzero(first)
+    group = np.cumsum(first) - 1
+    low, size = start[group], np.diff(np.append(start, len(key)))[group]
+    outer = np.flatnonzero(out)
+    total = np.cumsum(size[outer])
+    begin = 0
+    while begin < len(outer):
+        before = total[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(total, before + MET, "right")))
+        own = outer[begin:end]
+        x = np.repeat(own, size[own])
+        y = np.arange(len(x)) + np.repeat(low[own] - (total[begin:end] - size[own] - before), size[own])
+        use = ~out[y] | (x < y)
+        yield x[use], y[use]
+        begin = end
+
+
+def _alike(sketch: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """How many bytes of their sketches the rows of pairs have in common."""
+    found = np.empty(len(x), np.int64)
+    for low in range(0, len(x), LOOKED):
+        part = slice(low, low + LOOKED)
+        found[part] = np.count_nonzero(sketch[x[part]] == sketch[y[part]], axis=1)
+    return found
+
 
-    Sets are made for a block of texts at once, the first time one of them is asked for, and
-    go when a later group needs a new block.
+def _outlines(texts: pa.Array, sets: Sets) -> tuple[np.ndarray, np.ndarray]:
+    """Bits at which a text has a value of its set, and how many values each set holds."""
+    sizes = np.empty(len(texts), np.int64)
+    bits = np.empty((len(texts), OUTLINE // 64), np.uint64)
+    for low, high in arrays.blocks(texts, SET_BYTES):
+        n = high - low
+        keys, shift = arrays.set_keys(*sets(texts.slice(low, n)), n)
+        of = (keys >> shift).astype(np.int64)
+        sizes[low:high] = np.bincount(of, minlength=n)
+        # The upper bits of a value, which are the same whatever texts it is held with.
+        keys <<= np.uint64(64) - shift
+        place = (keys >> np.uint64(65 - OUTLINE.bit_length())).astype(np.int64)
+        ends = np.searchsorted(of, np.arange(0, n + OUTLINED, OUTLINED))
+        for k, first in enumerate(range(0, n, OUTLINED)):
+            held = np.zeros((min(OUTLINED, n - first), OUTLINE), bool)
+            part = slice(ends[k], ends[k + 1])
+            held[of[part] - first, place[part]] = True
+            bits[low + first : low + first + len(held)] = np.packbits(held, axis=1).view(np.uint64)
+    return bits, sizes
+
+
+def _may_link(
+    bits: np.ndarray, sizes: np.ndarray, x: np.ndarray, y: np.ndarray, percent: int
+) -> np.ndarray:
+    """Whether as many values as a link asks for can be in both sets of a pair.
+
+    Each value of both sets has its bit in both outlines, alone or with others of its set: so
+    no more are common than the common bits and the values that share theirs in one set.
     """
-    cuts = list(arrays.blocks(texts, SET_BYTES))
-    ends = np.array([high for _, high in cuts])
-    held: dict[int, tuple[np.ndarray, np.ndarray, dict[int, np.ndarray]]] = {}
-
-    def values(k: int, low: int) -> np.ndarray:
-        block = int(np.searchsorted(ends, k, "right"))
-        first, last = cuts[block]
-        if block not in held:
-            for old in [x for x in held if ends[x] <= low]:
-                del held[old]
-            found, text = sets(texts.slice(first, last - first))
-            held[block] = found, np.searchsorted(text, np.arange(last - first + 1)), {}
-        found, at, known = held[block]
-        if k not in known:
-            known[k] = np.unique(found[at[k - first] : at[k - first + 1]])
-        return known[k]
-
-    return values
-
-
-def _links(low, high, out, component, sketch, values, least, percent) -> list[tuple[int, int]]:
-    """Links of the outsiders of one group with all of it, until components are joined."""
-    inside = np.arange(low, high)
-    component = component[low:high].copy()
-    others = inside
-    quick, share = np.ascontiguousarray(sketch[others, :QUICK]), percent / 100
-    enough = QUICK * share - DEVIATIONS * np.sqrt(QUICK * share * (1 - share))
-    links = []
+    shared = sizes - np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
+    most = np.minimum(shared[x], shared[y])
+    for low in range(0, len(x), LOOKED):
+        part = slice(low, low + LOOKED)
+        most[part] += np.bitwise_count(bits[x[part]] & bits[y[part]]).sum(axis=1, dtype=np.int64)
+    return 100 * most >= percent * (sizes[x] + sizes[y] - most)
+
+
+def _confirmed(
+    texts: pa.Array, sets: Sets, x: np.ndarray, y: np.ndarray, percent: int
+) -> np.ndarray:
+    """Whether the full sets of pairs are linked; texts are held for some pairs at a time."""
+    length = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    total = np.cumsum(length[x] + length[y])
+    found = np.zeros(len(x), bool)
+    low = 0
+    while low < len(x):
+        before = total[low - 1] if low else 0
+        high = max(low + 1, int(np.searchsorted(total, before + SET_BYTES, "right")))
+        own, far = (sets(texts.take(pa.array(z[low:high]))) for z in (x, y))
+        common, union = arrays.overlaps(own, far, high - low)
+        found[low:high] = 100 * common >= percent * union
+        low = high
+    return found
 
-    for x in inside[out[inside]].tolist():
-        near = np.count_nonzero(quick == sketch[x, :QUICK], axis=1) >= enough
-        y = others[near & (component[others - low] != component[x - low])]
-        if not len(y):
+
+def _links(
+    key: np.ndarray,
+    out: np.ndarray,
+    component: np.ndarray,
+    sketch: np.ndarray,
+    texts: pa.Array,
+    sets: Sets,
+    percent: int,
+) -> tuple[np.ndarray, np.ndarray]:
+    """Links of the outsiders of groups with all of their group, until components are joined.
+
+    Rows lie in order of ``key``; components are numbers from 0 on. What looks alike is
+    compared in rounds, the pairs that look most alike of each component first and twice as many
+    from round to round; what a round joins, the next ones need not compare.
+    """
+    root = np.arange(component.max(initial=-1) + 1)
+    quick, share = np.ascontiguousarray(sketch[:, :QUICK]), percent / 100
+    enough = QUICK * share - DEVIATIONS * np.sqrt(QUICK * share * (1 - share))
+    least = (share - MARGIN) * sketch.shape[1]
+    links = [(np.empty(0, np.int64),) * 2]
+    for x, y in _met(key, out):
+        for look, needed in ((quick, enough), (sketch, least)):
+            apart = root[component[x]] != root[component[y]]
+            x, y = x[apart], y[apart]
+            alike = _alike(look, x, y)
+            x, y, alike = x[alike >= needed], y[alike >= needed], alike[alike >= needed]
+        if not len(x):
             continue
-        alike = (sketch[y] == sketch[x]).mean(axis=1)
-        y, alike = y[alike >= least], alike[alike >= least]
-        for k in y[np.argsort(-alike, kind="stable")].tolist():
-            mine, far = component[x - low], component[k - low]
-            if mine == far:
-                continue
-            own, other = values(x, low), values(k, low)
-            common = len(np.intersect1d(own, other, assume_unique=True))
-            if 100 * common >= percent * (len(own) + len(other) - common):
-                links.append((x, k))
-                component[component == far] = mine
-    return links
+        rows, place = np.unique(np.concatenate([x, y]), return_inverse=True)
+        outlines = _outlines(texts.take(pa.array(rows)), sets)
+        may = _may_link(*outlines, place[: len(x)], place[len(x) :], percent)
+        x, y, alike = x[may], y[may], alike[may]
+        most = 1
+        while len(x):
+            own, far = root[component[x]], root[component[y]]
+            order = np.flatnonzero(own != far)
+            order = order[np.lexsort((-alike[order], own[order]))]
+            x, y, alike, own = x[order], y[order], alike[order], own[order]
+            first = _first_of_run(own)
+            rank = np.arange(len(own)) - np.flatnonzero(first)[np.cumsum(first) - 1]
+            now = rank < most
+            a, b = x[now], y[now]
+            linked = _confirmed(texts, sets, a, b, percent)
+            a, b = a[linked], b[linked]
+            links.append((a, b))
+            for mine, other in zip(component[a].tolist(), component[b].tolist(), strict=True):
+                if root[mine] != root[other]:
+                    root[root == root[other]] = root[mine]
+            x, y, alike = x[~now], y[~now], alike[~now]
+            most *= 2
+    return tuple(map(np.concatenate, zip(*links, strict=True)))
 
 
 def sketched(texts: DataFrame, sets: Sets, bins: int, rows: int, marked: Broadcast) -> DataFrame:

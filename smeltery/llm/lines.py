@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,42 +38,87 @@ CUT_BYTES = 1 << 18
 COMMON = 1 << 15
 
 
-def lines_of(
-    data: np.ndarray, offsets: np.ndarray
-) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Trimmed spans of the lines with a word, with the text and place of each."""
-    breaks = np.flatnonzero(data == 10)
-    w = arrays.words(data, offsets)
-    before = np.searchsorted(breaks, w.starts)
-    line = before - np.searchsorted(breaks, offsets[:-1])[w.doc]
-    first = np.ones(len(line), bool)
-    first[1:] = (line[1:] != line[:-1]) | (w.doc[1:] != w.doc[:-1])
-    last = np.append(first[1:], True) if len(first) else first
-    return w.starts[first], w.ends[last], w.doc[first], line[first]
-
-
-def every_line(
+def _bounds(
     data: np.ndarray, offsets: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """What ``lines_of`` gives, and empty spans for the lines without a word."""
+    """Spans of all lines, with the text and place of each."""
     breaks = np.flatnonzero(data == 10)
     before = np.searchsorted(breaks, offsets)
     count = np.diff(before) + 1
     doc = np.repeat(np.arange(len(count)), count)
     first = np.cumsum(count) - count
     line = np.arange(len(doc)) - first[doc]
-    starts, ends = np.zeros((2, len(doc)), np.int64)
-    own = lines_of(data, offsets)
-    at = first[own[2]] + own[3]
-    starts[at], ends[at] = own[:2]
+    starts, ends = np.empty((2, len(doc)), np.int64)
+    later = line > 0
+    starts[first], ends[first + count - 1] = offsets[:-1], offsets[1:]
+    starts[later] = breaks + 1
+    ends[:-1][later[1:]] = breaks
     return starts, ends, doc, line
 
 
+#: Bytes of white space that are looked at one by one at either end of a line.
+STEPS = 8
+
+
+def _trimmed(
+    data: np.ndarray, starts: np.ndarray, ends: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """The spans of lines without white space around them; one without a word ends at its start."""
+    starts, ends = starts.copy(), ends.copy()
+    for at, step in ((starts, 1), (ends, -1)):
+        rest = np.flatnonzero(starts < ends)
+        for _ in range(STEPS):
+            rest = rest[arrays.SPACE[data[at[rest] - (step < 0)]]]
+            at[rest] += step
+            rest = rest[starts[rest] < ends[rest]]
+        if len(rest):
+            solid = np.flatnonzero(~arrays.SPACE[data])
+            if step > 0:
+                far = np.append(solid, len(data))[np.searchsorted(solid, at[rest])]
+                at[rest] = np.minimum(far, ends[rest])
+            else:
+                far = np.append(-1, solid)[np.searchsorted(solid, at[rest])] + 1
+                at[rest] = np.maximum(far, starts[rest])
+    return starts, ends
+
+
+def lines_of(
+    data: np.ndarray, offsets: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Trimmed spans of the lines with a word, with the text and place of each."""
+    starts, ends, doc, line = _bounds(data, offsets)
+    starts, ends = _trimmed(data, starts, ends)
+    word = starts < ends
+    return starts[word], ends[word], doc[word], line[word]
+
+
 def shingles_of(
     data: np.ndarray, starts: np.ndarray, ends: np.ndarray, size: int = CHARS
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and line of each run of ``size`` characters; a shorter line is one run."""
-    sums = arrays.prefix(arrays.LOWER[data])
+    """Hash and line of each run of ``size`` characters; a shorter line is one run.
+
+    Lines are spans with a word, in order. Those of ASCII alone come first, in which a
+    character is a byte.
+    """
+    if not len(starts):
+        return np.empty(0, np.uint64), np.empty(0, np.int64)
+    wide = np.logical_or.reduceat(data > 127, starts)
+    plain, wide = np.flatnonzero(~wide), np.flatnonzero(wide)
+    runs = np.maximum(ends[plain] - starts[plain] - size, 0) + 1
+    line = np.repeat(plain, runs)
+    at = np.arange(len(line)) + np.repeat(starts[plain] - (np.cumsum(runs) - runs), runs)
+    end = np.minimum(at + size, ends[line]) if np.any(ends[plain] - starts[plain] < size) else at + size
+    if len(wide):
+        wide_at, wide_end, own = _wide_runs(data, starts[wide], ends[wide], size)
+        at, end = np.concatenate([at, wide_at]), np.concatenate([end, wide_end])
+        line = np.concatenate([line, wide[own]])
+    return arrays.between(arrays.prefix(arrays.LOWER[data]), at, end), line
+
+
+def _wide_runs(
+    data: np.ndarray, starts: np.ndarray, ends: np.ndarray, size: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Spans of ``size`` characters of UTF-8, or of shorter lines, and the line of each."""
     inside = np.zeros(len(data) + 1, np.int8)
     inside[starts] += 1
     inside[ends] -= 1
@@ -89,7 +135,7 @@ def shingles_of(
     end[(first + np.maximum(count - size, 0))[filled]] = ends[filled]
     runs = np.maximum(count - size, -1) + 1
     runs[filled & (runs == 0)] = 1
-    return arrays.between(sums, at[opens], end[opens]), np.repeat(np.arange(len(starts)), runs)
+    return at[opens], end[opens], np.repeat(np.arange(len(starts)), runs)
 
 
 def _starred(size: int, bins: int, rows: int, slots: int):
@@ -131,11 +177,12 @@ def _picked(marked: Broadcast):
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
             for low, high in arrays.blocks(batch.column("text")):
                 data, offsets = arrays.texts(batch.column("text").slice(low, high - low))
-                starts, ends, doc, line = every_line(data, offsets)
+                starts, ends, doc, line = _bounds(data, offsets)
                 doc = ids[low + doc].astype(np.int64)
                 use = np.flatnonzero(clusters.is_marked(marked, doc, line))
+                starts, ends = _trimmed(data, starts[use], ends[use])
                 held = data.tobytes()
-                text = [held[a:b] for a, b in zip(starts[use].tolist(), ends[use].tolist(), strict=True)]
+                text = [held[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
                 columns = [pa.array(doc[use]), pa.array(line[use]), pa.array(text, pa.binary()).cast(pa.string())]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc", "at", "text"])
 
@@ -196,8 +243,29 @@ def repeated(
     return clusters.with_copies(found, copies).toDF("doc_id", "at", "first_doc", "first_at")
 
 
+#: What tells texts of different lengths apart.
+_LENGTHS = arrays.mixed(np.arange(1, 66, dtype=np.uint64))
+
+
+def _looks(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A code of each span, equal for equal ones, from its length up to 64, its ends and its
+    quarters; others with the same code are told apart by their digests."""
+    length = ends - starts
+    held = np.append(data, np.zeros(8, np.uint8))
+    held = np.ndarray(len(data) + 1, "<u8", held, strides=(1,))
+    code = held[starts]
+    short = np.flatnonzero(length < 8)
+    code[short] &= np.uint64((1 << 64) - 1) >> (8 * (8 - length[short])).astype(np.uint64)
+    code = arrays.mixed(code ^ _LENGTHS[np.minimum(length, 64)])
+    rest = np.flatnonzero(length > 8)
+    a, room = starts[rest], length[rest] - 8
+    for k in (1, 2, 3, 4):
+        code[rest] = arrays.mixed(code[rest] + held[a + k * room // 4])
+    return code.view(np.int64)
+
+
 def _common(copies: DataFrame, texts: DataFrame) -> DataFrame:
-    """(doc, at, code, digest) of the nodes with the most copies, with a hash and a digest of
+    """(doc, at, code, digest) of the nodes with the most copies, with a code and a digest of
     their texts. There are ``COMMON`` at most, so they can go to every task, which takes such
     lines out of a text where that lies."""
     to = ["to_doc", "to_at"]
@@ -206,7 +274,7 @@ def _common(copies: DataFrame, texts: DataFrame) -> DataFrame:
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = arrays.texts(batch.column("text"))
-            codes = arrays.hash_spans(data, offsets[:-1], offsets[1:]).view(np.int64)
+            codes = _looks(data, offsets[:-1], offsets[1:])
             held = [_digest(text.encode()) for text in arrays.strings(batch.column("text"))]
             columns = [batch.column("doc"), batch.column("at"), pa.array(codes), pa.array(held, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=["doc", "at", "code", "digest"])
@@ -216,7 +284,7 @@ def _common(copies: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def _stays(found: DataFrame, common: DataFrame) -> dict[bytes, tuple[int, int, int]]:
-    """By digest, the hash of a ``common`` text and which of the nodes that have it, or are
+    """By digest, the code of a ``common`` text and which of the nodes that have it, or are
     like it, stays."""
     root = found.join(F.broadcast(common.select(*clusters.NODE).distinct()), clusters.NODE)
     to = {(r.doc, r.at): (r.to_doc, r.to_at) for r in root.collect()}
@@ -239,7 +307,7 @@ def _taken(known: dict):
         for low, high in arrays.blocks(column, CUT_BYTES) if len(codes) else ():
             data, offsets = arrays.texts(column.slice(low, high - low))
             starts, ends, doc, line = lines_of(data, offsets)
-            code = arrays.hash_spans(data, starts, ends).view(np.int64)
+            code = _looks(data, starts, ends)
             near = codes[np.minimum(np.searchsorted(codes, code), len(codes) - 1)] == code
             held = memoryview(data)
             for k in np.flatnonzero(near).tolist():
@@ -275,27 +343,29 @@ def deduplicated(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, n_lines, n_removed = [], [], []
-            of_rows = batch.column("gone").to_pylist()
-            common = taken(batch.column("text"), batch.column("own").to_pylist())
-            for row, (text, gone) in enumerate(zip(batch.column("text").to_pylist(), of_rows, strict=True)):
-                places = {*(gone or ()), *common.get(row, ())}
-                if text is None or not places:
-                    texts.append(text)
-                    n_lines.append(0 if text is None else text.count("\n") + 1)
-                    n_removed.append(0)
+            text, gone = batch.column("text"), batch.column("gone")
+            n_lines = pc.add(pc.count_substring(text, "\n").cast(pa.int64()), 1)
+            n_removed = np.zeros(batch.num_rows, np.int64)
+            common = taken(text, batch.column("own").to_pylist())
+            some = {*np.flatnonzero(gone.is_valid().to_numpy(zero_copy_only=False)).tolist(), *common}
+            rows, left = [], []
+            for row in sorted(some):
+                places = {*(gone[row].as_py() or ()), *common.get(row, ())}
+                if not text[row].is_valid or not places:
                     continue
-                parts = text.split("\n")
-                left = [x for k, x in enumerate(parts) if k not in places]
-                texts.append("\n".join(left))
-                n_lines.append(len(parts))
-                n_removed.append(len(parts) - len(left))
+                parts = text[row].as_py().split("\n")
+                stay = [x for k, x in enumerate(parts) if k not in places]
+                rows.append(row)
+                left.append("\n".join(stay))
+                n_removed[row] = len(parts) - len(stay)
+            cuts = np.zeros(batch.num_rows, bool)
+            cuts[rows] = True
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("row"),
-                    pa.array(texts, batch.column("text").type),
-                    pa.array(n_lines, pa.int64()),
-                    pa.array(n_removed, pa.int64()),
+                    pc.replace_with_mask(text, pa.array(cuts), pa.array(left, text.type)),
+                    pc.fill_null(n_lines, 0),
+                    pa.array(n_removed),
                 ],
                 names=["row", "text", "n_lines", "n_removed"],
             )

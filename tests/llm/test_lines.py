@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from brute import LOWER, components, corpus, similar
 
@@ -86,3 +87,73 @@ def test_every_node_is_marked_and_few_others(spark):
     assert clusters.is_marked(marked, doc + 5000, np.full(1000, 2)).all()
     assert clusters.is_marked(marked, doc, np.full(1000, 3)).sum() < 10
     assert len(marked.value) == clusters.MARKS // 8
+
+
+def test_runs_and_spans_are_those_of_the_texts():
+    texts = ["  ab\tc \n\n \x0b\nABCDEFGHIJ é漢\r\n" + " " * 30 + "x" + " " * 30, "", "\n", "short\nabcdefgh\nabcdefg\x00"]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    offsets = np.cumsum([0] + [len(t.encode()) for t in texts])
+    starts, ends, doc, line = lines.lines_of(data, offsets)
+    values, owner = lines.shingles_of(data, starts, ends)
+    want = [(d, k, x.encode().strip(b" \t\n\r\x0b\x0c")) for d, t in enumerate(texts) for k, x in enumerate(t.split("\n"))]
+    want = [w for w in want if w[2]]
+    got = [(d, k, data[a:b].tobytes()) for a, b, d, k in zip(starts, ends, doc, line)]
+    assert got == want
+    codes = {}
+    for k, (_, _, text) in enumerate(got):
+        plain = text.translate(LOWER).decode()
+        runs = [plain[j : j + 8] for j in range(len(plain) - 7)] or [plain]
+        found = values[owner == k].tolist()
+        assert len(found) == len(runs)
+        assert all(codes.setdefault(run, code) == code for run, code in zip(runs, found))
+    assert len(set(codes.values())) == len(codes)
+
+
+def bucket(texts, out, component):
+    sketches = [lines.arrays.one_permutation(*lines._sets(pa.array([t]), 8), 1, clusters.SKETCH) for t in texts]
+    zeros = np.zeros(len(texts), np.int64)
+    columns = [zeros, np.arange(len(texts)), zeros, component, zeros, np.arange(len(texts)), np.array(out)]
+    held = [pa.array(c) for c in columns]
+    held += [pa.array([s.astype(np.uint8).tobytes() for s in sketches], pa.binary()), pa.array(texts)]
+    return pa.RecordBatch.from_arrays(held, ["key", "doc", "at", "c_doc", "c_at", "same", "out", "sketch", "text"])
+
+
+def test_what_cannot_be_a_link_is_not_compared_in_full(monkeypatch):
+    rng = np.random.default_rng(3)
+    base = rng.integers(97, 123, 400)
+    texts = []
+    for _ in range(60):
+        other = base.copy()
+        other[300 + rng.integers(-9, 9) :] = rng.integers(97, 123, 400)[:1]
+        other[340:] = rng.integers(97, 123, 60)
+        texts.append(bytes(other.astype(np.uint8)).decode())
+    linked = bytes(base.astype(np.uint8)).decode()
+    texts += [linked, linked[:-3] + "___"]
+    asked = []
+
+    def sets(column):
+        asked.append(len(column))
+        return lines._sets(column, 8)
+
+    one_by_one = np.intersect1d
+    monkeypatch.setattr(np, "intersect1d", lambda *a, **k: (asked.append(2), one_by_one(*a, **k))[1])
+    found = clusters._meeting(sets, 80)(iter([bucket(texts, [True] * 62, np.arange(62))]))
+    rows = [r for batch in found for r in batch.to_pylist()]
+    truth = {n for n in similar(sets_of(texts))}
+    first = components([(a[0], b[0]) for a, b in truth], range(62))
+    assert components([(r["doc"], r["to_doc"]) for r in rows], range(62)) == first
+    assert sum(asked) < 300
+
+
+def test_links_join_what_a_bucket_holds(monkeypatch):
+    monkeypatch.setattr(clusters, "MET", 50)
+    monkeypatch.setattr(clusters, "SET_BYTES", 2_000)
+    monkeypatch.setattr(clusters, "OUTLINED", 3)
+    texts = [t[:300] for t in corpus(6, families=4) if t and t.strip() and "\n" not in t.strip()]
+    texts = [t.strip() for t in texts if t.strip()]
+    n = len(texts)
+    assert n > 20
+    found = clusters._meeting(lambda c: lines._sets(c, 8), 80)(iter([bucket(texts, [True] * n, np.arange(n))]))
+    rows = [r for batch in found for r in batch.to_pylist()]
+    first = components([(a[0], b[0]) for a, b in similar(sets_of(texts))], range(n))
+    assert components([(r["doc"], r["to_doc"]) for r in rows], range(n)) == first

@@ -121,15 +121,28 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
 def prefix(values: np.ndarray) -> np.ndarray:
     """Sums from which ``between`` takes the hash of any span."""
     rising = _power(len(values) + 1)[0]
+    held = values.astype(np.uint64)
+    held += np.uint64(1)
+    held *= rising[: len(values)]
     out = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum((values.astype(np.uint64) + np.uint64(1)) * rising[: len(values)], out=out[1:])
+    np.cumsum(held, out=out[1:])
     return out
 
 
 def between(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each span, equal wherever its values are."""
     falling = _power(len(sums))[1]
-    return mixed((sums[ends] - sums[starts]) * falling[starts])
+    out = sums[ends]
+    out -= sums[starts]
+    out *= falling[starts]
+    return mixed(out)
+
+
+def between_all(sums: np.ndarray, size: int, starts: np.ndarray) -> np.ndarray:
+    """What ``between`` gives for spans of one size that begin nearly everywhere."""
+    out = sums[size:] - sums[:-size]
+    out *= _power(len(sums))[1][: len(out)]
+    return mixed(out[starts])
 
 
 def mixed(h: np.ndarray) -> np.ndarray:

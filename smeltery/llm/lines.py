@@ -97,28 +97,30 @@ def shingles_of(
 ) -> tuple[np.ndarray, np.ndarray]:
     """Hash and line of each run of ``size`` characters; a shorter line is one run.
 
-    Lines are spans with a word, in order. Those of ASCII alone come first, in which a
-    character is a byte.
+    Lines are spans with a word, in order. Those of ASCII alone that are no shorter come first:
+    there a character is a byte.
     """
     if not len(starts):
         return np.empty(0, np.uint64), np.empty(0, np.int64)
+    sums = arrays.prefix(arrays.LOWER[data])
     wide = np.logical_or.reduceat(data > 127, starts)
-    plain, wide = np.flatnonzero(~wide), np.flatnonzero(wide)
-    runs = np.maximum(ends[plain] - starts[plain] - size, 0) + 1
+    long = ends - starts >= size
+    plain, rest = np.flatnonzero(long & ~wide), np.flatnonzero(~long | wide)
+    runs = ends[plain] - starts[plain] - (size - 1)
     line = np.repeat(plain, runs)
     at = np.arange(len(line)) + np.repeat(starts[plain] - (np.cumsum(runs) - runs), runs)
-    end = np.minimum(at + size, ends[line]) if np.any(ends[plain] - starts[plain] < size) else at + size
-    if len(wide):
-        wide_at, wide_end, own = _wide_runs(data, starts[wide], ends[wide], size)
-        at, end = np.concatenate([at, wide_at]), np.concatenate([end, wide_end])
-        line = np.concatenate([line, wide[own]])
-    return arrays.between(arrays.prefix(arrays.LOWER[data]), at, end), line
+    values = arrays.between_all(sums, size, at) if len(at) else np.empty(0, np.uint64)
+    if len(rest):
+        first, last, own = _wide_runs(data, starts[rest], ends[rest], size)
+        values = np.concatenate([values, arrays.between(sums, first, last)])
+        line = np.concatenate([line, rest[own]])
+    return values, line
 
 
 def _wide_runs(
     data: np.ndarray, starts: np.ndarray, ends: np.ndarray, size: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Spans of ``size`` characters of UTF-8, or of shorter lines, and the line of each."""
+    """Spans of ``size`` characters of UTF-8, or of whole shorter lines, and the line of each."""
     inside = np.zeros(len(data) + 1, np.int8)
     inside[starts] += 1
     inside[ends] -= 1

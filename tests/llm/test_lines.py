@@ -142,7 +142,7 @@ def test_what_cannot_be_a_link_is_not_compared_in_full(monkeypatch):
     truth = {n for n in similar(sets_of(texts))}
     first = components([(a[0], b[0]) for a, b in truth], range(62))
     assert components([(r["doc"], r["to_doc"]) for r in rows], range(62)) == first
-    assert sum(asked) < 300
+    assert sum(asked) < 150
 
 
 def test_links_join_what_a_bucket_holds(monkeypatch):

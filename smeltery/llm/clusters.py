@@ -711,7 +711,7 @@ def sketched(texts: DataFrame, sets: Sets, bins: int, rows: int, marked: Broadca
         for batch in _where_marked(marked)(batches):
             parts, same = [], [np.empty(0, np.uint64)]
             keys = [np.empty((0, bins // rows), np.int64)]
-            for low, high in arrays.blocks(batch.column("text")):
+            for low, high in arrays.blocks(batch.column("text"), SET_BYTES):
                 part = batch.column("text").slice(low, high - low)
                 found = sets(part)
                 looks = arrays.one_permutation(*found, high - low, SKETCH)

@@ -67,8 +67,8 @@ def with_overlap(batch: pa.RecordBatch, sets) -> pa.RecordBatch:
     common, union = equal.astype(np.int64), equal.astype(np.int64)
     rest = np.flatnonzero(~equal)
     text, other = text.take(pa.array(rest)), other.take(pa.array(rest))
-    for low, high in arrays.blocks(text):
-        for a, b in arrays.blocks(other.slice(low, high - low)):
+    for low, high in arrays.blocks(text, clusters.SET_BYTES):
+        for a, b in arrays.blocks(other.slice(low, high - low), clusters.SET_BYTES):
             n, at = b - a, rest[low + a : low + b]
             own, far = sets(text.slice(low + a, n)), sets(other.slice(low + a, n))
             common[at], union[at] = arrays.overlaps(own, far, n)
